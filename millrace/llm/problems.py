@@ -3,13 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import tokens
+from millrace.functions.fields import aliases
+from millrace.llm import lookalikes, tokens
+from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
 
+def titles_and_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """(tab, id, channel, text): titles of records and bodies of normalized_sources, all rows."""
+    one = raw_field(table(spark, d, "records"), aliases(spark, d), "title", ["id", "channel"], as_name="text")
+    two = table(spark, d, "normalized_sources").select("id", "channel", F.col("body").alias("text"))
+    return one.select(F.lit("records").alias("tab"), "*").unionByName(two.select(F.lit("normalized_sources").alias("tab"), "*"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.alike_pairs(lookalikes.form_keys(titles_and_bodies(spark, d), "text", ["tab", "id"]))
+
+
+def p6_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every title and body in its one form."""
+    return lookalikes.with_form(titles_and_bodies(spark, d), "text", ["tab", "id"])
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids,)}
+QUERIES = {f.__name__: f for f in (p6_found, p6_forms, p8_ids)}
