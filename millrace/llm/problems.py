@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import aliases
-from millrace.llm import lookalikes, tokens
+from millrace.llm import lines, lookalikes, tokens
 from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
@@ -18,6 +18,15 @@ def titles_and_bodies(spark: SparkSession, d: str) -> DataFrame:
     return one.select(F.lit("records").alias("tab"), "*").unionByName(two.select(F.lit("normalized_sources").alias("tab"), "*"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return lines.repeated_places(table(spark, d, "normalized_sources"), "id", "channel", "body")
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every body without its channel's repeated lines."""
+    return lines.without_repeated(table(spark, d, "normalized_sources"), "id", "channel", "body", ["id"])
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.alike_pairs(lookalikes.form_keys(titles_and_bodies(spark, d), "text", ["tab", "id"]))
 
@@ -31,4 +40,4 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_forms, p8_ids)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_clean, p6_found, p6_forms, p8_ids)}
