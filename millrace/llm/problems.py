@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import aliases
-from millrace.llm import lines, lookalikes, tokens
+from millrace.llm import lines, lookalikes, stuffing, tokens
 from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
@@ -36,8 +36,16 @@ def p6_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.with_form(titles_and_bodies(spark, d), "text", ["tab", "id"])
 
 
+def p7_rates(spark: SparkSession, d: str) -> DataFrame:
+    return stuffing.redundancy(p3_clean(spark, d), "id", "body")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_rates(spark, d).where(stuffing.is_stuffed()).select("id")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_clean, p6_found, p6_forms, p8_ids)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_clean, p6_found, p6_forms, p7_found, p7_rates, p8_ids)}
