@@ -58,7 +58,11 @@ def _sign(m: regex.Match) -> str:
 
 def _packed(raw: bytes) -> int:
     """Bytes after compression of each block by itself, without the fixed cost of a block."""
-    return sum(len(zlib.compress(raw[k : k + BLOCK], 6)) - 8 for k in range(0, len(raw), BLOCK))
+    total = 0
+    for k in range(0, len(raw), BLOCK):
+        packer = zlib.compressobj(6, zlib.DEFLATED, -10, 5)  # the window is one block
+        total += len(packer.compress(raw[k : k + BLOCK])) + len(packer.flush()) - 2
+    return total
 
 
 def language(scripts: np.ndarray) -> str:
