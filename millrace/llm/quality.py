@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Labelled documents for the rules (the bound of the training sample), and the seed that builds them.
-LABELLED, SEED = 3_000, 11
+LABELLED, SEED = 5_000, 11
 
 # Sentence marks, signs that may follow them, and frequent words or particles by language.
 MARKS = "。．.！!？?…｡।؟"
@@ -105,7 +105,7 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
     ]
 
 
-FEATURES = ("mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "ended_share", "common_words", "table_share", "item_share", "short_share", "link_share", "data_share", "run_share", "damaged_share")
+FEATURES = ("odd_share", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "ended_share", "common_words", "table_share", "item_share", "short_share", "link_share", "data_share", "run_share", "damaged_share")
 
 
 def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
@@ -125,22 +125,23 @@ def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     parts = parts.select(*keep, "_t", "_r", "_e", spaced.alias("_s"), F.regexp_replace("_r", r"[^\x{e00}-\x{e7f}\x{ac00}-\x{d7a3}]+", " ").alias("_p"))
     # an inline of one struct: each statistic is computed once, and no filter on them is pushed below
     row = F.struct(*(s.value.alias(s.name) for s in statistics(*(F.col(c) for c in ("_t", "_r", "_e", "_s", "_p")))))
-    return parts.select(*keep, F.inline(F.array(row)))
+    odd = F.greatest("table_share", "link_share", "data_share", "run_share", "damaged_share", "symbol_ratio", "digit_ratio")
+    return parts.select(*keep, F.inline(F.array(row))).withColumn("odd_share", odd)
 
 
 # ---- labelled documents -------------------------------------------------------------------------------------------
 
 # Phrases the labelled documents are made of. {n} is a number, {w} a name.
 PROSE = {
-    "zh": ("昨天{w}在图书馆里等了{n}分钟，后来还是决定先走。", "这本小说的第{n}章写得很慢，但读到最后会觉得值得！", "你们有没有想过，他为什么一直不肯说出真相？", "我和同事聊了很久，大家都认为结尾处理得不错。", "从车站走到河边只要{n}分钟，路上有很多卖早点的小店。", "{w}说：“别急，等雨停了再走。”", "导演用了三年时间，把这个故事重新讲了一遍。", "如果明天天气好，我们就去山上看看那座老房子。", "上半年全市图书销量超过{n}万册。", "摄制组凌晨三点抵达片场准备开机。", "{w}负责夜景拍摄，副手负责录音。", "第{n}集平均份额升至百分之六。", "作者花费{n}天完成初稿，随后修改七遍。", "河边小店每天早晨六点开门营业！", "片尾字幕列出{n}名群众演员。", "开拍前{w}学习骑马，减重五公斤。"),
-    "en": ("{w} waited at the station for {n} minutes before the train arrived.", "I don't think the second half is as good as the first, but it is worth reading.", "Have you ever wondered why she never answered the letter?", "The music was too loud for a room of that size, and we left early.", "\"Leave it there,\" he said, and closed the door.", "It took them {n} days to repair the bridge after the flood."),
+    "zh": ("昨天{w}在图书馆里等了{n}分钟，后来还是决定先走。", "这本小说的第{n}章写得很慢，但读到最后会觉得值得！", "你们有没有想过，他为什么一直不肯说出真相？", "我和同事聊了很久，大家都认为结尾处理得不错。", "从车站走到河边只要{n}分钟，路上有很多卖早点的小店。", "{w}说：“别急，等雨停了再走。”", "导演用了三年时间，把这个故事重新讲了一遍。", "如果明天天气好，我们就去山上看看那座老房子。", "上半年全市图书销量超过{n}万册。", "摄制组凌晨三点抵达片场准备开机。", "{w}负责夜景拍摄，副手负责录音。", "第{n}集平均份额升至百分之六。", "作者花费{n}天完成初稿，随后修改七遍。", "河边小店每天早晨六点开门营业！", "票价涨到{n}元。", "评分从{n}分跌到{n}分。", "片尾字幕列出{n}名群众演员。", "开拍前{w}学习骑马，减重五公斤。"),
+    "en": ("{w} waited at the station for {n} minutes before the train arrived.", "I don't think the second half is as good as the first, but it is worth reading.", "Have you ever wondered why she never answered the letter?", "The music was too loud for a room of that size, and we left early.", "\"Leave it there,\" he said, and closed the door.", "They met at {n}:30 p.m.", "It starts at 9:15 and takes {n} minutes.", "I give it {n} out of 1000.", "It took them {n} days to repair the bridge after the flood."),
     "fr": ("{w} a attendu {n} minutes devant la gare avant de partir.", "Le livre est long, mais la fin est très belle.", "Pourquoi ne dit-il jamais la vérité ?", "Nous avons marché dans les rues de la ville pendant des heures."),
     "de": ("{w} hat {n} Minuten auf den Zug gewartet und ist dann gegangen.", "Das Buch ist nicht schlecht, aber der Schluss wirkt etwas müde.", "Warum hat sie den Brief nie gelesen?", "Wir sind mit dem Rad durch die Stadt gefahren."),
     "es": ("{w} esperó {n} minutos en la estación antes de volver a casa.", "La novela es larga, pero el final es muy bueno.", "¿Por qué no dijo la verdad desde el principio?", "Caminamos por la playa durante toda la tarde."),
     "ja": ("{w}は駅で{n}分待ってから家に帰った。", "この本は長いけれど、最後まで読む価値があると思う。", "どうして彼女は手紙に返事をしなかったのだろうか？", "雨が止んだので、私たちは海まで歩くことにした。"),
-    "ko": ("{w}은 역에서 {n}분 동안 기다렸습니다.", "이 소설은 길지만 끝까지 읽을 만합니다.", "왜 그녀는 편지에 답장을 하지 않았을까요?", "비가 그쳐서 우리는 바다까지 걸어가기로 했습니다."),
+    "ko": ("{w}은 역에서 {n}분 동안 기다렸습니다.", "이 소설은 길지만 끝까지 읽을 만합니다.", "왜 그녀는 편지에 답장을 하지 않았을까요?", "점수는 {n}점이고 관객은 {n}명이었습니다.", "공사는 {n}일 걸렸다.", "비가 그쳐서 우리는 바다까지 걸어가기로 했습니다."),
     "ar": ("انتظر {w} في المحطة {n} دقيقة ثم عاد إلى البيت.", "هذا الكتاب طويل ولكن نهايته جميلة.", "لماذا لم تقل الحقيقة من البداية؟"),
-    "hi": ("{w} ने स्टेशन पर {n} मिनट तक इंतज़ार किया।", "यह किताब लंबी है मगर अंत बहुत अच्छा है।", "उसने पत्र का जवाब क्यों नहीं दिया?"),
+    "hi": ("{w} ने स्टेशन पर {n} मिनट तक इंतज़ार किया।", "यह किताब लंबी है मगर अंत बहुत अच्छा है।", "उसने पत्र का जवाब क्यों नहीं दिया?", "काम में {n} दिन लगे।"),
     "th": ("{w}รอรถไฟอยู่ที่สถานีนาน {n} นาที", "หนังสือเล่มนี้ยาวแต่ตอนจบดีมาก", "ทำไมเธอถึงไม่ตอบจดหมายฉบับนั้น", "เราเดินไปที่ทะเลหลังจากฝนหยุดแล้ว"),
     "pl": ("{w} czekał na dworcu {n} minut, a potem wrócił do domu.", "Ta książka jest długa, ale zakończenie bardzo mi się podobało.", "Dlaczego nigdy nie odpowiedziała na list?"),
     "fi": ("{w} odotti asemalla {n} minuuttia ja lähti sitten kotiin.", "Kirja oli pitkä, mutta loppu yllätti minut.", "Miksi hän ei vastannut kirjeeseen?"),
@@ -251,7 +252,7 @@ def labelled_documents(size: int = LABELLED, seed: int = SEED) -> tuple[tuple[st
     out = []
     while len(out) < size:
         junk = len(out) % 2 == 1
-        text = _junk(r, r.randint(5, 25)) if junk else _prose(r, r.randint(1, 25))
+        text = _junk(r, r.randint(5, 25)) if junk else _prose(r, r.choice((1, 1, 2, 3, r.randint(1, 25), r.randint(1, 25))))
         if r.random() < 0.25 and len(text) > 60:
             other = ""
             while len(other) < len(text) * 0.15:
