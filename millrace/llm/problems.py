@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import aliases
-from millrace.llm import lines, lookalikes, stuffing, tokens
+from millrace.llm import lines, lookalikes, quality, stuffing, tokens
 from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
@@ -48,4 +48,13 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_clean, p6_found, p6_forms, p7_found, p7_rates, p8_ids)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return quality.no_prose(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """The statistics of every document; null for a null text."""
+    return quality.with_statistics(table(spark, d, "documents"), "text", ["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_clean, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p10_found, p10_statistics)}

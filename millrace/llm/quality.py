@@ -55,7 +55,7 @@ _ENDED = rf"(?m)^[^\n]*[{MARKS}][{CLOSERS}&&[^\n]]*$"
 _TABLES = (("|", r"(?m)^(?:[^|\n]*\|){2,}[^\n]*$"), ("\t", r"(?m)^(?:[^\t\n]*\t){2,}[^\n]*$"), ("  ", r"(?m)^(?:[^\s,，]+ {2,}){2,}\S+ *$"), (",", r"(?m)^(?:[^,，;\n。]{1,24}[,;]){2,}[^,，;。\n]{1,24}$"))
 _ITEM = rf"(?m)^[ \t]*(?:[-*•·◦▪‣]|[①-⑳]|\d{{1,3}}[.、)）])[ \t]*[^{MARKS}\n]{{1,40}}+$"
 _SHORT = rf"(?m)^[^\n{MARKS}]{{1,26}}+$"
-_LINK = r"https?://[^\s<>()\"]+|www\.[^\s<>()\"]+|<[^<>\n]{1,200}>|#[^\s#]{1,30}#?|\]\("
+_LINK = r"(?:https?://|www\.)[A-Za-z0-9._~/?#@!$&*+;=%:-]+|<[^<>\n]{1,200}>|#[^\s#]{1,30}#?|\]\("
 _DATA = r"[A-Za-z0-9+/=_]{36,}|\"[A-Za-z_]\w*\" ?: ?|\b\w{1,12}=[\w.:-]+|\[\d+\]|(?:\d[\d.,:%/-]*[\s|;]+){3,}"
 _RUN = r"(.)\1{7,}|(..)\2{7,}|(...)\3{6,}"
 _DAMAGED = r"[\x{fffd}\x{25a1}\x{a4}\x{25af}]|[\p{IsHan}][?][\p{IsHan}]|[\x{c2}-\x{f4}][\x{80}-\x{bf}]|锟斤|烫烫"
@@ -212,7 +212,7 @@ def _junk(r: random.Random, n: int) -> str:
     if kind == 10:
         return r.choice((" ", "")).join(f"#{r.choice(NOUNS + TAILS)}{r.choice(('', '#'))} " for _ in range(n * 3))
     if kind == 11:
-        return r.choice(("\n", " ", "，", "|", ", ")).join(title + r.choice(TAILS) for _ in range(n * 2))
+        return r.choice(("\n", " ", "，", "|", ", ", "、")).join(title + r.choice(TAILS) for _ in range(n * 2))
     if kind == 12:
         return "\n".join(f"{r.choice(PLACES)}{word()}{r.choice(TAILS)} {r.choice(PLACES)}{word()}" for _ in range(n * 2))
     if kind == 13:
