@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import aliases
-from millrace.llm import lines, lookalikes, quality, stuffing, tokens
+from millrace.llm import lines, lookalikes, quality, severity, stuffing, tokens
 from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
@@ -18,6 +18,20 @@ def titles_and_bodies(spark: SparkSession, d: str) -> DataFrame:
     return one.select(F.lit("records").alias("tab"), "*").unionByName(two.select(F.lit("normalized_sources").alias("tab"), "*"))
 
 
+def p1_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every title and body with its severity."""
+    return severity.scored(titles_and_bodies(spark, d), table(spark, d, "review_labels"), ["tab", "id", "channel"])
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_scores(spark, d).where("found").select("tab", "id")
+
+
+def p1_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Found texts and their share by channel; texts without channel are one group of their own."""
+    return p1_scores(spark, d).groupBy("tab", "channel").agg(F.count("severity").alias("n_texts"), F.count_if("found").alias("n_found"), severity.rate().alias("rate"), F.avg("severity").alias("mean_severity"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return lines.repeated_places(table(spark, d, "normalized_sources"), "id", "channel", "body")
 
@@ -57,4 +71,4 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_statistics(table(spark, d, "documents"), "text", ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_clean, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p10_found, p10_statistics)}
