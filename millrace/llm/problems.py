@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import aliases
-from millrace.llm import lines, lookalikes, quality, severity, stuffing, tokens
+from millrace.llm import lines, lookalikes, quality, sentences, severity, stuffing, tokens
 from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
@@ -41,6 +41,33 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return lines.without_repeated(table(spark, d, "normalized_sources"), "id", "channel", "body", ["id"])
 
 
+def bodies_and_asr(spark: SparkSession, d: str) -> DataFrame:
+    """(tab, id, field_name, text): bodies of normalized_sources and ASR of records, all rows."""
+    one = raw_field(table(spark, d, "records"), aliases(spark, d), "asr", ["id"], as_name="text").select(F.lit("records").alias("tab"), "id", F.lit("asr").alias("field_name"), "text")
+    two = table(spark, d, "normalized_sources").select(F.lit("normalized_sources").alias("tab"), "id", F.lit("body").alias("field_name"), F.col("body").alias("text"))
+    return one.unionByName(two)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    asked = table(spark, d, "sentence_sample").select("tab", F.col("source_id").alias("id"), "field_name").distinct()
+    ids = asked.select("id").distinct()
+    # rows that aren't asked for leave before their texts are read out of the JSON objects
+    rows = table(spark, d, "records").join(ids, "id", "left_semi")
+    asr = raw_field(rows, aliases(spark, d), "asr", ["id"], as_name="asr")
+    body = raw_field(rows, aliases(spark, d), "body", ["id"], as_name="body")
+    own = table(spark, d, "normalized_sources").join(ids, "id", "left_semi")
+    texts = None
+    for tab, df, field, column in (("records", asr, "asr", "asr"), ("records", body, "body", "body"), ("normalized_sources", own, "body", "body"), ("normalized_sources", own, "asr", "asr")):
+        part = df.select(F.lit(tab).alias("tab"), "id", F.lit(field).alias("field_name"), F.col(column).alias("text")).join(asked, ["tab", "id", "field_name"], "left_semi")
+        texts = part if texts is None else texts.unionByName(part)
+    return sentences.units(texts, "text", ["tab", "id"]).select("tab", "id", "end_pos").distinct()
+
+
+def p5_units(spark: SparkSession, d: str) -> DataFrame:
+    """Sentence units of every body and every ASR."""
+    return sentences.units(bodies_and_asr(spark, d), "text", ["tab", "id", "field_name"])
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.alike_pairs(lookalikes.form_keys(titles_and_bodies(spark, d), "text", ["tab", "id"]))
 
@@ -71,4 +98,4 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_statistics(table(spark, d, "documents"), "text", ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p5_found, p5_units, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p10_found, p10_statistics)}
