@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import aliases
-from millrace.llm import lines, lookalikes, quality, sentences, severity, stuffing, tokens
+from millrace.llm import lines, lookalikes, mixing, quality, sentences, severity, stuffing, tokens
 from millrace.operators.instants import raw_field
 from millrace.sources.tables import table
 
@@ -89,6 +89,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(spark, table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(spark, table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return quality.no_prose(table(spark, d, "documents"), "doc_id", "text")
 
@@ -98,4 +106,4 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_statistics(table(spark, d, "documents"), "text", ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p5_found, p5_units, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p5_found, p5_units, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p9_mixture, p9_shares, p10_found, p10_statistics)}
