@@ -20,7 +20,8 @@ def titles_and_bodies(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_scores(spark: SparkSession, d: str) -> DataFrame:
     """Every title and body with its severity."""
-    return severity.scored(titles_and_bodies(spark, d), table(spark, d, "review_labels"), ["tab", "id", "channel"])
+    rows = table(spark, d, "records").count() + table(spark, d, "normalized_sources").count()  # of the files' metadata
+    return severity.scored(titles_and_bodies(spark, d), table(spark, d, "review_labels"), ["tab", "id", "channel"], rows)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -79,7 +79,10 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
     has = lambda *found: functools.reduce(lambda a, b: a | b, (F.contains(text, F.lit(x)) for x in found))
     where = lambda test, c: F.when(test, c).otherwise(0)
     signs = n - F.length(F.replace(rest, F.lit("\x01"), F.lit("")))
-    words = signs + F.regexp_count(rest, F.lit(r"[\p{L}\p{M}\p{N}]+"))
+    others = F.regexp_count(rest, F.lit(r"[\p{L}\p{M}\p{N}]+"))
+    words = signs + others
+    letters = gone(r"[\p{L}\p{M}\p{N}]+", rest)
+    digits = gone(r"\p{N}+")
     lines_of = lambda t: F.regexp_count(t, F.lit(r"(?m)^[^\n]*\S[^\n]*$"))
     lines = lines_of(text)
     common = n - F.length(F.translate(text, COMMON_SIGNS + COMMON_KANA, "")) + F.regexp_count(spaced, F.lit(_COMMON)) + F.regexp_count(pieces, F.lit(_PIECES))
@@ -89,9 +92,9 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
         Statistic("n_chars", n),
         Statistic("n_words", words),
         Statistic("n_lines", lines),
-        Statistic("mean_word_length", F.try_divide((signs + gone(r"[\p{L}\p{M}\p{N}]+", rest)).cast("double"), words)),
+        Statistic("mean_word_length", F.try_divide((signs + letters).cast("double"), words)),
         Statistic("symbol_ratio", share(gone(r"[[\p{S}&&[^\x{1f000}-\x{1faff}]]\p{Co}\p{Cn}#&*/\\@_|<>={}\[\]^~`%+]+"))),
-        Statistic("digit_ratio", share(gone(r"\p{N}+"))),
+        Statistic("digit_ratio", share(digits)),
         Statistic("ended_lines", F.try_divide((lines - lines_of(unended)).cast("double"), lines)),
         Statistic("ended_share", share(n - F.length(unended))),
         Statistic("common_words", F.try_divide(common.cast("double"), words)),
@@ -99,7 +102,7 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
         Statistic("item_share", share(gone(_ITEM))),
         Statistic("short_share", share(gone(_SHORT))),
         Statistic("link_share", share(where(has("http", "www.", "<", "#", "]("), gone(_LINK)))),
-        Statistic("data_share", share(gone(_DATA))),
+        Statistic("data_share", share(where(has("=", '":', "[") | (digits * 12 > n) | (letters > 7 * others), gone(_DATA)))),
         Statistic("run_share", share(gone(_RUN))),
         Statistic("damaged_share", share(where(has("\ufffd", "□", "¤", "▯", "?", "锟", "烫") | text.rlike("[\\x{80}-\\x{bf}]"), gone(_DAMAGED)))),
     ]
@@ -123,8 +126,10 @@ def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     parts = df.select(*keep, t.alias("_t")).select(*keep, "_t", F.regexp_replace("_t", f"[{_CJK}]+", "\x01").alias("_r"), F.regexp_replace("_t", _ENDED, "").alias("_e"))
     spaced = F.concat(F.lit(" "), F.lower(F.regexp_replace("_r", r"[^\p{L}\p{M}]+", "  ")), F.lit(" "))
     parts = parts.select(*keep, "_t", "_r", "_e", spaced.alias("_s"), F.regexp_replace("_r", r"[^\x{e00}-\x{e7f}\x{ac00}-\x{d7a3}]+", " ").alias("_p"))
-    # an inline of one struct: each statistic is computed once, and no filter on them is pushed below
-    row = F.struct(*(s.value.alias(s.name) for s in statistics(*(F.col(c) for c in ("_t", "_r", "_e", "_s", "_p")))))
+    found = statistics(*(F.col(c) for c in ("_t", "_r", "_e", "_s", "_p")))
+    parts = parts.select(*keep, *(s.value.alias(s.name) for s in found))
+    # an inline of one struct: no filter on the statistics is pushed below, where they would be computed for each mention
+    row = F.struct(*(s.name for s in found))
     odd = F.greatest("table_share", "link_share", "data_share", "run_share", "damaged_share", "symbol_ratio", "digit_ratio")
     return parts.select(*keep, F.inline(F.array(row))).withColumn("odd_share", odd)
 

@@ -251,6 +251,14 @@ def train(texts: list[str], grades: list[int], usual: list[str] = (), rounds: in
     return Model(weights, np.cumsum(np.concatenate([state[1][:1], np.exp(state[1][1:])])))
 
 
+def _least_hash(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:
+    """The ``most`` rows of least hash of ``key``, out of about ``rows``. Rows whose hash is far above leave in their own
+    task, so that the tasks together send about twice as many as are wanted, whatever the number of tasks."""
+    h = F.pmod(F.xxhash64(*key), F.lit(1 << 40))
+    near = df.where(h < int(min(1.0, 2.0 * most / max(1, rows) + 0.0005) * (1 << 40))) if rows > most else df
+    return near.orderBy(h, *key).limit(most)
+
+
 def labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, grade) of the texts with answers, at most LABELLED_TEXTS, those of the least hash.
 
@@ -258,18 +266,19 @@ def labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
     """
     votes = labels.where("abusive is not null").groupBy("tab", F.col("source_id").alias("id")).agg(F.sum("abusive").alias("yes"), F.count(F.lit(1)).alias("n"))
     grade = F.when(F.col("yes") == 0, 0).when(F.col("yes") < F.col("n"), 1).when(F.col("n") == 1, 2).otherwise(3)
-    votes = votes.select("tab", "id", grade.alias("grade")).orderBy(F.xxhash64("tab", "id"), "tab", "id").limit(LABELLED_TEXTS)
+    votes = _least_hash(votes.select("tab", "id", grade.alias("grade")), labels.count(), LABELLED_TEXTS, "tab", "id")
     return texts.where("text is not null").join(F.broadcast(votes), ["tab", "id"]).select("text", "grade")
 
 
-def scored(texts: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
+def scored(texts: DataFrame, labels: DataFrame, keep: list[str], rows: int | None = None) -> DataFrame:
     """``keep``, severity (expected grade of the worst sentence, 0 to 3) and found, of every row of ``texts``.
 
     Null texts have severity null and are not found; empty texts have the severity of an empty sentence. Without any
-    answer, no text is found.
+    answer, no text is found. ``rows`` is about the number of texts, counted if it isn't given.
     """
+    rows_about = texts.count() if rows is None else rows
     rows = sorted(((r.text, r.grade) for r in labelled(texts, labels).collect()), key=lambda r: (r[0], r[1]))  # at most LABELLED_TEXTS
-    usual = texts.where("text is not null").orderBy(F.xxhash64("id", "tab"), "tab", "id").select("text").limit(USUAL_TEXTS).collect()
+    usual = _least_hash(texts.where("text is not null"), rows_about, USUAL_TEXTS, "id", "tab").select("text").collect()
     model = train([t for t, _ in rows], [g for _, g in rows], sorted(r.text for r in usual))
     used = np.flatnonzero(model.weights)
     shared = texts.sparkSession.sparkContext.broadcast((used.astype(np.int32), model.weights[used].astype(np.float32), model.thresholds))
