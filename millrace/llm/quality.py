@@ -71,7 +71,8 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
 
     ``rest`` is the text with U+0001 for each run of ideographs and kana, ``unended`` the text without the lines that end
     in a sentence mark, ``spaced`` its words in lower case between blanks, ``pieces`` its parts in scripts that write
-    particles on to words. Patterns that only certain signs can begin are left out where the text has none of them.
+    particles on to words. Shares of cells, items, short lines, data and runs are of lines that don't end in a sentence
+    mark. Patterns that only certain signs can begin are left out where the text has none of them.
     """
     n = F.length(text)
     gone = lambda pattern, t=text: F.length(t) - F.length(F.regexp_replace(t, pattern, ""))
@@ -86,8 +87,8 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
     lines_of = lambda t: F.regexp_count(t, F.lit(r"(?m)^[^\n]*\S[^\n]*$"))
     lines = lines_of(text)
     common = n - F.length(F.translate(text, COMMON_SIGNS + COMMON_KANA, "")) + F.regexp_count(spaced, F.lit(_COMMON)) + F.regexp_count(pieces, F.lit(_PIECES))
-    table = functools.reduce(lambda c, k: F.when(F.contains(text, F.lit(k[0])), gone(k[1])).otherwise(c), reversed(_TABLES), F.lit(0))
-    table = F.greatest(table, where(has("|", "\t", "  ") & has(","), gone(_TABLES[-1][1])))
+    table = functools.reduce(lambda c, k: F.when(F.contains(unended, F.lit(k[0])), gone(k[1], unended)).otherwise(c), reversed(_TABLES), F.lit(0))
+    table = F.greatest(table, where(has("|", "\t", "  ") & has(","), gone(_TABLES[-1][1], unended)))
     return [
         Statistic("n_chars", n),
         Statistic("n_words", words),
@@ -99,11 +100,11 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
         Statistic("ended_share", share(n - F.length(unended))),
         Statistic("common_words", F.try_divide(common.cast("double"), words)),
         Statistic("table_share", share(table)),
-        Statistic("item_share", share(gone(_ITEM))),
-        Statistic("short_share", share(gone(_SHORT))),
+        Statistic("item_share", share(gone(_ITEM, unended))),
+        Statistic("short_share", share(gone(_SHORT, unended))),
         Statistic("link_share", share(where(has("http", "www.", "<", "#", "]("), gone(_LINK)))),
-        Statistic("data_share", share(where(has("=", '":', "[") | (digits * 12 > n) | (letters > 7 * others), gone(_DATA)))),
-        Statistic("run_share", share(gone(_RUN))),
+        Statistic("data_share", share(where(has("=", '":', "[") | (digits * 12 > n) | (letters > 7 * others), gone(_DATA, unended)))),
+        Statistic("run_share", share(gone(_RUN, unended))),
         Statistic("damaged_share", share(where(has("\ufffd", "□", "¤", "▯", "?", "锟", "烫") | text.rlike("[\\x{80}-\\x{bf}]"), gone(_DAMAGED)))),
     ]
 
