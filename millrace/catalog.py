@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace import problems
+from millrace import problems, queries
 
-QUERIES = {**problems.QUERIES}
-ORACLES: dict[str, str] = {}
+QUERIES = {**queries.QUERIES, **problems.QUERIES}
+ORACLES: dict[str, str] = {**queries.ORACLES}

@@ -19,9 +19,9 @@ def repeated(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def rises(df: DataFrame, group: str, order: str, value: str) -> DataFrame:
+def rises(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
     """Rows whose value is greater than that of the row before in their group, where it should never rise."""
-    return df.withColumn("_before", F.lag(value).over(Window.partitionBy(group).orderBy(order))).where(F.col(value) > F.col("_before")).drop("_before")
+    return df.withColumn("_before", F.lag(value).over(Window.partitionBy(group).orderBy(*order))).where(F.col(value) > F.col("_before")).drop("_before")
 
 
 def strict(found: DataFrame) -> None:
