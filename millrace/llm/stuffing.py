@@ -8,6 +8,7 @@ only where sentence marks are also rare for the language.
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ BLOCK = 1024
 #: Redundant beyond confirmation: the text's rate is so many times as far below the median as the language's lowest
 #: twentieth begins, what the outline's rate is below its median added; more in a language without sentence marks, where
 #: nothing can be confirmed.
-EXTREME, EXTREME_UNMARKED = 2.55, 3.3
+EXTREME, EXTREME_UNMARKED = 2.65, 3.3
 #: Redundant if confirmed: the lower of both rates.
 REDUNDANT = 0.8
 #: Few sentence marks: this share of the language's median density.
@@ -46,14 +47,37 @@ for _k, _name in enumerate(_CODES):
 _LINK = regex.compile(r"(?:https?://|www\.)[A-Za-z0-9._~/?#@!$&*+;=%-]+")
 _HASHTAG = regex.compile(r"#[^\s#]{1,40}#?")
 _TAG = regex.compile(r"<[^<>]{1,300}>")
-_RUN = regex.compile(r"[\p{L}\p{M}]+|\d+")
 _MARKS = regex.compile(r"[。！？!?…।؟]+|\.(?=\s|$|[\"”’)])")
-_SIGN = ["a"] * 3 + ["b"] * 3 + ["c"] * 4 + ["d"] * 8
-
-
-def _sign(m: regex.Match) -> str:
-    t = m.group()
-    return "0" if t[0].isdigit() else _SIGN[len(t)] if len(t) < len(_SIGN) else "e"
+#: A link, a tag and a hashtag are each one of these private characters in an outline.
+_LINK_SIGN, _TAG_SIGN, _HASHTAG_SIGN = "\ue000", "\ue001", "\ue002"
+#: Signs of runs of letters by their length, of 18 and more the last.
+_SIGNS = np.frombuffer(b"aaabbbccccdddddddde", np.uint8)
+
+
+@functools.lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """1 for letters and marks, 2 for digits, 0 for other characters."""
+    out = np.zeros(0x110000, np.uint8)
+    for c in (*range(0x3400), *range(0xA000, 0xD7FC), *range(0xF900, 0x20000)):
+        k = unicodedata.category(chr(c))
+        out[c] = 1 if k[0] in "LM" else 2 if k == "Nd" else 0
+    out[0x3400:0xA000] = out[0x20000:0x323B0] = 1
+    return out
+
+
+def _outlines(points: np.ndarray, starts: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """(bytes, starts): one sign for each run of letters or digits, and the low byte of each other character."""
+    if not len(points):
+        return b"", np.zeros(len(starts), np.int64)
+    kind = _kinds()[points]
+    first = np.ones(len(points), bool)
+    first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 0)
+    first[starts[:-1][starts[:-1] < len(points)]] = True
+    at = np.flatnonzero(first)
+    size = np.diff(np.append(at, len(points)))
+    k = kind[at]
+    sign = np.where(k == 1, _SIGNS[np.minimum(size, len(_SIGNS) - 1)], np.where(k == 2, 48, points[at] & 0xFF)).astype(np.uint8)
+    return sign.tobytes(), np.searchsorted(at, starts)
 
 
 def _packed(raw: bytes) -> int:
@@ -81,22 +105,25 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, 0):
             part = part.filter(part.column(0).is_valid())
             texts = [unicodedata.normalize("NFKC", t) for t in part.column(0).to_pylist()]
-            bare = [_TAG.sub("", _LINK.sub("", t)) if "http" in t or "www." in t or "<" in t else t for t in texts]
+            bare = [_HASHTAG.sub(_HASHTAG_SIGN, _TAG.sub(_TAG_SIGN, _LINK.sub(_LINK_SIGN, t))) if "http" in t or "www." in t or "<" in t or "#" in t else t for t in texts]
             points, starts = to_code_points(pa.array(bare, pa.string()))
+            outline, begin = _outlines(points, starts)
             kinds, rows = _SCRIPT[points], np.repeat(np.arange(len(bare)), np.diff(starts))
             width = len(_CODES) + 1
             counts = np.bincount(rows * width + kinds, minlength=len(bare) * width).reshape(-1, width)
             out = []
             for k, (t, b) in enumerate(zip(texts, bare, strict=True)):
-                raw = t.encode("utf-8", "surrogatepass")
+                tongue = language(counts[k])
+                if tongue == "none" and b is not t:  # nothing but links, tags and hashtags: their own letters tell
+                    own = _SCRIPT[np.frombuffer(_TAG.sub("", _LINK.sub("", t)).encode("utf-32-le", "surrogatepass"), np.uint32)]
+                    tongue = language(np.bincount(own, minlength=width))
                 if len(t) < LEAST_CHARS:
-                    out.append((language(counts[k]), 0, 0, None, None, None))
+                    out.append((tongue, 0, 0, None, None, None))
                     continue
-                outline = t if b is t else _TAG.sub("T", _LINK.sub("U", t))
-                outline = _RUN.sub(_sign, _HASHTAG.sub("H", outline) if "#" in outline else outline)
+                raw = t.encode("utf-8", "surrogatepass")
                 text_class = min(int(np.log2(len(raw))), 10)
                 marks = len(_MARKS.findall(b)) / len(t)
-                out.append((language(counts[k]), len(t), text_class, _packed(raw) / len(raw), max(0, _packed(outline.encode("utf-8", "surrogatepass"))) / len(t), marks))
+                out.append((tongue, len(t), text_class, _packed(raw) / len(raw), max(0, _packed(outline[begin[k] : begin[k + 1]])) / len(t), marks))
             cols = [*zip(*out, strict=True)] if out else [[]] * 6
             kinds_of = (pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, t) for c, t in zip(cols, kinds_of, strict=True))], names=["id", "language", "n", "size", "packed", "outline", "marks"])
