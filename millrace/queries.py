@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators import checks, dedup, entities, evidence, links, reviews, routing, sources
+from millrace.operators import checks, dedup, entities, evidence, links, passages, reviews, routing, sources
 from millrace.operators.instants import utc_micros
 from millrace.sources.tables import table
 
@@ -551,3 +551,128 @@ def star_join(spark, d):
     per_customer = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     return per_customer.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey").agg(F.sum("n").alias("n_orders")).join(dims, F.col("c_nationkey") == F.col("n_nationkey")).select("r_name", "n_name", "n_orders")
+
+
+# ---- passages -----------------------------------------------------------------------------------------------------
+
+
+def _display(x: str) -> str:
+    t = _clean(x)
+    for a, b in passages.ENTITIES:
+        t = f"replace({t}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
+    for _, p in passages.MARKUP:
+        t = f"regexp_replace({t}, '{p}', ' ', 'g')"
+    t = f"regexp_replace(regexp_replace({t}, '{passages._HIDDEN}', '', 'g'), '\\s+', ' ', 'g')"
+    t = f"regexp_replace({t}, ' ([，。！？；：、,.!?;:])', '\\1', 'g')"
+    return f"trim({t}, '{passages._EDGE}')"
+
+
+@query(f"SELECT id, {_display('body')} AS excerpt FROM normalized_sources")
+def display_clean(spark, d):
+    return table(spark, d, "normalized_sources").select("id", passages.display(F.col("body")).alias("excerpt"))
+
+
+@query("SELECT id, regexp_matches(coalesce(body, ''), '" + "|".join(f"(?:{p})" for _, p in passages.MARKUP) + "') AS has_markup FROM normalized_sources")
+def display_has_markup(spark, d):
+    return table(spark, d, "normalized_sources").select("id", passages.has_markup(F.col("body")).alias("has_markup"))
+
+
+_NOTES = [("site line", "来源：[^\n]{0,20}"), ("copyright", "版权声明|Copyright"), ("call", "扫码关注|点个关注|下载[^\n]{0,12}客户端")]
+
+
+@query("SELECT id, CASE " + " ".join(f"WHEN regexp_matches(b, '{p}') THEN '{n}'" for n, p in _NOTES) + " ELSE '' END AS label, CASE " + " ".join(f"WHEN regexp_matches(b, '{p}') THEN regexp_extract(b, '{p}')" for _, p in _NOTES) + " ELSE '' END AS found FROM (SELECT id, coalesce(body, '') AS b FROM normalized_sources)")
+def first_labelled_pattern(spark, d):
+    return table(spark, d, "normalized_sources").select("id", passages.first_pattern(F.coalesce("body", F.lit("")), _NOTES).alias("m")).select("id", "m.label", "m.found")
+
+
+@query(rf"""SELECT id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({_clean('title')}), '“[^”]*”|"[^"]*"|‘[^’]*’', '<q>', 'g'), '\b[0-9a-f]{{12,}}\b', '<id>', 'g'), '[0-9]+', '#', 'g'), '\s+', '', 'g') AS fingerprint FROM normalized_sources""")
+def reason_fingerprint(spark, d):
+    return table(spark, d, "normalized_sources").select("id", passages.reason_fingerprint(F.col("title")).alias("fingerprint"))
+
+
+@query()
+def excerpt_segments(spark, d):
+    """Segments with the check that they give the text again."""
+    s = source_rows(spark, d)
+    parts = passages.segments(s, "text", ["id"])
+    whole = parts.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_no", "segment"))), lambda x: x.segment), "").alias("joined"))  # one text's segments
+    return parts.join(whole.join(s.select("id", "text"), "id").select("id", (F.col("joined") == F.col("text")).alias("lossless")), "id")
+
+
+@query()
+def candidate_windows(spark, d):
+    """The three best windows of each source that don't lie in each other."""
+    s = source_rows(spark, d).select("id", "batch", "text")
+    w = passages.windows(s, 3)
+    scored = w.select("id", "start", "end", (F.regexp_count("fragment", F.lit(T.POSITIVE)) * 3 + F.regexp_count("fragment", F.lit(T.NEGATIVE)) * 3).alias("score")).where("score > 0")
+    return passages.not_contained(scored)
+
+
+@query()
+def best_window(spark, d):
+    return passages.best_windows(source_rows(spark, d).select("id", "batch", "text"), table(spark, d, "batches"), f"{T.POSITIVE}|{T.NEGATIVE}")
+
+
+_WORKS = "电视剧|电影|综艺|导演|主演|原著|片名|剪辑|摄影|同样是写|比上一部"
+
+
+@query(f"""WITH {_SOURCES}, w AS (SELECT id, batch, {_clean('text')} AS t, unnest(list_distinct(regexp_extract_all({_clean('text')}, '《([^》]{{1,40}})》', 1))) AS work FROM sources),
+p AS (SELECT w.id, w.t, w.work, {_norm('w.work')} AS key, list_filter(list_transform(b.strong_terms, lambda x: {_norm('x')}), lambda x: x <> '') AS known, strpos(w.t, '《' || w.work || '》') AS pos FROM w JOIN batches b USING (batch))
+SELECT id, work AS title FROM p WHERE key <> '' AND len(list_filter(known, lambda n: contains(n, key) OR contains(key, n))) = 0 AND regexp_matches(substring(t, greatest(pos - 28, 1), length(work) + 2 + least(pos - 1, 28) + 28), '{_WORKS}')""")
+def other_work_titles(spark, d):
+    s = source_rows(spark, d).join(F.broadcast(table(spark, d, "batches").select("batch", "strong_terms")), "batch").select("id", "text", "strong_terms")
+    return passages.other_titles(s, F.col("strong_terms"), _WORKS)
+
+
+@query("WITH s AS (SELECT id, coalesce(body, '') AS body, coalesce(title, '') AS title FROM normalized_sources), p AS (SELECT *, strpos(body, title) - 1 AS a FROM s) SELECT id, coalesce(a >= 0 AND a + length(title) <= length(body) AND substring(body, a + 1, length(title)) = title, false) AS valid FROM p")
+def fragment_validation(spark, d):
+    s = table(spark, d, "normalized_sources").select("id", F.coalesce("body", F.lit("")).alias("body"), F.coalesce("title", F.lit("")).alias("title"))
+    a = F.instr("body", F.col("title")) - 1
+    return s.select("id", passages.valid_positions(F.col("body"), F.col("title"), a, a + F.length("title")).alias("valid"))
+
+
+@query("WITH a AS (SELECT l_orderkey AS k, list(struct_pack(s := l_linenumber, e := l_linenumber + CAST(floor(l_quantity / 20) AS INT))) AS w FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), b AS (SELECT l_orderkey AS k, list(struct_pack(s := l_linenumber, e := l_linenumber + 2)) AS w FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) SELECT a.k AS l_orderkey, len(list_filter(a.w, lambda x: len(list_filter(b.w, lambda y: greatest(x.s, y.s) < least(x.e, y.e))) > 0)) > 0 AS overlaps FROM a JOIN b USING (k)")
+def window_overlap(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", F.col("l_linenumber").alias("start"), "l_quantity")
+    side = lambda flag, end, name: li.where(F.col("l_returnflag") == flag).groupBy("l_orderkey").agg(F.collect_list(F.struct("start", end.alias("end"))).alias(name))
+    a = side("R", F.col("start") + F.floor(F.col("l_quantity") / 20).cast("int"), "a")  # bounded: the lines of one order
+    b = side("N", F.col("start") + 2, "b")
+    return a.join(b, "l_orderkey").select("l_orderkey", evidence.overlap(F.col("a"), F.col("b")).alias("overlaps"))
+
+
+@query("WITH f AS (SELECT batch, min(id) AS first_id FROM normalized_sources GROUP BY batch) SELECT batch, row_number() OVER (ORDER BY first_id)::BIGINT AS place FROM f")
+def first_seen_batches(spark, d):
+    from pyspark.sql.window import Window
+
+    f = table(spark, d, "normalized_sources").groupBy("batch").agg(F.min("id").alias("first_id"))
+    return f.select("batch", F.row_number().over(Window.orderBy("first_id")).cast("bigint").alias("place"))  # one row a batch
+
+
+@query("WITH t AS (SELECT batch, unnest(strong_terms) AS term, unnest(range(1, len(strong_terms) + 1)) AS k, auxiliary_terms FROM batches), o AS (SELECT batch, term, min(k) AS k FROM t WHERE length(" + _norm("term") + ") >= 2 AND NOT list_contains(auxiliary_terms, term) GROUP BY batch, term), r AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY k) AS n FROM o) SELECT b.batch, coalesce(string_agg(r.term, '|' ORDER BY r.n), '') AS terms FROM batches b LEFT JOIN r ON r.batch = b.batch AND r.n <= 4 GROUP BY b.batch")
+def effective_terms(spark, d):
+    ok = F.filter("strong_terms", lambda t: F.length(T.normalized(t)) >= 2)
+    return table(spark, d, "batches").select("batch", F.array_join(F.slice(F.array_except(F.array_distinct(ok), F.coalesce("auxiliary_terms", F.array().cast("array<string>"))), 1, 4), "|").alias("terms"))
+
+
+@query("SELECT batch, 'no weak terms' AS issue FROM batches WHERE weak_terms IS NULL OR len(weak_terms) = 0 UNION ALL SELECT batch, 'no strong terms' FROM batches WHERE strong_terms IS NULL OR len(strong_terms) = 0 UNION ALL SELECT batch, 'layers overlap' FROM batches WHERE len(list_intersect(strong_terms, coalesce(weak_terms, []))) > 0 UNION ALL SELECT batch, 'open period' FROM batches WHERE period_end IS NULL")
+def definition_violations(spark, d):
+    b = table(spark, d, "batches")
+    none = F.array().cast("array<string>")
+    parts = [("no weak terms", F.size(F.coalesce("weak_terms", none)) == 0), ("no strong terms", F.size(F.coalesce("strong_terms", none)) == 0), ("layers overlap", F.arrays_overlap("strong_terms", F.coalesce("weak_terms", none))), ("open period", F.col("period_end").isNull())]
+    return checks.violations(*((name, b.where(test), F.col("batch")) for name, test in parts)).select(F.col("key").alias("batch"), F.col("check").alias("issue"))
+
+
+@query()
+def diverse_sample(spark, d):
+    return passages.varied(source_rows(spark, d).select("id", "batch", "text"), "batch", 4)
+
+
+@query(f"WITH {_ASSIGNED}, r AS (SELECT id, batch, row_number() OVER (PARTITION BY batch ORDER BY score DESC, len DESC, id DESC) AS k, count(*) OVER (PARTITION BY batch) AS n FROM assigned) SELECT id, batch, CASE WHEN k <= 4 THEN 'strongest' ELSE 'weakest' END AS stands_for FROM r WHERE k <= 4 OR k > n - 2")
+def representative_members(spark, d):
+    return passages.representatives(_assigned(spark, d), "batch", 4, 2, F.desc("score"), F.desc("len"), F.desc("id")).select("id", "batch", "stands_for")
+
+
+@query("SELECT coalesce(batch, '') AS batch, coalesce(post_type, '') AS post_type, count(*)::BIGINT AS n, count(DISTINCT author)::BIGINT AS n_authors FROM normalized_sources GROUP BY ROLLUP (batch, post_type)")
+def rollup_counts(spark, d):
+    r = table(spark, d, "normalized_sources").rollup("batch", "post_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("author").alias("n_authors"))
+    return r.select(F.coalesce("batch", F.lit("")).alias("batch"), F.coalesce("post_type", F.lit("")).alias("post_type"), "n", "n_authors")

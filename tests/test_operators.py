@@ -173,3 +173,19 @@ def test_stream_upsert(spark, tmp_path):
         ledger.upsert_stream(s, str(tmp_path / "out"), ["id"], ["t"], str(tmp_path / "cp")).awaitTermination()
         got = {(r.id, r.v) for r in ledger.current(spark, str(tmp_path / "out")).collect()}
         assert got == ({("a", 1), ("b", 1)} if k == 0 else {("a", 2), ("b", 1)})
+
+
+def test_passages(spark):
+    from millrace.operators import passages
+
+    text = "先说一点别的，再说这部电视剧，节奏其实很好；但是结尾仓促。" * 4
+    assert "".join(passages.packed(text)) == text and max(map(len, passages.packed(text))) <= 66
+    assert passages.packed("") == []
+    df = spark.createDataFrame([("看 [这里](https://a.example/x) #话题# 好看 ，真的&amp;好 @某人 😀",), (None,), ("",)], "t string")
+    assert [r.d for r in df.select(passages.display(F.col("t")).alias("d")).collect()] == ["看 好看，真的&好", "", ""]
+    w = spark.createDataFrame([("a", 0, 9, 5), ("a", 0, 4, 4), ("a", 10, 12, 3), ("a", 11, 12, 2), ("b", 0, 1, 1)], "id string, start int, end int, score int")
+    assert {tuple(r) for r in passages.not_contained(w).collect()} == {("a", 1, 0, 9, 5), ("a", 2, 10, 12, 3), ("b", 1, 0, 1, 1)}
+    s = spark.createDataFrame([("g", "a", "abcdef"), ("g", "b", "abcdeg"), ("g", "c", "uvwxyz"), ("h", "d", None)], "grp string, id string, text string")
+    assert [r.id for r in passages.varied(s, "grp", 2).where("grp = 'g'").orderBy("place").collect()] == ["a", "c"]
+    v = spark.createDataFrame([("abc", "bc", 1, 3), ("abc", "bc", 0, 2), ("abc", "c", 2, 9), (None, "c", 0, 1)], "b string, f string, s int, e int")
+    assert [r.v for r in v.select(passages.valid_positions(F.col("b"), F.col("f"), F.col("s"), F.col("e")).alias("v")).collect()] == [True, False, False, False]
