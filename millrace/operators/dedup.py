@@ -11,6 +11,8 @@ from millrace.plans.lineage import cut
 
 #: Near copies: Jaccard of the grams at least, or containment in the larger text at least.
 JACCARD, CONTAINMENT = 0.84, 0.94
+#: Rare grams that two texts must share before their whole sets are compared.
+MEETINGS = 6
 
 
 def collapse_copies(df: DataFrame, keys: list[str], order: list[Column], id_col: str = "id") -> DataFrame:
@@ -54,24 +56,29 @@ def near_pairs(df: DataFrame, jaccard: float = JACCARD, containment: float = CON
     """(batch, left_id, right_id, n_common, n_left, n_right): pairs of rows of a batch that are near copies.
 
     ``df`` has batch, id, norm (normalised text), one row for each different text of a batch (see collapse_copies). Exact:
-    a text of n grams that is contained to c in another shares one of any n - ceil(c n) + 1 of its grams with it, so only
-    each text's rarest grams look up the others' grams; what meets is then verified on the whole sets.
+    of a text of n grams that is contained to c in another, the other lacks n - ceil(c n) at most, so that any of its
+    n - ceil(c n) + k grams have k in common with the other. Only each text's rarest grams look up the others', pairs that
+    meet k times are candidates, and these are verified on the whole sets.
     """
     sets = cut(gram_rows(df))
     each = sets.select("batch", "id", "n", F.explode("grams").alias("gram"))
     frequency = each.groupBy("batch", "gram").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(frequency, ["batch", "gram"]).where("df > 1")
-    rare = Window.partitionBy("batch", "id").orderBy("df", "gram")
-    # grams of one text only can't meet another; they count among the rarest, so the prefix shrinks by their number
-    alone = ranked.groupBy("batch", "id").agg(F.count(F.lit(1)).alias("shared"))
-    ranked = ranked.withColumn("rank", F.row_number().over(rare)).join(alone, ["batch", "id"])
-    prefix = lambda c: F.col("n") - F.ceil(F.lit(c) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.col("shared"))
-    probe = ranked.where(F.col("rank") <= prefix(containment)).select("batch", "gram", F.col("id").alias("a"), F.col("n").alias("na"))
+    own = Window.partitionBy("batch", "id")
+    # grams of one text only can't meet another; they are the rarest, so the prefix shrinks by their number
+    ranked = ranked.withColumns({"rank": F.row_number().over(own.orderBy("df", "gram")), "alone": F.col("n") - F.count(F.lit(1)).over(own)})
+    need = lambda c, n: F.least(F.lit(MEETINGS), F.ceil(F.lit(c) * F.col(n) - 1e-9))
+    prefix = lambda c: F.col("n") - F.ceil(F.lit(c) * F.col("n") - 1e-9) + need(c, "n") - F.col("alone")
+    ranked = cut(ranked.select("batch", "id", "n", "gram", (F.col("rank") <= prefix(containment)).alias("probe"), (F.col("rank") <= prefix(jaccard)).alias("head")))
+    probe = ranked.where("probe").select("batch", "gram", F.col("id").alias("a"), F.col("n").alias("na"))
     every = ranked.select("batch", "gram", F.col("id").alias("b"), F.col("n").alias("nb"))
-    contained = probe.join(every, ["batch", "gram"]).where("a != b and na <= nb")
-    both = ranked.where(F.col("rank") <= prefix(jaccard)).select("batch", "gram", F.col("id").alias("b"), F.col("n").alias("nb"))
-    alike = both.withColumnsRenamed({"b": "a", "nb": "na"}).join(both, ["batch", "gram"]).where(F.expr(f"a < b and na >= {jaccard} * nb - 1e-9 and nb >= {jaccard} * na - 1e-9"))
-    pairs = contained.select("batch", F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")).unionByName(alike.select("batch", F.col("a").alias("left_id"), F.col("b").alias("right_id"))).distinct()
+    met = probe.join(every, ["batch", "gram"]).where("a != b and na <= nb").groupBy("batch", "a", "b", "na").agg(F.count(F.lit(1)).alias("k"))
+    contained = met.where(F.col("k") >= need(containment, "na")).select("batch", F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"))
+    head = ranked.where("head").select("batch", "gram", F.col("id").alias("a"), F.col("n").alias("na"))
+    other = head.withColumnsRenamed({"a": "b", "na": "nb"})
+    met = head.join(other, ["batch", "gram"]).where(F.expr(f"a < b and na >= {jaccard} * nb - 1e-9 and nb >= {jaccard} * na - 1e-9")).groupBy("batch", "a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
+    alike = met.where(F.col("k") >= F.least(need(jaccard, "na"), need(jaccard, "nb"))).select("batch", F.col("a").alias("left_id"), F.col("b").alias("right_id"))
+    pairs = contained.unionByName(alike).distinct()
     side = lambda name: sets.select("batch", F.col("id").alias(f"{name}_id"), F.col("grams").alias(f"{name}_grams"), F.col("n").alias(f"n_{name}"))
     found = pairs.join(side("left"), ["batch", "left_id"]).join(side("right"), ["batch", "right_id"]).withColumn("n_common", F.size(F.array_intersect("left_grams", "right_grams")))
     union = F.col("n_left") + F.col("n_right") - F.col("n_common")
