@@ -5,4 +5,4 @@ from __future__ import annotations
 from millrace import problems, queries
 
 QUERIES = {**queries.QUERIES, **problems.QUERIES}
-ORACLES: dict[str, str] = {**queries.ORACLES}
+ORACLES: dict[str, str] = {**queries.ORACLES, **problems.ORACLES}
