@@ -21,7 +21,7 @@ from millrace.llm.codepoints import slices, to_code_points
 from millrace.llm.lookalikes import one_form
 
 #: The model is fitted on at most so many labelled texts, those of the least hash; all of them where there are fewer.
-LABELLED_TEXTS = 4_000
+LABELLED_TEXTS = 6_000
 #: So many texts of the least hash, with or without answers, show what is usual. Their sentences that are made of known
 #: runs (more than this share) are clean examples of this weight.
 USUAL_TEXTS, USUAL_SHARE, USUAL_WEIGHT = 5_000, 0.8, 0.5
@@ -29,12 +29,14 @@ USUAL_TEXTS, USUAL_SHARE, USUAL_WEIGHT = 5_000, 0.8, 0.5
 LEAST_SENTENCES = 2
 #: Features are hashed to so many bits.
 BITS = 18
+#: Sentences of more letters are also scored in windows of so many letters, a step apart.
+LONG, WINDOW, STRIDE = 45, 30, 10
 #: Lengths of the runs of letters.
 RUNS = (2, 3, 4, 5)
 #: Grades: 0 all answers say no, 1 answers differ, 2 one answer says yes, 3 several say yes.
 GRADES = 4
 #: A text is found from this expected grade on.
-FOUND_FROM = 0.4
+FOUND_FROM = 0.6
 #: A run of letters is known if usual texts and, counted twice, clean sentences have it KNOWN_FROM times, and marked ones
 #: at most KNOWN_MARKED times as often. A text marked abusive is doubtful, and left out, if models of the other texts give
 #: it less than DOUBT_BELOW and more than KNOWN_SHARE of its runs is known. Sentences marked abusive weigh so much more.
@@ -109,8 +111,8 @@ def streams(points: np.ndarray, starts: np.ndarray) -> Streams:
 
 
 def features(s: Streams) -> tuple[np.ndarray, np.ndarray]:
-    """(sentence, bucket) of every run of letters within a sentence."""
-    rows, buckets = [], []
+    """(place of the first letter, bucket) of every run of letters within a sentence."""
+    places, buckets = [], []
     h = s.letters.astype(np.uint64)
     with np.errstate(over="ignore"):
         base = h * np.uint64(0x9E3779B97F4A7C15)
@@ -120,11 +122,11 @@ def features(s: Streams) -> tuple[np.ndarray, np.ndarray]:
                 break
             h = (h[:-1] ^ (h[:-1] >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + base[n - 1 :]
             if n in RUNS:
-                same = s.sentence[: len(h)] == s.sentence[n - 1 :]
-                mixed = (h ^ (h >> np.uint64(29)) ^ np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9)
-                rows.append(s.sentence[: len(h)][same])
-                buckets.append((mixed >> np.uint64(64 - BITS)).astype(np.int64)[same])
-    return (np.concatenate(rows), np.concatenate(buckets)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                at = np.flatnonzero(s.sentence[: len(h)] == s.sentence[n - 1 :])
+                mixed = (h[at] ^ (h[at] >> np.uint64(29)) ^ np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9)
+                places.append(at)
+                buckets.append((mixed >> np.uint64(64 - BITS)).astype(np.int32))
+    return (np.concatenate(places), np.concatenate(buckets)) if places else (np.zeros(0, np.int64), np.zeros(0, np.int32))
 
 
 class Model(NamedTuple):
@@ -132,8 +134,21 @@ class Model(NamedTuple):
     thresholds: np.ndarray
 
     def logits(self, s: Streams) -> np.ndarray:
-        row, bucket = features(s)
-        return np.bincount(row, self.weights[bucket], minlength=len(s.text))
+        """The score of each sentence: of the whole, or of the highest window of a long one, as sentences run together
+        where marks are missing."""
+        place, bucket = features(s)
+        z = np.bincount(s.sentence[place], self.weights[bucket], minlength=len(s.text))
+        total = np.concatenate([[0.0], np.cumsum(np.bincount(place, self.weights[bucket], minlength=len(s.letters)))])
+        numbers = np.arange(len(s.text))
+        begin, end = (np.searchsorted(s.sentence, numbers, side=side) for side in ("left", "right"))
+        long = np.flatnonzero(end - begin > LONG)
+        if len(long):
+            count = -(-(end[long] - begin[long] - WINDOW) // STRIDE) + 1
+            of = np.repeat(long, count)
+            nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            a = begin[of] + nth * STRIDE
+            np.maximum.at(z, of, total[np.minimum(a + WINDOW, end[of])] - total[a])
+        return z
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -193,12 +208,18 @@ def train(texts: list[str], grades: list[int], usual: list[str] = (), rounds: in
     labelled_texts = len(texts)
     texts, grades = [*texts, *usual], [*grades, *(0 for _ in usual)]
     s = streams(*to_code_points(pa.array(texts, pa.string())))
-    row, bucket = features(s)
+    place, bucket = features(s)
+    row = s.sentence[place]
+    del place
     keys = _sentence_keys(s)
-    once = np.unique(np.stack([keys[row], bucket]), axis=1)[1]
+    once = np.unique(keys[row] << BITS | bucket) & ((1 << BITS) - 1)
     frequent = np.bincount(once, minlength=1 << BITS) >= LEAST_SENTENCES
     row, bucket = row[frequent[bucket]], bucket[frequent[bucket]]
-    used, col = np.unique(bucket, return_inverse=True)
+    used = np.flatnonzero(np.bincount(bucket, minlength=1 << BITS))
+    to = np.zeros(1 << BITS, np.int64)
+    to[used] = np.arange(len(used))
+    col = to[bucket]
+    del bucket, once
     if not len(used):
         return nothing
     n = len(s.text)
@@ -211,7 +232,8 @@ def train(texts: list[str], grades: list[int], usual: list[str] = (), rounds: in
     extra = s.text >= labelled_texts
     clean = np.bincount(col[~positive[row] & ~extra[row]], minlength=len(used))
     marked = np.bincount(col[alone[row]], minlength=len(used))
-    seen_in = np.unique(np.stack([s.text[row[extra[row]]], col[extra[row]]]), axis=1)[1]
+    mine = extra[row]
+    seen_in = np.unique(s.text[row[mine]] << BITS | col[mine]) & ((1 << BITS) - 1)
     usual_clean = np.bincount(seen_in, minlength=len(used)) + 2 * clean
     is_known = (usual_clean >= KNOWN_FROM) & (marked <= KNOWN_MARKED * usual_clean)
     known = np.bincount(row, is_known[col].astype(float), minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
