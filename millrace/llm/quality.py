@@ -119,10 +119,10 @@ def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """
     raw = F.col(text)
     has = lambda c, *found: functools.reduce(lambda a, b: a | b, (F.contains(c, F.lit(x)) for x in found))
-    t = F.when(has(raw, "\r", " ", " ", "\u0085", "</s>"), F.regexp_replace(raw, "\r\n?|[  \u0085]|</s>", "\n")).otherwise(raw)
+    t = F.when(has(raw, "\r", "\u2028", "\u2029", "\u0085", "</s>"), F.regexp_replace(raw, "\r\n?|[\u2028\u2029\u0085]|</s>", "\n")).otherwise(raw)
     wide = has(raw, *"ａｅｉｏｎｔ１２")
     t = F.when(wide, F.translate(t, "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)), "".join(map(chr, range(0x21, 0x7F))))).otherwise(t)
-    hidden = "­", "​", "‌", "‍", "‎", "‏", "⁠", "⁣", "﻿"
+    hidden = "\u00ad", "\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\u2060", "\u2063", "\ufeff"
     t = F.when(has(raw, *hidden), F.translate(t, "".join(hidden), "")).otherwise(t)
     parts = df.select(*keep, t.alias("_t")).select(*keep, "_t", F.regexp_replace("_t", f"[{_CJK}]+", "\x01").alias("_r"), F.regexp_replace("_t", _ENDED, "").alias("_e"))
     spaced = F.concat(F.lit(" "), F.lower(F.regexp_replace("_r", r"[^\p{L}\p{M}]+", "  ")), F.lit(" "))

@@ -33,11 +33,11 @@ PAIRS = {"“": ("q", 1), "”": ("q", -1), "「": ("k", 1), "」": ("k", -1), "
 _KEYS = {k: i for i, k in enumerate(("q", "k", "w", "g", "b"))}
 _OPEN = {"”": "“", "」": "「", "』": "『", "»": "«", '"': '"'}
 
-_BLANK = r"[\s\p{Z}​-‏⁠-⁤﻿]"
+_BLANK = r"[\s\p{Z}\u200b-\u200f\u2060-\u2064\ufeff]"
 _MARKS = regex.compile(rf"(?P<m>[.．。｡！？!?।؟۔…‥]+)(?P<c>(?:{_BLANK}?»|[”’」』»\"'）)\]】〉》›])*)")
 _THAI = regex.compile(r"(?<=[ก-๏])[ \t\p{Zs}]+(?=[ก-๏])")
 _BLANKS = regex.compile(rf"(?<=\S){_BLANK}+(?=\S)")
-_LINES = regex.compile(r"[^\n\r  \u0085\v\f]+")
+_LINES = regex.compile(r"[^\n\r\u2028\u2029\u0085\v\f]+")
 _TOKEN = regex.compile(r"[\p{L}\p{M}.’']+$")
 _NEXT = regex.compile(rf"{_BLANK}*(?P<q>[“\"'‘«「『(（¿¡]*)(?P<w>[\p{{L}}\p{{M}}\p{{N}}]*)")
 _HAN, _KANA = regex.compile(r"[㐀-鿿]"), regex.compile(r"[぀-ヿ가-힣฀-๿]")
