@@ -87,7 +87,7 @@ def read_jsonl(spark: SparkSession, path: str, strict: bool = False) -> DataFram
             values, problems = [], []
             for text in batch.column(0).to_pylist():
                 try:
-                    value = json.loads(text.lstrip("﻿"), object_pairs_hook=unique_pairs)
+                    value = json.loads(text.lstrip("\ufeff"), object_pairs_hook=unique_pairs)
                     problem = None if isinstance(value, dict) else "no object"
                 except ValueError as e:
                     value, problem = None, str(e).split(":")[0]
