@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
@@ -18,26 +20,24 @@ _SPAN, _LETTERS = regex.compile(SPAN), regex.compile(r"[一-鿿A-Za-z0-9]")
 _SOFT = regex.compile(r"[，,、：:]|(?=[①-⑩])|(?=但是|不过|然而|同时|另外|其次|最后)")
 
 
+def _enough(text: str) -> bool:
+    return len(_LETTERS.findall(text)) >= LEAST_LETTERS
+
+
+def _parts(raw: str) -> list[tuple[int, int]]:
+    """A span as one part, or the parts of a long one."""
+    if len(raw) <= LONGEST:
+        return [(0, len(raw))]
+    soft = (m.end() for m in _SOFT.finditer(raw))
+    cuts = reduce(lambda kept, at: [*kept, at] if at >= kept[-1] + LEAST_PIECE else kept, soft, [0])
+    cuts += [len(raw)] * (len(raw) - cuts[-1] >= LEAST_LETTERS)
+    return list(pairwise(cuts if len(cuts) > 2 else [*range(0, len(raw), STEP), len(raw)]))
+
+
 def spans_of(text: str) -> list[tuple[int, int]]:
     """Spans of a text that have enough letters; the whole text if there are none. An empty text has none."""
-    out = []
-    for m in _SPAN.finditer(text):
-        raw = m.group()
-        if len(_LETTERS.findall(raw)) < LEAST_LETTERS:
-            continue
-        if len(raw) <= LONGEST:
-            out.append((m.start(), m.end()))
-            continue
-        cuts = [0]
-        for hint in _SOFT.finditer(raw):
-            if hint.end() - cuts[-1] >= LEAST_PIECE:
-                cuts.append(hint.end())
-        if len(raw) - cuts[-1] >= LEAST_LETTERS:
-            cuts.append(len(raw))
-        if len(cuts) <= 2:
-            cuts = [*range(0, len(raw), STEP), len(raw)]
-        out += [(m.start() + a, m.start() + b) for a, b in zip(cuts, cuts[1:], strict=False) if len(_LETTERS.findall(raw[a:b])) >= LEAST_LETTERS]
-    return out or ([(0, len(text))] if text else [])
+    parts = ((m.start() + a, m.start() + b) for m in _SPAN.finditer(text) if _enough(m.group()) for a, b in _parts(m.group()))
+    return [(a, b) for a, b in parts if _enough(text[a:b])] or [(0, len(text))] * bool(text)
 
 
 def with_spans(df: DataFrame, text: str, keep: list[str]) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,8 +23,7 @@ MARKUP = (
 )
 _HIDDEN = r"[\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}\x{FEFF}\x{FE0F}]"
 _EDGE = " /|｜·•←→，,；;：:"
-_PIECES = regex.compile(r".*?[，。！？；：,.!?;:]|.+$", regex.S)
-_KEPT = regex.compile(r"[一-鿿A-Za-z0-9]")
+_PIECES = r"[^，。！？；：,.!?;:]*[，。！？；：,.!?;:]|[^，。！？；：,.!?;:]+$"
 
 
 def display(c: Column) -> Column:
@@ -57,34 +55,31 @@ def reason_fingerprint(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\b[0-9a-f]{12,}\b", "<id>"), r"[0-9]+", "#"), r"\s+", "")
 
 
-def packed(text: str, most: int = 58) -> list[str]:
-    """Segments of a text that give it again when joined: pieces between punctuation, packed up to ``most`` characters."""
-    out: list[str] = []
-    current = ""
-    for m in _PIECES.finditer(text):
-        piece = m.group()
-        if current and len(current) + len(piece) > most and len(_KEPT.findall(current)) >= 8:
-            out.append(current)
-            current = piece
-        else:
-            current += piece
-    if current:
-        if out and len(_KEPT.findall(current)) < 6:
-            out[-1] += current
-        else:
-            out.append(current)
-    return out
+def packed(c: Column, most: int = 58) -> Column:
+    """Segments of a text that give it again when joined: pieces between punctuation, packed up to ``most`` characters.
 
+    One fold over the pieces: a segment is closed when the next piece would make it too long and it has eight letters; a
+    rest of less than six letters joins the segment before.
+    """
+    pieces = F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0))
+    letters = lambda x: F.length(normalized(x))
+    none = F.array().cast("array<string>")
 
-def segments(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep``, segment_no (from 1) and segment of each text; joined they are the text. Packing needs state: Arrow batches."""
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "segments array<string>"])
+    def step(acc: Column, piece: Column) -> Column:
+        close = (acc.open != "") & (F.length(acc.open) + F.length(piece) > most) & (letters(acc.open) >= 8)
+        return F.struct(F.when(close, F.concat(acc.done, F.array(acc.open))).otherwise(acc.done).alias("done"), F.when(close, piece).otherwise(F.concat(acc.open, piece)).alias("open"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array([packed(t) if t else [] for t in b.column(0).to_pylist()], pa.list_(pa.string()))], names=[*keep, "segments"])
+    def finish(acc: Column) -> Column:
+        n = F.size(acc.done)
+        joined = F.concat(F.slice(acc.done, F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.concat(F.try_element_at(acc.done, F.lit(-1)), acc.open)))
+        return F.when(acc.open == "", acc.done).when((n > 0) & (letters(acc.open) < 6), joined).otherwise(F.concat(acc.done, F.array(acc.open)))
+
+    return F.aggregate(pieces, F.struct(none.alias("done"), F.lit("").alias("open")), step, finish)
 
-    return df.select(text, *keep).mapInArrow(run, schema).select(*keep, F.posexplode("segments").alias("_n", "segment")).select(*keep, (F.col("_n") + 1).alias("segment_no"), "segment")
+
+def segments(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep``, segment_no (from 1) and segment of each text; joined they are the text. Null and empty texts have none."""
+    return df.select(*keep, F.posexplode(packed(F.col(text))).alias("_n", "segment")).select(*keep, (F.col("_n") + 1).alias("segment_no"), "segment")
 
 
 def windows(df: DataFrame, most: int = 3) -> DataFrame:

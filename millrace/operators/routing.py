@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from heapq import nlargest
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,12 +48,12 @@ def round_robin(df: DataFrame, channel: str, limit: int, *order: Column) -> Data
 def quotas(sizes: dict[str, int], limit: int, floor: int = 20) -> dict[str, int]:
     """How many rows of each stratum: ``floor`` of each where there are so many, then one by one to the stratum with most
     of sqrt(size) / (quota + 1), ties to the last name."""
-    q = {k: min(n, floor) for k, n in sizes.items()}
-    left = limit - sum(q.values())
-    while left > 0 and (open_ := [k for k in sizes if q[k] < sizes[k]]):
-        q[max(open_, key=lambda k: (sizes[k] ** 0.5 / (q[k] + 1), k))] += 1
-        left -= 1
-    return q
+    base = {k: min(n, floor) for k, n in sizes.items()}
+    left = max(0, limit - sum(base.values()))
+    # what a stratum offers falls with each row it gives, so that the largest offers of all are the rows taken one by one
+    offers = ((n**0.5 / (k + 1), name) for name, n in sizes.items() for k in range(base[name], min(n, base[name] + left)))
+    taken = Counter(name for _, name in nlargest(left, offers))
+    return {k: n + taken[k] for k, n in base.items()}
 
 
 def stratified(df: DataFrame, group: str, stratum: str, limit: int, floor: int, *order: Column) -> DataFrame:

@@ -78,6 +78,13 @@ def test_families_with_reviews(spark):
 def test_quotas_and_round_robin(spark):
     assert routing.quotas({"a": 5, "b": 500, "c": 100}, 60) == {"a": 5, "b": 35, "c": 20}
     assert routing.quotas({}, 10) == {}
+    for seed in range(30):
+        r = random.Random(seed)
+        sizes = {c: r.randint(1, 60) for c in "abcd"[: r.randint(1, 4)]}
+        limit, one = r.randint(5, 80), {k: min(n, 10) for k, n in sizes.items()}
+        while sum(one.values()) < limit and (open_ := [k for k in sizes if one[k] < sizes[k]]):
+            one[max(open_, key=lambda k: (sizes[k] ** 0.5 / (one[k] + 1), k))] += 1
+        assert routing.quotas(sizes, limit, 10) == one
     df = spark.createDataFrame([(f"{c}{k}", c, k) for c in "xyz" for k in range(5)], "id string, channel string, k int")
     assert [r.id for r in routing.round_robin(df, "channel", 5, F.col("k")).collect()] == ["x0", "y0", "z0", "x1", "y1"]
     got = routing.stratified(df, "channel", "channel", 3, 1, F.col("k"))
@@ -179,8 +186,9 @@ def test_passages(spark):
     from millrace.operators import passages
 
     text = "先说一点别的，再说这部电视剧，节奏其实很好；但是结尾仓促。" * 4
-    assert "".join(passages.packed(text)) == text and max(map(len, passages.packed(text))) <= 66
-    assert passages.packed("") == []
+    got = {r.id: r.p for r in spark.createDataFrame([("a", text), ("b", ""), ("c", None), ("d", "短")], "id string, t string").select("id", passages.packed(F.col("t")).alias("p")).collect()}
+    assert "".join(got["a"]) == text and max(map(len, got["a"])) <= 66 and len(got["a"]) >= 2
+    assert got["b"] == [] and got["c"] is None and got["d"] == ["短"]
     df = spark.createDataFrame([("看 [这里](https://a.example/x) #话题# 好看 ，真的&amp;好 @某人 😀",), (None,), ("",)], "t string")
     assert [r.d for r in df.select(passages.display(F.col("t")).alias("d")).collect()] == ["看 好看，真的&好", "", ""]
     w = spark.createDataFrame([("a", 0, 9, 5), ("a", 0, 4, 4), ("a", 10, 12, 3), ("a", 11, 12, 2), ("b", 0, 1, 1)], "id string, start int, end int, score int")
