@@ -676,3 +676,69 @@ def representative_members(spark, d):
 def rollup_counts(spark, d):
     r = table(spark, d, "normalized_sources").rollup("batch", "post_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("author").alias("n_authors"))
     return r.select(F.coalesce("batch", F.lit("")).alias("batch"), F.coalesce("post_type", F.lit("")).alias("post_type"), "n", "n_authors")
+
+
+# ---- more of the review and page operators ------------------------------------------------------------------------
+
+
+@query(f"WITH {_RANKED}, top AS (SELECT a.id, a.batch, a.cluster, a.score, a.score - coalesce(b.score, 0) AS margin FROM k a LEFT JOIN k b ON a.id = b.id AND b.n = 2 WHERE a.n = 1), first AS (SELECT id, cluster FROM (SELECT *, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, id DESC) AS p FROM top) WHERE p <= 5) SELECT id, cluster, margin FROM top WHERE margin < 6 AND (id, cluster) IN (SELECT id, cluster FROM first)")
+def low_confidence_semi(spark, d):
+    top = route_top1_margin(spark, d).join(source_rows(spark, d).select("id", "batch"), "id").withColumn("bc", F.concat_ws("\t", "batch", "cluster"))
+    first = routing.top_k(top, "bc", 5, F.desc("score"), F.desc("id")).select("id", "cluster")
+    return top.where("margin < 6").join(first, ["id", "cluster"], "left_semi").select("id", "cluster", "margin")
+
+
+_NAME = "SELECT b.batch, list_extract(b.strong_terms, 1) AS name FROM batches b"
+
+
+@query(f"WITH n AS ({_NAME}) SELECT s.id, len(list_filter(regexp_extract_all(coalesce(s.body, ''), '#[^#\\n\\r]{{2,40}}#'), lambda t: contains(t, n.name) AND t <> n.name)) > 0 AS inside_topic FROM normalized_sources s JOIN n USING (batch)")
+def topic_interior(spark, d):
+    """Whether a source names its work inside of a topic, where taking the name alone would hide that it was a topic."""
+    n = table(spark, d, "batches").select("batch", F.col("strong_terms")[0].alias("name"))
+    s = table(spark, d, "normalized_sources").join(F.broadcast(n), "batch")
+    tags = F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit(r"#[^#\n\r]{2,40}#"), F.lit(0))
+    return s.select("id", F.exists(tags, lambda t: F.contains(t, F.col("name")) & (t != F.col("name"))).alias("inside_topic"))
+
+
+@query("SELECT id, coalesce(array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(coalesce(body, ''), '@([一-鿿A-Za-z0-9_-]{1,20})', 1)), lambda m: m <> coalesce(author, ''))), '|'), '') AS mentions FROM normalized_sources")
+def entity_mentions(spark, d):
+    found = F.array_distinct(F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit("@([一-鿿A-Za-z0-9_-]{1,20})"), F.lit(1)))
+    return table(spark, d, "normalized_sources").select("id", F.array_join(F.array_sort(F.array_except(found, F.array(F.coalesce("author", F.lit(""))))), "|").alias("mentions"))
+
+
+@query("SELECT batch, count(*)::BIGINT AS n_sources, count(*) FILTER (WHERE id IN (SELECT source_id FROM review_labels))::BIGINT AS n_reviewed, count(*) = count(*) FILTER (WHERE id IN (SELECT source_id FROM review_labels)) AS complete FROM normalized_sources GROUP BY batch")
+def review_completeness(spark, d):
+    seen = table(spark, d, "review_labels").select(F.col("source_id").alias("id"), F.lit(True).alias("seen")).distinct()
+    s = table(spark, d, "normalized_sources").select("id", "batch").join(seen, "id", "left")
+    n = s.groupBy("batch").agg(F.count(F.lit(1)).alias("n_sources"), F.count("seen").alias("n_reviewed"))
+    return n.withColumn("complete", F.col("n_sources") == F.col("n_reviewed"))
+
+
+_PRIORITY = "CASE channel " + " ".join(f"WHEN '{c}' THEN {k}" for k, (_, c) in enumerate(reversed(sources.CHANNELS), 1)) + " ELSE 0 END"
+
+
+@query(f"WITH {_SOURCES} SELECT id, batch, row_number() OVER (PARTITION BY batch ORDER BY {_PRIORITY} DESC, length({_norm('text')}) DESC, id DESC)::BIGINT AS place FROM sources")
+def rank_order(spark, d):
+    s = source_rows(spark, d).select("id", "batch", F.expr(_PRIORITY).alias("priority"), F.length(T.normalized(F.col("text"))).alias("len"))
+    return entities.rank_in(s, "batch", F.desc("priority"), F.desc("len"), F.desc("id")).select("id", "batch", F.col("place").cast("bigint").alias("place"))
+
+
+@query(" UNION ALL ".join(f"SELECT batch, '{n}' AS layer, k::BIGINT AS place, term, {w}::DOUBLE AS weight FROM (SELECT batch, unnest({c}) AS term, unnest(range(1, len({c}) + 1)) AS k FROM batches WHERE {c} IS NOT NULL)" for n, c, w in _WEIGHTS))
+def term_layers(spark, d):
+    """The nested layers of terms of each batch, flattened."""
+    e = definitions(spark, d).select("batch", F.col("cluster").alias("layer"), F.posexplode("keywords").alias("_k", "w"))
+    return e.select("batch", "layer", (F.col("_k") + 1).cast("bigint").alias("place"), "w.term", "w.weight")
+
+
+@query(ORACLES["rule_gate"].replace("SELECT id, split_part(r, ':', 1) AS decision, split_part(r, ':', 2) AS reason FROM g", "SELECT split_part(r, ':', 1) AS decision, split_part(r, ':', 2) AS reason, count(*)::BIGINT AS n FROM g GROUP BY ALL"))
+def gate_summary(spark, d):
+    return rule_gate(spark, d).groupBy("decision", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def review_chunks(spark, d):
+    """Chunks of a batch's review queue, bounded in rows and in bytes."""
+    from millrace.sources.files import chunked
+
+    s = table(spark, d, "normalized_sources").select("batch", "id", "body")
+    return chunked(s, "batch", "id", "body").select("batch", "id", "chunk_no")
