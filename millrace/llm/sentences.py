@@ -8,6 +8,7 @@ in which quotation marks or brackets don't balance, so that no end inside a quot
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,7 +39,7 @@ _MARKS = regex.compile(rf"(?P<m>[.．。｡！？!?।؟۔…‥]+)(?P<c>(?:{_BL
 _THAI = regex.compile(r"(?<=[ก-๏])[ \t\p{Zs}]+(?=[ก-๏])")
 _BLANKS = regex.compile(rf"(?<=\S){_BLANK}+(?=\S)")
 _LINES = regex.compile(r"[^\n\r\u2028\u2029\u0085\v\f]+")
-_TOKEN = regex.compile(r"[\p{L}\p{M}.’']+$")
+_TOKEN = regex.compile(r"[\p{L}\p{M}.．’']+$")
 _NEXT = regex.compile(rf"{_BLANK}*(?P<q>[“\"'‘«「『(（¿¡]*)(?P<w>[\p{{L}}\p{{M}}\p{{N}}]*)")
 _HAN, _KANA = regex.compile(r"[㐀-鿿]"), regex.compile(r"[぀-ヿ가-힣฀-๿]")
 _STRONG = set("。｡！？!?।؟۔")
@@ -110,7 +111,8 @@ def _weights(line: str, chinese_bare: bool) -> list[tuple[int, int, float]]:
         else:  # one full stop
             previous = line[m.start() - 1] if m.start() else " "
             token = _TOKEN.search(line, max(0, m.start() - 24), m.start())
-            name = token.group().lower().strip("'’") if token else ""
+            name = unicodedata.normalize("NFKC", token.group()).lower().strip("'’") if token else ""
+            word = unicodedata.normalize("NFKC", word)
             if not spaced and not m.group("c"):
                 weight = 2.5 if _HAN.match(previous) and _HAN.match(word[:1] or " ") else -9.0
             elif name in GOES_ON or name.split(".")[-1] in GOES_ON and "." in name and name not in MAY_CLOSE:

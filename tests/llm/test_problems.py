@@ -176,6 +176,8 @@ def test_no_lines(spark):
         ["Dr. Okvara told us that it took 40 days.", " We left at 4:38 p.m.", " We never came back."],
         ['"Wait. Listen to it again," Haldrey said, and it dropped out.', " It ended."],
         ['She only said, "It was never about the boat."', " Nobody spoke."],
+        ["Ｄｒ． Ｂｒｕｎｔｅｌ ｔｏｌｄ ｕｓ ｉｔ ｔｏｏｋ ３．２ ｄａｙｓ．", " Ｗｅ ｌｅｆｔ．"],
+        ['问："你看懂了吗？"', "回过头看，一切都清楚。"],
         ["The editing ... well, it is too thin.", " Viewers in the U.K. saw it 43 days earlier."],
         ["See No. 38 at www.reel1.example for the notes.", " J. R. Bruntel edited it, i.e. alone!"],
         ["« Éteignez la lampe ! » crie le gardien à minuit.", " La note est de 3,5."],
