@@ -25,6 +25,8 @@ LABELLED_TEXTS = 6_000
 #: So many texts of the least hash, with or without answers, show what is usual. Their sentences that are made of known
 #: runs (more than this share) are clean examples of this weight.
 USUAL_TEXTS, USUAL_SHARE, USUAL_WEIGHT = 5_000, 0.8, 0.5
+#: Texts of more characters are scored like all others, but none of the sample.
+SAMPLE_CHARS = 20_000
 #: Runs of letters in fewer different sentences of the sample than this are no features.
 LEAST_SENTENCES = 2
 #: Features are hashed to so many bits.
@@ -289,7 +291,7 @@ def labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
     votes = labels.where("abusive is not null").groupBy("tab", F.col("source_id").alias("id")).agg(F.sum("abusive").alias("yes"), F.count(F.lit(1)).alias("n"))
     grade = F.when(F.col("yes") == 0, 0).when(F.col("yes") < F.col("n"), 1).when(F.col("n") == 1, 2).otherwise(3)
     votes = _least_hash(votes.select("tab", "id", grade.alias("grade")), labels.count(), LABELLED_TEXTS, "tab", "id")
-    return texts.where("text is not null").join(F.broadcast(votes), ["tab", "id"]).select("text", "grade")
+    return texts.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(votes), ["tab", "id"]).select("text", "grade")
 
 
 def scored(texts: DataFrame, labels: DataFrame, keep: list[str], rows: int | None = None) -> DataFrame:
@@ -300,7 +302,7 @@ def scored(texts: DataFrame, labels: DataFrame, keep: list[str], rows: int | Non
     """
     rows_about = texts.count() if rows is None else rows
     rows = sorted(((r.text, r.grade) for r in labelled(texts, labels).collect()), key=lambda r: (r[0], r[1]))  # at most LABELLED_TEXTS
-    usual = _least_hash(texts.where("text is not null"), rows_about, USUAL_TEXTS, "id", "tab").select("text").collect()
+    usual = _least_hash(texts.where(F.length("text") <= SAMPLE_CHARS), rows_about, USUAL_TEXTS, "id", "tab").select("text").collect()
     model = train([t for t, _ in rows], [g for _, g in rows], sorted(r.text for r in usual))
     used = np.flatnonzero(model.weights)
     shared = texts.sparkSession.sparkContext.broadcast((used.astype(np.int32), model.weights[used].astype(np.float32), model.thresholds))

@@ -29,6 +29,8 @@ from millrace.llm.codepoints import slices
 TOKENIZERS = "/opt/tokenizers"
 #: A worker keeps the ids of so many words and atoms; then it forgets them and starts again.
 KEEP_WORDS, KEEP_ATOMS = 300_000, 200_000
+#: And whether tokens can span two characters, of so many pairs of characters; others are worked out again.
+KEEP_PAIRS = 200_000
 #: Fixed value: the pattern that parts a text into words before byte-level merging.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -89,7 +91,7 @@ class Encoder:
         if got is None:
             a, b = (c.encode("utf-8", "surrogatepass") for c in pair)
             got = not any((a[i:], b[:j]) in self.spans for i in range(len(a)) for j in range(1, len(b) + 1))
-            if len(self.cuts) < 1_000_000:
+            if len(self.cuts) < KEEP_PAIRS:
                 self.cuts[pair] = got
         return got
 
