@@ -83,7 +83,7 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
     others = F.regexp_count(rest, F.lit(r"[\p{L}\p{M}\p{N}]+"))
     words = signs + others
     letters = gone(r"[\p{L}\p{M}\p{N}]+", rest)
-    digits = gone(r"\p{N}+")
+    digits = gone(r"\p{N}+", rest)
     lines_of = lambda t: F.regexp_count(t, F.lit(r"(?m)^[^\n]*\S[^\n]*$"))
     lines = lines_of(text)
     common = n - F.length(F.translate(text, COMMON_SIGNS + COMMON_KANA, "")) + F.regexp_count(spaced, F.lit(_COMMON)) + F.regexp_count(pieces, F.lit(_PIECES))
@@ -94,7 +94,7 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
         Statistic("n_words", words),
         Statistic("n_lines", lines),
         Statistic("mean_word_length", F.try_divide((signs + letters).cast("double"), words)),
-        Statistic("symbol_ratio", share(gone(r"[[\p{S}&&[^\x{1f000}-\x{1faff}]]\p{Co}\p{Cn}#&*/\\@_|<>={}\[\]^~`%+]+"))),
+        Statistic("symbol_ratio", share(gone(r"[[\p{S}&&[^\x{1f000}-\x{1faff}]]\p{Co}\p{Cn}#&*/\\@_|<>={}\[\]^~`%+]+", rest))),
         Statistic("digit_ratio", share(digits)),
         Statistic("ended_lines", F.try_divide((lines - lines_of(unended)).cast("double"), lines)),
         Statistic("ended_share", share(n - F.length(unended))),
@@ -105,7 +105,7 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
         Statistic("link_share", share(where(has("http", "www.", "<", "#", "]("), gone(_LINK)))),
         Statistic("data_share", share(where(has("=", '":', "[") | (digits * 12 > n) | (letters > 7 * others), gone(_DATA, unended)))),
         Statistic("run_share", share(gone(_RUN, unended))),
-        Statistic("damaged_share", share(where(has("\ufffd", "□", "¤", "▯", "?", "锟", "烫") | text.rlike("[\\x{80}-\\x{bf}]"), gone(_DAMAGED)))),
+        Statistic("damaged_share", share(where(rest.rlike("[\\x{fffd}\\x{25a1}\\x{a4}\\x{25af}?\\x{80}-\\x{bf}]") | has("锟斤", "烫烫"), gone(_DAMAGED)))),
     ]
 
 
@@ -118,12 +118,11 @@ def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     Line ends of any kind count as \\n, full-width letters as their usual forms; characters without width are set aside.
     """
     raw = F.col(text)
-    has = lambda c, *found: functools.reduce(lambda a, b: a | b, (F.contains(c, F.lit(x)) for x in found))
-    t = F.when(has(raw, "\r", "\u2028", "\u2029", "\u0085", "</s>"), F.regexp_replace(raw, "\r\n?|[\u2028\u2029\u0085]|</s>", "\n")).otherwise(raw)
-    wide = has(raw, *"ａｅｉｏｎｔ１２")
-    t = F.when(wide, F.translate(t, "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)), "".join(map(chr, range(0x21, 0x7F))))).otherwise(t)
-    hidden = "\u00ad", "\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\u2060", "\u2063", "\ufeff"
-    t = F.when(has(raw, *hidden), F.translate(t, "".join(hidden), "")).otherwise(t)
+    hidden = "\u00ad", "\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\u2060", "\u2061", "\u2062", "\u2063", "\ufeff"
+    plain = F.regexp_replace(raw, "\r\n?|[\u2028\u2029\u0085]|</s>", "\n")
+    plain = F.translate(plain, "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "".join(hidden), "".join(map(chr, range(0x21, 0x7F))))
+    odd = raw.rlike("[\r\u0085\u00ad\u200b-\u200f\u2028\u2029\u2060-\u2063\ufeff０-９Ａ-Ｚａ-ｚ]|</s>")
+    t = F.when(odd, plain).otherwise(raw)
     parts = df.select(*keep, t.alias("_t")).select(*keep, "_t", F.regexp_replace("_t", f"[{_CJK}]+", "\x01").alias("_r"), F.regexp_replace("_t", _ENDED, "").alias("_e"))
     spaced = F.concat(F.lit(" "), F.lower(F.regexp_replace("_r", r"[^\p{L}\p{M}]+", "  ")), F.lit(" "))
     parts = parts.select(*keep, "_t", "_r", "_e", spaced.alias("_s"), F.regexp_replace("_r", r"[^\x{e00}-\x{e7f}\x{ac00}-\x{d7a3}]+", " ").alias("_p"))
