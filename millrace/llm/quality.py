@@ -115,10 +115,11 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
 FEATURES = ("odd_share", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "ended_share", "common_words", "table_share", "item_share", "short_share", "link_share", "data_share", "run_share", "damaged_share")
 
 
-def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+def with_statistics(df: DataFrame, text: str, keep: list[str], filled: bool = False) -> DataFrame:
     """``keep`` and all statistics of the text; null for a null text.
 
     Line ends of any kind count as \\n, full-width letters as their usual forms; characters without width are set aside.
+    With ``filled``, shares that are null are 0.
     """
     raw = F.col(text)
     hidden = "\u00ad", "\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\u2060", "\u2061", "\u2062", "\u2063", "\ufeff"
@@ -133,7 +134,8 @@ def with_statistics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     found = statistics(*(F.col(c) for c in ("_t", "_r", "_e", "_s", "_p")))
     parts = parts.select(*keep, *(s.value.alias(s.name) for s in found))
     # an inline of one struct: no filter on the statistics is pushed below, where they would be computed for each mention
-    row = F.struct(*(s.name for s in found))
+    values = {s.name: F.coalesce(s.name, F.lit(0.0)) if filled and s.name in FEATURES else F.col(s.name) for s in found}
+    row = F.struct(*(c.alias(n) for n, c in values.items()))
     odd = F.greatest("table_share", "link_share", "data_share", "run_share", "damaged_share", "symbol_ratio", "digit_ratio")
     return parts.select(*keep, F.inline(F.array(row))).withColumn("odd_share", odd)
 
@@ -360,7 +362,7 @@ def induce(x: dict[str, np.ndarray], y: np.ndarray, seed: int = SEED, patience:
     return rules
 
 
-def best_rules(x: dict[str, np.ndarray], y: np.ndarray, seed: int = SEED, runs: int = 30, least: int = 25) -> list[list[Test]]:
+def best_rules(x: dict[str, np.ndarray], y: np.ndarray, seed: int = SEED, runs: int = 30, least: int = 25, times: int = 8) -> list[list[Test]]:
     """Of ``runs`` inductions on four fifths of the documents, the list that is right most often on the last fifth,
     followed by the other runs' rules for at least ``least`` documents that are right in every case."""
     held = np.arange(len(y)) % 5 == 4
@@ -372,20 +374,36 @@ def best_rules(x: dict[str, np.ndarray], y: np.ndarray, seed: int = SEED, runs:
             hit |= _covers(r, x)
         return int((hit == y)[held].sum()), int((hit == y).sum())
 
-    rules = list(max(tried, key=right))
-    # rules of the other runs that take no prose at all: they catch forms for which the best list's tests are too narrow
-    for r in (r for t in tried for r in t):
-        h = _covers(r, x)
-        if r not in rules and h.sum() >= least and not (h & ~y).any():
-            rules.append(r)
+    rules = list(map(_tightest, max(tried, key=right)))
+    # rules of the other runs that take no prose at all: they catch forms for which the best list's tests are too narrow;
+    # those first that find most documents which fewer than ``times`` rules have found
+    found = np.sum([_covers(r, x) for r in rules], axis=0) if rules else np.zeros(len(y), int)
+    others = [(_tightest(r), h) for t in tried for r in t if not ((h := _covers(r, x)) & ~y).any()]
+    while others:
+        gains = [int((h & (found < times)).sum()) for _, h in others]
+        k = int(np.argmax(gains))
+        if gains[k] < least:
+            break
+        rule, h = others.pop(k)
+        rules.append(rule)
+        found = found + h
     return rules
 
 
+def _tightest(rule: list[Test]) -> list[Test]:
+    """The rule with one test for each statistic and direction."""
+    best: dict[tuple[str, bool], float] = {}
+    for t in rule:
+        k = t.feature, t.above
+        best[k] = t.threshold if k not in best else max(best[k], t.threshold) if t.above else min(best[k], t.threshold)
+    return [Test(f, above, v) for (f, above), v in best.items()]
+
+
 def case_sql(rules: list[list[Test]]) -> str:
-    """The rules as one CASE expression over the statistics; a null statistic counts as 0, as in the training."""
+    """The rules as one CASE expression over the statistics; null ones have to be filled with 0, as in the training."""
     if not rules:
         return "false"
-    arms = " ".join("WHEN " + " AND ".join(f"coalesce({t.feature}, 0D) {'>' if t.above else '<='} {t.threshold!r}D" for t in r) + " THEN true" for r in rules)
+    arms = " ".join("WHEN " + " AND ".join(f"{t.feature} {'>' if t.above else '<='} {t.threshold!r}D" for t in r) + " THEN true" for r in rules)
     return f"CASE {arms} ELSE false END"
 
 
@@ -407,4 +425,4 @@ def no_prose(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key) of the texts that the rules take for no prose; null, empty and blank texts are none of them."""
     rules = learned_rules(df.sparkSession)
     some = df.where(F.col(text).rlike(r"[^\s\p{Z}\p{C}]"))
-    return with_statistics(some, text, [key]).where(F.expr(case_sql(rules))).select(key)
+    return with_statistics(some, text, [key], filled=True).where(F.expr(case_sql(rules))).select(key)
