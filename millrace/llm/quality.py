@@ -56,7 +56,7 @@ _PIECES = _trie(sorted(set(COMMON_PIECES)))
 _ENDED = rf"(?m)^[^\n]*[{MARKS}][{CLOSERS}&&[^\n]]*$"
 #: Rows of cells, by what parts the cells.
 _TABLES = (("|", r"(?m)^(?:[^|\n]*\|){2,}[^\n]*$"), ("\t", r"(?m)^(?:[^\t\n]*\t){2,}[^\n]*$"), ("  ", r"(?m)^(?:[^\s,，]+ {2,}){2,}\S+ *$"), (",", r"(?m)^(?:[^,，;\n。]{1,24}[,;]){2,}[^,，;。\n]{1,24}$"))
-_ITEM = rf"(?m)^[ \t]*(?:[-*•·◦▪‣]|[①-⑳]|\d{{1,3}}[.、)）])[ \t]*[^{MARKS}\n]{{1,40}}+$"
+_ITEM = rf"(?m)^[ \t]*(?:[-*•·◦▪‣]|[①-⑳]|\d{{1,3}}[.、)）])[ \t]*[^{MARKS}\n]{{1,40}}+[{MARKS}]*[{CLOSERS}&&[^\n]]*$"
 _SHORT = r"(?m)^[^\n]{1,26}+$"
 _LINK = r"(?:https?://|www\.)[A-Za-z0-9._~/?#@!$&*+;=%:-]+|<[^<>\n]{1,200}>|#[^\s#]{1,30}#?|\]\("
 _DATA = r"[A-Za-z0-9+/=_]{36,}|\"[A-Za-z_]\w*\" ?: ?|\b\w{1,12}=[\w.:-]+|\[\d+\]|(?:\d[\d.,:%/-]*[\s|;]+){3,}"
@@ -64,6 +64,13 @@ _RUN = r"(.)\1{7,}|(..)\2{7,}|(...)\3{6,}"
 _DAMAGED = r"[\x{fffd}\x{25a1}\x{a4}\x{25af}]|[\p{IsHan}][?][\p{IsHan}]|[\x{c2}-\x{f4}][\x{80}-\x{bf}]|锟斤|烫烫"
 
 
+#: Characters without width. Full-width forms but the marks of ideographic text, which are the usual forms there and count
+#: as full-width ones only between others.
+_HIDDEN = "\u00ad", "\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\u2060", "\u2061", "\u2062", "\u2063", "\ufeff"
+_WIDE_MARKS = "！（），．：；？"
+_WIDE = f"[\\x{{ff02}}-\\x{{ff5e}}&&[^{_WIDE_MARKS}]]"
+
+
 class Statistic(NamedTuple):
     name: str
     value: Column
@@ -74,8 +81,8 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
 
     ``rest`` is the text with U+0001 for each run of ideographs and kana, ``unended`` the text without the lines that end
     in a sentence mark, ``spaced`` its words in lower case between blanks, ``pieces`` its parts in scripts that write
-    particles on to words. Shares of cells, items, short lines, data and runs are of lines that don't end in a sentence
-    mark. Patterns that only certain signs can begin are left out where the text has none of them.
+    particles on to words. Shares are of the whole text, whatever its lines
+    end in; ``open_items`` and ``open_short`` are of lines that don't end in a sentence mark. Patterns that only certain signs can begin are left out where the text has none of them.
     """
     n = F.length(text)
     gone = lambda pattern, t=text: F.length(t) - F.length(F.regexp_replace(t, pattern, ""))
@@ -90,8 +97,8 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
     lines_of = lambda t: F.regexp_count(t, F.lit(r"(?m)^[^\n]*\S[^\n]*$"))
     lines = lines_of(text)
     common = n - F.length(F.translate(text, COMMON_SIGNS + COMMON_KANA, "")) + F.regexp_count(spaced, F.lit(_COMMON)) + F.regexp_count(pieces, F.lit(_PIECES))
-    table = functools.reduce(lambda c, k: F.when(F.contains(unended, F.lit(k[0])), gone(k[1], unended)).otherwise(c), reversed(_TABLES), F.lit(0))
-    table = F.greatest(table, where(has("|", "\t", "  ") & has(","), gone(_TABLES[-1][1], unended)))
+    table = functools.reduce(lambda c, k: F.when(F.contains(text, F.lit(k[0])), gone(k[1])).otherwise(c), reversed(_TABLES), F.lit(0))
+    table = F.greatest(table, where(has("|", "\t", "  ") & has(","), gone(_TABLES[-1][1])))
     return [
         Statistic("n_chars", n),
         Statistic("n_words", words),
@@ -103,32 +110,35 @@ def statistics(text: Column, rest: Column, unended: Column, spaced: Column, piec
         Statistic("ended_share", share(n - F.length(unended))),
         Statistic("common_words", F.try_divide(common.cast("double"), words)),
         Statistic("table_share", share(table)),
-        Statistic("item_share", share(gone(_ITEM, unended))),
-        Statistic("short_share", share(gone(_SHORT, unended))),
+        Statistic("item_share", share(gone(_ITEM))),
+        Statistic("open_items", share(gone(_ITEM, unended))),
+        Statistic("short_share", share(gone(_SHORT))),
+        Statistic("open_short", share(gone(_SHORT, unended))),
         Statistic("link_share", share(where(has("http", "www.", "<", "#", "]("), gone(_LINK)))),
-        Statistic("data_share", share(where(has("=", '":', "[") | (digits * 12 > n) | (letters > 7 * others), gone(_DATA, unended)))),
-        Statistic("run_share", share(gone(_RUN, unended))),
+        Statistic("data_share", share(where(has("=", '":', "[") | (digits * 12 > n) | (letters > 7 * others), gone(_DATA)))),
+        Statistic("run_share", share(gone(_RUN))),
         Statistic("damaged_share", share(where(rest.rlike("[\\x{fffd}\\x{25a1}\\x{a4}\\x{25af}?\\x{80}-\\x{bf}]") | has("锟斤", "烫烫"), gone(_DAMAGED)))),
     ]
 
 
-FEATURES = ("odd_share", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "ended_share", "common_words", "table_share", "item_share", "short_share", "link_share", "data_share", "run_share", "damaged_share")
+FEATURES = ("odd_share", "mean_word_length", "symbol_ratio", "digit_ratio", "ended_lines", "ended_share", "common_words", "table_share", "item_share", "open_items", "short_share", "open_short", "link_share", "data_share", "run_share", "damaged_share")
 
 
 def with_statistics(df: DataFrame, text: str, keep: list[str], filled: bool = False) -> DataFrame:
     """``keep`` and all statistics of the text; null for a null text.
 
-    Line ends of any kind count as \\n, full-width letters as their usual forms; characters without width are set aside.
+    Line ends of any kind count as \\n, full-width forms as the usual ones; characters without width are set aside.
     With ``filled``, shares that are null are 0.
     """
     raw = F.col(text)
-    hidden = "\u00ad", "\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\u2060", "\u2061", "\u2062", "\u2063", "\ufeff"
-    plain = F.regexp_replace(raw, "\r\n?|[\u2028\u2029\u0085]|</s>", "\n")
-    plain = F.translate(plain, "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "".join(hidden), "".join(map(chr, range(0x21, 0x7F))))
+    plain = F.translate(F.regexp_replace(raw, "\r\n?|[\u2028\u2029\u0085]|</s>", "\n"), "".join(_HIDDEN), "")
     has = lambda c, *found: functools.reduce(lambda a, b: a | b, (F.contains(c, F.lit(x)) for x in found))
-    odd = has(raw, "\r", "\u2028", "\u2029", "\u0085", "</s>", *hidden, *"ａｅｉｏｎｔｒ０１２")
-    t = F.when(odd, plain).otherwise(raw)
-    parts = df.select(*keep, t.alias("_t")).select(*keep, "_t", F.regexp_replace("_t", f"[{_CJK}]+", "\x01").alias("_r"), F.regexp_replace("_t", _ENDED, "").alias("_e"))
+    odd = has(raw, "\r", "\u2028", "\u2029", "\u0085", "</s>", *_HIDDEN)
+    narrow = functools.reduce(lambda t, m: F.regexp_replace(t, f"(?<={_WIDE}){m}(?={_WIDE})", "\\" + chr(ord(m) - 0xFEE0)), _WIDE_MARKS, F.col("_t"))
+    usual = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if chr(c) not in _WIDE_MARKS)
+    narrow = F.translate(narrow, usual, "".join(chr(ord(c) - 0xFEE0) for c in usual))
+    parts = df.select(*keep, F.when(odd, plain).otherwise(raw).alias("_t")).select(*keep, F.when(F.col("_t").rlike(_WIDE), narrow).otherwise(F.col("_t")).alias("_t"))
+    parts = parts.select(*keep, "_t", F.regexp_replace("_t", f"[{_CJK}]+", "\x01").alias("_r"), F.regexp_replace("_t", _ENDED, "").alias("_e"))
     spaced = F.concat(F.lit(" "), F.lower(F.regexp_replace("_r", r"[^\p{L}\p{M}]+", "  ")), F.lit(" "))
     parts = parts.select(*keep, "_t", "_r", "_e", spaced.alias("_s"), F.when(has(F.col("_r"), *_PIECE_SIGNS), F.regexp_replace("_r", r"[^\x{e00}-\x{e7f}\x{ac00}-\x{d7a3}]+", " ")).otherwise("").alias("_p"))
     found = statistics(*(F.col(c) for c in ("_t", "_r", "_e", "_s", "_p")))
@@ -266,14 +276,23 @@ def _junk(r: random.Random, n: int) -> str:
     return "\n".join(f"{r.choice(LABELS)}：{r.choice(NAMES)}" for _ in range(n * 2)) if r.random() < 0.5 else "\n".join(f"{r.choice(NAMES)}, {r.choice(NAMES)}" for _ in range(n * 2))
 
 
+def _closed(r: random.Random, text: str) -> str:
+    """Lines that end in a sentence mark, as those of prose do: all, some, or the last one."""
+    lines, mark, kind = text.split("\n"), r.choice((".", ".", "。", "!", "！", "...", "…", "……", "?", " done.")), r.random()
+    return "\n".join(x + mark if x.strip() and (kind < 0.5 or k == len(lines) - 1 or kind < 0.7 and r.random() < 0.6) else x for k, x in enumerate(lines))
+
+
 @functools.lru_cache(maxsize=2)
 def labelled_documents(size: int = LABELLED, seed: int = SEED) -> tuple[tuple[str, bool], ...]:
-    """(text, is junk): half of each; a fourth holds a smaller part of the other kind, at its beginning or end."""
-    r = random.Random(seed)
+    """(text, is junk): half of each; a fourth holds a smaller part of the other kind, at its beginning or end.
+    Of a third of the junk, lines end in sentence marks."""
+    r, closing = random.Random(seed), random.Random(seed + 1)  # the other documents don't depend on the closed ones
     out = []
     while len(out) < size:
         junk = len(out) % 2 == 1
         text = _junk(r, r.randint(5, 25)) if junk else _prose(r, r.choice((1, 1, 2, 3, r.randint(1, 25), r.randint(1, 25))))
+        if junk and closing.random() < 1 / 3:
+            text = _closed(closing, text)
         if r.random() < 0.25 and len(text) > 60:
             other = ""
             while len(other) < len(text) * 0.15:

@@ -279,6 +279,27 @@ def test_statistics(spark):
     assert got[3].n_chars == 0 and got[3].symbol_ratio is None and got[4].n_chars is None
 
 
+def test_junk_whose_lines_end_in_marks(spark):
+    r = random.Random(8)
+    base64 = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400)) + "."
+    texts = {
+        "run": "ha" * 200 + "!",
+        "data": base64,
+        "json": "{" + ",".join(f'"k{k}":{r.randint(0, 9999)}' for k in range(40)) + "}.",
+        "log": "\n".join(f"[{r.randint(1, 9999)}] INFO id={r.randint(1, 9999)} t=0.{r.randint(1, 9999)} rc=0 done." for _ in range(20)),
+        "table": "\n".join(f"| {r.randint(1, 999)} | {r.randint(1, 999)} | {r.randint(1, 999)} |." for _ in range(20)),
+        "items": "\n".join(f"{k}. 东港旧事{k}!" for k in range(1, 30)),
+        "wide": "\n".join("｜".join(("ＡＢＣＤ", "ＧＨＪ", "ＫＬ", "ＰＱ")) for _ in range(20)),
+        "prose": "\n".join("他昨天在图书馆里等了很久，后来还是决定先走。" for _ in range(4)),
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {x.doc_id: x for x in quality.with_statistics(df, "text", ["doc_id"]).collect()}
+    assert got["run"].run_share > 0.9 and got["data"].data_share > 0.9 and got["json"].data_share > 0.3 and got["log"].data_share > 0.4
+    assert got["table"].table_share > 0.9 and got["items"].item_share > 0.9 and got["wide"].table_share > 0.9
+    assert got["prose"].table_share == 0 and got["prose"].item_share == 0
+    assert {x.doc_id for x in quality.no_prose(df, "doc_id", "text").collect()} == set(texts) - {"prose"}
+
+
 def test_induction_finds_a_plain_rule():
     r = np.random.default_rng(1)
     x = {"a": r.random(900), "b": r.random(900)}
