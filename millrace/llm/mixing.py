@@ -79,7 +79,8 @@ def plan(spark: SparkSession, size: DataFrame, targets: DataFrame) -> Plan:
 
 
 def pieces(size: DataFrame) -> DataFrame:
-    """(source, block, doc_id, first, n): the tokens of a document, from its token ``first`` on, that lie in a block.
+    """(source, block, at, doc_id, first, n): the tokens of a document, from its token ``first`` on, that lie in a block from
+    its place ``at`` on.
 
     Where a document's tokens begin in its source is a prefix sum in two steps: sums of hash buckets, then within each
     bucket, so that a source of any size is spread over many tasks.
@@ -93,7 +94,7 @@ def pieces(size: DataFrame) -> DataFrame:
     at = placed.select("source", "doc_id", (F.col("offset") + F.col("up_to") - F.col("n_tokens")).alias("a"), (F.col("offset") + F.col("up_to")).alias("b"))
     cuts = at.select("source", "doc_id", "a", "b", F.explode(F.sequence(F.expr(f"a div {BLOCK_TOKENS}"), F.expr(f"(b - 1) div {BLOCK_TOKENS}"))).alias("block"))
     low, high = F.greatest("a", F.col("block") * BLOCK_TOKENS), F.least("b", (F.col("block") + 1) * BLOCK_TOKENS)
-    return cuts.select("source", "block", "doc_id", (low - F.col("a")).alias("first"), (high - low).alias("n"))
+    return cuts.select("source", "block", (low - F.col("block") * BLOCK_TOKENS).alias("at"), "doc_id", (low - F.col("a")).alias("first"), (high - low).alias("n"))
 
 
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -149,15 +150,20 @@ def slots(spark: SparkSession, p: Plan, seed: int = SEED) -> DataFrame:
 
 
 def mixture(spark: SparkSession, documents: DataFrame, targets: DataFrame, folder: str | None = None) -> DataFrame:
-    """(shard, slot, source, reading, block, n_tokens, n_docs, first_doc_id): every block of the mixture in its place.
+    """(shard, slot, source, reading, block, n_tokens, n_docs, first_doc_id, pieces): every block of the mixture in its place.
+
+    ``pieces`` are the block's tokens in their order, as (doc_id, first, n): n tokens of the document from its token ``first``
+    on. With the documents' token ids they give the mixed corpus.
 
     Documents with a null, empty or unlisted source, and those without tokens, take no part. Without documents of any
     listed source the mixture is empty. The last block of a source may be shorter.
     """
     size = sizes(documents, targets, folder)
     p = plan(spark, size, targets)
-    blocks = pieces(size).groupBy("source", "block").agg(F.sum("n").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"), F.min_by("doc_id", F.struct("first", "doc_id")).alias("first_doc_id"))
-    return slots(spark, p).join(blocks.hint("merge"), ["source", "block"]).select("shard", "slot", "source", "reading", "block", "n_tokens", "n_docs", "first_doc_id")
+    ordered = F.array_sort(F.collect_list(F.struct("at", "doc_id", "first", "n")))  # bounded: a piece has one token at least
+    blocks = pieces(size).groupBy("source", "block").agg(F.sum("n").alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"), ordered.alias("_p"))
+    blocks = blocks.select("source", "block", "n_tokens", "n_docs", F.col("_p")[0]["doc_id"].alias("first_doc_id"), F.transform("_p", lambda x: F.struct(x.doc_id.alias("doc_id"), x["first"].alias("first"), x.n.alias("n"))).alias("pieces"))
+    return slots(spark, p).join(blocks.hint("merge"), ["source", "block"]).select("shard", "slot", "source", "reading", "block", "n_tokens", "n_docs", "first_doc_id", "pieces")
 
 
 def shares(spark: SparkSession, documents: DataFrame, targets: DataFrame, folder: str | None = None) -> DataFrame:

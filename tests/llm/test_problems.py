@@ -353,3 +353,29 @@ def test_mixture(spark):
     assert got["none"].blocks_out == 0
     assert mixing.mixture(spark, df.limit(0), targets).count() == 0
     assert mixing.mixture(spark, df, targets.limit(0)).count() == 0
+
+
+def test_mixture_holds_its_records(spark):
+    r = random.Random(3)
+    docs = [(k, " ".join(r.choice(("one", "two", "three", "four")) for _ in range(r.choice((3, 40, 1300)))), r.choice("ab")) for k in range(90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
+    size = {x.doc_id: x.n_tokens for x in mixing.sizes(df, targets).collect()}
+    rows = mixing.mixture(spark, df, targets).collect()
+    assert max(x.n_docs for x in rows) > 2 and {x.reading for x in rows} > {0}
+    blocks = {(x.source, x.block): x for x in rows}
+    for x in rows:
+        assert x.pieces == blocks[x.source, x.block].pieces and x.first_doc_id == x.pieces[0].doc_id
+        assert len(x.pieces) == x.n_docs and sum(p.n for p in x.pieces) == x.n_tokens
+    # read block by block, a source's documents follow each other, each from its first token to its last
+    whole = [s for s in "ab" if sum(k[0] == s for k in blocks) == 1 + max(k[1] for k in blocks if k[0] == s)]
+    assert whole
+    for s in whole:
+        joined = {}
+        for _, x in sorted((k, x) for k, x in blocks.items() if k[0] == s):
+            for p in x.pieces:
+                assert p.first == joined.get(p.doc_id, 0)
+                joined[p.doc_id] = p.first + p.n
+        own = {k: size[k] for k, _, source in docs if source == s}
+        missing = set(own) - set(joined)
+        assert not missing and joined == own
