@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.codepoints import slices
 
-#: Loss of an unbalanced span; loss of a span by its length in letters; how many possible ends a span may run over.
+#: Loss of an unbalanced span; loss of a span by its length in letters.
 UNBALANCED = 9.0
 TOO_SHORT, SHORT = 2, 1.5
-REACH = 64
 
 # Abbreviations after which a sentence goes on, and those that may also close one.
 GOES_ON = set("pág págs núm cap mr mrs ms dr prof st no nr vol vs e.g i.e eg ie approx ca cf fig art op mme mlle m sr sra srta dra d z b z.b bzw mio mrd usw inkl ggf str p ex p.ex av bd j. jr lt col gen sen rep capt sgt ed eds pp ch sec al ee د م أ डॉ श्री г ул им".split())
@@ -172,8 +171,21 @@ def _line_ends(line: str, chinese_bare: bool) -> list[int]:
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         letters.append(letters[-1] + len(_LETTER.findall(line, a, b)))
     best, back = [0.0] + [float("-inf")] * (len(cuts) - 1), [0] * len(cuts)
+    # Where a span begins counts by its best total, whether its state is the end's, and whether the span is short. So the
+    # best beginnings of all and by state, among all and among those far enough back, hold the best one; a loss that one
+    # of them doesn't have to take only lowers its score, below that of another of the four. Ties go to the earliest.
+    near, far, near_by, far_by, k = 0, -1, {}, {}, 0
     for j in range(1, len(cuts)):
-        for i in range(max(0, j - REACH), j):
+        i = j - 1
+        near = i if best[i] > best[near] else near
+        if best[i] > best[near_by.setdefault(states[i], i)]:
+            near_by[states[i]] = i
+        while k < j and letters[j] - letters[k] >= TOO_SHORT:
+            far = k if far < 0 or best[k] > best[far] else far
+            if best[k] > best[far_by.setdefault(states[k], k)]:
+                far_by[states[k]] = k
+            k += 1
+        for i in sorted({near, far, near_by.get(states[j], -1), far_by.get(states[j], -1)} - {-1}):
             score = best[i] + gains[j] - (UNBALANCED if states[i] != states[j] else 0.0) - (SHORT if letters[j] - letters[i] < TOO_SHORT else 0.0)
             if score > best[j]:
                 best[j], back[j] = score, i

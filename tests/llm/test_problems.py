@@ -207,6 +207,40 @@ def test_sentences_of_nothing_and_of_much(spark):
     assert sentences.units(df, "text", ["id"]).where("id != 'c'").count() == 0
 
 
+def brute_line_ends(line):
+    """The best chain of spans by trying every beginning of every span."""
+    last = len(line.rstrip())
+    places = [p for p in sentences._weights(line, False) if p[0] < last]
+    cuts = [0, *(e for e, _, _ in places), last]
+    gains, states = [0.0, *(w for _, _, w in places), 0.0], sentences._states(line, cuts)
+    letters = lambda i, j: len(sentences._LETTER.findall(line, cuts[i], cuts[j]))
+    best = [(0.0, [])]
+    for j in range(1, len(cuts)):
+        each = [(best[i][0] + gains[j] - (sentences.UNBALANCED if states[i] != states[j] else 0.0) - (sentences.SHORT if letters(i, j) < sentences.TOO_SHORT else 0.0), -i) for i in range(j)]
+        score, i = max(each)
+        best.append((score, [*best[-i][1], cuts[j]]))
+    ends = best[-1][1]
+    if len(ends) > 1 and sentences._EMOTE.fullmatch(line, ends[-2], ends[-1]):
+        del ends[-2]
+    return ends
+
+
+def test_spans_over_any_number_of_possible_ends():
+    quotation = "他说：“" + "等一等……" * 150 + "”后来他走了。"
+    assert sentences.sentence_ends(quotation + "天晴了。") == [len(quotation) - 6, len(quotation), len(quotation) + 4]
+    decimals = "The values are " + " ".join(f"{k}.{k}" for k in range(200)) + " in this run."
+    assert sentences.sentence_ends(decimals + " It ended.") == [len(decimals), len(decimals) + 10]
+
+
+def test_best_spans_against_brute_force():
+    r = random.Random(12)
+    parts = ["。", "！", ". ", "? ", "…", "“", "”", "「", "」", "(", ")", "\"", "3.14", "1.2.3", "他走了", "很好", "The cat", "it", "Mr", "a", "!", " ", "，", "：", "说"]
+    for n in (5, 20, 60, 150):
+        for _ in range(60):
+            line = "好" + "".join(r.choice(parts) for _ in range(n))
+            assert sentences._line_ends(line, False) == brute_line_ends(line), line
+
+
 # ---- severity -----------------------------------------------------------------------------------------------------
 
 
