@@ -116,13 +116,20 @@ def not_contained(candidates: DataFrame, most: int = 3) -> DataFrame:
 
 
 def other_titles(df: DataFrame, names: Column, context: str, reach: int = 28) -> DataFrame:
-    """(id, title): titles in 《》 that aren't among ``names`` and stand within ``reach`` characters of a word of ``context``."""
+    """(id, title): titles in 《》 that aren't among ``names`` and at any of their places stand within ``reach`` characters of
+    a word of ``context``.
+
+    The text is taken as titles and what lies between, in pieces of one character at least, so that ``reach`` pieces on each
+    side hold the characters around a title.
+    """
     known = F.transform(F.filter(F.coalesce(names, F.array().cast("array<string>")), lambda t: normalized(t) != ""), normalized)
-    around = df.select("id", known.alias("_known"), F.explode(F.array_distinct(F.regexp_extract_all(clean(F.col("text")), F.lit("《([^》]{1,40})》"), F.lit(1)))).alias("title"), clean(F.col("text")).alias("_t"))
+    pieces = F.regexp_extract_all(clean(F.col("text")), F.lit("(?s)《[^》]{1,40}》|.[^《]*"), F.lit(0))
+    parts = df.select("id", known.alias("_known"), pieces.alias("_p"))
+    around = f"concat(right(array_join(slice(_p, greatest(i - {reach - 1}, 1), least(i, {reach})), ''), {reach}), x, left(array_join(slice(_p, i + 2, {reach}), ''), {reach}))"
+    each = F.expr(f"filter(transform(_p, (x, i) -> CASE WHEN x RLIKE '^《[^》]{{1,40}}》$' THEN struct(substring(x, 2, length(x) - 2) AS title, {around} AS near) END), y -> y IS NOT NULL)")
+    places = parts.select("id", "_known", F.explode(F.array_distinct(F.transform(F.filter(each, lambda y: y.near.rlike(context)), lambda y: y.title))).alias("title"))
     key = normalized(F.col("title"))
-    at = F.instr("_t", F.concat(F.lit("《"), "title", F.lit("》")))
-    near = F.substring(F.col("_t"), F.greatest(at - reach, F.lit(1)), F.length("title") + 2 + F.least(at - 1, F.lit(reach)) + reach)
-    return around.where((key != "") & ~F.exists("_known", lambda n: F.contains(n, key) | F.contains(key, n)) & near.rlike(context)).select("id", "title")
+    return places.where((key != "") & ~F.exists("_known", lambda n: F.contains(n, key) | F.contains(key, n))).select("id", "title")
 
 
 def valid_positions(body: Column, fragment: Column, start: Column, end: Column) -> Column:

@@ -197,3 +197,30 @@ def test_passages(spark):
     assert [r.id for r in passages.varied(s, "grp", 2).where("grp = 'g'").orderBy("place").collect()] == ["a", "c"]
     v = spark.createDataFrame([("abc", "bc", 1, 3), ("abc", "bc", 0, 2), ("abc", "c", 2, 9), (None, "c", 0, 1)], "b string, f string, s int, e int")
     assert [r.v for r in v.select(passages.valid_positions(F.col("b"), F.col("f"), F.col("s"), F.col("e")).alias("v")).collect()] == [True, False, False, False]
+
+
+def test_other_titles_at_any_place(spark):
+    import re
+
+    from millrace.operators import passages
+
+    far = "一" * 40
+    texts = {
+        "later": f"《回声》{far}原著《回声》很好",
+        "first": f"原著《回声》{far}《回声》",
+        "none": f"《回声》{far}原著",
+        "two": f"《甲书》《乙书》{far}《甲书》的导演《丙书》{far}《丁书》",
+        "edge": "原著" + "一" * 26 + "《近》" + "二" * 60 + "原著" + "一" * 27 + "《远》",
+        "nested": f"《《外》{far}《" + "长" * 50 + "《内》电影",
+        "known": "电影《雾港》",
+        "many": "《一》" * 40 + "电影" + "《二》" * 40,
+        "empty": "",
+    }
+    df = spark.createDataFrame([(k, v, ["雾港"]) for k, v in texts.items()] + [("null", None, None)], "id string, text string, names array<string>")
+    want = set()
+    for k, v in texts.items():
+        for m in re.finditer(r"《([^》]{1,40})》", v):
+            if re.search("原著|电影|导演", v[max(0, m.start() - 28) : m.end() + 28]) and m.group(1) != "雾港":
+                want.add((k, m.group(1)))
+    got = [tuple(r) for r in passages.other_titles(df, F.col("names"), "原著|电影|导演").collect()]
+    assert sorted(got) == sorted(want) and ("later", "回声") in want and ("none", "回声") not in want
