@@ -24,10 +24,12 @@ from millrace.plans.lineage import cut
 
 #: Bytes of a block. Texts of more than a block are all of one length class.
 BLOCK = 1024
-#: Redundant beyond confirmation: the text's rate is so many times as far below the median as the language's lowest
-#: twentieth begins, what the outline's rate is below its median added; more in a language without sentence marks, where
-#: nothing can be confirmed.
+#: Redundant beyond confirmation: the text's rate is so many of the language's spreads below the median, what the outline's
+#: rate is below its median added; more in a language without sentence marks, where nothing can be confirmed.
 EXTREME, EXTREME_UNMARKED = 2.65, 3.3
+#: The spread of a language's rates: so many times the distance from its median to its upper quartile, which redundant
+#: texts hardly move as they lie below both (about where the lowest twentieth of other texts begins); at least LEAST_SPREAD.
+QUARTILES, LEAST_SPREAD = 2.5, 0.17
 #: Redundant if confirmed: the lower of both rates.
 REDUNDANT = 0.8
 #: Few sentence marks: this share of the language's median density.
@@ -126,18 +128,18 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((tongue, len(t), text_class, _packed(raw) / len(raw), max(0, _packed(outline[begin[k] : begin[k + 1]])) / len(t), marks))
             cols = [*zip(*out, strict=True)] if out else [[]] * 6
             kinds_of = (pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, t) for c, t in zip(cols, kinds_of, strict=True))], names=["id", "language", "n", "size", "packed", "outline", "marks"])
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, t) for c, t in zip(cols, kinds_of, strict=True))], names=["id", "hash", "language", "n", "size", "packed", "outline", "marks"])
 
 
 def redundancy(df: DataFrame, key: str, text: str) -> DataFrame:
     """(id, language, n, text_rate, outline_rate, marks_rate, depth) of every text that isn't null.
 
     Rates are against the median of the texts' class of language and length (one block and more is one class); a small
-    class takes its language's median, found over all texts; ``depth`` counts how far the text's rate is below the median, in
-    units of the language's lowest twentieth. Texts too short for a rate have null rates.
+    class takes its language's median; ``depth`` counts how far the text's rate is below the median, in the language's spreads.
+    Medians and quartiles are over one row for each different text, so that copies of a page don't move them. Texts too short for a rate have null rates.
     """
-    m = cut(df.select(F.col(text).cast("string").alias("_t"), F.col(key).cast("string").alias("id")).mapInArrow(_measure, "id string, language string, n bigint, size int, packed double, outline double, marks double"))
-    some = m.where("packed is not null")
+    m = cut(df.select(F.col(text).cast("string").alias("_t"), F.col(key).cast("string").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("hash")).mapInArrow(_measure, "id string, hash bigint, language string, n bigint, size int, packed double, outline double, marks double"))
+    some = m.where("packed is not null").select("hash", "language", "size", "packed", "outline", "marks").dropDuplicates(["hash"])
     median = lambda c: F.percentile_approx(c, 0.5, 1000)
     by_class = some.groupBy("language", "size").agg(F.count(F.lit(1)).alias("rows"), median("packed").alias("p"), median("outline").alias("o"))
     by_language = some.groupBy("language").agg(median("packed").alias("lp"), median("outline").alias("lo"), median("marks").alias("lm"))
@@ -145,9 +147,10 @@ def redundancy(df: DataFrame, key: str, text: str) -> DataFrame:
     usual = F.broadcast(by_class.join(F.broadcast(by_language), "language"))
     own = F.col("rows") >= CLASS_ROWS
     rate = lambda c, mine, whole: F.try_divide(F.col(c), F.when(own, F.col(mine)).otherwise(F.col(whole)))
-    rated = m.join(usual, ["language", "size"], "left").select("id", "language", "n", rate("packed", "p", "lp").alias("text_rate"), rate("outline", "o", "lo").alias("outline_rate"), F.when(F.col("lm") > 0.002, F.col("marks") / F.col("lm")).alias("marks_rate"))
-    spread = rated.groupBy("language").agg((1 - F.percentile_approx("text_rate", 0.05, 1000)).alias("spread"))
-    return rated.join(F.broadcast(spread), "language", "left").withColumn("depth", F.try_divide(1 - F.col("text_rate"), F.greatest("spread", F.lit(0.05)))).drop("spread")
+    rated = m.join(usual, ["language", "size"], "left").select("id", "hash", "language", "n", rate("packed", "p", "lp").alias("text_rate"), rate("outline", "o", "lo").alias("outline_rate"), F.when(F.col("lm") > 0.002, F.col("marks") / F.col("lm")).alias("marks_rate"))
+    middle, upper = (F.percentile_approx("text_rate", q, 1000) for q in (0.5, 0.75))
+    spread = rated.select("hash", "language", "text_rate").dropDuplicates(["hash"]).groupBy("language").agg(F.greatest((upper - middle) * QUARTILES, F.lit(LEAST_SPREAD)).alias("spread"))
+    return rated.join(F.broadcast(spread), "language", "left").withColumn("depth", (1 - F.col("text_rate")) / F.col("spread")).drop("spread", "hash")
 
 
 def is_stuffed() -> Column:

@@ -295,6 +295,23 @@ def test_stuffed_pages(spark):
     assert stuffing.redundancy(spark.createDataFrame([], "id string, body string"), "id", "body").count() == 0
 
 
+def test_stuffed_pages_that_are_many(spark):
+    r = random.Random(4)
+    signs, thai = [chr(c) for c in range(0x4E00, 0x4E00 + 700)], [chr(c) for c in range(0xE01, 0xE2F)]
+    sentence = lambda pool, mark: "".join(r.choice(pool) for _ in range(r.randint(6, 24))) + mark
+    rows = [(f"p{k}", "".join(sentence(signs, "。") for _ in range(r.randint(8, 20)))) for k in range(300)]
+    rows += [(f"p{k}", " ".join(sentence(thai, "") for _ in range(r.randint(8, 20)))) for k in range(300, 500)]
+    word = lambda pool, n: "".join(r.choice(pool) for _ in range(n))
+    rows += [(f"s{k}", f"{word(signs, 4)}下载。" * 40) for k in range(60)]  # a sixth of the language, with full stops
+    rows += [(f"s{k}", f"{word(thai, 9)} " * 30) for k in range(60, 90)]
+    copy = f"{word(signs, 4)}资源。" * 40
+    rows += [(f"s{k}", copy) for k in range(90, 690)]  # two thirds of the rows are one page
+    got = stuffing.redundancy(spark.createDataFrame(rows, "id string, body string"), "id", "body")
+    assert set(got.columns) == {"id", "language", "n", "text_rate", "outline_rate", "marks_rate", "depth"}
+    found = {x.id for x in got.where(stuffing.is_stuffed()).collect()}
+    assert found == {k for k, _ in rows if k[0] == "s"}
+
+
 def test_rules_on_held_out_documents(spark):
     docs = quality.labelled_documents(600, 99)  # another seed than the rules' own
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(docs)] + [(9001, None), (9002, ""), (9003, " \n　")], "doc_id long, text string")
