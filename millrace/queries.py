@@ -254,9 +254,11 @@ def near_dup_pairs(spark, d):
 
 @query()
 def near_dup_greedy(spark, d):
+    """Every source with the representative of its exact copies and the row kept for it; near_dup_pairs are of representatives."""
     reps = _reps(spark, d)
     rows = entities.rank_in(reps.withColumn("n", F.length("norm")), "batch", F.desc("n"), F.desc("id")).select("batch", "id", "place")
-    return dedup.greedy_survivors(rows, dedup.near_pairs(reps))
+    kept = dedup.greedy_survivors(rows, dedup.near_pairs(reps))
+    return dedup.memberships(prints(spark, d), reps.select("batch", F.col("norm").alias("fingerprint"), F.col("id").alias("representative")), kept)
 
 
 # ---- topics, entities ---------------------------------------------------------------------------------------------

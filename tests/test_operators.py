@@ -224,3 +224,18 @@ def test_other_titles_at_any_place(spark):
                 want.add((k, m.group(1)))
     got = [tuple(r) for r in passages.other_titles(df, F.col("names"), "原著|电影|导演").collect()]
     assert sorted(got) == sorted(want) and ("later", "回声") in want and ("none", "回声") not in want
+
+
+def test_every_source_has_its_kept_row(spark, data):
+    from millrace import catalog, queries
+
+    rows = {(r.batch, r.id): r.fingerprint or "" for r in queries.prints(spark, data).collect()}
+    got = {(r.batch, r.id): r for r in catalog.QUERIES["near_dup_greedy"](spark, data).collect()}
+    assert set(got) == set(rows)
+    for (b, i), r in got.items():
+        assert rows[b, r.representative] == rows[b, i] and got[b, r.kept_id].kept_id == r.kept_id == got[b, r.representative].kept_id
+        assert rows[b, i] or r.representative == r.kept_id == i
+    df = spark.createDataFrame([("x", "a", "abc"), ("x", "b", "abc"), ("x", "c", "abcd"), ("x", "d", ""), ("x", "e", ""), (None, "f", "abc"), (None, "g", "abc")], "batch string, id string, fingerprint string")
+    reps = dedup.collapse_copies(df, ["batch", "fingerprint"], [F.length("id")])
+    kept = spark.createDataFrame([("x", "b", "c"), ("x", "c", "c"), (None, "g", "g")], "batch string, id string, kept_id string")
+    assert {r.id: (r.representative, r.kept_id) for r in dedup.memberships(df, reps, kept).collect()} == {"a": ("b", "c"), "b": ("b", "c"), "c": ("c", "c"), "d": ("d", "d"), "e": ("e", "e"), "f": ("g", "g"), "g": ("g", "g")}
