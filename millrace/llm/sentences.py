@@ -2,14 +2,16 @@
 
 In each line, places where a sentence may end are collected with a weight from the words that close before and open after
 them (abbreviations, initials, numbers, letter case, quotations and what introduces or follows them). Dynamic programming
-then takes the chain of spans of the highest total: weights of the ends, the spans' lengths, and a heavy loss for each span
-in which quotation marks or brackets don't balance, so that no end inside a quotation pays.
+then takes the chain of spans of the highest total: weights of the ends, the spans' lengths, and a heavy loss for each end of
+a span that lies inside a quotation or bracket, so that no end inside a quotation pays.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections import deque
 from collections.abc import Iterator
+from itertools import islice, pairwise
 
 import pyarrow as pa
 import regex
@@ -18,9 +20,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.codepoints import slices
 
-#: Loss of an unbalanced span; loss of a span by its length in letters.
+#: Loss of a span for each of its two ends that lies inside a quotation or bracket: two spans pay it for one cut, more than
+#: any cut gains, whatever the number of sentences in the quotation.
 UNBALANCED = 9.0
-TOO_SHORT, SHORT = 2, 1.5
+#: Loss of a span by its number of letters; none from as many letters on as there are entries.
+SHORT = (3.0, 3.0, 0.75, 0.4, 0.2, 0.1)
 
 # Abbreviations after which a sentence goes on, and those that may also close one.
 GOES_ON = set("pág págs núm cap mr mrs ms dr prof st no nr vol vs e.g i.e eg ie approx ca cf fig art op mme mlle m sr sra srta dra d z b z.b bzw mio mrd usw inkl ggf str p ex p.ex av bd j. jr lt col gen sen rep capt sgt ed eds pp ch sec al ee د م أ डॉ श्री г ул им".split())
@@ -29,8 +33,8 @@ OPENERS = set("the a an it he she they we i you this that there in on at when wh
 MONTHS = set("januar februar märz april mai juni juli august september oktober november dezember jahrhundert januára".split())
 REPORTING = regex.compile(r"^[^，。！？：:；“”「」\n]{1,18}(?:说道|问道|喊道|叫道|答道|低声道|说|喊|问)[。！？!?]")
 CLOSING = "”’」』»\"'）)]】〉》›"
-PAIRS = {"“": ("q", 1), "”": ("q", -1), "「": ("k", 1), "」": ("k", -1), "『": ("w", 1), "』": ("w", -1), "«": ("g", 1), "»": ("g", -1), "（": ("b", 1), "）": ("b", -1), "(": ("b", 1), ")": ("b", -1)}
-_KEYS = {k: i for i, k in enumerate(("q", "k", "w", "g", "b"))}
+PAIRS = {"„": ("l", 1), "“": ("q", 1), "”": ("q", -1), "「": ("k", 1), "」": ("k", -1), "『": ("w", 1), "』": ("w", -1), "«": ("g", 1), "»": ("g", -1), "（": ("b", 1), "）": ("b", -1), "(": ("b", 1), ")": ("b", -1)}
+_PAIRED = regex.compile("[" + regex.escape("".join(PAIRS), special_only=False) + '"]')
 _OPEN = {"”": "“", "」": "「", "』": "『", "»": "«", '"': '"'}
 
 _BLANK = r"[\s\p{Z}\u200b-\u200f\u2060-\u2064\ufeff]"
@@ -139,55 +143,74 @@ def _weights(line: str, chinese_bare: bool) -> list[tuple[int, int, float]]:
     return [(e, *out[e]) for e in sorted(out) if 0 < e < n]
 
 
-def _states(line: str, places: list[int]) -> list[tuple[int, ...]]:
-    """At each place, how many marks of each pair are open; equal states mean that what lies between is balanced."""
-    state, k, out = [0] * 6, 0, []
-    for i, c in enumerate(line):
-        while k < len(places) and places[k] == i:
-            out.append(tuple(state))
-            k += 1
-        if c in PAIRS:
-            key, d = PAIRS[c]
-            state[_KEYS[key]] += d
-        elif c == '"':
-            state[5] ^= 1
-    while k < len(places):
-        out.append(tuple(state))
-        k += 1
-    return out
+def _quotations(line: str) -> list[tuple[int, int]]:
+    """(first place inside, place of the closing mark) of every quotation or bracket of the line, outer ones only, in order.
+
+    Marks are matched within the line, the nearest of a kind with each other; a mark without its other half bounds nothing.
+    A straight mark that can't open, as a sign of inches after a number, opens nothing.
+    """
+    opened: dict[str, list[int]] = {}
+    straight, found = -1, []
+    for m in _PAIRED.finditer(line):
+        k, c = m.start(), m.group()
+        if c == '"':
+            if straight >= 0:
+                found.append((straight + 1, k))
+                straight = -1
+            elif k + 1 < len(line) and not (line[k + 1].isspace() and k and not line[k - 1].isspace()) and not (k and line[k - 1].isdigit()):
+                straight = k
+            continue
+        key, d = PAIRS[c]
+        if c in "“”" and opened.get("l"):  # a low mark is closed by either
+            key, d = "l", -1
+        if d > 0:
+            opened.setdefault(key, []).append(k)
+        elif opened.get(key):
+            found.append((opened[key].pop() + 1, k))
+    outer: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if not outer or a > outer[-1][1]:
+            outer.append((a, b))
+        elif b > outer[-1][1]:
+            outer[-1] = outer[-1][0], b
+    return outer
 
 
 def _line_ends(line: str, chinese_bare: bool) -> list[int]:
     """Ends of the sentences of one line that has something visible, the last one being the line's own end."""
     last = len(line.rstrip())
-    places = _weights(line[:last] + line[last:], chinese_bare)
-    places = [p for p in places if p[0] < last]
+    places = [p for p in _weights(line, chinese_bare) if p[0] < last]
     if not places:
         return [last]
     cuts = [0, *(e for e, _, _ in places), last]
     gains = [0.0, *(w for _, _, w in places), 0.0]
-    states = _states(line, cuts)
+    broken, k, inside = [0.0] * len(cuts), 0, _quotations(line)
+    for j in range(1, len(cuts) - 1):
+        while k < len(inside) and inside[k][1] < cuts[j]:
+            k += 1
+        if k < len(inside) and inside[k][0] <= cuts[j]:
+            broken[j] = UNBALANCED  # paid by the span that ends there and by the one that begins there
     letters = [0]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        letters.append(letters[-1] + len(_LETTER.findall(line, a, b)))
+    for a, b in pairwise(cuts):  # more than the short lengths needn't be told apart
+        letters.append(letters[-1] + sum(1 for _ in islice(_LETTER.finditer(line, a, b), len(SHORT))))
+    # Where a span begins counts by its best total and by the number of letters before it. So the best beginning for each of
+    # the last few numbers of letters, and the best of all further back, hold the best one. Ties go to the earliest.
     best, back = [0.0] + [float("-inf")] * (len(cuts) - 1), [0] * len(cuts)
-    # Where a span begins counts by its best total, whether its state is the end's, and whether the span is short. So the
-    # best beginnings of all and by state, among all and among those far enough back, hold the best one; a loss that one
-    # of them doesn't have to take only lowers its score, below that of another of the four. Ties go to the earliest.
-    near, far, near_by, far_by, k = 0, -1, {}, {}, 0
+    near: dict[int, int] = {}
+    far, waiting = -1, deque()
     for j in range(1, len(cuts)):
-        i = j - 1
-        near = i if best[i] > best[near] else near
-        if best[i] > best[near_by.setdefault(states[i], i)]:
-            near_by[states[i]] = i
-        while k < j and letters[j] - letters[k] >= TOO_SHORT:
-            far = k if far < 0 or best[k] > best[far] else far
-            if best[k] > best[far_by.setdefault(states[k], k)]:
-                far_by[states[k]] = k
-            k += 1
-        for i in sorted({near, far, near_by.get(states[j], -1), far_by.get(states[j], -1)} - {-1}):
-            score = best[i] + gains[j] - (UNBALANCED if states[i] != states[j] else 0.0) - (SHORT if letters[j] - letters[i] < TOO_SHORT else 0.0)
-            if score > best[j]:
+        i, n = j - 1, letters[j - 1]
+        worth = lambda x: best[x] - broken[x]
+        if n not in near:
+            near[n] = i
+            waiting.append(n)
+        elif worth(i) > worth(near[n]):
+            near[n] = i
+        while waiting and letters[j] - waiting[0] >= len(SHORT):
+            i = near.pop(waiting.popleft())
+            far = i if far < 0 or worth(i) > worth(far) else far
+        for i, loss in ((far, 0.0), *((near[n], SHORT[letters[j] - n]) for n in waiting)):
+            if i >= 0 and (score := worth(i) + gains[j] - broken[j] - loss) > best[j]:
                 best[j], back[j] = score, i
     chain, j = [], len(cuts) - 1
     while j:

@@ -212,11 +212,13 @@ def brute_line_ends(line):
     last = len(line.rstrip())
     places = [p for p in sentences._weights(line, False) if p[0] < last]
     cuts = [0, *(e for e, _, _ in places), last]
-    gains, states = [0.0, *(w for _, _, w in places), 0.0], sentences._states(line, cuts)
+    gains, quoted = [0.0, *(w for _, _, w in places), 0.0], sentences._quotations(line)
+    broken = [sentences.UNBALANCED if 0 < k < len(cuts) - 1 and any(a <= c <= b for a, b in quoted) else 0.0 for k, c in enumerate(cuts)]
     letters = lambda i, j: len(sentences._LETTER.findall(line, cuts[i], cuts[j]))
+    short = lambda n: sentences.SHORT[n] if n < len(sentences.SHORT) else 0.0
     best = [(0.0, [])]
     for j in range(1, len(cuts)):
-        each = [(best[i][0] + gains[j] - (sentences.UNBALANCED if states[i] != states[j] else 0.0) - (sentences.SHORT if letters(i, j) < sentences.TOO_SHORT else 0.0), -i) for i in range(j)]
+        each = [(round(best[i][0] + gains[j] - broken[i] - broken[j] - short(letters(i, j)), 6), -i) for i in range(j)]
         score, i = max(each)
         best.append((score, [*best[-i][1], cuts[j]]))
     ends = best[-1][1]
@@ -232,6 +234,22 @@ def test_spans_over_any_number_of_possible_ends():
     assert sentences.sentence_ends(decimals + " It ended.") == [len(decimals), len(decimals) + 10]
 
 
+def test_a_quotation_of_any_number_of_sentences_is_one_unit():
+    for n in (1, 3, 6, 40, 500):
+        for a, b in ("“”", "「」", "«»", '""', "„“", "（）"):
+            whole = "他说：" + a + "".join(f"第{k}次不行。" for k in range(n)) + b + "，然后他离开了。"
+            assert sentences.sentence_ends(whole + "天晴了。") == [len(whole), len(whole) + 4]
+            whole = "He said " + a + " ".join(f"It failed {k} times." for k in range(n)) + b + " and then he left."
+            assert sentences.sentence_ends(whole + " It rained.") == [len(whole), len(whole) + 11]
+
+
+def test_marks_without_their_other_half_bound_nothing():
+    for stray in ("“", "”", "「", "(", ")", "»", '"'):
+        text = f"第一句{stray}在这里。第二句话。第三句话。"
+        assert sentences.sentence_ends(text) == [8, 13, 18]
+    assert sentences.sentence_ends('A 5" screen is small. It is dark. A 7" one is better.') == [21, 33, 53]
+
+
 def test_best_spans_against_brute_force():
     r = random.Random(12)
     parts = ["。", "！", ". ", "? ", "…", "“", "”", "「", "」", "(", ")", "\"", "3.14", "1.2.3", "他走了", "很好", "The cat", "it", "Mr", "a", "!", " ", "，", "：", "说"]
