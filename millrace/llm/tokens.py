@@ -4,7 +4,8 @@ A batch's distinct words (pieces of the vocabulary's pattern) that haven't been
 token of the vocabulary can span two characters; such atoms are encoded independently of what stands beside them, so
 that the recursion works on a few short atoms and not on running text. In DuckDB, rows of token positions join the
 merge table; each round contracts, in every atom at once, the pair of least rank (leftmost first where occurrences
-overlap), until no pair is left; an ordered aggregation gives the ids. All texts are then put together from the words'
+overlap), until no pair is left; an ordered aggregation gives the ids. Atoms of more than a window's bytes, as one long
+word, are encoded in overlapping windows that are joined where both have the same token at the same place. All texts are then put together from the words'
 ids with numpy gathers.
 """
 
@@ -31,6 +32,10 @@ TOKENIZERS = "/opt/tokenizers"
 KEEP_WORDS, KEEP_ATOMS = 300_000, 200_000
 #: And whether tokens can span two characters, of so many pairs of characters; others are worked out again.
 KEEP_PAIRS = 200_000
+#: Bytes of the window in which a long atom is encoded, half a window apart; windows widen up to the whole atom.
+WINDOW, WIDEST = 64, 16_384
+#: Bytes of atoms in one call of DuckDB, or one atom.
+CALL_BYTES = 1 << 18
 #: Fixed value: the pattern that parts a text into words before byte-level merging.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -71,7 +76,10 @@ class Encoder:
                         e += 1
                     self.spans.add((token[j:k], token[k:e]))
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": os.environ.get("TMPDIR", "/tmp") + f"/millrace-{os.getpid()}"})
+        self.length = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.length[list(ranks.values())] = [len(t) for t in ranks]
+        # calls are small, so nothing is ever written to a disk
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
         self.db.register("m", pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "rank": pa.array(new, pa.int32())}))
         self.db.execute("CREATE TABLE merges AS SELECT l, r, min(rank) AS rank FROM m GROUP BY l, r")
         self.db.unregister("m")
@@ -108,16 +116,64 @@ class Encoder:
         parts.append(word[a:])
         return parts
 
-    def _encode_atoms(self, new: list[str]) -> None:
-        raw = [a.encode("utf-8", "surrogatepass") for a in new]
+    def _contract(self, raw: list[bytes]) -> list[list[int]]:
+        """The ids of each of these pieces, in calls of a bounded number of bytes, pieces of like length together."""
+        out: list[list[int]] = [[]] * len(raw)
+        order = sorted(range(len(raw)), key=lambda k: len(raw[k]))
+        begin = 0
+        while begin < len(order):
+            end, size = begin, 0
+            while end < len(order) and (end == begin or size + len(raw[order[end]]) <= CALL_BYTES):
+                size += len(raw[order[end]])
+                end += 1
+            for k, ids in self._call([raw[i] for i in order[begin:end]]):
+                out[order[begin + k]] = ids
+            begin = end
+        return out
+
+    def _call(self, raw: list[bytes]) -> list[tuple[int, list[int]]]:
         sizes = np.array([len(r) for r in raw], np.int64)
         w = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
         pos = np.arange(len(w), dtype=np.int32) - np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes).astype(np.int32)
         self.db.register("start", pa.table({"w": w, "pos": pos, "tok": self.byte[np.frombuffer(b"".join(raw), np.uint8)]}))
         got = self.db.execute(_CONTRACT).fetchall()
         self.db.unregister("start")
-        for k, ids in got:
-            self.atoms[new[k]] = ids
+        return got
+
+    def _encode_atoms(self, new: list[str]) -> None:
+        """Encodes atoms; long ones by overlapping windows, in wider ones where two neighbours share no token."""
+        raw = [a.encode("utf-8", "surrogatepass") for a in new]
+        done: list[list[int] | None] = [None] * len(raw)
+        width: float = WINDOW
+        while todo := [k for k, ids in enumerate(done) if ids is None]:
+            windows = {k: [raw[k]] if len(raw[k]) <= width else [raw[k][a : a + int(width)] for a in range(0, len(raw[k]) - int(width) // 2, int(width) // 2)] for k in todo}
+            pieces = list(dict.fromkeys(w for ws in windows.values() for w in ws))
+            ids = dict(zip(pieces, self._contract(pieces), strict=True))
+            for k, ws in windows.items():
+                done[k] = ids[ws[0]] if len(ws) == 1 else self._joined([ids[w] for w in ws], int(width) // 2)
+            width = width * 4 if width * 4 < WIDEST else float("inf")
+        self.atoms.update(zip(new, done, strict=True))
+
+    def _joined(self, windows: list[list[int]], step: int) -> list[int] | None:
+        """The ids of a piece from those of its windows, each ``step`` bytes after the one before; None where two windows
+        have no token in common at one place.
+
+        Ids are those of the whole piece if and only if each two that stand side by side are the ids of their own bytes
+        together. Side by side here stand only such as do in one of the windows.
+        """
+        size = self.length
+        out, at = list(windows[0]), np.concatenate([[0], np.cumsum(size[windows[0]])]).tolist()
+        for n, more in enumerate(windows[1:], 1):
+            begin = (np.concatenate([[0], np.cumsum(size[more])]) + n * step).tolist()
+            here = {(a, t): j for j, (a, t) in enumerate(zip(begin, more, strict=False))}
+            k = len(out) - 1
+            while k >= 0 and at[k] >= n * step and (at[k], out[k]) not in here:
+                k -= 1
+            if k < 0 or at[k] < n * step:
+                return None
+            j = here[at[k], out[k]]
+            out[k:], at[k:] = more[j:], begin[j:]
+        return out
 
     def add(self, words: set[str]) -> None:
         """Encodes words that aren't known yet."""
@@ -198,12 +254,11 @@ def token_ids(df: DataFrame, key: str, text: str, name: str = "byte_bpe_50k", fo
 
     A null or empty text gives an empty list (0). The text is taken as it is. Repeated keys give repeated rows.
     """
-    path = vocabulary_path(name, folder)
     cols = [key, *keep]
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols), "n_tokens bigint" if counts else "ids array<int>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(vocabulary_path(name, folder))  # where the task runs
         for batch in batches:
             for part in slices(batch, 0, 2 << 20):
                 ids, starts = enc.encode(part.column(0).to_pylist())
