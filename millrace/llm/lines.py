@@ -25,8 +25,9 @@ from millrace.plans.lineage import cut
 LEAST_ROWS, LEAST_SHARE = 5, 0.05
 #: Error of the summaries, a share of the rows; below LEAST_SHARE.
 EPS = 0.02
-#: A summary is pruned when it holds more entries than this.
-PRUNE_AT = 20_000
+#: A task's summaries of all sources together hold so many entries at most: then they are pruned, and where that doesn't
+#: halve them, sent on, and the task begins new ones.
+PRUNE_AT = 400_000
 #: Candidates go to the tasks as a broadcast set up to this many; beyond it they are joined.
 BROADCAST_LINES = 200_000
 
@@ -71,9 +72,26 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, dict[bytes, list[int]]] = {}
     rows: dict[str, int] = {}
     seen: dict[str, bytes | None] = {}
+    entries = 0
+
+    def prune() -> int:
+        for source, own in counts.items():
+            least = EPS * rows[source]
+            counts[source] = {k: c for k, c in own.items() if c[0] + c[1] > least}
+        return sum(map(len, counts.values())) + len(rows)
+
+    def sent() -> pa.RecordBatch:
+        out = [(s, None, n, n) for s, n in rows.items()]
+        out += [(s, k, sum(c), rows[s]) for s, own in counts.items() for k, c in own.items()]
+        cols = [*zip(*out, strict=True)]
+        counts.clear()
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], names=["source", "key", "most", "rows"])
+
     for batch in batches:
         for part in slices(batch, 1):
             for source, body in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                entries += source not in rows
                 rows[source] = n = rows.get(source, 0) + 1
                 if not body:
                     continue
@@ -84,17 +102,17 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         c = own.get(key)
                         if c is None:
                             own[key] = [1, floor]
+                            entries += 1
                         else:
                             c[0] += 1
-        for source, own in counts.items():
-            if len(own) > PRUNE_AT:
-                least = int(EPS * rows[source])
-                counts[source] = {k: c for k, c in own.items() if c[0] + c[1] > least}
-    out = [(s, None, n, n) for s, n in rows.items()]
-    out += [(s, k, sum(c), rows[s]) for s, own in counts.items() for k, c in own.items() if sum(c) > EPS * rows[s]]
-    if out:
-        cols = [*zip(*out, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], names=["source", "key", "most", "rows"])
+                if entries > PRUNE_AT:
+                    entries = prune()
+                    if entries > PRUNE_AT // 2:
+                        yield sent()
+                        entries = 0
+    if rows:
+        prune()
+        yield sent()
 
 
 def repeated_lines(df: DataFrame, key: str, source: str, body: str) -> Repeated:

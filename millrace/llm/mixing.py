@@ -2,7 +2,7 @@
 
 The tokens of each source are packed into blocks of one length. The largest mixture in which every source gives its share
 and none is read more often than allowed fixes the blocks that each gives; every output shard draws its counts by source
-from what is left of these (a multinomial draw given the totals, so that the shares come out exactly). A slot's number
+from a multinomial, and what a source was drawn too often over all shards goes to those drawn too seldom. A slot's number
 within its source goes through a pseudorandom permutation of the source's block numbers, a new one for each reading, and
 the blocks are joined by that number.
 """
@@ -22,8 +22,8 @@ from millrace.llm.tokens import token_ids
 from millrace.plans.lineage import cut
 from millrace.sources.tables import small_rows
 
-#: Tokens of a block; blocks of an output shard at least; shards at most (then they grow).
-BLOCK_TOKENS, SHARD_BLOCKS, MOST_SHARDS = 512, 1_024, 16_384
+#: Tokens of a block; blocks of an output shard, about; shards in one bucket of the prefix sum.
+BLOCK_TOKENS, SHARD_BLOCKS, SHARD_BUCKET = 512, 1_024, 1_024
 #: Documents of a source in one bucket of the prefix sum, about.
 BUCKET_DOCS = 100_000
 #: A mixture names at most so many sources.
@@ -116,35 +116,69 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def draws(p: Plan, seed: int = SEED) -> list[tuple[int, int, int, int]]:
-    """(shard, source index, blocks, number of the source's blocks in earlier shards), what each shard draws."""
-    total = int(p.give.sum())
-    shards = min(MOST_SHARDS, max(1, total // SHARD_BLOCKS))
-    rng = np.random.default_rng(seed)
-    left, out = p.give.copy(), []
-    for s in range(shards):
-        n = (s + 1) * total // shards - s * total // shards
-        got = rng.multivariate_hypergeometric(left, n, method="marginals") if left.sum() > n else left.copy()
-        out += [(s, int(k), int(got[k]), int(p.give[k] - left[k])) for k in np.flatnonzero(got)]
-        left -= got
-    return out
+def shard_count(p: Plan) -> int:
+    return max(1, int(p.give.sum()) // SHARD_BLOCKS)
 
 
-def slots(spark: SparkSession, p: Plan, seed: int = SEED) -> DataFrame:
-    """(shard, slot, source, reading, block): the mixture, block by block. ``reading`` counts the readings of a source from 0."""
-    schema = "shard int, k int, n bigint, before bigint, name string, blocks bigint"
-    rows = [(s, k, n, b, p.source[k], int(p.blocks[k])) for s, k, n, b in draws(p, seed)]
-    df = spark.createDataFrame(rows, schema).repartition(max(1, min(len({r[0] for r in rows}) or 1, spark.sparkContext.defaultParallelism * 4)), "shard")
-    df = df.select("shard", "k", "name", "blocks", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("number"))
+def draws(spark: SparkSession, p: Plan, seed: int = SEED) -> DataFrame:
+    """(shard, k, n): how many blocks of source k each output shard draws, a multinomial draw by the sources' shares.
+
+    Each shard draws by itself, from a generator of its own number, so that any number of shards is drawn in tasks.
+    """
+    total, shards = int(p.give.sum()), shard_count(p)
+    share = p.give / max(1, total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, blocks, number = (np.asarray(batch.column(c)).astype(np.int64) for c in ("k", "blocks", "number"))
-            reading = number // blocks
-            block = permuted(number % blocks, blocks, (k + 1) * 1_000_003 + reading * 8_191 + seed)
-            yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("name"), pa.array(reading.astype(np.int32)), pa.array(block)], names=["shard", "source", "reading", "block"])
+            out: list[tuple[int, int, int]] = []
+            for s in batch.column(0).to_pylist():
+                got = np.random.default_rng([seed, s]).multinomial((s + 1) * total // shards - s * total // shards, share)
+                out += [(s, int(k), int(got[k])) for k in np.flatnonzero(got)]
+            cols = [*zip(*out, strict=True)] if out else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64())], names=["shard", "k", "n"])
+
+    return spark.range(0, shards if total else 0, 1, max(1, min(shards // 64 + 1, spark.sparkContext.defaultParallelism * 4))).mapInArrow(run, "shard bigint, k int, n bigint")
+
+
+def numbered_draws(drawn: DataFrame) -> DataFrame:
+    """``drawn`` with before, the source's blocks in earlier shards: a prefix sum by buckets of shards, then within each."""
+    b = drawn.withColumn("bucket", F.expr(f"shard div {SHARD_BUCKET}"))
+    sums = b.groupBy("k", "bucket").agg(F.sum("n").alias("m"))
+    offsets = sums.select("k", "bucket", (F.sum("m").over(Window.partitionBy("k").orderBy("bucket")) - F.col("m")).alias("offset"))
+    own = Window.partitionBy("k", "bucket").orderBy("shard")
+    placed = b.withColumn("up_to", F.sum("n").over(own)).join(offsets, ["k", "bucket"])
+    return placed.select("shard", "k", "n", (F.col("offset") + F.col("up_to") - F.col("n")).alias("before"))
+
 
-    mixed = df.mapInArrow(run, "shard int, source string, reading int, block bigint")
+def slots(spark: SparkSession, p: Plan, seed: int = SEED) -> DataFrame:
+    """(shard, slot, source, reading, block): the mixture, block by block. ``reading`` counts the readings of a source from 0.
+
+    Over all shards a source is drawn a little more or less often than its quota. Which of its draws are too many is
+    pseudorandom; these go to the sources that were drawn too seldom, so that every quota is met and every shard keeps its size.
+    """
+    drawn = cut(draws(spark, p, seed))
+    times = np.zeros(len(p.source), np.int64)
+    for r in drawn.groupBy("k").agg(F.sum("n").alias("n")).collect():  # one row for each source at most
+        times[r.k] = r.n
+    give, blocks = p.give, p.blocks
+    over, short = np.maximum(times - give, 0), np.maximum(give - times, 0)
+    first_over, first_short = np.cumsum(over) - over, np.concatenate([[0], np.cumsum(short)])
+    names = pa.array(p.source, pa.string())
+    numbers = numbered_draws(drawn).select("shard", "k", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("number"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k, number = (np.asarray(batch.column(c)).astype(np.int64) for c in ("k", "number"))
+            v = permuted(number, times[k], (k + 1) * 7_368_787 + seed)
+            extra = np.flatnonzero(v >= give[k])
+            at = first_over[k[extra]] + v[extra] - give[k[extra]]
+            to = np.searchsorted(first_short, at, side="right") - 1
+            k[extra], v[extra] = to, times[to] + at - first_short[to]
+            reading = v // blocks[k]
+            block = permuted(v % blocks[k], blocks[k], (k + 1) * 1_000_003 + reading * 8_191 + seed)
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), names.take(pa.array(k)), pa.array(reading.astype(np.int32)), pa.array(block)], names=["shard", "source", "reading", "block"])
+
+    mixed = numbers.mapInArrow(run, "shard bigint, source string, reading int, block bigint")
     in_shard = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "shard", "source", "reading", "block"), "source", "reading", "block")
     return mixed.withColumn("slot", F.row_number().over(in_shard) - 1).select("shard", "slot", "source", "reading", "block")
 

@@ -165,6 +165,29 @@ def test_repeated_lines_against_brute_force(spark, monkeypatch, prune, most):
         assert clean[i] == (None if b is None else "\n".join(x for k, x in enumerate(b.split("\n"), 1) if (i, k) not in want))
 
 
+@pytest.mark.parametrize("prune", [20, 300, 10**6])
+def test_summaries_stay_small_and_miss_nothing(monkeypatch, prune):
+    monkeypatch.setattr(lines, "PRUNE_AT", prune)  # here and not in a worker, which wouldn't see it
+    r = random.Random(5)
+    rows = [(f"s{min(int(r.expovariate(0.4)), 40)}", "\n".join([f"x{r.random()}"] * 2 + [f"site {r.choice('abcdef') * 2}"] * (r.random() < 0.3))) for _ in range(4000)]
+    most, seen, n = {}, {}, {}
+    for a in range(0, 4000, 1000):  # four tasks
+        batch = pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows[a : a + 1000]]) for c in (0, 1)], names=["source", "body"])
+        for out in lines._summaries(iter([batch.slice(k, 100) for k in range(0, 1000, 100)])):
+            for s, k, m, c in zip(*(out.column(j).to_pylist() for j in range(4)), strict=True):
+                if k is None:
+                    n[s] = n.get(s, 0) + c
+                else:
+                    most[s, k], seen[s, k] = most.get((s, k), 0) + m, seen.get((s, k), 0) + c
+    true = {}
+    for s, b in rows:
+        for k in set(lines.line_keys(b, {})):
+            true[s, k] = true.get((s, k), 0) + 1
+    assert sum(n.values()) == 4000
+    for (s, k), c in true.items():
+        assert c <= most.get((s, k), 0) + lines.EPS * (n[s] - seen.get((s, k), 0)) + 1e-9
+
+
 def test_no_lines(spark):
     df = spark.createDataFrame([], "id string, channel string, body string")
     assert lines.repeated_places(df, "id", "channel", "body").count() == 0
@@ -436,6 +459,26 @@ def test_mixture(spark):
     assert mixing.mixture(spark, df, targets.limit(0)).count() == 0
 
 
+def test_draws_meet_the_quotas(spark):
+    give, blocks = np.array([40_000, 700, 0, 9_300]), np.array([40_000, 100, 5, 4_000])
+    p = mixing.Plan(["a", "b", "c", "d"], give / give.sum(), np.array([1, 7, 1, 3]), blocks * 512, blocks, give)
+    drawn = {(x.shard, x.k): x.n for x in mixing.draws(spark, p).collect()}
+    shards = mixing.shard_count(p)
+    assert {s for s, _ in drawn} == set(range(shards)) and sum(drawn.values()) == give.sum()
+    rows = mixing.slots(spark, p).collect()
+    by = {}
+    for x in rows:
+        by.setdefault(x.source, []).append((x.reading, x.block))
+    assert {s: len(v) for s, v in by.items()} == {"a": 40_000, "b": 700, "d": 9_300}
+    assert all(len(set(v)) == len(v) for v in by.values())
+    assert {x for x in by["b"]} == {(k, b) for k in range(7) for b in range(100)}
+    size = [sum(n for (s, _), n in drawn.items() if s == k) for k in range(shards)]
+    slots = {}
+    for x in rows:
+        slots.setdefault(x.shard, set()).add(x.slot)
+    assert [slots[k] for k in range(shards)] == [set(range(n)) for n in size]
+
+
 def test_mixture_holds_its_records(spark):
     r = random.Random(3)
     docs = [(k, " ".join(r.choice(("one", "two", "three", "four")) for _ in range(r.choice((3, 40, 1300)))), r.choice("ab")) for k in range(90)]
