@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.codepoints import slices, to_code_points
+from millrace.llm.quality import COMMON_WORDS
 from millrace.plans.lineage import cut
 
 #: Bytes of a block. Texts of more than a block are all of one length class.
@@ -34,24 +35,34 @@ QUARTILES, LEAST_SPREAD = 2.5, 0.17
 REDUNDANT = 0.8
 #: Few sentence marks: this share of the language's median density.
 FEW_MARKS = 0.27
-#: A class of language and length needs so many texts for a median of its own; else the language's is taken.
-CLASS_ROWS = 30
-#: Texts of fewer characters than this are too short for a rate.
-LEAST_CHARS = 40
+#: A class of language and length counts for its yardstick by its number of texts against so many of the language, and a
+#: language by its number of texts against so many of its script.
+BLEND_ROWS = 30
+#: Texts of fewer characters than this say too little to a compressor: they have no rates, and are stuffed if this share of
+#: their characters is in two and more links, tags and hashtags, or if they have no sentence mark and this share of their
+#: words (three at least) repeats others.
+LEAST_CHARS, SIGN_SHARE, REPEATED_SHARE = 40, 0.6, 0.6
 
 # First and last code points of the scripts told apart.
 SCRIPTS = {"zh": [(0x3400, 0x9FFF), (0x20000, 0x323AF)], "ja": [(0x3040, 0x30FF)], "ko": [(0xAC00, 0xD7A3), (0x1100, 0x11FF)], "th": [(0xE00, 0xE7F)], "ar": [(0x600, 0x6FF), (0x750, 0x77F)], "hi": [(0x900, 0x97F)], "cy": [(0x400, 0x52F)], "la": [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F)]}
 _CODES = list(SCRIPTS)
+#: Languages of the Latin script that are told apart, by their frequent words: this share of a text's words at least.
+LATIN, FREQUENT_SHARE = ("en", "fr", "de", "es"), 0.12
+_FREQUENT: dict[str, list[str]] = {}
+for _name in LATIN:
+    for _w in COMMON_WORDS[_name].split():
+        _FREQUENT.setdefault(_w, []).append(_name)
 _SCRIPT = np.full(0x110000, len(_CODES), np.uint8)
 for _k, _name in enumerate(_CODES):
     for _a, _b in SCRIPTS[_name]:
         _SCRIPT[_a : _b + 1] = _k
 _LINK = regex.compile(r"(?:https?://|www\.)[A-Za-z0-9._~/?#@!$&*+;=%-]+")
-_HASHTAG = regex.compile(r"#[^\s#]{1,40}#?")
-_TAG = regex.compile(r"<[^<>]{1,300}>")
+_HASHTAG = regex.compile(r"#[^\s#]+#?")
+_TAG = regex.compile(r"<[^<>]+>")
+_WORD = regex.compile(r"[\p{L}\p{M}]+")
 _MARKS = regex.compile(r"[。！？!?…।؟]+|\.(?=\s|$|[\"”’)])")
 #: A link, a tag and a hashtag are each one of these private characters in an outline.
-_LINK_SIGN, _TAG_SIGN, _HASHTAG_SIGN = "\ue000", "\ue001", "\ue002"
+_ALL_SIGNS = _LINK_SIGN, _TAG_SIGN, _HASHTAG_SIGN = "\ue000", "\ue001", "\ue002"
 #: Signs of runs of letters by their length, of 18 and more the last.
 _SIGNS = np.frombuffer(b"aaabbbccccdddddddde", np.uint8)
 
@@ -91,15 +102,29 @@ def _packed(raw: bytes) -> int:
     return total
 
 
-def language(scripts: np.ndarray) -> str:
-    """The language class of a text by its counts of each script's letters."""
-    total = scripts[:-1].sum()
-    if not total:
-        return "none"
-    share = dict(zip(_CODES, scripts[:-1] / total, strict=True))
-    if share["ja"] > 0.1:
-        return "ja"
-    return next((k for k in ("th", "ko", "ar", "hi", "cy") if share[k] > 0.3), "zh" if share["zh"] > 0.25 else "la")
+def scripts_of(counts: np.ndarray) -> list[str]:
+    """The script class of each text by its counts of each script's letters (the last column: of no script)."""
+    total = counts[:, :-1].sum(1)
+    share = dict(zip(_CODES, (counts[:, :-1] / np.maximum(total, 1)[:, None]).T, strict=True))
+    tests = [total == 0, share["ja"] > 0.1, *(share[k] > 0.3 for k in ("th", "ko", "ar", "hi", "cy")), share["zh"] > 0.25]
+    return np.select(tests, ["none", "ja", "th", "ko", "ar", "hi", "cy", "zh"], "la").tolist()
+
+
+def latin(text: str) -> str:
+    """The language of a text in Latin letters by its frequent words; "la" where none has enough of them."""
+    words = _WORD.findall(text.lower())
+    hits = dict.fromkeys(LATIN, 0)
+    for w in words:
+        for k in _FREQUENT.get(w, ()):
+            hits[k] += 1
+    best = max(LATIN, key=lambda k: hits[k])
+    return best if hits[best] > FREQUENT_SHARE * len(words) else "la"
+
+
+def _repeated(text: str) -> float:
+    """The share of a short text's words that occur before in it; 0 for fewer than three words."""
+    words = _WORD.findall(text.lower())
+    return 1 - len(set(words)) / len(words) if len(words) > 2 else 0.0
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,46 +139,57 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             width = len(_CODES) + 1
             counts = np.bincount(rows * width + kinds, minlength=len(bare) * width).reshape(-1, width)
             out = []
-            for k, (t, b) in enumerate(zip(texts, bare, strict=True)):
-                tongue = language(counts[k])
-                if tongue == "none" and b is not t:  # nothing but links, tags and hashtags: their own letters tell
+            for k, (t, b, script) in enumerate(zip(texts, bare, scripts_of(counts), strict=True)):
+                if script == "none" and b is not t:  # nothing but links, tags and hashtags: their own letters tell
                     own = _SCRIPT[np.frombuffer(_TAG.sub("", _LINK.sub("", t)).encode("utf-32-le", "surrogatepass"), np.uint32)]
-                    tongue = language(np.bincount(own, minlength=width))
+                    script = scripts_of(np.bincount(own, minlength=width)[None, :])[0]
+                tongue = latin(b) if script == "la" else script
+                n_signs = sum(map(b.count, _ALL_SIGNS)) if b is not t else 0
+                signs = (len(t) - len(b) + n_signs) / max(1, len(t))
                 if len(t) < LEAST_CHARS:
-                    out.append((tongue, 0, 0, None, None, None))
+                    out.append((tongue, script, len(t), 0, None, None, float(len(_MARKS.findall(b)) > 0), n_signs, signs, _repeated(b)))
                     continue
                 raw = t.encode("utf-8", "surrogatepass")
                 text_class = min(int(np.log2(len(raw))), 10)
                 marks = len(_MARKS.findall(b)) / len(t)
-                out.append((tongue, len(t), text_class, _packed(raw) / len(raw), max(0, _packed(outline[begin[k] : begin[k + 1]])) / len(t), marks))
-            cols = [*zip(*out, strict=True)] if out else [[]] * 6
-            kinds_of = (pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, t) for c, t in zip(cols, kinds_of, strict=True))], names=["id", "hash", "language", "n", "size", "packed", "outline", "marks"])
+                out.append((tongue, script, len(t), text_class, _packed(raw) / len(raw), max(0, _packed(outline[begin[k] : begin[k + 1]])) / len(t), marks, n_signs, signs, None))
+            cols = [*zip(*out, strict=True)] if out else [[]] * 10
+            kinds_of = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, t) for c, t in zip(cols, kinds_of, strict=True))], names=["id", "hash", "language", "script", "n", "size", "packed", "outline", "marks", "n_signs", "sign_share", "repeated"])
 
 
 def redundancy(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, language, n, text_rate, outline_rate, marks_rate, depth) of every text that isn't null.
-
-    Rates are against the median of the texts' class of language and length (one block and more is one class); a small
-    class takes its language's median; ``depth`` counts how far the text's rate is below the median, in the language's spreads.
-    Medians and quartiles are over one row for each different text, so that copies of a page don't move them. Texts too short for a rate have null rates.
+    """(id, language, n, text_rate, outline_rate, marks_rate, depth, n_signs, sign_share, repeated) of every text that isn't null.
+
+    Rates are against the median of the texts' class of language and length (one block and more is one class), blended with
+    the median of the language and of its script by the numbers of texts; ``depth`` counts how far the text's rate is below
+    the median, in the script's spreads. Medians and quartiles are over one row for each different text, so that copies of a
+    page don't move them. ``n_signs`` links, tags and hashtags hold ``sign_share`` of the characters. A text of fewer than
+    LEAST_CHARS characters has null rates; only there ``repeated`` is the share of words that stand before in it, 0 with a
+    sentence mark.
     """
-    m = cut(df.select(F.col(text).cast("string").alias("_t"), F.col(key).cast("string").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("hash")).mapInArrow(_measure, "id string, hash bigint, language string, n bigint, size int, packed double, outline double, marks double"))
-    some = m.where("packed is not null").select("hash", "language", "size", "packed", "outline", "marks").dropDuplicates(["hash"])
+    own = F.col(text).cast("string")
+    m = cut(df.select(own.alias("_t"), F.col(key).cast("string").alias("id"), F.xxhash64(own).alias("hash")).mapInArrow(_measure, "id string, hash bigint, language string, script string, n bigint, size int, packed double, outline double, marks double, n_signs int, sign_share double, repeated double"))
+    some = m.where("packed is not null").select("hash", "language", "script", "size", "packed", "outline", "marks").dropDuplicates(["hash"])
+    # keywords have no frequent words, so what is of no known language is measured by all texts of the script
+    some = some.select(F.explode(F.when(F.col("script") == F.col("language"), F.array("language")).otherwise(F.array("language", "script"))).alias("language"), *(c for c in some.columns if c != "language"))
     median = lambda c: F.percentile_approx(c, 0.5, 1000)
-    by_class = some.groupBy("language", "size").agg(F.count(F.lit(1)).alias("rows"), median("packed").alias("p"), median("outline").alias("o"))
-    by_language = some.groupBy("language").agg(median("packed").alias("lp"), median("outline").alias("lo"), median("marks").alias("lm"))
-    # at most ten languages by eleven lengths
-    usual = F.broadcast(by_class.join(F.broadcast(by_language), "language"))
-    own = F.col("rows") >= CLASS_ROWS
-    rate = lambda c, mine, whole: F.try_divide(F.col(c), F.when(own, F.col(mine)).otherwise(F.col(whole)))
-    rated = m.join(usual, ["language", "size"], "left").select("id", "hash", "language", "n", rate("packed", "p", "lp").alias("text_rate"), rate("outline", "o", "lo").alias("outline_rate"), F.when(F.col("lm") > 0.002, F.col("marks") / F.col("lm")).alias("marks_rate"))
+    by_class = some.groupBy("language", "size").agg(F.count(F.lit(1)).alias("n_class"), median("packed").alias("p"), median("outline").alias("o"))
+    by_language = some.groupBy("script", "language").agg(F.count(F.lit(1)).alias("n_language"), median("packed").alias("lp"), median("outline").alias("lo"), median("marks").alias("lm"))
+    by_script = some.groupBy("script").agg(median("packed").alias("sp"), median("outline").alias("so"), median("marks").alias("sm"))
+    blend = lambda a, b, n: (F.col(n) * a + BLEND_ROWS * b) / (F.col(n) + BLEND_ROWS)
+    tongues = by_language.join(F.broadcast(by_script), "script").select("language", *(blend(F.col(f"l{c}"), F.col(f"s{c}"), "n_language").alias(f"l{c}") for c in "pom"))
+    # at most fourteen languages by eleven lengths
+    usual = F.broadcast(by_class.join(F.broadcast(tongues), "language").select("language", "size", "lm", *(blend(F.col(c), F.col(f"l{c}"), "n_class").alias(c) for c in "po")))
+    rated = m.join(usual, ["language", "size"], "left").select("id", "hash", "language", "script", "n", F.try_divide("packed", "p").alias("text_rate"), F.try_divide("outline", "o").alias("outline_rate"), F.when(F.col("lm") > 0.002, F.col("marks") / F.col("lm")).alias("marks_rate"), "n_signs", "sign_share", F.when(F.col("packed").isNull(), F.col("repeated") * (1 - F.col("marks"))).alias("repeated"))
     middle, upper = (F.percentile_approx("text_rate", q, 1000) for q in (0.5, 0.75))
-    spread = rated.select("hash", "language", "text_rate").dropDuplicates(["hash"]).groupBy("language").agg(F.greatest((upper - middle) * QUARTILES, F.lit(LEAST_SPREAD)).alias("spread"))
-    return rated.join(F.broadcast(spread), "language", "left").withColumn("depth", (1 - F.col("text_rate")) / F.col("spread")).drop("spread", "hash")
+    spread = rated.select("hash", "script", "text_rate").dropDuplicates(["hash"]).groupBy("script").agg(F.greatest((upper - middle) * QUARTILES, F.lit(LEAST_SPREAD)).alias("spread"))
+    return rated.join(F.broadcast(spread), "script", "left").withColumn("depth", (1 - F.col("text_rate")) / F.col("spread")).select("id", "language", "n", "text_rate", "outline_rate", "marks_rate", "depth", "n_signs", "sign_share", "repeated")
 
 
 def is_stuffed() -> Column:
-    """The rule on the rates; false where a text is too short for them."""
+    """The rule on the rates, and on signs and words where a text is too short for rates or has no script to compare with."""
     confirmed = (F.col("marks_rate") < FEW_MARKS) & (F.least("text_rate", "outline_rate") < REDUNDANT)
-    return F.coalesce((F.col("depth") + 1 - F.col("outline_rate") > F.when(F.col("marks_rate").isNull(), EXTREME_UNMARKED).otherwise(EXTREME)) | F.coalesce(confirmed, F.lit(False)), F.lit(False))
+    short = (F.col("text_rate").isNull() | (F.col("language") == "none")) & (((F.col("n_signs") > 1) & (F.col("sign_share") >= SIGN_SHARE)) | (F.col("repeated") >= REPEATED_SHARE))
+    extreme = F.col("depth") + 1 - F.col("outline_rate") > F.when(F.col("marks_rate").isNull(), EXTREME_UNMARKED).otherwise(EXTREME)
+    return F.coalesce(extreme, F.lit(False)) | F.coalesce(confirmed, F.lit(False)) | F.coalesce(short, F.lit(False))

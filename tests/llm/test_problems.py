@@ -348,6 +348,14 @@ def test_stuffed_pages(spark):
     assert stuffing.redundancy(spark.createDataFrame([], "id string, body string"), "id", "body").count() == 0
 
 
+def test_short_and_long_tags_and_short_bodies(spark):
+    rows = [("tags", "#手机壳 #钢化膜# #包邮"), ("links", "https://a.example/1 https://b.example/2"), ("words", "手机壳 膜 手机壳 膜 手机壳 手机壳 膜"), ("one", "#电影# 今晚去看"), ("talk", "好看，好看，真好看。"), ("laugh", "哈哈哈哈哈哈"), ("two", "推荐 #电影# #追剧# 这部片子的摄影真的很用心")]
+    rows += [("wide", " ".join("#" + "好" * 60 + str(k) + "#" for k in range(30))), ("cells", "".join(f'<td data-x="{"a" * 400}{k}">1</td>' for k in range(20)))]
+    rows += [(f"p{k}", t) for k, (t, j) in enumerate(quality.labelled_documents(600, 5)) if not j]
+    got = stuffing.redundancy(spark.createDataFrame(rows, "id string, body string"), "id", "body").where(stuffing.is_stuffed())
+    assert {x.id for x in got.collect() if x.id[0] != "p"} == {"tags", "links", "words", "wide", "cells"}
+
+
 def test_stuffed_pages_that_are_many(spark):
     r = random.Random(4)
     signs, thai = [chr(c) for c in range(0x4E00, 0x4E00 + 700)], [chr(c) for c in range(0xE01, 0xE2F)]
@@ -360,7 +368,7 @@ def test_stuffed_pages_that_are_many(spark):
     copy = f"{word(signs, 4)}资源。" * 40
     rows += [(f"s{k}", copy) for k in range(90, 690)]  # two thirds of the rows are one page
     got = stuffing.redundancy(spark.createDataFrame(rows, "id string, body string"), "id", "body")
-    assert set(got.columns) == {"id", "language", "n", "text_rate", "outline_rate", "marks_rate", "depth"}
+    assert set(got.columns) == {"id", "language", "n", "text_rate", "outline_rate", "marks_rate", "depth", "n_signs", "sign_share", "repeated"}
     found = {x.id for x in got.where(stuffing.is_stuffed()).collect()}
     assert found == {k for k, _ in rows if k[0] == "s"}
 
