@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from millrace.functions.text import grams
-from millrace.plans.lineage import cut
+from millrace.plans.lineage import cut, written
 
 #: Near copies: Jaccard of the grams at least, or containment in the larger text at least.
 JACCARD, CONTAINMENT = 0.84, 0.94
 #: Rare grams that two texts must share before their whole sets are compared.
 MEETINGS = 6
+#: Buckets of the counts of grams that a broadcast array holds, a power of 2.
+BUCKETS = 1 << 20
+#: Texts are worked on together up to so many characters.
+SLICE_CHARS = 1 << 20
+
+
+def digest(c: Column) -> Column:
+    """128 bits of the SHA-256 of a normalised text, in hexadecimal; '' for a text without letters and for null."""
+    return F.when(F.coalesce(c, F.lit("")) == "", "").otherwise(F.substring(F.sha2(c, 256), 1, 32))
 
 
 def collapse_copies(df: DataFrame, keys: list[str], order: list[Column], id_col: str = "id") -> DataFrame:
     """(keys, representative, n_copies): one row for each group of rows equal in ``keys``; the representative is greatest in
     ``order``, then in id. Rows with an empty last key are left out. Combined before the shuffle, so that a group of any
-    size sends one row from each task."""
+    size sends one row from each task; with digests of texts as keys no text is shuffled."""
     return df.where(F.col(keys[-1]) != "").groupBy(*keys).agg(F.max_by(id_col, F.struct(*order, F.col(id_col))).alias("representative"), F.count(F.lit(1)).alias("n_copies"))
 
 
@@ -27,10 +39,12 @@ def copy_families(df: DataFrame, same: DataFrame | None = None, independent: Dat
 
     ``df`` has id, fingerprint. Rows of one fingerprint are a family, except those that are reviewed as independent of the
     family's first row; pairs reviewed as the same join families. ``same`` and ``independent`` have left_id, right_id.
-    Components are found by rounds of least labels with halving of the paths; each round is written to the shared folder.
+    A fingerprint's first row is found by its digest, combined before the shuffle; rows with an empty or null one take no
+    part. Components are found by rounds of least labels; each round is written to the shared folder.
     """
-    first = F.min("id").over(Window.partitionBy("fingerprint"))
-    label = df.select("id", F.when(F.col("fingerprint") == "", F.col("id")).otherwise(first).alias("family"))
+    rows = df.select("id", digest(F.col("fingerprint")).alias("_d"))
+    first = rows.where("_d != ''").groupBy("_d").agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_d", "_first")
+    label = rows.join(first, "_d", "left").select("id", F.coalesce("_first", "id").alias("family"))
     if independent is not None:
         apart = independent.select(F.least("left_id", "right_id").alias("_a"), F.greatest("left_id", "right_id").alias("_b")).distinct()
         label = label.join(apart, (F.col("family") == F.col("_a")) & (F.col("id") == F.col("_b")), "left").select("id", F.when(F.col("_a").isNull(), F.col("family")).otherwise(F.col("id")).alias("family"))
@@ -47,9 +61,76 @@ def copy_families(df: DataFrame, same: DataFrame | None = None, independent: Dat
         label = cut(label.join(better, label.family == better.lf, "left").select("id", F.coalesce("to", "family").alias("family")))
 
 
-def gram_rows(df: DataFrame) -> DataFrame:
-    """(batch, id, grams, n) of rows with text: the set of each text's grams of three characters."""
-    return df.select("batch", "id", grams(F.col("norm")).alias("grams")).withColumn("n", F.size("grams")).where("n > 0")
+def _gram_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, gram) of the sets of runs of three characters of these texts, ordered; a gram is its three code points."""
+    p = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    if len(p) < 3:
+        return row[:0], p[:0]
+    g = p[:-2] << 42 | p[1:-1] << 21 | p[2:]
+    ok = row[:-2] == row[2:]
+    row, g = row[:-2][ok], g[ok]
+    order = np.lexsort((g, row))
+    row, g = row[order], g[order]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
+    return row[new], g[new]
+
+
+def _keys(group: list[str | None], row: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """A number for each (group, gram). Two of one number only make more candidates."""
+    known: dict[str | None, int] = {}
+    of = np.array([known[b] if b in known else known.setdefault(b, zlib.crc32((b or "\0").encode())) for b in group], np.uint64)
+    with np.errstate(over="ignore"):
+        h = (g.astype(np.uint64) ^ (of[row] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batch in slices of about SLICE_CHARS characters of its text column, with those texts; '' for null."""
+    texts = [t or "" for t in batch.column(column).to_pylist()]
+    ends = np.cumsum([len(t) for t in texts])
+    k = 0
+    while k < len(texts):
+        end = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + SLICE_CHARS, side="right")))
+        yield batch.slice(k, end - k), texts[k:end]
+        k = end
+
+
+def _lists(row: np.ndarray, values: pa.Array, n: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]).astype(np.int32)), values)
+
+
+def with_grams(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` and grams, the set of a normalised text's runs of three characters as numbers, ordered."""
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "grams array<bigint>"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in _slices(batch, 0):
+                row, g = _gram_sets(texts)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], _lists(row, pa.array(g), part.num_rows)], names=[*keep, "grams"])
+
+    return df.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
+
+
+def _rarity(df: DataFrame) -> np.ndarray:
+    """About how many texts hold a gram, by BUCKETS buckets of keys: tasks send sums, and the driver gets a number a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for part, texts in _slices(batch, 1):
+                row, g = _gram_sets(texts)
+                total += np.bincount(_keys(part.column(0).to_pylist(), row, g) & (BUCKETS - 1), minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["b", "n"])
+
+    got = df.select("batch", "norm").mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
+    out = np.zeros(BUCKETS, np.int64)
+    out[got.column("b").to_numpy()] = got.column("n").to_numpy()
+    return out
 
 
 def near_pairs(df: DataFrame, jaccard: float = JACCARD, containment: float = CONTAINMENT) -> DataFrame:
@@ -57,57 +138,77 @@ def near_pairs(df: DataFrame, jaccard: float = JACCARD, containment: float = CON
 
     ``df`` has batch, id, norm (normalised text), one row for each different text of a batch (see collapse_copies). Exact:
     of a text of n grams that is contained to c in another, the other lacks n - ceil(c n) at most, so that any of its
-    n - ceil(c n) + k grams have k in common with the other. Only each text's rarest grams look up the others', pairs that
-    meet k times are candidates, and these are verified on the whole sets.
+    n - ceil(c n) + k grams have k in common with the other; and the rarest of two texts alike to c meet in the same way,
+    as all order their grams alike. Only each text's rarest grams look up others', pairs that meet k times are candidates,
+    and these are verified on the whole sets. Which grams are rare is taken from counts by buckets, of a fixed size: they
+    decide on the work and not on the result. Null batches are no batch.
     """
-    sets = cut(gram_rows(df))
-    each = sets.select("batch", "id", "n", F.explode("grams").alias("gram"))
-    frequency = each.groupBy("batch", "gram").agg(F.count(F.lit(1)).alias("df"))
-    ranked = each.join(frequency, ["batch", "gram"]).where("df > 1")
-    own = Window.partitionBy("batch", "id")
-    # grams of one text only can't meet another; they are the rarest, so the prefix shrinks by their number
-    ranked = ranked.withColumns({"rank": F.row_number().over(own.orderBy("df", "gram")), "alone": F.col("n") - F.count(F.lit(1)).over(own)})
+    df = df.where("batch is not null")
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(_rarity(df))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rarity = shared.value
+        for batch in batches:
+            for part, texts in _slices(batch, 2):
+                row, g = _gram_sets(texts)
+                key = _keys(part.column(1).to_pylist(), row, g)
+                count = rarity[key & (BUCKETS - 1)]
+                some = count > 1  # a gram of one text only can't meet another
+                n = np.bincount(row, minlength=part.num_rows)
+                alone = n - np.bincount(row[some], minlength=part.num_rows)
+                row, key, count = row[some], key[some], count[some]
+                order = np.lexsort((key, count, row))
+                row, key = row[order], key[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row)
+                prefix = lambda c: n - np.ceil(c * n - 1e-9) + np.minimum(MEETINGS, np.ceil(c * n - 1e-9)) - alone  # noqa: E731, B023
+                cols = [_lists(row, x, part.num_rows) for x in (pa.array(key), pa.array(rank < prefix(containment)[row]), pa.array(rank < prefix(jaccard)[row]))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int32)), *cols], names=["id", "n", "key", "probe", "head"])
+
+    kind = df.schema["id"].dataType.simpleString()
+    rows = df.select("id", "batch", "norm").mapInArrow(run, f"id {kind}, n int, key array<bigint>, probe array<boolean>, head array<boolean>")
+    each = rows.select("id", "n", F.inline(F.arrays_zip("key", "probe", "head")))
+    probe = each.where("probe or head").select("key", F.col("id").alias("a"), F.col("n").alias("na"), "probe", F.col("head").alias("head_a"))
+    every = each.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("head").alias("head_b"))
     need = lambda c, n: F.least(F.lit(MEETINGS), F.ceil(F.lit(c) * F.col(n) - 1e-9))
-    prefix = lambda c: F.col("n") - F.ceil(F.lit(c) * F.col("n") - 1e-9) + need(c, "n") - F.col("alone")
-    ranked = cut(ranked.select("batch", "id", "n", "gram", (F.col("rank") <= prefix(containment)).alias("probe"), (F.col("rank") <= prefix(jaccard)).alias("head")))
-    probe = ranked.where("probe").select("batch", "gram", F.col("id").alias("a"), F.col("n").alias("na"))
-    every = ranked.select("batch", "gram", F.col("id").alias("b"), F.col("n").alias("nb"))
-    met = probe.join(every, ["batch", "gram"]).where("a != b and na <= nb").groupBy("batch", "a", "b", "na").agg(F.count(F.lit(1)).alias("k"))
-    contained = met.where(F.col("k") >= need(containment, "na")).select("batch", F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"))
-    head = ranked.where("head").select("batch", "gram", F.col("id").alias("a"), F.col("n").alias("na"))
-    other = head.withColumnsRenamed({"a": "b", "na": "nb"})
-    met = head.join(other, ["batch", "gram"]).where(F.expr(f"a < b and na >= {jaccard} * nb - 1e-9 and nb >= {jaccard} * na - 1e-9")).groupBy("batch", "a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
-    alike = met.where(F.col("k") >= F.least(need(jaccard, "na"), need(jaccard, "nb"))).select("batch", F.col("a").alias("left_id"), F.col("b").alias("right_id"))
-    pairs = contained.unionByName(alike).distinct()
-    side = lambda name: sets.select("batch", F.col("id").alias(f"{name}_id"), F.col("grams").alias(f"{name}_grams"), F.col("n").alias(f"n_{name}"))
-    found = pairs.join(side("left"), ["batch", "left_id"]).join(side("right"), ["batch", "right_id"]).withColumn("n_common", F.size(F.array_intersect("left_grams", "right_grams")))
+    in_other = F.col("probe") & (F.col("na") <= F.col("nb"))
+    alike = F.expr(f"head_a and head_b and a < b and na >= {jaccard} * nb - 1e-9 and nb >= {jaccard} * na - 1e-9")
+    met = probe.join(every, "key").where(F.col("a") != F.col("b")).where(in_other | alike).groupBy("a", "b", "na", "nb").agg(F.count_if(in_other).alias("contained"), F.count_if(alike).alias("alike"))
+    enough = ((F.col("contained") > 0) & (F.col("contained") >= need(containment, "na"))) | ((F.col("alike") > 0) & (F.col("alike") >= F.least(need(jaccard, "na"), need(jaccard, "nb"))))
+    pairs = written(met.where(enough).select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")).distinct())
+    ids = pairs.select(F.col("left_id").alias("id")).union(pairs.select("right_id")).distinct()
+    sets = with_grams(df.join(ids, "id", "left_semi"), "norm", ["id", "batch"])
+    side = lambda name: sets.select(F.col("id").alias(f"{name}_id"), F.col("batch").alias(f"{name}_batch"), F.col("grams").alias(f"{name}_grams"), F.size("grams").alias(f"n_{name}"))
+    found = pairs.join(side("left"), "left_id").join(side("right"), "right_id").where("left_batch = right_batch").withColumn("n_common", F.size(F.array_intersect("left_grams", "right_grams")))
     union = F.col("n_left") + F.col("n_right") - F.col("n_common")
     near = (F.col("n_common") >= F.lit(jaccard) * union - 1e-9) | (F.col("n_common") >= F.lit(containment) * F.least("n_left", "n_right") - 1e-9)
-    return found.where(near).select("batch", "left_id", "right_id", "n_common", "n_left", "n_right")
+    return found.where(near).select(F.col("left_batch").alias("batch"), "left_id", "right_id", "n_common", "n_left", "n_right")
 
 
 def greedy_survivors(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """(batch, id, kept_id): rows in order of ``place``; a row is dropped for the first kept row that it is a near copy of.
 
     ``rows`` has batch, id, place (a total order of a batch); ``pairs`` left_id, right_id. kept_id is the row itself where
-    it is kept. Not transitive: a row that is like dropped ones only is kept. Rounds decide all rows whose earlier
-    neighbours are decided; each is written to the shared folder.
+    it is kept. Not transitive: a row that is like dropped ones only is kept. Only rows with an earlier neighbour take part
+    in the rounds; each decides all rows whose earlier neighbours are decided, and is written to the shared folder.
     """
-    place = rows.select("id", "batch", "place")
+    place = rows.select("id", "place")
     lp, rp = (place.select(F.col("id").alias(f"{s}_id"), F.col("place").alias(s)) for s in ("left", "right"))
-    ordered = pairs.select("left_id", "right_id").join(lp, "left_id").join(rp, "right_id")
-    earlier = cut(ordered.select(F.when(F.col("left") < F.col("right"), F.col("left_id")).otherwise(F.col("right_id")).alias("first"), F.when(F.col("left") < F.col("right"), F.col("right_id")).otherwise(F.col("left_id")).alias("id"), F.least("left", "right").alias("first_place")))
-    state = cut(place.select("batch", "id", F.lit(None).cast("string").alias("kept_id")))
+    both = pairs.select("left_id", "right_id").join(lp, "left_id").join(rp, "right_id")
+    first_left = F.col("left") < F.col("right")
+    earlier = written(both.select(F.when(first_left, F.col("left_id")).otherwise(F.col("right_id")).alias("first"), F.when(first_left, F.col("right_id")).otherwise(F.col("left_id")).alias("id"), F.least("left", "right").alias("first_place")))
+    state = earlier.select("id").distinct().withColumn("kept_id", F.lit(None).cast(rows.schema["id"].dataType))
     while True:
-        known = state.select(F.col("id").alias("first"), F.col("kept_id").alias("first_kept"))
-        seen = earlier.join(known, "first").groupBy("id").agg(
-            F.count_if(F.col("first_kept").isNull()).alias("open"), F.min_by("first", F.when(F.col("first_kept") == F.col("first"), F.col("first_place"))).alias("by"),
-            F.min(F.when(F.col("first_kept").isNull(), F.col("first_place"))).alias("open_place"), F.min(F.when(F.col("first_kept") == F.col("first"), F.col("first_place"))).alias("by_place"))
-        # the first kept neighbour is known once no earlier neighbour before it is open
-        decided = F.when(F.col("kept_id").isNotNull(), F.col("kept_id")).when(F.col("by_place").isNotNull() & (F.col("open_place").isNull() | (F.col("by_place") < F.col("open_place"))), F.col("by")).when(F.coalesce("open", F.lit(0)) == 0, F.col("id"))
-        state = cut(state.join(seen, "id", "left").select("batch", "id", decided.alias("kept_id")))
+        known = state.select(F.col("id").alias("first"), F.col("kept_id").alias("_kept"), F.lit(True).alias("_late"))
+        # a neighbour without earlier neighbours of its own is kept
+        seen = earlier.join(known, "first", "left").withColumn("first_kept", F.when(F.col("_late").isNull(), F.col("first")).otherwise(F.col("_kept")))
+        stays = F.col("first_kept") == F.col("first")
+        seen = seen.groupBy("id").agg(F.min_by("first", F.when(stays, F.col("first_place"))).alias("by"), F.min(F.when(F.col("first_kept").isNull(), F.col("first_place"))).alias("open_place"), F.min(F.when(stays, F.col("first_place"))).alias("by_place"))
+        # the first kept neighbour is known once no neighbour before it is open
+        decided = F.when(F.col("by_place").isNotNull() & (F.col("open_place").isNull() | (F.col("by_place") < F.col("open_place"))), F.col("by")).when(F.col("open_place").isNull(), F.col("id"))
+        state = written(state.join(seen, "id", "left").select("id", F.coalesce("kept_id", decided).alias("kept_id")))
         if not state.where("kept_id is null").limit(1).count():
-            return state
+            return rows.select("batch", "id").join(state, "id", "left").select("batch", "id", F.coalesce("kept_id", "id").alias("kept_id"))
 
 
 def memberships(rows: DataFrame, reps: DataFrame, kept: DataFrame) -> DataFrame:

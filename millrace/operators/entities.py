@@ -4,17 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from millrace.functions.text import host, normalized
-from millrace.plans.lineage import fits_broadcast
-
-#: Registries up to this many rows are broadcast.
-BROADCAST_SUBJECTS = 50_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, BROADCAST_SUBJECTS) else df
+from millrace.plans.lineage import small
 
 
 def unambiguous(registry: DataFrame, key: Column) -> DataFrame:
@@ -24,7 +16,7 @@ def unambiguous(registry: DataFrame, key: Column) -> DataFrame:
 
 def by_alias(sources: DataFrame, registry: DataFrame) -> DataFrame:
     """(id, subject) of sources whose normalised author is an unambiguous alias; subject null elsewhere."""
-    return sources.select("id", normalized(F.col("author")).alias("key")).join(_small(unambiguous(registry, normalized(F.col("name")))), "key", "left").select("id", "subject")
+    return sources.select("id", normalized(F.col("author")).alias("key")).join(small(unambiguous(registry, normalized(F.col("name")))), "key", "left").select("id", "subject")
 
 
 def host_suffixes(h: Column) -> Column:
@@ -39,7 +31,7 @@ def by_domain(sources: DataFrame, domains: DataFrame) -> DataFrame:
     ``domains`` has domain, subject. Sources without host or match are left out; level domains go by the domain's name.
     """
     rows = sources.select("id", host(F.col("url")).alias("h")).where("h != ''").select("id", F.posexplode(host_suffixes(F.col("h"))).alias("depth", "domain"))
-    return rows.join(_small(domains.dropDuplicates(["domain"])), "domain").groupBy("id").agg(F.min_by(F.struct("domain", "subject"), F.struct("depth", "domain")).alias("m")).select("id", "m.domain", "m.subject")
+    return rows.join(small(domains.dropDuplicates(["domain"])), "domain").groupBy("id").agg(F.min_by(F.struct("domain", "subject"), F.struct("depth", "domain")).alias("m")).select("id", "m.domain", "m.subject")
 
 
 def by_certification(sources: DataFrame, registry: DataFrame) -> DataFrame:
@@ -53,10 +45,5 @@ def by_certification(sources: DataFrame, registry: DataFrame) -> DataFrame:
     row = lengths.collect()[0].lengths or []
     infos = sources.select("id", normalized(F.col("certification_info")).alias("info"), F.array(*map(F.lit, row)).cast("array<int>").alias("lengths")).where("info != ''")
     pieces = F.array_distinct(F.flatten(F.transform("lengths", lambda n: F.when(F.length("info") >= n, F.transform(F.sequence(F.lit(1), F.length("info") - n + 1), lambda i: F.substring(F.col("info"), i, n))).otherwise(F.array().cast("array<string>")))))
-    hits = infos.select("id", F.explode(pieces).alias("key")).join(_small(names), "key")
+    hits = infos.select("id", F.explode(pieces).alias("key")).join(small(names), "key")
     return hits.groupBy("id").agg(F.count_distinct("subject").alias("n"), F.max_by("subject", F.length("key")).alias("subject")).where("n = 1").select("id", "subject")
-
-
-def rank_in(df: DataFrame, group: str, *order: Column) -> DataFrame:
-    """``df`` with place: the row's place in its group, from 1, by a total order."""
-    return df.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))

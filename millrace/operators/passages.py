@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.text import clean, grams, normalized
-from millrace.operators.evidence import spans_of
-from millrace.plans.lineage import cut
+from millrace.operators.evidence import with_span_lists
+from millrace.plans.lineage import cut, small
+from millrace.plans.ranking import first_of
 
 # Entities that exports leave in texts, and what each stands for.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -84,13 +83,7 @@ def segments(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 def windows(df: DataFrame, most: int = 3) -> DataFrame:
     """(id, batch, start, end, fragment): every run of one to ``most`` consecutive sentence spans. ``df`` has id, batch, text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for b in batches:
-            got = [[{"start": x, "end": y} for x, y in spans_of(t)] if t else [] for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, kind)], names=["id", "batch", "text", "spans"])
-
-    spans = df.select("id", "batch", "text").mapInArrow(run, "id string, batch string, text string, spans array<struct<start:int,end:int>>")
+    spans = with_span_lists(df, "text", ["id", "batch", "text"])
     n = F.size("spans")
     each = F.flatten(F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.transform(F.sequence(i, F.least(i + most, n) - 1), lambda j: F.struct(F.get("spans", i)["start"].alias("start"), F.get("spans", j)["end"].alias("end")))))
     return spans.select("id", "batch", "text", F.inline(each)).select("id", "batch", "start", "end", F.expr("substring(text, start + 1, end - start)").alias("fragment"))
@@ -102,7 +95,7 @@ def best_windows(df: DataFrame, batches: DataFrame, opinion: str, most: int = 2)
     A window gains 20 for each strong and 8 for each weak term of its batch and 3 for each word of opinion.
     """
     hits = lambda terms: F.size(F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda t: (F.length(t) >= 2) & F.contains(F.col("fragment"), t)))
-    w = windows(df, most).join(F.broadcast(batches.select("batch", "strong_terms", "weak_terms")), "batch")
+    w = windows(df, most).join(small(batches.select("batch", "strong_terms", "weak_terms")), "batch")
     scored = w.select("id", "start", "end", (hits(F.col("strong_terms")) * 20 + hits(F.col("weak_terms")) * 8 + F.regexp_count("fragment", F.lit(opinion)) * 3).alias("score"))
     return scored.groupBy("id").agg(F.max_by(F.struct("start", "end", "score"), F.struct("score", -F.col("start"), -F.col("end"))).alias("w")).select("id", "w.start", "w.end", "w.score")
 
@@ -150,9 +143,11 @@ def varied(df: DataFrame, group: str, limit: int) -> DataFrame:
     return state.where("place is not null").select(group, "id", "place")
 
 
-def representatives(df: DataFrame, group: str, top: int, low: int, *order: Column) -> DataFrame:
-    """The first ``top`` and the last ``low`` rows of each group in ``order``, with what they stand for."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(group))
-    k = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    r = df.withColumns({"_k": k, "_n": n}).where((F.col("_k") <= top) | (F.col("_k") > F.col("_n") - low))
-    return r.withColumn("stands_for", F.when(F.col("_k") <= top, "strongest").otherwise("weakest")).drop("_k", "_n")
+def representatives(df: DataFrame, group: str, top: int, low: int, order: list[str]) -> DataFrame:
+    """The first ``top`` and the last ``low`` rows of each group by ``order`` (columns, all falling), with what they stand for.
+
+    Both ends are first rows of an order, so that each task passes on only so many rows of a group. A row of both is strong.
+    """
+    strong = first_of(df, [group], top, *(F.desc(c) for c in order)).drop("place").withColumn("stands_for", F.lit("strongest"))
+    weak = first_of(df, [group], low, *(F.asc(c) for c in order)).drop("place").withColumn("stands_for", F.lit("weakest"))
+    return strong.unionByName(weak.join(strong.select("id"), "id", "left_anti"))

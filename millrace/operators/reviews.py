@@ -38,9 +38,17 @@ def conflicts(decisions: DataFrame, group: str, value: str) -> DataFrame:
     return decisions.groupBy(group).agg(F.count_distinct(value).alias("n_values"), F.count(F.lit(1)).alias("n_rows")).where("n_values > 1")
 
 
-def propagated(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """Rows with the decision of their group where it has exactly one; else their own."""
-    one = rows.groupBy(group).agg(F.min(value).alias("_one"), F.count_distinct(value).alias("_n")).where("_n = 1").select(group, "_one")
+def propagated(rows: DataFrame, group: str, value: str, strict: bool = False) -> DataFrame:
+    """Rows with the decision of their group where it has exactly one; else their own.
+
+    Rows without a group (null or '': texts without letters have an empty fingerprint and are no copies of each other) keep
+    their own. Decisions are gathered from the decided rows alone. With ``strict``, groups with different decisions raise
+    ValueError, as where a selection rests on them.
+    """
+    given = rows.where(F.col(group).isNotNull() & (F.col(group) != "") & F.col(value).isNotNull())
+    if strict and (bad := conflicts(given, group, value).limit(5).collect()):
+        raise ValueError(f"different decisions on one group: {[r[group] for r in bad]}")
+    one = given.groupBy(group).agg(F.min(value).alias("_one"), F.max(value).alias("_most")).where("_one = _most").select(group, "_one")
     return rows.join(one, group, "left").withColumn(value, F.coalesce("_one", value)).drop("_one")
 
 

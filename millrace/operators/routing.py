@@ -9,25 +9,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.plans.lineage import small
 
-def keyword_scores(sources: DataFrame, definitions: DataFrame) -> DataFrame:
-    """(id, cluster, def_idx, score): weighted keyword counts of each source for each cluster of its batch.
 
-    ``sources`` has id, batch, title, text; ``definitions`` batch, cluster, def_idx, keywords: array<struct<term, weight>>,
-    a dimension of a few rows a batch. A keyword counts up to three times in the text and twice in the title.
+def routed(sources: DataFrame, definitions: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ranking, array of (score, def_idx, cluster): each source's clusters of its batch, best first, ties to the
+    earlier definition. A score is the sum of weighted keyword counts: of each up to three in the text, two in the title.
+
+    ``sources`` has id, batch, title, text; ``definitions`` batch, cluster, def_idx, keywords: array<struct<term, weight>>, a
+    few rows a batch, which become one row a batch; so a source's clusters are ranked within its row, without a shuffle.
+    Sources of a batch without definitions are left out.
     """
-    d = F.broadcast(definitions)
+    d = small(definitions.groupBy("batch").agg(F.collect_list(F.struct("def_idx", "cluster", "keywords")).alias("_defs")))  # bounded: one batch's definitions
     count = lambda t, w: F.when(F.length(w) > 0, F.try_divide(F.length(t) - F.length(F.replace(t, w, F.lit(""))), F.length(w))).otherwise(0)
     one = lambda k: k.weight * (F.least(F.lit(3.0), count(F.col("text"), k.term)) + F.least(F.lit(2.0), count(F.col("title"), k.term)))
-    score = F.aggregate("keywords", F.lit(0.0), lambda acc, k: acc + one(k))
-    return sources.join(d, "batch").select("id", "cluster", "def_idx", score.alias("score"))
+    score = lambda c: F.aggregate(c.keywords, F.lit(0.0), lambda acc, k: acc + one(k))
+    ranking = F.array_sort(F.transform("_defs", lambda c: F.struct((-score(c)).alias("s"), c.def_idx.alias("def_idx"), c.cluster.alias("cluster"))))
+    return sources.join(d, "batch").select(*keep, F.transform(ranking, lambda x: F.struct((-x.s).alias("score"), x.def_idx.alias("def_idx"), x.cluster.alias("cluster"))).alias("ranking"))
+
+
+def keyword_scores(sources: DataFrame, definitions: DataFrame) -> DataFrame:
+    """(id, score, def_idx, cluster): the score of each source for each cluster of its batch."""
+    return routed(sources, definitions, ["id"]).select("id", F.inline("ranking"))
 
 
-def top_with_margin(scores: DataFrame) -> DataFrame:
-    """(id, cluster, score, margin): each source's best cluster, ties to the earlier definition, and the distance to the best other."""
-    w = Window.partitionBy("id").orderBy(F.desc("score"), "def_idx")
-    ranked = scores.withColumn("n", F.row_number().over(w)).where("n <= 2")
-    return ranked.groupBy("id").agg(F.min_by("cluster", "n").alias("cluster"), F.max(F.when(F.col("n") == 1, F.col("score"))).alias("score"), F.max(F.when(F.col("n") == 2, F.col("score"))).alias("_second")).select("id", "cluster", "score", (F.col("score") - F.coalesce("_second", F.lit(0.0))).alias("margin"))
+def with_best(ranked: DataFrame) -> DataFrame:
+    """``ranked`` with cluster, score and margin, the distance to the best other cluster, in place of its ranking."""
+    top = F.col("ranking")[0]
+    margin = top.score - F.coalesce(F.get("ranking", F.lit(1)).score, F.lit(0.0))
+    return ranked.where(F.size("ranking") > 0).select(*(c for c in ranked.columns if c != "ranking"), top.cluster.alias("cluster"), top.score.alias("score"), margin.alias("margin"))
 
 
 def top_k(scores: DataFrame, group: str, k: int, *order: Column) -> DataFrame:
@@ -70,7 +80,7 @@ def stratified(df: DataFrame, group: str, stratum: str, limit: int, floor: int,
 
     planned = counts.groupBy(group).applyInPandas(plan, f"{group} {df.schema[group].dataType.simpleString()}, stratum string, quota long")
     ranked = df.withColumn("stratum", F.coalesce(stratum, F.lit(""))).withColumn("place", F.row_number().over(Window.partitionBy(group, "stratum").orderBy(*order)))
-    return ranked.join(F.broadcast(planned), [group, "stratum"]).where("place <= quota").drop("quota")
+    return ranked.join(small(planned), [group, "stratum"]).where("place <= quota").drop("quota")
 
 
 def profile(assigned: DataFrame) -> DataFrame:

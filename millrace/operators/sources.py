@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.text import clean, hashtags, iso_timestamp, normalized
+from millrace.plans.lineage import small
 
 #: Post types whose title isn't part of their own text.
 ANSWERS = ("评论", "转帖")
-#: What stands in a file's name for its channel, first match first.
-CHANNELS = (("抖音", "抖音"), ("小红书", "小红书"), ("微博", "微博"), ("公众", "公众文章"), ("头条", "今日头条"), ("新闻", "境内新闻"))
+#: The channels, looked for in this order in a file's and sheet's name, and then other words for two of them.
+CHANNELS = ("境内新闻", "公众文章", "今日头条", "微博", "小红书", "抖音")
+OTHER_WORDS = (("公号", "公众文章"), ("微信", "公众文章"), ("新闻", "境内新闻"))
 
 
 def source_text() -> Column:
@@ -22,12 +24,12 @@ def source_text() -> Column:
     return F.when(plain, own).otherwise(F.concat(title, F.lit(" "), own))
 
 
-def channel_of(name: Column) -> Column:
-    """The channel by the first known word in a file's name; null where none is."""
-    c = None
-    for word, channel in CHANNELS:
-        c = F.when(F.contains(name, F.lit(word)), channel) if c is None else c.when(F.contains(name, F.lit(word)), channel)
-    return c
+def channel_of(name: Column, strict: bool = False) -> Column:
+    """The channel by the names and words that stand in a file's name; where none does null, or with ``strict`` an error."""
+    words = [*zip(CHANNELS, CHANNELS, strict=True), *OTHER_WORDS]
+    found = [F.when(F.contains(name, F.lit(word)), F.lit(channel)) for word, channel in words]
+    unknown = F.raise_error(F.concat(F.lit("no channel in the name "), name)).cast("string") if strict else F.lit(None).cast("string")
+    return F.coalesce(*found, unknown)
 
 
 def file_period(name: Column) -> list[Column]:
@@ -51,12 +53,12 @@ def boundary(c: Column, end: bool = False) -> Column:
 def with_period_state(sources: DataFrame, windows: DataFrame) -> DataFrame:
     """``sources`` with period_state: in_period, out_of_period (the interval is closed) or unconfigured.
 
-    ``windows`` has batch, period_start, period_end, one row a batch, and is broadcast (a fixed dimension). A batch without
+    ``windows`` has batch, period_start, period_end, one row a batch, and is broadcast if it is small. A batch without
     window takes the period from the file's name. Where start, end or time are unreadable the row is unconfigured.
     """
     w = windows.select("batch", boundary(F.col("period_start")).alias("_s"), boundary(F.col("period_end"), end=True).alias("_e"), F.lit(True).alias("_w"))
     s, e = file_period(F.col("source_file"))
-    joined = sources.join(F.broadcast(w), "batch", "left").withColumns({"_s": F.when(F.col("_w"), F.col("_s")).otherwise(s), "_e": F.when(F.col("_w"), F.col("_e")).otherwise(e), "_t": iso_timestamp(F.col("published"))})
+    joined = sources.join(small(w), "batch", "left").withColumns({"_s": F.when(F.col("_w"), F.col("_s")).otherwise(s), "_e": F.when(F.col("_w"), F.col("_e")).otherwise(e), "_t": iso_timestamp(F.col("published"))})
     state = F.when(F.col("_s").isNull() | F.col("_e").isNull() | F.col("_t").isNull(), "unconfigured").when(F.col("_t").between(F.col("_s"), F.col("_e")), "in_period").otherwise("out_of_period")
     return joined.withColumn("period_state", state).drop("_s", "_e", "_t", "_w")
 
@@ -68,7 +70,7 @@ def derived_topics(sources: DataFrame, batches: DataFrame, most: int = 40) -> Da
     ``most`` of each batch by basis, both counts, length and term. Counting is by (batch, term), pre-aggregated.
     """
     cfg = batches.select("batch", F.transform(F.filter("strong_terms", lambda t: F.length(t) >= 2), normalized).alias("_anchors"), F.col("strong_terms").alias("_strong"))
-    rows = sources.join(F.broadcast(cfg), "batch").select("id", "batch", F.exists("_strong", lambda t: (F.length(t) >= 2) & F.contains(F.col("text"), t)).alias("strong"), "_anchors", F.explode(F.array_distinct(hashtags(F.col("text")))).alias("term"))
+    rows = sources.join(small(cfg), "batch").select("id", "batch", F.exists("_strong", lambda t: (F.length(t) >= 2) & F.contains(F.col("text"), t)).alias("strong"), "_anchors", F.explode(F.array_distinct(hashtags(F.col("text")))).alias("term"))
     compact = normalized(F.col("term"))
     rows = rows.where(F.length(compact).between(4, 36) & ~F.exists("_anchors", lambda a: F.contains(compact, a) | F.contains(a, compact)))
     counted = rows.groupBy("batch", "term").agg(F.count_distinct(F.when(F.col("strong"), F.col("id"))).alias("n_supporting"), F.count_distinct("id").alias("n_sources")).where("n_supporting >= 2 or n_sources >= 3")

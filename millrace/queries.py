@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import checks, dedup, entities, evidence, links, passages, reviews, routing, sources
 from millrace.operators.instants import utc_micros
+from millrace.plans.lineage import small, written
+from millrace.plans.ranking import first_of, ranked
 from millrace.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,7 +78,9 @@ def stable_id(spark, d):
     return table(spark, d, "records").select("id", T.stable_id(F.col("source_path"), F.col("sheet"), F.col("row_no").cast("string"), F.col("id")).alias("stable_id"))
 
 
-@query("SELECT source_file, CASE " + " ".join(f"WHEN contains(source_file, '{w}') THEN '{c}'" for w, c in sources.CHANNELS) + " END AS channel FROM source_files")
+@query("""SELECT source_file, CASE WHEN contains(source_file, '境内新闻') THEN '境内新闻' WHEN contains(source_file, '公众文章') THEN '公众文章' WHEN contains(source_file, '今日头条') THEN '今日头条'
+WHEN contains(source_file, '微博') THEN '微博' WHEN contains(source_file, '小红书') THEN '小红书' WHEN contains(source_file, '抖音') THEN '抖音'
+WHEN contains(source_file, '公号') OR contains(source_file, '微信') THEN '公众文章' WHEN contains(source_file, '新闻') THEN '境内新闻' END AS channel FROM source_files""")
 def channel_inference(spark, d):
     return table(spark, d, "source_files").select("source_file", sources.channel_of(F.col("source_file")).alias("channel"))
 
@@ -136,7 +140,7 @@ def length_score(spark, d):
 @query(f"WITH {_SOURCES} SELECT s.id, array_to_string(list_filter(b.strong_terms, lambda t: length(t) >= 2 AND contains(s.text, t)), '|') AS hits FROM sources s JOIN batches b USING (batch)")
 def term_hits(spark, d):
     cfg = table(spark, d, "batches").select("batch", "strong_terms")
-    return source_rows(spark, d).join(F.broadcast(cfg), "batch").select("id", F.array_join(T.term_hits(F.col("text"), F.col("strong_terms")), "|").alias("hits"))
+    return source_rows(spark, d).join(small(cfg), "batch").select("id", F.array_join(T.term_hits(F.col("text"), F.col("strong_terms")), "|").alias("hits"))
 
 
 @query(f"""WITH {_SOURCES}, t AS (SELECT s.id, s.text, unnest(b.strong_terms) AS term FROM sources s JOIN batches b USING (batch)),
@@ -147,7 +151,7 @@ SELECT s.id, coalesce(c.n, 0)::BIGINT AS n_spans, coalesce(c.first, -1)::BIGINT
 FROM (SELECT s.* FROM sources s JOIN batches b USING (batch)) s LEFT JOIN c USING (id)""")
 def anchor_density(spark, d):
     cfg = table(spark, d, "batches").select("batch", "strong_terms")
-    s = source_rows(spark, d).join(F.broadcast(cfg), "batch").select("id", "text", T.merged_spans(F.col("text"), F.col("strong_terms")).alias("spans"))
+    s = source_rows(spark, d).join(small(cfg), "batch").select("id", "text", T.merged_spans(F.col("text"), F.col("strong_terms")).alias("spans"))
     n = F.size("spans")
     return s.select("id", n.cast("bigint").alias("n_spans"), F.coalesce(F.try_element_at("spans", F.lit(1)).a, F.lit(-1)).cast("bigint").alias("first_at"), F.least(F.lit(1.0), n * 120.0 / F.greatest(F.length("text"), F.lit(1))).alias("density"))
 
@@ -198,7 +202,7 @@ g AS (SELECT id, CASE WHEN n = 0 THEN 'exclude:no text' WHEN hits = 0 THEN 'excl
 SELECT id, split_part(r, ':', 1) AS decision, split_part(r, ':', 2) AS reason FROM g""")
 def rule_gate(spark, d):
     cfg = table(spark, d, "batches").select("batch", "strong_terms")
-    f = source_rows(spark, d).join(F.broadcast(cfg), "batch").select("id", "text", F.length(T.normalized(F.col("text"))).alias("n"), F.size(T.term_hits(F.col("text"), F.col("strong_terms"))).alias("hits"))
+    f = source_rows(spark, d).join(small(cfg), "batch").select("id", "text", F.length(T.normalized(F.col("text"))).alias("n"), F.size(T.term_hits(F.col("text"), F.col("strong_terms"))).alias("hits"))
     return f.select("id", links.first_match(_rules(F.col("text"), F.col("n"), F.col("hits")), "retain", "default").alias("r")).select("id", "r.decision", "r.reason")
 
 
@@ -214,12 +218,16 @@ def prints(spark, d):
     return source_rows(spark, d).select("id", "batch", T.normalized(F.col("text")).alias("fingerprint"), F.length("text").alias("len"))
 
 
+def digests(spark, d):
+    return prints(spark, d).select("id", "batch", dedup.digest(F.col("fingerprint")).alias("digest"), "len")
+
+
 _PRINTS = f"{_SOURCES}, prints AS (SELECT id, batch, {_norm('text')} AS fingerprint, length(text) AS len FROM sources)"
 
 
-@query(f"WITH {_PRINTS} SELECT batch, fingerprint, arg_max(id, (len, id)) AS representative, count(*)::BIGINT AS n_copies FROM prints WHERE fingerprint <> '' GROUP BY batch, fingerprint")
+@query(f"WITH {_PRINTS} SELECT batch, substring(sha256(fingerprint), 1, 32) AS digest, arg_max(id, (len, id)) AS representative, count(*)::BIGINT AS n_copies FROM prints WHERE fingerprint <> '' GROUP BY batch, fingerprint")
 def exact_copy_collapse(spark, d):
-    return dedup.collapse_copies(prints(spark, d), ["batch", "fingerprint"], [F.col("len")])
+    return dedup.collapse_copies(digests(spark, d), ["batch", "digest"], [F.col("len")])
 
 
 @query(f"WITH {_PRINTS} SELECT id, CASE WHEN fingerprint = '' THEN id ELSE min(id) OVER (PARTITION BY fingerprint) END AS family FROM prints")
@@ -228,7 +236,7 @@ def copy_families(spark, d):
 
 
 @query(f"""WITH {_PRINTS}, v AS (SELECT source_id AS id, max(abusive) AS v FROM review_labels WHERE tab = 'normalized_sources' GROUP BY source_id),
-r AS (SELECT p.id, p.fingerprint, v.v FROM prints p LEFT JOIN v USING (id)), o AS (SELECT fingerprint, min(v) AS one FROM r GROUP BY fingerprint HAVING count(DISTINCT v) = 1)
+r AS (SELECT p.id, p.fingerprint, v.v FROM prints p LEFT JOIN v USING (id)), o AS (SELECT fingerprint, min(v) AS one FROM r WHERE fingerprint <> '' GROUP BY fingerprint HAVING count(DISTINCT v) = 1)
 SELECT r.id, coalesce(o.one, r.v) AS v FROM r LEFT JOIN o USING (fingerprint)""")
 def decision_propagation(spark, d):
     v = table(spark, d, "review_labels").where("tab = 'normalized_sources'").groupBy(F.col("source_id").alias("id")).agg(F.max("abusive").alias("v"))
@@ -237,8 +245,9 @@ def decision_propagation(spark, d):
 
 
 def _reps(spark, d):
-    p = prints(spark, d)
-    return dedup.collapse_copies(p, ["batch", "fingerprint"], [F.col("len")]).select("batch", F.col("representative").alias("id"), F.col("fingerprint").alias("norm"))
+    """(batch, id, norm) of one row for each different text of a batch; digests are shuffled, and the texts once."""
+    ids = dedup.collapse_copies(digests(spark, d), ["batch", "digest"], [F.col("len")]).select(F.col("representative").alias("id"))
+    return written(prints(spark, d).select("batch", "id", F.col("fingerprint").alias("norm")).join(ids, "id", "left_semi"))
 
 
 @query(f"""WITH {_PRINTS}, reps AS (SELECT batch, fingerprint AS norm, arg_max(id, (len, id)) AS id FROM prints WHERE fingerprint <> '' GROUP BY batch, fingerprint),
@@ -256,9 +265,10 @@ def near_dup_pairs(spark, d):
 def near_dup_greedy(spark, d):
     """Every source with the representative of its exact copies and the row kept for it; near_dup_pairs are of representatives."""
     reps = _reps(spark, d)
-    rows = entities.rank_in(reps.withColumn("n", F.length("norm")), "batch", F.desc("n"), F.desc("id")).select("batch", "id", "place")
+    rows = ranked(reps.select("batch", "id", F.length("norm").alias("n")), ["batch"], F.desc("n"), F.desc("id")).select("batch", "id", "place")
     kept = dedup.greedy_survivors(rows, dedup.near_pairs(reps))
-    return dedup.memberships(prints(spark, d), reps.select("batch", F.col("norm").alias("fingerprint"), F.col("id").alias("representative")), kept)
+    of = dedup.collapse_copies(digests(spark, d), ["batch", "digest"], [F.col("len")]).select("batch", F.col("digest").alias("fingerprint"), "representative")
+    return dedup.memberships(digests(spark, d).withColumnRenamed("digest", "fingerprint"), of, kept)
 
 
 # ---- topics, entities ---------------------------------------------------------------------------------------------
@@ -427,18 +437,19 @@ _RANKED = f"{_SCORES}, k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER
 
 @query(f"WITH {_RANKED} SELECT a.id, a.cluster, a.score, a.score - coalesce(b.score, 0) AS margin FROM k a LEFT JOIN k b ON a.id = b.id AND b.n = 2 WHERE a.n = 1")
 def route_top1_margin(spark, d):
-    return routing.top_with_margin(routing.keyword_scores(source_rows(spark, d), definitions(spark, d)))
+    return routing.with_best(routing.routed(source_rows(spark, d), definitions(spark, d), ["id"]))
 
 
 @query(f"WITH {_RANKED} SELECT id, cluster, n::BIGINT AS place FROM k WHERE n <= 3")
 def route_top3(spark, d):
-    t = routing.top_k(routing.keyword_scores(source_rows(spark, d), definitions(spark, d)), "id", 3, F.desc("score"), F.col("def_idx"))
-    return t.select("id", "cluster", F.col("place").cast("bigint").alias("place"))
+    t = routing.routed(source_rows(spark, d), definitions(spark, d), ["id"])
+    return t.select("id", F.posexplode(F.slice("ranking", 1, 3)).alias("k", "c")).select("id", "c.cluster", (F.col("k") + 1).cast("bigint").alias("place"))
 
 
-def _assigned(spark, d):
-    s = source_rows(spark, d)
-    return route_top1_margin(spark, d).join(s.select("id", "batch", "author", "channel", F.length("text").alias("len"), "text", "title"), "id")
+def _assigned(spark, d, *more: str):
+    """id, batch, author, channel, len, best cluster, score and margin of each source; texts only where ``more`` asks for them."""
+    s = source_rows(spark, d).withColumn("len", F.length("text"))
+    return routing.with_best(routing.routed(s, definitions(spark, d), ["id", "batch", "author", "channel", "len", *more]))
 
 
 _ASSIGNED = f"{_RANKED}, assigned AS (SELECT k.id, k.batch, k.cluster, k.score, s.author, s.channel, length(s.text) AS len, s.text, s.title FROM k JOIN sources s USING (id) WHERE n = 1)"
@@ -449,28 +460,22 @@ def cluster_profile(spark, d):
     return routing.profile(_assigned(spark, d))
 
 
-@query(f"WITH {_ASSIGNED} SELECT batch, count(DISTINCT cluster)::BIGINT AS n, CASE WHEN count(DISTINCT cluster) BETWEEN 2 AND 16 THEN 'in range' ELSE 'out of range' END AS status FROM assigned GROUP BY batch")
+@query(f"WITH {_ASSIGNED} SELECT batch, count(DISTINCT cluster)::BIGINT AS n, CASE WHEN count(DISTINCT cluster) BETWEEN 9 AND 16 THEN 'in range' ELSE 'out of range' END AS status FROM assigned GROUP BY batch")
 def count_range(spark, d):
     n = F.count_distinct("cluster")
-    return _assigned(spark, d).groupBy("batch").agg(n.alias("n")).withColumn("status", F.when(F.col("n").between(2, 16), "in range").otherwise("out of range"))
+    return _assigned(spark, d).groupBy("batch").agg(n.alias("n")).withColumn("status", F.when(F.col("n").between(9, 16), "in range").otherwise("out of range"))
 
 
 @query(f"WITH {_ASSIGNED} SELECT id, batch, cluster, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, len DESC, id DESC)::BIGINT AS position FROM assigned")
 def position_in_cluster(spark, d):
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("batch", "cluster").orderBy(F.desc("score"), F.desc("len"), F.desc("id"))
-    return _assigned(spark, d).select("id", "batch", "cluster", F.row_number().over(w).cast("bigint").alias("position"))
+    return ranked(_assigned(spark, d), ["batch", "cluster"], F.desc("score"), F.desc("len"), F.desc("id"), name="position").select("id", "batch", "cluster", "position")
 
 
 @query(f"WITH {_ASSIGNED}, r AS (SELECT *, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, len DESC, id DESC) AS position, count(*) OVER (PARTITION BY batch, cluster) AS n FROM assigned) SELECT id, batch, cluster, greatest(n - 5, 0)::BIGINT AS more FROM r WHERE position <= 5")
 def first_five_per_cluster(spark, d):
-    from pyspark.sql.window import Window
-
-    own = Window.partitionBy("batch", "cluster")
-    w = own.orderBy(F.desc("score"), F.desc("len"), F.desc("id"))
-    r = _assigned(spark, d).withColumns({"position": F.row_number().over(w), "n": F.count(F.lit(1)).over(own)})
-    return r.where("position <= 5").select("id", "batch", "cluster", F.greatest(F.col("n") - 5, F.lit(0)).alias("more"))
+    a = _assigned(spark, d)
+    n = a.groupBy("batch", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    return first_of(a, ["batch", "cluster"], 5, F.desc("score"), F.desc("len"), F.desc("id")).join(small(n), ["batch", "cluster"]).select("id", "batch", "cluster", F.greatest(F.col("n") - 5, F.lit(0)).alias("more"))
 
 
 @query("WITH r AS (SELECT id, coalesce(channel, '') AS channel, row_number() OVER (PARTITION BY coalesce(channel, '') ORDER BY length(coalesce(body, '')) DESC, id) AS round FROM normalized_sources) SELECT id, channel, round::BIGINT AS round FROM r ORDER BY round, channel LIMIT 180")
@@ -497,7 +502,7 @@ def facet_coverage(spark, d):
 @query(f"WITH {_ASSIGNED} SELECT batch, cluster, count(*)::BIGINT AS n FROM assigned WHERE contains(lower(coalesce(author, '') || ' ' || title || ' ' || text), lower('镜头')) GROUP BY batch, cluster")
 def page_search(spark, d):
     hay = F.lower(F.concat_ws(" ", F.coalesce("author", F.lit("")), "title", "text"))
-    return _assigned(spark, d).where(F.contains(hay, F.lower(F.lit("镜头")))).groupBy("batch", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    return _assigned(spark, d, "text", "title").where(F.contains(hay, F.lower(F.lit("镜头")))).groupBy("batch", "cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {_SOURCES}, s AS (SELECT batch, {_polarity('text')} AS stance, count(*) AS n FROM sources GROUP BY ALL) SELECT batch, stance, n::BIGINT AS n_sources FROM s")
@@ -505,12 +510,15 @@ def stance_tabs(spark, d):
     return source_rows(spark, d).groupBy("batch", T.polarity(F.col("text")).alias("stance")).agg(F.count(F.lit(1)).alias("n_sources"))
 
 
-@query(f"WITH {_ASSIGNED}, c AS (SELECT batch, cluster, count(*) AS n, string_agg(id, ',' ORDER BY score DESC, id) AS items FROM assigned GROUP BY ALL) SELECT batch, sum(n)::BIGINT AS n_items, string_agg(cluster || ':' || n, ';' ORDER BY cluster) AS clusters, md5(string_agg(items, ';' ORDER BY cluster)) AS digest FROM c GROUP BY batch")
+@query(f"WITH {_ASSIGNED}, r AS (SELECT *, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, len DESC, id DESC) AS k FROM assigned), c AS (SELECT batch, cluster, count(*) AS n, string_agg(id, ',' ORDER BY k) FILTER (WHERE k <= 5) AS items FROM r GROUP BY ALL) SELECT batch, sum(n)::BIGINT AS n_items, string_agg(cluster || ':' || n || ':' || items, ';' ORDER BY cluster) AS clusters FROM c GROUP BY batch")
 def nested_workbench(spark, d):
-    items = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id")))  # a page's items
-    c = _assigned(spark, d).groupBy("batch", "cluster").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(items, lambda x: x.id), ",").alias("items"))
-    nested = c.groupBy("batch").agg(F.sum("n").alias("n_items"), F.array_sort(F.collect_list(F.struct("cluster", "n", "items"))).alias("cs"))
-    return nested.select("batch", "n_items", F.array_join(F.transform("cs", lambda x: F.concat(x.cluster, F.lit(":"), x.n.cast("string"))), ";").alias("clusters"), F.md5(F.array_join(F.transform("cs", lambda x: x["items"]), ";")).alias("digest"))
+    """Batches with their clusters, counts and the items that a page shows first, nested; a row holds so many items a cluster."""
+    a = _assigned(spark, d)
+    n = a.groupBy("batch", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    shown = first_of(a, ["batch", "cluster"], 5, F.desc("score"), F.desc("len"), F.desc("id")).groupBy("batch", "cluster").agg(F.array_sort(F.collect_list(F.struct("place", "id"))).alias("shown"))  # bounded: five items
+    nested = n.join(shown, ["batch", "cluster"]).groupBy("batch").agg(F.sum("n").alias("n_items"), F.array_sort(F.collect_list(F.struct("cluster", "n", "shown"))).alias("cs"))  # bounded: a batch's clusters
+    one = lambda c: F.concat_ws(":", c.cluster, c.n.cast("string"), F.array_join(F.transform(c.shown, lambda x: x.id), ","))
+    return nested.select("batch", "n_items", F.array_join(F.transform("cs", one), ";").alias("clusters"))
 
 
 @query("SELECT batch, max(n)::BIGINT AS n FROM (SELECT batch, CASE WHEN batch LIKE '电影%' THEN -1 ELSE count(*) END AS n FROM normalized_sources GROUP BY batch) GROUP BY batch")
@@ -523,7 +531,7 @@ def merge_replace(spark, d):
 @query("SELECT 'repeated post' AS \"check\", url AS key FROM normalized_sources WHERE url <> '' GROUP BY url HAVING count(*) > 1 UNION ALL SELECT 'no channel', id FROM normalized_sources WHERE channel IS NULL UNION ALL SELECT 'unknown batch', id FROM normalized_sources WHERE batch NOT IN (SELECT batch FROM batches)")
 def verify_constraints(spark, d):
     s = table(spark, d, "normalized_sources")
-    stray = s.where("batch is not null").join(F.broadcast(table(spark, d, "batches").select("batch")), "batch", "left_anti")
+    stray = s.where("batch is not null").join(small(table(spark, d, "batches").select("batch")), "batch", "left_anti")
     return checks.violations(("repeated post", checks.repeated(s.where("url <> ''"), "url"), F.col("url")), ("no channel", s.where("channel is null"), F.col("id")), ("unknown batch", stray, F.col("id")))
 
 
@@ -622,7 +630,7 @@ _WORKS = "电视剧|电影|综艺|导演|主演|原著|片名|剪辑|摄影|同
 p AS (SELECT w.id, w.t, w.work, {_norm('w.work')} AS key, list_filter(list_transform(b.strong_terms, lambda x: {_norm('x')}), lambda x: x <> '') AS known, strpos(w.t, '《' || w.work || '》') AS pos FROM w JOIN batches b USING (batch))
 SELECT id, work AS title FROM p WHERE key <> '' AND len(list_filter(known, lambda n: contains(n, key) OR contains(key, n))) = 0 AND regexp_matches(substring(t, greatest(pos - 28, 1), length(work) + 2 + least(pos - 1, 28) + 28), '{_WORKS}')""")
 def other_work_titles(spark, d):
-    s = source_rows(spark, d).join(F.broadcast(table(spark, d, "batches").select("batch", "strong_terms")), "batch").select("id", "text", "strong_terms")
+    s = source_rows(spark, d).join(small(table(spark, d, "batches").select("batch", "strong_terms")), "batch").select("id", "text", "strong_terms")
     return passages.other_titles(s, F.col("strong_terms"), _WORKS)
 
 
@@ -671,7 +679,7 @@ def diverse_sample(spark, d):
 
 @query(f"WITH {_ASSIGNED}, r AS (SELECT id, batch, row_number() OVER (PARTITION BY batch ORDER BY score DESC, len DESC, id DESC) AS k, count(*) OVER (PARTITION BY batch) AS n FROM assigned) SELECT id, batch, CASE WHEN k <= 4 THEN 'strongest' ELSE 'weakest' END AS stands_for FROM r WHERE k <= 4 OR k > n - 2")
 def representative_members(spark, d):
-    return passages.representatives(_assigned(spark, d), "batch", 4, 2, F.desc("score"), F.desc("len"), F.desc("id")).select("id", "batch", "stands_for")
+    return passages.representatives(_assigned(spark, d), "batch", 4, 2, ["score", "len", "id"]).select("id", "batch", "stands_for")
 
 
 @query("SELECT coalesce(batch, '') AS batch, coalesce(post_type, '') AS post_type, count(*)::BIGINT AS n, count(DISTINCT author)::BIGINT AS n_authors FROM normalized_sources GROUP BY ROLLUP (batch, post_type)")
@@ -685,8 +693,8 @@ def rollup_counts(spark, d):
 
 @query(f"WITH {_RANKED}, top AS (SELECT a.id, a.batch, a.cluster, a.score, a.score - coalesce(b.score, 0) AS margin FROM k a LEFT JOIN k b ON a.id = b.id AND b.n = 2 WHERE a.n = 1), first AS (SELECT id, cluster FROM (SELECT *, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, id DESC) AS p FROM top) WHERE p <= 5) SELECT id, cluster, margin FROM top WHERE margin < 6 AND (id, cluster) IN (SELECT id, cluster FROM first)")
 def low_confidence_semi(spark, d):
-    top = route_top1_margin(spark, d).join(source_rows(spark, d).select("id", "batch"), "id").withColumn("bc", F.concat_ws("\t", "batch", "cluster"))
-    first = routing.top_k(top, "bc", 5, F.desc("score"), F.desc("id")).select("id", "cluster")
+    top = _assigned(spark, d)
+    first = first_of(top, ["batch", "cluster"], 5, F.desc("score"), F.desc("id")).select("id", "cluster")
     return top.where("margin < 6").join(first, ["id", "cluster"], "left_semi").select("id", "cluster", "margin")
 
 
@@ -697,7 +705,7 @@ _NAME = "SELECT b.batch, list_extract(b.strong_terms, 1) AS name FROM batches b"
 def topic_interior(spark, d):
     """Whether a source names its work inside of a topic, where taking the name alone would hide that it was a topic."""
     n = table(spark, d, "batches").select("batch", F.col("strong_terms")[0].alias("name"))
-    s = table(spark, d, "normalized_sources").join(F.broadcast(n), "batch")
+    s = table(spark, d, "normalized_sources").join(small(n), "batch")
     tags = F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit(r"#[^#\n\r]{2,40}#"), F.lit(0))
     return s.select("id", F.exists(tags, lambda t: F.contains(t, F.col("name")) & (t != F.col("name"))).alias("inside_topic"))
 
@@ -716,13 +724,13 @@ def review_completeness(spark, d):
     return n.withColumn("complete", F.col("n_sources") == F.col("n_reviewed"))
 
 
-_PRIORITY = "CASE channel " + " ".join(f"WHEN '{c}' THEN {k}" for k, (_, c) in enumerate(reversed(sources.CHANNELS), 1)) + " ELSE 0 END"
+_PRIORITY = "CASE channel WHEN '境内新闻' THEN 5 WHEN '公众文章' THEN 4 WHEN '今日头条' THEN 3 WHEN '微博' THEN 2 WHEN '小红书' THEN 1 ELSE 0 END"
 
 
 @query(f"WITH {_SOURCES} SELECT id, batch, row_number() OVER (PARTITION BY batch ORDER BY {_PRIORITY} DESC, length({_norm('text')}) DESC, id DESC)::BIGINT AS place FROM sources")
 def rank_order(spark, d):
     s = source_rows(spark, d).select("id", "batch", F.expr(_PRIORITY).alias("priority"), F.length(T.normalized(F.col("text"))).alias("len"))
-    return entities.rank_in(s, "batch", F.desc("priority"), F.desc("len"), F.desc("id")).select("id", "batch", F.col("place").cast("bigint").alias("place"))
+    return ranked(s, ["batch"], F.desc("priority"), F.desc("len"), F.desc("id")).select("id", "batch", "place")
 
 
 @query(" UNION ALL ".join(f"SELECT batch, '{n}' AS layer, k::BIGINT AS place, term, {w}::DOUBLE AS weight FROM (SELECT batch, unnest({c}) AS term, unnest(range(1, len({c}) + 1)) AS k FROM batches WHERE {c} IS NOT NULL)" for n, c, w in _WEIGHTS))

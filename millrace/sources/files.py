@@ -6,13 +6,17 @@ import io
 import json
 import os
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.fields import header_key
+from millrace.plans.lineage import cut
+from millrace.plans.ranking import ranked
 from millrace.sources.xlsx import rows
 
 RECORD = "id string, batch string, channel string, source_file string, source_path string, sheet string, row_no int, data string"
@@ -63,18 +67,16 @@ def read_spreadsheets(spark: SparkSession, folder: str, names: list[tuple[str, s
     raw = files.select("path", "content").mapInArrow(run, "source_path string, sheet string, row_no int, data string")
     parts = F.split("source_path", "/")
     out = raw.withColumns({"source_file": F.element_at(parts, -1), "batch": F.element_at(parts, -2)})
-    channel = channel_of(F.concat_ws(" ", "source_file", "sheet"))
+    channel = channel_of(F.concat_ws(" ", "source_file", "sheet"), strict=True)
     return out.select(stable_id(F.col("source_path"), F.col("sheet"), F.col("row_no").cast("string")).alias("id"), "batch", channel.alias("channel"), "source_file", "source_path", "sheet", "row_no", "data")
 
 
-def unique_pairs(pairs: list[tuple[str, object]]) -> dict:
-    """A JSON object's members; raises ValueError where a key is given twice."""
-    out: dict[str, object] = {}
-    for k, v in pairs:
-        if k in out:
-            raise ValueError(f"key given twice: {k}")
-        out[k] = v
-    return out
+def distinct_members(pairs: list[tuple[str, object]]) -> dict:
+    """A JSON object; ValueError names the keys that it gives more than once."""
+    if len(made := dict(pairs)) < len(pairs):
+        counts = Counter(k for k, _ in pairs)
+        raise ValueError("key given twice: " + ", ".join(k for k in made if counts[k] > 1))
+    return made
 
 
 def read_jsonl(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -87,7 +89,7 @@ def read_jsonl(spark: SparkSession, path: str, strict: bool = False) -> DataFram
             values, problems = [], []
             for text in batch.column(0).to_pylist():
                 try:
-                    value = json.loads(text.lstrip("\ufeff"), object_pairs_hook=unique_pairs)
+                    value = json.loads(text.lstrip("\ufeff"), object_pairs_hook=distinct_members)
                     problem = None if isinstance(value, dict) else "no object"
                 except ValueError as e:
                     value, problem = None, str(e).split(":")[0]
@@ -142,22 +144,79 @@ def replace_data(html: str, dataset: object) -> str:
     return html[: m.end()] + json.dumps(dataset, ensure_ascii=False, separators=(",", ":")).replace("</", "<\\/") + html[end:]
 
 
-def chunked(df: DataFrame, group: str, order: str, text: str, most_rows: int = 60, most_bytes: int = 120_000) -> DataFrame:
-    """``df`` with chunk_no: rows of a group in order, a new chunk when one more row would pass either bound.
+def _steps(sizes: np.ndarray, most_rows: int, most_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of sizes from 0, for each row the first row of the next chunk if a chunk begins with it)."""
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    fits = np.searchsorted(sums, sums[:-1] + most_bytes, side="right") - 1
+    i = np.arange(len(sizes))
+    return sums, np.maximum(np.minimum(fits, i + most_rows), i + 1)
 
-    A fold over each group's sizes (a few bytes a row, not the rows), so that texts don't meet in one task; groups of a
-    review queue are bounded by the queue.
-    """
-    sizes = df.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.octet_length(F.coalesce(text, F.lit(""))).alias("b")))).alias("rows"))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("bytes"), F.array().cast("array<int>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        new = (acc.n > 0) & ((acc.n >= most_rows) | (acc.bytes + x.b > most_bytes))
-        chunk = F.when(new, acc.chunk + 1).otherwise(acc.chunk)
-        return F.struct(chunk.alias("chunk"), F.when(new, 1).otherwise(acc.n + 1).alias("n"), F.when(new, x.b.cast("bigint")).otherwise(acc.bytes + x.b).alias("bytes"), F.concat(acc.out, F.array(chunk)).alias("out"))
+def chunked(df: DataFrame, group: str, order: str, text: str, most_rows: int = 60, most_bytes: int = 120_000, bucket_rows: int = 200_000) -> DataFrame:
+    """``df`` with chunk_no, from 0: rows of a group in order, a new chunk when one more row would pass either bound. A row
+    beyond the bound is a chunk of its own. ``order`` is unique in its group; a null group is a group.
 
-    numbered = sizes.select(group, F.inline(F.arrays_zip(F.transform("rows", lambda r: r.o).alias("_o"), F.aggregate("rows", start, step).out.alias("chunk_no")))).toDF(group, order, "chunk_no")
-    return df.join(numbered, [group, order])
+    Only (group, order, size) goes through, in buckets of consecutive rows, so that a group of any size is spread over
+    tasks. A bucket tells for each number of rows that an open chunk of the bucket before may still take how many chunks
+    begin in it and what stays open; these few rows chain the buckets, and then each bucket numbers its rows.
+    """
+    g = df.select(group, order, F.octet_length(F.coalesce(text, F.lit(""))).cast("bigint").alias("_size"))
+    placed = cut(ranked(g, [group], F.col(order)).withColumn("_bucket", F.expr(f"(place - 1) div {bucket_rows}")))
+    kind = f"`{group}` {df.schema[group].dataType.simpleString()}"
+
+    def ends(pdf):
+        import pandas as pd
+
+        sizes = pdf.sort_values("place")["_size"].to_numpy(np.int64)
+        sums, after = _steps(sizes, most_rows, most_bytes)
+        n, out, known = len(sizes), [], {}
+        for e in range(min(most_rows, n) + 1):
+            path, i = [], e
+            while i < n and i not in known:
+                path.append(i)
+                i = int(after[i])
+            begun, last = known.get(i, (0, -1))
+            for i in reversed(path):
+                begun, last = begun + 1, i if last < 0 else last
+                known[i] = begun, last
+            out.append((begun, n - last, int(sums[n] - sums[last])) if e < n else (0, n, int(sums[n])))
+        row = {group: pdf[group].iloc[0], "_bucket": pdf["_bucket"].iloc[0], "_sums": sums[: len(out)].tolist(), "_begun": [x[0] for x in out], "_rows": [x[1] for x in out], "_bytes": [x[2] for x in out]}
+        return pd.DataFrame([row])
+
+    few = placed.groupBy(group, "_bucket").applyInPandas(ends, f"{kind}, _bucket bigint, _sums array<bigint>, _begun array<bigint>, _rows array<bigint>, _bytes array<bigint>")
+
+    def chain(pdf):
+        import pandas as pd
+
+        rows, size, chunks, out = 0, 0, 0, []
+        for r in pdf.sort_values("_bucket").itertuples(index=False):
+            sums = np.asarray(r[2])
+            e = 0 if chunks == 0 else int(((np.arange(len(sums)) + rows <= most_rows) & (sums + size <= most_bytes)).sum()) - 1
+            out.append((r[0], r[1], max(e, 0), chunks))
+            e = max(e, 0)
+            if r[3][e]:
+                rows, size, chunks = int(r[4][e]), int(r[5][e]), chunks + int(r[3][e])
+            else:  # the whole bucket fits into the open chunk
+                rows, size = rows + int(r[4][e]), size + int(r[5][e])
+        return pd.DataFrame(out, columns=[group, "_bucket", "_taken", "_chunks"])
+
+    entries = few.groupBy(group).applyInPandas(chain, f"{kind}, _bucket bigint, _taken bigint, _chunks bigint")
+    e = entries.select(F.col(group).alias("_g"), F.col("_bucket").alias("_b"), "_taken", "_chunks")
+    joined = placed.join(e, placed[group].eqNullSafe(F.col("_g")) & (placed["_bucket"] == F.col("_b"))).drop("_g", "_b")
+
+    def number(pdf):
+        pdf = pdf.sort_values("place")
+        _, after = _steps(pdf["_size"].to_numpy(np.int64), most_rows, most_bytes)
+        begins = np.zeros(len(pdf), np.int64)
+        i = int(pdf["_taken"].iloc[0])
+        while i < len(pdf):
+            begins[i] = 1
+            i = int(after[i])
+        return pdf.assign(chunk_no=np.cumsum(begins) + int(pdf["_chunks"].iloc[0]) - 1)[[group, order, "chunk_no"]]
+
+    numbered = joined.groupBy(group, "_bucket").applyInPandas(number, f"{kind}, `{order}` {df.schema[order].dataType.simpleString()}, chunk_no int")
+    n = numbered.select(F.col(group).alias("_g"), F.col(order).alias("_o"), "chunk_no")
+    return df.join(n, df[group].eqNullSafe(F.col("_g")) & df[order].eqNullSafe(F.col("_o"))).drop("_g", "_o")
 
 
 def write_atomic(path: str, text: str) -> None:
