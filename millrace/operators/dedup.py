@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.counting import bucket_sums
 from millrace.plans.lineage import cut, written
 
 #: Near copies: Jaccard of the grams at least, or containment in the larger text at least.
@@ -17,7 +18,7 @@ JACCARD, CONTAINMENT = 0.84, 0.94
 #: Rare grams that two texts must share before their whole sets are compared.
 MEETINGS = 6
 #: Buckets of the counts of grams that a broadcast array holds, a power of 2.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: Texts are worked on together up to so many characters.
 SLICE_CHARS = 1 << 20
 
@@ -116,21 +117,14 @@ def with_grams(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def _rarity(df: DataFrame) -> np.ndarray:
-    """About how many texts hold a gram, by BUCKETS buckets of keys: tasks send sums, and the driver gets a number a bucket."""
+    """About how many texts hold a gram, by BUCKETS buckets of keys."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for part, texts in _slices(batch, 1):
-                row, g = _gram_sets(texts)
-                total += np.bincount(_keys(part.column(0).to_pylist(), row, g) & (BUCKETS - 1), minlength=BUCKETS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["b", "n"])
-
-    got = df.select("batch", "norm").mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
-    out = np.zeros(BUCKETS, np.int64)
-    out[got.column("b").to_numpy()] = got.column("n").to_numpy()
-    return out
+    def buckets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for part, texts in _slices(batch, 1):
+            row, g = _gram_sets(texts)
+            yield _keys(part.column(0).to_pylist(), row, g) & (BUCKETS - 1)
+
+    return bucket_sums(df.select("batch", "norm"), buckets, BUCKETS)
 
 
 def near_pairs(df: DataFrame, jaccard: float = JACCARD, containment: float = CONTAINMENT) -> DataFrame:

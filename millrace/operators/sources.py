@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.text import clean, hashtags, iso_timestamp, normalized
-from millrace.plans.lineage import small
+from millrace.plans.lineage import once, small
 
 #: Post types whose title isn't part of their own text.
 ANSWERS = ("评论", "转帖")
@@ -16,12 +16,14 @@ CHANNELS = ("境内新闻", "公众文章", "今日头条", "微博", "小红书
 OTHER_WORDS = (("公号", "公众文章"), ("微信", "公众文章"), ("新闻", "境内新闻"))
 
 
-def source_text() -> Column:
-    """A source's text: body, else ASR, else title; before it the title, unless it is an answer or holds the title already."""
-    own = F.coalesce(F.nullif(clean(F.col("body")), F.lit("")), F.nullif(clean(F.col("asr")), F.lit("")), clean(F.col("title")))
-    title = clean(F.col("title"))
+def with_text(df: DataFrame) -> DataFrame:
+    """``df`` with its title cleaned and text: body, else ASR, else title; before it the title, unless it is an answer or
+    holds the title already. Each part is cleaned once."""
+    body, asr = (F.nullif(clean(F.col(c)), F.lit("")) for c in ("body", "asr"))
+    parts = once(df, _own=F.coalesce(body, asr, F.lit("")), _title=clean(F.col("title")))
+    own, title = F.when(F.col("_own") == "", F.col("_title")).otherwise(F.col("_own")), F.col("_title")
     plain = F.coalesce(F.col("post_type"), F.lit("")).isin(*ANSWERS) | (title == "") | F.contains(normalized(own), normalized(title))
-    return F.when(plain, own).otherwise(F.concat(title, F.lit(" "), own))
+    return once(parts, _text=F.when(plain, own).otherwise(F.concat(title, F.lit(" "), own))).withColumns({"title": title, "text": F.col("_text")}).drop("_own", "_title", "_text")
 
 
 def channel_of(name: Column, strict: bool = False) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with costly ``columns`` that are computed once a row: a generator of one row stands between them and what is
+    made of them, so that no filter or projection on them repeats their expression."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once, as a compressed table, to the shared folder and read from there: as ``cut``, on less disk."""
     spark = df.sparkSession

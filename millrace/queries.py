@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import checks, dedup, entities, evidence, links, passages, reviews, routing, sources
 from millrace.operators.instants import utc_micros
-from millrace.plans.lineage import small, written
+from millrace.plans.lineage import once, small, written
 from millrace.plans.ranking import first_of, ranked
 from millrace.sources.tables import table
 
@@ -57,7 +57,7 @@ sources AS (SELECT id, batch, channel, author, url, t AS title, CASE WHEN coales
 
 def source_rows(spark: SparkSession, d: str) -> DataFrame:
     """id, batch, channel, author, url, title, text of every source, cleaned."""
-    return table(spark, d, "normalized_sources").select("id", "batch", "channel", "author", "url", T.clean(F.col("title")).alias("title"), sources.source_text().alias("text"))
+    return sources.with_text(table(spark, d, "normalized_sources")).select("id", "batch", "channel", "author", "url", "title", "text")
 
 
 # ---- scalar functions ---------------------------------------------------------------------------------------------
@@ -215,11 +215,11 @@ def group_counts(spark, d):
 
 
 def prints(spark, d):
-    return source_rows(spark, d).select("id", "batch", T.normalized(F.col("text")).alias("fingerprint"), F.length("text").alias("len"))
+    return once(source_rows(spark, d).select("id", "batch", "text"), fingerprint=T.normalized(F.col("text"))).select("id", "batch", "fingerprint", F.length("text").alias("len"))
 
 
 def digests(spark, d):
-    return prints(spark, d).select("id", "batch", dedup.digest(F.col("fingerprint")).alias("digest"), "len")
+    return once(prints(spark, d), digest=dedup.digest(F.col("fingerprint"))).select("id", "batch", "digest", "len")
 
 
 _PRINTS = f"{_SOURCES}, prints AS (SELECT id, batch, {_norm('text')} AS fingerprint, length(text) AS len FROM sources)"
