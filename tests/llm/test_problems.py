@@ -412,6 +412,27 @@ def test_junk_whose_lines_end_in_marks(spark):
     assert {x.doc_id for x in quality.no_prose(df, "doc_id", "text").collect()} == set(texts) - {"prose"}
 
 
+def test_full_width_text_counts_as_the_usual_one():
+    pairs = [("ＴＨＥ　ＯＦ　ＡＮＤ　ＦＯＲ", "the of and for"), ("ｗｅ ｗｅｒｅ ｈｅｒｅ", "we were here"), ("Ａ：Ｂ", "A:B"), ("好：看", "好：看")]
+    got = quality.measured(pa.array([t for p in pairs for t in p]))
+    for name, v in got.items():
+        assert np.array_equal(v[::2], v[1::2], equal_nan=True), name
+
+
+def test_statistics_of_texts_together_are_those_of_each():
+    some = [t for t, _ in quality.labelled_documents(300, 4)] + ["", "\n", "\n\n\nab\r\n", "\r", "a\u2028b</s>c", "  ", "😀" * 30, "\u200b"]
+    together = quality.measured(pa.array(some))
+    for k, t in enumerate(some):
+        for name, v in quality.measured(pa.array([t])).items():
+            assert np.array_equal(v[0], together[name][k], equal_nan=True), (name, t)
+
+
+def test_statistics_of_hidden_and_empty_tables(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert quality.with_statistics(df, "text", ["doc_id"]).count() == 0
+    assert set(quality.with_statistics(df, "text", ["doc_id"]).columns) == {"doc_id", *quality.COUNTS, *quality.SHARES}
+
+
 def test_induction_finds_a_plain_rule():
     r = np.random.default_rng(1)
     x = {"a": r.random(900), "b": r.random(900)}
