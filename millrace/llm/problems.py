@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from millrace.functions.fields import aliases
 from millrace.llm import lines, lookalikes, mixing, quality, sentences, severity, stuffing, tokens
 from millrace.operators.instants import raw_field
+from millrace.plans.lineage import written
 from millrace.sources.tables import table
 
 
-def titles_and_bodies(spark: SparkSession, d: str) -> DataFrame:
-    """(tab, id, channel, text): titles of records and bodies of normalized_sources, all rows."""
+def titles_and_bodies(spark: SparkSession, d: str, once: bool = False) -> DataFrame:
+    """(tab, id, channel, text): titles of records and bodies of normalized_sources, all rows. With ``once`` the titles, which
+    are a small part of their JSON objects, are written to the shared folder for several uses."""
     one = raw_field(table(spark, d, "records"), aliases(spark, d), "title", ["id", "channel"], as_name="text")
+    one = written(one) if once else one
     two = table(spark, d, "normalized_sources").select("id", "channel", F.col("body").alias("text"))
     return one.select(F.lit("records").alias("tab"), "*").unionByName(two.select(F.lit("normalized_sources").alias("tab"), "*"))
 
 
 def p1_scores(spark: SparkSession, d: str) -> DataFrame:
     """Every title and body with its severity."""
-    rows = table(spark, d, "records").count() + table(spark, d, "normalized_sources").count()  # of the files' metadata
-    return severity.scored(titles_and_bodies(spark, d), table(spark, d, "review_labels"), ["tab", "id", "channel"], rows)
+    texts = titles_and_bodies(spark, d, once=True)
+    return severity.scored(texts, table(spark, d, "review_labels"), ["tab", "id", "channel"])
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:

@@ -19,14 +19,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.codepoints import slices, to_code_points
 from millrace.llm.lookalikes import one_form
+from millrace.plans.counting import bucket_sums
 
 #: The model is fitted on at most so many labelled texts, those of the least hash; all of them where there are fewer.
 LABELLED_TEXTS = 6_000
-#: So many texts of the least hash, with or without answers, show what is usual. Their sentences that are made of known
-#: runs (more than this share) are clean examples of this weight.
-USUAL_TEXTS, USUAL_SHARE, USUAL_WEIGHT = 5_000, 0.8, 0.5
-#: Texts of more characters are scored like all others, but none of the sample.
-SAMPLE_CHARS = 20_000
 #: Runs of letters in fewer different sentences of the sample than this are no features.
 LEAST_SENTENCES = 2
 #: Features are hashed to so many bits.
@@ -38,14 +34,18 @@ RUNS = (2, 3, 4, 5)
 #: Grades: 0 all answers say no, 1 answers differ, 2 one answer says yes, 3 several say yes.
 GRADES = 4
 #: A text is found from this expected grade on.
-FOUND_FROM = 0.6
-#: A run of letters is known if usual texts and, counted twice, clean sentences have it KNOWN_FROM times, and marked ones
-#: at most KNOWN_MARKED times as often. A text marked abusive is doubtful, and left out, if models of the other texts give
-#: it less than DOUBT_BELOW and more than KNOWN_SHARE of its runs is known. Sentences marked abusive weigh so much more.
-KNOWN_FROM, KNOWN_MARKED, KNOWN_SHARE, DOUBT_BELOW, POSITIVE_WEIGHT = 3, 0.4, 0.6, 0.5, 4.0
+FOUND_FROM = 0.4
+#: A run of letters is known if a sentence of all texts has it KNOWN_RATE times on average, and if how much more often those
+#: marked alone have it is at most this share of what the purest runs reach (the quantile PUREST of runs in two marked ones).
+#: Known runs never speak for abuse. A text marked abusive is doubtful, and left out, if
+#: models of the other texts give it less than DOUBT_BELOW and more than KNOWN_SHARE of its runs is known. Sentences marked
+#: abusive weigh so much more.
+KNOWN_RATE, KNOWN_PURITY, PUREST, KNOWN_SHARE, DOUBT_BELOW, POSITIVE_WEIGHT = 1e-4, 0.17, 0.9, 0.7, 0.5, 4.0
 FOLDS = 3
+#: Of a text marked abusive, a sentence with more than this share of known runs is its worst one only if it leads by so much.
+USUAL_SHARE, USUAL_LOSS = 0.9, 3.0
 #: Weight of a sentence without any features, as a clean example, against all others together.
-EMPTY_WEIGHT = 0.05
+EMPTY_WEIGHT = 1.0
 
 # Signs and digits written for letters between Latin letters.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"}
@@ -157,8 +157,9 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _fit(rows: np.ndarray, cols: np.ndarray, k: int, grade: np.ndarray, weight: np.ndarray, start: tuple[np.ndarray, np.ndarray] | None, steps: int, l2: float) -> tuple[np.ndarray, np.ndarray]:
-    """Cumulative-link regression by full-batch Adam. Ordered thresholds are a first one and positive gaps."""
+def _fit(rows: np.ndarray, cols: np.ndarray, k: int, grade: np.ndarray, weight: np.ndarray, start: tuple[np.ndarray, np.ndarray] | None, steps: int, l2: float, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cumulative-link regression by full-batch Adam. Ordered thresholds are a first one and positive gaps. Weights of ``known``
+    features stay at 0 or below."""
     n = len(grade)
     w, t = start if start is not None else (np.zeros(k), np.array([2.0, -1.0, -1.0]))
     above = grade[:, None] > np.arange(GRADES - 1)
@@ -176,6 +177,7 @@ def _fit(rows: np.ndarray, cols: np.ndarray, k: int, grade: np.ndarray, weight:
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
             x -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+        w[known] = np.minimum(w[known], 0.0)
     return w, t
 
 
@@ -198,17 +200,16 @@ def _worst(z: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(texts: list[str], grades: list[int], usual: list[str] = (), rounds: int = 3, steps: int = 70, l2: float = 3e-5) -> Model:
+def train(texts: list[str], grades: list[int], rates: np.ndarray | None = None, rounds: int = 3, steps: int = 70, l2: float = 3e-5) -> Model:
     """Fits the model to texts with grades; a text of grade above 0 counts by its worst sentence, others by all of theirs.
 
-    Answers can be wrong. A text marked abusive is left out if models fitted without it find nothing in it and it has
-    hardly anything that clean texts don't have; a clean one is left out once the model is sure of the contrary.
+    ``rates`` are how often a sentence of all texts has a run of each bucket (see run_rates). Answers can be wrong. A text
+    marked abusive is left out if models fitted without it find nothing in it and it has hardly anything that isn't usual;
+    a clean one is left out once the model is sure of the contrary.
     """
     nothing = Model(np.zeros(1 << BITS), np.array([20.0, 21.0, 22.0]))
     if not texts or not any(grades):
         return nothing
-    labelled_texts = len(texts)
-    texts, grades = [*texts, *usual], [*grades, *(0 for _ in usual)]
     s = streams(*to_code_points(pa.array(texts, pa.string())))
     place, bucket = features(s)
     row = s.sentence[place]
@@ -228,24 +229,22 @@ def train(texts: list[str], grades: list[int], usual: list[str] = (), rounds: in
     grade_of = np.array(grades)[s.text]
     count = np.bincount(s.text, minlength=len(texts))[s.text]
     positive = grade_of > 0
+    negative = ~positive
     alone = positive & (count == 1)
     if not alone.any():
         alone = positive
-    extra = s.text >= labelled_texts
-    clean = np.bincount(col[~positive[row] & ~extra[row]], minlength=len(used))
-    marked = np.bincount(col[alone[row]], minlength=len(used))
-    mine = extra[row]
-    seen_in = np.unique(s.text[row[mine]] << BITS | col[mine]) & ((1 << BITS) - 1)
-    usual_clean = np.bincount(seen_in, minlength=len(used)) + 2 * clean
-    is_known = (usual_clean >= KNOWN_FROM) & (marked <= KNOWN_MARKED * usual_clean)
+    per = lambda mask: np.bincount(col[mask[row]], minlength=len(used)) / max(1, mask.sum())
+    usual = np.maximum(rates[used], per(negative)) if rates is not None else per(np.ones(n, bool))
+    purity = per(alone) / np.maximum(usual, 1e-12)
+    often = (np.bincount(col[alone[row]], minlength=len(used)) > 1) & (usual >= KNOWN_RATE)
+    is_known = (usual >= KNOWN_RATE) & (purity <= KNOWN_PURITY * (np.quantile(purity[often], PUREST) if often.any() else 0.0))
     known = np.bincount(row, is_known[col].astype(float), minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
-    negative = ~positive & (~extra | (known > USUAL_SHARE))
-    weight = np.where(positive, POSITIVE_WEIGHT, np.where(extra, USUAL_WEIGHT, 1.0) / np.sqrt(count))
+    weight = np.where(positive, POSITIVE_WEIGHT, 1.0 / np.sqrt(count))
 
     def fit(pick: np.ndarray, state: tuple[np.ndarray, np.ndarray] | None, k: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
         at, mine = np.cumsum(pick) - 1, pick[row]
         w = weight[pick]  # a sentence without features is one more clean example
-        state = _fit(at[row[mine]], col[mine], len(used), np.append(grade_of[pick], 0), np.append(w, EMPTY_WEIGHT * w.sum()), state, k, l2)
+        state = _fit(at[row[mine]], col[mine], len(used), np.append(grade_of[pick], 0), np.append(w, EMPTY_WEIGHT * w.sum()), state, k, l2, is_known)
         return state, np.bincount(row, state[0][col], minlength=n)
 
     # scores from the other folds; a text and its copies are in one fold
@@ -268,7 +267,7 @@ def train(texts: list[str], grades: list[int], usual: list[str] = (), rounds: in
         pick = np.where(positive, ~doubtful, negative)
     state, z = fit(pick, None, 2 * steps)
     for _ in range(rounds - 1):
-        pick = np.where(positive, _worst(z, s.text) & ~doubtful, negative & (_sigmoid(z - state[1][0]) < 0.8))
+        pick = np.where(positive, _worst(z - USUAL_LOSS * (known > USUAL_SHARE), s.text) & ~doubtful, negative & (_sigmoid(z - state[1][0]) < 0.8))
         state, z = fit(pick, state, steps)
     weights = np.zeros(1 << BITS)
     weights[used] = state[0]
@@ -286,24 +285,37 @@ def _least_hash(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:
 def labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, grade) of the texts with answers, at most LABELLED_TEXTS, those of the least hash.
 
-    ``texts`` has tab, id, text; answers that are null don't count, texts that are null have no grade.
+    ``texts`` has tab, id, text; answers that are null don't count, texts that are null have no grade. Twice as many
+    answered texts are looked up, so that null texts leave enough of the others.
     """
     votes = labels.where("abusive is not null").groupBy("tab", F.col("source_id").alias("id")).agg(F.sum("abusive").alias("yes"), F.count(F.lit(1)).alias("n"))
     grade = F.when(F.col("yes") == 0, 0).when(F.col("yes") < F.col("n"), 1).when(F.col("n") == 1, 2).otherwise(3)
-    votes = _least_hash(votes.select("tab", "id", grade.alias("grade")), labels.count(), LABELLED_TEXTS, "tab", "id")
-    return texts.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(votes), ["tab", "id"]).select("text", "grade")
+    some = _least_hash(votes.select("tab", "id", grade.alias("grade")), votes.count(), 2 * LABELLED_TEXTS, "tab", "id")
+    found = texts.where("text is not null").join(F.broadcast(some), ["tab", "id"]).select("tab", "id", "text", "grade")
+    return found.orderBy(F.xxhash64("tab", "id"), "tab", "id").limit(LABELLED_TEXTS).select("text", "grade")
 
 
-def scored(texts: DataFrame, labels: DataFrame, keep: list[str], rows: int | None = None) -> DataFrame:
+def run_rates(texts: DataFrame) -> np.ndarray:
+    """How often a sentence of all texts has a run of letters of each bucket, on average."""
+
+    def buckets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for part in slices(batch, 0, 1 << 20):
+            s = streams(*to_code_points(part.column(0)))
+            yield features(s)[1]
+            yield np.full(len(s.text), 1 << BITS)  # the last bucket counts the sentences
+
+    got = bucket_sums(texts.where("text is not null").select("text"), buckets, (1 << BITS) + 1)
+    return got[:-1] / max(1, got[-1])
+
+
+def scored(texts: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     """``keep``, severity (expected grade of the worst sentence, 0 to 3) and found, of every row of ``texts``.
 
     Null texts have severity null and are not found; empty texts have the severity of an empty sentence. Without any
-    answer, no text is found. ``rows`` is about the number of texts, counted if it isn't given.
+    answer, no text is found. The model is fitted on the answered texts; what is usual is counted over all texts.
     """
-    rows_about = texts.count() if rows is None else rows
     rows = sorted(((r.text, r.grade) for r in labelled(texts, labels).collect()), key=lambda r: (r[0], r[1]))  # at most LABELLED_TEXTS
-    usual = _least_hash(texts.where(F.length("text") <= SAMPLE_CHARS), rows_about, USUAL_TEXTS, "id", "tab").select("text").collect()
-    model = train([t for t, _ in rows], [g for _, g in rows], sorted(r.text for r in usual))
+    model = train([t for t, _ in rows], [g for _, g in rows], run_rates(texts) if any(g for _, g in rows) else None)
     used = np.flatnonzero(model.weights)
     shared = texts.sparkSession.sparkContext.broadcast((used.astype(np.int32), model.weights[used].astype(np.float32), model.thresholds))
     schema = ", ".join([*(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in keep), "severity double, found boolean"])
