@@ -13,22 +13,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.codepoints import from_code_points, slices, to_code_points
+from millrace.plans.lineage import written
 
-# Letters of other scripts, and the letter of the same shape that stands for each.
+# Letters of other scripts, and the letter of the same shape that stands for each. What a reader can tell apart
+# isn't here: ω and w, η and n, mathematical letters.
 LOOK_ALIKE = {
     # Cyrillic
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l", "ѵ": "v", "ɡ": "g", "ү": "y", "к": "k", "ԍ": "g", "ո": "n", "в": "ʙ", "т": "т",
-    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S", "Ү": "Y", "Ӏ": "I", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "Һ": "h", "З": "3", "Ь": "b", "ѡ": "w",
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l", "ѵ": "v", "ɡ": "g", "ү": "y", "к": "k", "ԍ": "g", "ո": "n",
+    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S", "Ү": "Y", "Ӏ": "I", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "Һ": "h", "З": "3",
     # Greek
-    "ο": "o", "ν": "v", "ρ": "p", "α": "a", "ι": "i", "κ": "k", "υ": "u", "χ": "x", "γ": "y", "η": "n", "τ": "τ", "ϲ": "c", "ϳ": "j", "ω": "w", "σ": "o", "ε": "ε",
+    "ο": "o", "ν": "v", "ρ": "p", "κ": "k", "υ": "u", "χ": "x", "ϲ": "c", "ϳ": "j",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
     # Armenian and Latin letters from other alphabets
     "օ": "o", "ս": "u", "հ": "h", "ց": "g", "զ": "q", "յ": "j", "Օ": "O", "Ս": "U", "Տ": "S", "Լ": "L", "ɑ": "a", "ı": "i", "ⅼ": "l", "ⅽ": "c", "ⅾ": "d", "ⅿ": "m", "ⅰ": "i", "ⅴ": "v", "ⅹ": "x", "Ⅰ": "I", "Ⅴ": "V", "Ⅹ": "X", "Ⅼ": "L", "Ⅽ": "C", "Ⅾ": "D", "Ⅿ": "M",
+    # Latin small capitals that are as their small letters, or as Cyrillic ones
+    "ᴄ": "c", "ᴏ": "o", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s", "ʙ": "в", "ᴍ": "м", "ʜ": "н", "ᴛ": "т",
+    # Coptic and Deseret
+    "ⲟ": "o", "ⲣ": "p", "ⲥ": "c", "Ⲃ": "B", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "Ⲣ": "P", "Ⲥ": "C", "Ⲧ": "T", "Ⲭ": "X", "𐐄": "O", "𐐬": "o", "𐐕": "C", "𐐽": "c",
     # Cherokee
     "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮤ": "W", "Ꮓ": "Z",
     # kana, bopomofo and ideographs
@@ -191,6 +196,24 @@ def with_form(df: DataFrame, text: str, keep: list[str], look_alike: bool = True
     return df.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
 
 
+def digests(points: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """128 bits for each row: sums of two mixings of every code point with its place, all rows at once."""
+    n = len(starts) - 1
+    out = np.zeros((n, 2), np.uint64)
+    size = np.diff(starts)
+    some = np.flatnonzero(size)
+    if len(some):
+        place = (np.arange(len(points)) - np.repeat(starts[:-1], size)).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            for k, (a, b, c) in enumerate(((0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB), (0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))):
+                h = (place + np.uint64(1)) * np.uint64(a) ^ points.astype(np.uint64) * np.uint64(b)
+                h = (h ^ (h >> np.uint64(30))) * np.uint64(b)
+                h = (h ^ (h >> np.uint64(27))) * np.uint64(c)
+                out[some, k] = np.add.reduceat(h ^ (h >> np.uint64(31)), starts[some])
+            out[:, 1] ^= size.astype(np.uint64)
+    return pa.Array.from_buffers(pa.binary(16), n, [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
+
+
 def form_keys(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``keep``, ``form_key`` and ``text_key``: 128-bit digests of the one form and of the text itself.
 
@@ -199,32 +222,42 @@ def form_keys(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "form_key binary, text_key binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
         for batch in batches:
             for part in slices(batch, 0):
                 points, starts = to_code_points(part.column(0))
                 form, at = one_form(points, starts)
                 ink = np.concatenate([[0], np.cumsum((form != 0x20) & (form != 10))])
-                rows = np.flatnonzero(ink[at[1:]] > ink[at[:-1]])
-                raw, made = memoryview(points.tobytes()), memoryview(form.tobytes())
-                a = [digest(made[4 * at[k] : 4 * at[k + 1]]) for k in rows]
-                b = [digest(raw[4 * starts[k] : 4 * starts[k + 1]]) for k in rows]
-                kept = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([*kept.columns[1:], pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=[*keep, "form_key", "text_key"])
+                seen = pa.array(ink[at[1:]] > ink[at[:-1]])
+                cols = [*part.columns[1:], digests(form, at), digests(points, starts)]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, "form_key", "text_key"]).filter(seen)
 
     return df.select(F.col(text).alias("_text"), *keep).mapInArrow(run, schema)
 
 
-def alike_pairs(keys: DataFrame, group_rows: int = 2_000) -> DataFrame:
+def alike_pairs(keys: DataFrame, block_rows: int = 2_000, spread: int = 32) -> DataFrame:
     """(tab, id_a, id_b), id_a < id_b: rows of one table with one form and different texts.
 
-    ``keys`` has tab, id, form_key, text_key. Only groups that hold different texts go to the join, which is on the form
-    and a salt: a group of more than ``group_rows`` rows is cut into salts, each joined with the whole group, so that no
-    task gets all of a hot group. Rows of equal text never meet as a pair.
+    ``keys`` has tab, id, form_key, text_key, and is written once. Only rows of groups that hold different texts go on:
+    these groups, few of all, are found by sums combined before the shuffle, and stand ``spread`` times in the join that
+    picks their rows, so that the rows of a hot group are spread over tasks. A group of more than ``block_rows`` rows is cut
+    into blocks, and each two blocks meet in a task of their own. Rows of equal text never meet as a pair.
     """
+    keys = written(keys)
     groups = keys.groupBy("tab", "form_key").agg(F.min("text_key").alias("least"), F.max("text_key").alias("most"), F.count(F.lit(1)).alias("n")).where("least != most")
-    groups = groups.select("tab", "form_key", (F.floor(F.col("n") / group_rows) + 1).cast("int").alias("salts"))
-    rows = keys.join(groups, ["tab", "form_key"])
-    left = rows.select("tab", "form_key", F.col("id").alias("id_a"), F.col("text_key").alias("text_a"), F.expr("int(pmod(xxhash64(id), salts))").alias("salt"))
-    right = rows.select("tab", "form_key", F.col("id").alias("id_b"), F.col("text_key").alias("text_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    return left.join(right, ["tab", "form_key", "salt"]).where("id_a < id_b and text_a != text_b").select("tab", "id_a", "id_b").distinct()
+    groups = groups.select("tab", "form_key", (F.floor((F.col("n") - 1) / block_rows) + 1).cast("int").alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"))
+    rows = keys.withColumn("part", F.expr(f"int(pmod(xxhash64(id, text_key), {spread}))")).join(groups, ["tab", "form_key", "part"])
+    rows = written(rows.select("tab", "form_key", "id", "text_key", "blocks", F.expr("int(pmod(xxhash64(id), blocks))").alias("block")))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = rows.select("tab", "form_key", F.col("id").alias("id_a"), F.col("text_key").alias("text_a"), F.col("block").alias("i"), every.alias("j"))
+    right = rows.select("tab", "form_key", F.col("id").alias("id_b"), F.col("text_key").alias("text_b"), every.alias("i"), F.col("block").alias("j"))
+    return left.join(right, ["tab", "form_key", "i", "j"]).where("id_a < id_b and text_a != text_b").select("tab", "id_a", "id_b").distinct()
+
+
+def alike_classes(keys: DataFrame) -> DataFrame:
+    """(tab, id, class, n_links) of every row of ``keys``: the least id of the rows of its form, and with how many of them it
+    looks alike and differs. Linear in the rows, whatever the size of a group."""
+    keys = written(keys)
+    texts = keys.groupBy("tab", "form_key", "text_key").agg(F.count(F.lit(1)).alias("same"), F.min("id").alias("_id"))
+    forms = texts.groupBy("tab", "form_key").agg(F.sum("same").alias("all"), F.min("_id").alias("class"))
+    each = texts.join(forms, ["tab", "form_key"]).select("tab", "form_key", "text_key", "class", (F.col("all") - F.col("same")).alias("n_links"))
+    return keys.join(each, ["tab", "form_key", "text_key"]).select("tab", "id", "class", "n_links")

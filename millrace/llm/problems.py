@@ -76,6 +76,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.alike_pairs(lookalikes.form_keys(titles_and_bodies(spark, d), "text", ["tab", "id"]))
 
 
+def p6_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every title and body that has anything visible, with the class of those that look like it and its number of links."""
+    return lookalikes.alike_classes(lookalikes.form_keys(titles_and_bodies(spark, d), "text", ["tab", "id"]))
+
+
 def p6_forms(spark: SparkSession, d: str) -> DataFrame:
     """Every title and body in its one form."""
     return lookalikes.with_form(titles_and_bodies(spark, d), "text", ["tab", "id"])
@@ -110,4 +115,4 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_statistics(table(spark, d, "documents"), "text", ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p5_found, p5_units, p6_found, p6_forms, p7_found, p7_rates, p8_ids, p9_mixture, p9_shares, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_scores, p1_rates, p3_found, p3_clean, p5_found, p5_units, p6_found, p6_classes, p6_forms, p7_found, p7_rates, p8_ids, p9_mixture, p9_shares, p10_found, p10_statistics)}

@@ -60,13 +60,41 @@ def test_looks_alike(a, b, alike):
     assert (x == y) is alike
 
 
+def test_pairs_of_a_hot_form(spark):
+    r = random.Random(1)
+    rows = [("t", f"i{k:04}", r.choice(["Abc", "Abc", "Ａbc", "Аbc"])) for k in range(300)] + [("t", f"j{k}", f"text {k}") for k in range(300)]
+    keys = lookalikes.form_keys(spark.createDataFrame(rows, "tab string, id string, text string"), "text", ["tab", "id"])
+    want = {(x[1], y[1]) for x in rows[:300] for y in rows[:300] if x[1] < y[1] and x[2] != y[2]}
+    got = lookalikes.alike_pairs(keys, block_rows=40).collect()
+    assert len(got) == len(want) and {(x.id_a, x.id_b) for x in got} == want
+    links = {x.id: x.n_links for x in lookalikes.alike_classes(keys).collect()}
+    assert all(links[i] == sum(i in p for p in want) for _, i, _ in rows)
+
+
+def test_digests_tell_texts_apart():
+    some = texts(6, 3000) + ["", "a", "ab", "ba", "aa", "a\x00", "\x00a", "\x00"]
+    p, at = to_code_points(pa.array(some))
+    got = lookalikes.digests(p, at).to_pylist()
+    assert len(set(got)) == len(set(some)) and all(len(d) == 16 for d in got)
+    again = lookalikes.digests(*to_code_points(pa.array(some[::-1]))).to_pylist()
+    assert again == got[::-1]
+
+
+@pytest.mark.parametrize("a, b, alike", [("σοω", "oow", False), ("γη", "yn", False), ("νοw", "vow", True), ("ⲟк", "oк", True), ("ᴄᴏᴍ", "coм", True), ("т", "τ", False)])
+def test_what_readers_tell_apart(a, b, alike):
+    x, y = from_code_points(*lookalikes.one_form(*to_code_points(pa.array([a, b])))).to_pylist()
+    assert (x == y) is alike
+
+
 def test_pairs(spark):
     rows = [("t", "a", "Ａ1"), ("t", "b", "A1"), ("t", "c", "A1"), ("t", "d", None), ("t", "e", ""), ("t", "f", "​"), ("u", "g", "Ａ1"), ("t", "h", "A１")]
     df = spark.createDataFrame(rows, "tab string, id string, text string")
     keys = lookalikes.form_keys(df, "text", ["tab", "id"])
     want = {("t", "a", "b"), ("t", "a", "c"), ("t", "a", "h"), ("t", "b", "h"), ("t", "c", "h")}
     assert {tuple(r) for r in lookalikes.alike_pairs(keys).collect()} == want
-    assert {tuple(r) for r in lookalikes.alike_pairs(keys, group_rows=1).collect()} == want
+    assert {tuple(r) for r in lookalikes.alike_pairs(keys, block_rows=1, spread=3).collect()} == want
+    classes = {(r.tab, r.id): (r["class"], r.n_links) for r in lookalikes.alike_classes(keys).collect()}
+    assert classes == {("t", "a"): ("a", 3), ("t", "b"): ("a", 2), ("t", "c"): ("a", 2), ("t", "h"): ("a", 3), ("u", "g"): ("g", 0)}
     assert lookalikes.alike_pairs(keys.limit(0)).count() == 0
     forms = {r.id: r.form for r in lookalikes.with_form(df, "text", ["id"]).collect()}
     assert forms["d"] is None and forms["e"] == "" and forms["a"] == "A1"
