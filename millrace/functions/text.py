@@ -57,6 +57,45 @@ def polarity(c: Column, positive: str = POSITIVE, negative: str = NEGATIVE, cont
     return F.when(tp > tn, "positive").when(tn > tp, "negative").when(p > n, "positive").when(n > p, "negative").otherwise("neutral")
 
 
+def supports(expected: Column, evidence: Column) -> Column:
+    """Whether a piece of evidence is worded as the expected stance (positive, negative, objective) would be."""
+    p = polarity(clean(evidence))
+    return F.coalesce(F.when(expected == "objective", p == "neutral").when(expected.isin("positive", "negative"), p == expected), F.lit(False))
+
+
+def conflicts(expected: Column, evidence: Column) -> Column:
+    """Whether a piece of evidence is worded as the contrary of the expected stance; an unknown stance conflicts with all."""
+    p = polarity(clean(evidence))
+    against = F.when(expected == "positive", p == "negative").when(expected == "negative", p == "positive").when(expected == "objective", p != "neutral")
+    return F.coalesce(against, F.lit(True))
+
+
+def stands_alone(c: Column) -> Column:
+    """Whether a text has an opinion of its own and no call to act, which would make it an advertisement."""
+    t = clean(c)
+    return ~t.rlike(PROMOTION) & t.rlike(f"{POSITIVE}|{NEGATIVE}")
+
+
+# Facts of a schedule that a passage can evidence; every passage evidences the first.
+FACETS = (
+    ("schedule_announcement", ""), ("airing_date", r"\d{1,2}月\d{1,2}日|\d{4}[-/.年]\d{1,2}[-/.月]\d{1,2}"), ("airing_time", r"\d{1,2}[：:]\d{2}|晚间|黄金档"),
+    ("airing_platform", "腾讯视频|爱奇艺|优酷|芒果TV|CCTV-?\\d+|央视|卫视|双平台|多平台"), ("update_cadence", "每日|每周[一二三四五六日天]|日更|连更|首更|更新\\d+集|会员|VIP"),
+)
+
+
+def fact_facets(c: Column) -> Column:
+    """Which facts of a schedule a passage tells, in the order of FACETS."""
+    t = clean(c)
+    return F.array_compact(F.array(*(F.when(t.rlike(f"(?i){p}"), F.lit(n)) for n, p in FACETS)))
+
+
+def capped_sum(base: Column, *terms: tuple[Column, float, float]) -> Column:
+    """A score: ``base`` and for each (count, weight, cap) count x weight, no further from 0 than the cap."""
+    for count, weight, cap in terms:
+        base = base + (F.least(F.lit(cap), count * weight) if weight > 0 else F.greatest(F.lit(-cap), count * weight))
+    return base
+
+
 def length_score(n: Column) -> Column:
     """Score of a length by its band."""
     score = None

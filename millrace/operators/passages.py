@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions.text import clean, grams, normalized
+from millrace.functions.text import PROMOTION, clean, grams, normalized
 from millrace.operators.evidence import with_span_lists
-from millrace.plans.lineage import cut, small
+from millrace.plans.lineage import cut, once, small
 from millrace.plans.ranking import first_of
 
 # Entities that exports leave in texts, and what each stands for.
@@ -25,6 +26,10 @@ _EDGE = " /|｜·•←→，,；;：:"
 _PIECES = r"[^，。！？；：,.!?;:]*[，。！？；：,.!?;:]|[^，。！？；：,.!?;:]+$"
 
 
+#: Signs that HTML gives a name, & first.
+HTML_SIGNS = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;"))
+
+
 def display(c: Column) -> Column:
     """An excerpt without markup: entities, links, topics, emotes, mentions, folds, signs, hidden characters, blanks before
     punctuation and separators at the ends. Null becomes ''."""
@@ -143,6 +148,60 @@ def varied(df: DataFrame, group: str, limit: int) -> DataFrame:
     return state.where("place is not null").select(group, "id", "place")
 
 
+def leading_unrelated(segments: Column, terms: Column, unrelated: str) -> Column:
+    """Indexes (from 0) of the segments before the first one with any of the terms that speak of something else (a pattern);
+    none where no segment has a term."""
+    has = lambda s: F.exists(terms, lambda t: (t != "") & F.contains(s, t))
+    first = F.array_position(F.transform(segments, has), F.lit(True)).cast("int") - 1
+    before = F.transform(F.slice(segments, F.lit(1), F.greatest(first, F.lit(0))), lambda s, i: F.when(s.rlike(unrelated), i))
+    return F.array_compact(before)
+
+
+def evidence_menu(spans: Column, text: Column, terms: Column, most: int = 3, longest: int = 260) -> Column:
+    """The first ``most`` spans of a text that hold one of the terms, as array of (start, end, part), each cut at ``longest``."""
+    part = lambda s: F.substring(text, s.start + 1, F.least(s.end - s.start, F.lit(longest)))
+    found = F.filter(spans, lambda s: F.exists(terms, lambda t: (t != "") & F.contains(part(s), t)))
+    return F.transform(F.slice(found, 1, most), lambda s: F.struct(s.start.alias("start"), F.least(s.end, s.start + longest).alias("end"), part(s).alias("part")))
+
+
+#: Letters and characters of an excerpt, the length it should have, and how it must not begin.
+LEAST_EXCERPT, LONGEST_EXCERPT, GOOD_EXCERPT = 18, 150, 70
+BEGINS_BADLY = r"^[\s，。！？；：、,.!?;:)）」』”》】]"
+
+
+def excerpt_candidates(df: DataFrame, opinion: str, most: int = 3) -> DataFrame:
+    """(id, place, start, end, excerpt): excerpts around the best window of each text, best first; a top-k report per text.
+
+    ``df`` has id, text, w_start, w_end. Excerpts are runs of one to three sentence spans that touch the window or stand
+    beside one that does, and hold at least one that does. They have enough letters, are short enough once cleaned for
+    display, and don't begin with a sign. Operational promotion goes last, then short ones, then by words of opinion and
+    length, then by place. ``place`` counts from 1; those that still have markup or unbalanced quotes are left out.
+    """
+    s = with_span_lists(df, "text", ["id", "text", "w_start", "w_end"]).where(F.size("spans") > 0)
+    touched = F.transform("spans", lambda x: (x.start < F.col("w_end")) & (x.end > F.col("w_start")))
+    s = s.withColumn("_t", touched)
+    n = F.size("spans")
+    each = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(F.sequence(i, F.least(i + most, n) - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    runs = s.select("id", "text", "spans", "_t", F.inline(each)).where(F.exists(F.slice("_t", F.col("i") + 1, F.col("j") - F.col("i") + 1), lambda x: x))
+    near = F.exists(F.slice("_t", F.greatest(F.col("i"), F.lit(1)), F.least(F.col("i") + 2, F.lit(3))), lambda x: x)  # its first span touches, or is beside one that does
+    cut_out = runs.where(near).select("id", F.get("spans", F.col("i"))["start"].alias("start"), F.get("spans", F.col("j"))["end"].alias("end"), "text")
+    cut_out = cut_out.select("id", "start", "end", F.trim(F.expr("substring(text, start + 1, end - start)")).alias("raw"))
+    shown = once(cut_out, excerpt=display(F.col("raw")))
+    long = F.length("excerpt")
+    good = shown.where((F.length(normalized(F.col("raw"))) >= LEAST_EXCERPT) & long.between(1, LONGEST_EXCERPT) & ~F.col("raw").rlike(BEGINS_BADLY) & ~has_markup(F.col("excerpt")) & (F.regexp_count("excerpt", F.lit("“")) == F.regexp_count("excerpt", F.lit("”"))))
+    worth = F.regexp_count("excerpt", F.lit(opinion)) * 2.2 + F.least(long, F.lit(GOOD_EXCERPT)) / 20
+    ordered = good.select("id", "start", "end", "excerpt", F.col("excerpt").rlike(PROMOTION).alias("promo"), (long < GOOD_EXCERPT).alias("short"), worth.alias("worth"))
+    return first_of(ordered, ["id"], most, F.col("promo"), F.col("short"), F.desc("worth"), F.col("start"), F.col("end")).select("id", F.col("place").cast("int").alias("place"), "start", "end", "excerpt")
+
+
+def highlighted(c: Column, query: str) -> Column:
+    """HTML of a text with every occurrence of the query, whatever its case, between <mark> and </mark>; null becomes ''."""
+    safe = F.coalesce(c, F.lit(""))
+    for sign, name in HTML_SIGNS:
+        safe, query = F.replace(safe, F.lit(sign), F.lit(name)), query.replace(sign, name)
+    return F.regexp_replace(safe, "(?iu)" + re.sub(r"([^\w\s])", r"\\\1", query), "<mark>$0</mark>") if query else safe
+
+
 def representatives(df: DataFrame, group: str, top: int, low: int, order: list[str]) -> DataFrame:
     """The first ``top`` and the last ``low`` rows of each group by ``order`` (columns, all falling), with what they stand for.
 

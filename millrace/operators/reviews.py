@@ -52,6 +52,55 @@ def propagated(rows: DataFrame, group: str, value: str, strict: bool = False) ->
     return rows.join(one, group, "left").withColumn(value, F.coalesce("_one", value)).drop("_one")
 
 
+def keyed(payloads: DataFrame, scope: str, key: str = "source_id") -> DataFrame:
+    """(key, review) of review documents in column ``value`` (JSON), whose reviews are a list of objects with the key or a map
+    from key to object; ``review`` is the object as text. Documents of another scope raise ValueError, as do empty keys and
+    repeated ones."""
+    doc = payloads.select(F.get_json_object("value", "$.scope").alias("scope"), F.get_json_object("value", "$.reviews").alias("r"))
+    if doc.where(~F.coalesce(F.col("scope") == scope, F.lit(False))).limit(1).count():
+        raise ValueError(f"a review document isn't of the scope {scope}")
+    is_list = F.col("r").startswith("[")
+    items = doc.where(is_list).select(F.explode(F.from_json("r", "array<string>")).alias("review")).select(F.get_json_object("review", f"$.{key}").alias("key"), "review")
+    named = doc.where(~is_list).select(F.explode(F.from_json("r", "map<string,string>")).alias("key", "review"))
+    out = items.unionByName(named).withColumn("key", F.trim(F.coalesce("key", F.lit(""))))
+    if out.groupBy("key").count().where("key = '' or count > 1").limit(1).count():
+        raise ValueError("a review document has empty or repeated keys")
+    return out
+
+
+def flattened(overrides: DataFrame) -> DataFrame:
+    """(source_id, override) of documents in column ``value``: a map from source to override (an object with a cluster), or
+    such maps by batch. ``override`` is the object as text; what is neither is left out."""
+    outer = overrides.select(F.explode(F.from_json(F.get_json_object("value", "$.overrides"), "map<string,string>")).alias("k", "v")).where(F.col("v").startswith("{"))
+    flat = F.get_json_object("v", "$.cluster").isNotNull()
+    inner = outer.where(~flat).select(F.explode(F.from_json("v", "map<string,string>")).alias("k", "v")).where(F.col("v").startswith("{"))
+    return outer.where(flat).unionByName(inner).select(F.trim("k").alias("source_id"), F.col("v").alias("override"))
+
+
+def expanded(answers: DataFrame, items: DataFrame, binding: str) -> DataFrame:
+    """Answers of few words with what their item knows: (id, decision, reason), the decision as answered.
+
+    Only an answer bound to the current items (column binding) is filled in: a missing reason of an exclusion that agrees
+    with the automatic decision is the automatic reason. ``items`` has id, auto_decision, auto_reason.
+    """
+    joined = answers.join(items.select("id", "auto_decision", "auto_reason"), "id", "left")
+    agrees = F.coalesce((F.col("binding") == binding) & (F.col("decision") == "exclude") & (F.col("auto_decision") == "exclude"), F.lit(False))
+    reason = F.coalesce("reason", F.lit(""))
+    return joined.select("id", "decision", F.when(agrees & (F.trim(reason) == ""), F.coalesce("auto_reason", F.lit(""))).otherwise(reason).alias("reason"))
+
+
+def template(queue: DataFrame, answered: DataFrame, columns: dict[str, str], key: str = "id") -> DataFrame:
+    """What is still to be answered, with empty columns (name -> default) for the answers."""
+    return missing(queue, answered, key).withColumns({c: F.lit(v) for c, v in columns.items()})
+
+
+def next_chunk(chunks: DataFrame, pending: DataFrame, group: str) -> DataFrame:
+    """(group, chunk_no, n_pending): of each group the first chunk with something pending. ``chunks`` has id, chunk_no."""
+    n = chunks.join(pending.select("id").distinct(), "id", "left_semi").groupBy(group, "chunk_no").agg(F.count(F.lit(1)).alias("n"))
+    first = n.groupBy(group).agg(F.min_by(F.struct("chunk_no", "n"), "chunk_no").alias("c"))
+    return first.select(group, "c.chunk_no", F.col("c.n").alias("n_pending"))
+
+
 def key_violations(reviews: DataFrame, key: str, allowed: dict[str, list[str]]) -> DataFrame:
     """(key, issue): empty and repeated keys and values outside of the allowed ones; empty if the reviews are sound."""
     k = F.col(key).cast("string")

@@ -40,6 +40,38 @@ def with_best(ranked: DataFrame) -> DataFrame:
     return ranked.where(F.size("ranking") > 0).select(*(c for c in ranked.columns if c != "ranking"), top.cluster.alias("cluster"), top.score.alias("score"), margin.alias("margin"))
 
 
+def with_overrides(assigned: DataFrame, overrides: DataFrame) -> DataFrame:
+    """``assigned`` (with id, cluster) with the override's cluster where there is one, and basis; overrides to no cluster
+    (null) exclude the source: its cluster is null and its basis 'excluded'. ``overrides`` has id, cluster, one row a source."""
+    o = overrides.select("id", F.col("cluster").alias("_to"), F.lit(True).alias("_o"))
+    j = assigned.join(o, "id", "left")
+    basis = F.when(F.col("_o").isNull(), "automatic").when(F.col("_to").isNull(), "excluded").otherwise("override")
+    return j.withColumns({"basis": basis, "cluster": F.when(F.col("_o").isNull(), F.col("cluster")).otherwise(F.col("_to"))}).drop("_to", "_o")
+
+
+def with_secondary(ranked: DataFrame, share: float = 0.5) -> DataFrame:
+    """(id, cluster, role): each source's best cluster, and its second one if that has a score above 0 and at least ``share``
+    of the best one's. ``ranked`` has id, ranking (see routed); a source without any score has its primary cluster only."""
+    best, second = F.col("ranking")[0], F.get("ranking", F.lit(1))
+    role = lambda c, name: F.struct(c.cluster.alias("cluster"), F.lit(name).alias("role"))
+    both = F.when(F.coalesce((second.score > 0) & (second.score >= share * best.score), F.lit(False)), F.array(role(best, "primary"), role(second, "secondary"))).otherwise(F.array(role(best, "primary")))
+    return ranked.where(F.size("ranking") > 0).select("id", F.inline(both))
+
+
+def from_cache(sources: DataFrame, cache: DataFrame, version: int) -> DataFrame:
+    """(id, hit): whether a source's routing can be taken from the cache: same row and same definitions by their fingerprints,
+    and of this version. ``sources`` has id, row_print, contract; ``cache`` these and cache_version."""
+    good = cache.where((F.col("cache_version") == version) & (F.coalesce("id", F.lit("")) != "")).select("id", "row_print", "contract", F.lit(True).alias("_hit")).distinct()
+    return sources.select("id", "row_print", "contract").join(good, ["id", "row_print", "contract"], "left").select("id", F.coalesce("_hit", F.lit(False)).alias("hit"))
+
+
+def display_coverage(assigned: DataFrame, dropped: DataFrame, *group: str) -> DataFrame:
+    """(group, n_assigned, n_kept, n_dropped): what of each cluster is shown. ``dropped`` has id."""
+    d = dropped.select("id", F.lit(1).alias("_d")).distinct()
+    n, gone = F.count(F.lit(1)), F.count("_d")
+    return assigned.join(d, "id", "left").groupBy(*group).agg(n.alias("n_assigned"), (n - gone).alias("n_kept"), gone.alias("n_dropped"))
+
+
 def top_k(scores: DataFrame, group: str, k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows of each group, with their place (a top-k report)."""
     return scores.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("place") <= k)

@@ -752,3 +752,213 @@ def review_chunks(spark, d):
 
     s = table(spark, d, "normalized_sources").select("batch", "id", "body")
     return chunked(s, "batch", "id", "body").select("batch", "id", "chunk_no")
+
+
+# ---- facts, evidence and scores -----------------------------------------------------------------------------------
+
+
+@query(f"WITH {_SOURCES} SELECT id, NOT regexp_matches(c, '扫码|关注|下载|点个|转发|抽奖|优惠|包邮') AND regexp_matches(c, '{T.POSITIVE}|{T.NEGATIVE}') AS stands_alone FROM (SELECT id, {_clean('text')} AS c FROM sources)")
+def promotion_independence(spark, d):
+    return source_rows(spark, d).select("id", T.stands_alone(F.col("text")).alias("stands_alone"))
+
+
+@query(f"""WITH {_SOURCES}, c AS (SELECT id, {_clean('text')} AS c FROM sources)
+SELECT id, concat_ws('|', 'schedule_announcement', CASE WHEN regexp_matches(c, '\\d{{1,2}}月\\d{{1,2}}日|\\d{{4}}[-/.年]\\d{{1,2}}[-/.月]\\d{{1,2}}') THEN 'airing_date' END, CASE WHEN regexp_matches(c, '\\d{{1,2}}[：:]\\d{{2}}|晚间|黄金档') THEN 'airing_time' END,
+CASE WHEN regexp_matches(c, '(?i)腾讯视频|爱奇艺|优酷|芒果TV|CCTV-?\\d+|央视|卫视|双平台|多平台') THEN 'airing_platform' END, CASE WHEN regexp_matches(c, '(?i)每日|每周[一二三四五六日天]|日更|连更|首更|更新\\d+集|会员|VIP') THEN 'update_cadence' END) AS facets FROM c""")
+def schedule_facets(spark, d):
+    return source_rows(spark, d).select("id", F.array_join(T.fact_facets(F.col("text")), "|").alias("facets"))
+
+
+@query(f"""WITH {_SOURCES}, s AS (SELECT id, {_polarity('text')} AS whole, {_polarity('title')} AS own FROM sources), e AS (SELECT id, own, CASE whole WHEN 'neutral' THEN 'objective' ELSE whole END AS expected FROM s)
+SELECT id, CASE expected WHEN 'objective' THEN own = 'neutral' ELSE own = expected END AS supports, CASE expected WHEN 'positive' THEN own = 'negative' WHEN 'negative' THEN own = 'positive' ELSE own <> 'neutral' END AS conflicts FROM e""")
+def stance_evidence(spark, d):
+    """Whether a source's title is worded as the source's stance is."""
+    s = source_rows(spark, d).select("id", "title", T.polarity(F.col("text")).alias("w"))
+    expected = F.when(F.col("w") == "neutral", "objective").otherwise(F.col("w"))
+    return s.select("id", T.supports(expected, F.col("title")).alias("supports"), T.conflicts(expected, F.col("title")).alias("conflicts"))
+
+
+_BASE = "CASE channel WHEN '境内新闻' THEN 3.5 WHEN '公众文章' THEN 3.5 WHEN '今日头条' THEN 2.5 WHEN '微博' THEN 1.0 WHEN '小红书' THEN 0.5 WHEN '抖音' THEN -2.0 ELSE 0.0 END"
+
+
+@query(f"""WITH {_SOURCES}, f AS (SELECT id, channel, length({_norm('text')}) AS n, {_count('text', T.POSITIVE + '|' + T.NEGATIVE)} AS opinion, {_count('text', T.PROMOTION)} AS calls FROM sources)
+SELECT id, CAST(round((CAST({_BASE} AS DOUBLE) + {_BANDS} + least(5.0::DOUBLE, opinion * 0.55::DOUBLE) - least(5.0::DOUBLE, calls * 1.35::DOUBLE)) * 1000) AS BIGINT) AS quality FROM f""")
+def quality_score(spark, d):
+    """Channel and length, words of opinion up to a cap, calls to act taken off up to a cap; in thousandths."""
+    s = source_rows(spark, d)
+    n = lambda p: F.regexp_count("text", F.lit(p))
+    score = T.capped_sum(F.expr(_BASE).cast("double") + T.length_score(F.length(T.normalized(F.col("text")))), (n(f"{T.POSITIVE}|{T.NEGATIVE}"), 0.55, 5.0), (n(T.PROMOTION), -1.35, 5.0))
+    return s.select("id", F.round(score * 1000).cast("bigint").alias("quality"))
+
+
+# ---- health of links ----------------------------------------------------------------------------------------------
+
+_HEALTH = "health AS (SELECT url, CASE ascii(substring(md5(url), 1, 1)) % 5 WHEN 0 THEN 'reachable' WHEN 1 THEN 'confirmed_dead' WHEN 2 THEN 'blocked' WHEN 3 THEN 'indeterminate' ELSE 'gone' END AS classification, CASE WHEN ascii(substring(md5(url), 2, 1)) % 2 = 0 THEN 404 ELSE 200 END AS status_code FROM normalized_sources WHERE url IS NOT NULL AND ascii(substring(md5(url), 3, 1)) % 3 > 0)"
+
+
+def _health(spark, d):
+    """A table of link health with what can be wrong in one; no link is looked up."""
+    h = lambda k: F.ascii(F.substring(F.md5("url"), k, 1))
+    kind = F.element_at(F.array(*map(F.lit, ("reachable", "confirmed_dead", "blocked", "indeterminate", "gone"))), h(1) % 5 + 1)
+    return table(spark, d, "normalized_sources").where(F.col("url").isNotNull() & (h(3) % 3 > 0)).select("url", kind.alias("classification"), F.when(h(2) % 2 == 0, 404).otherwise(200).alias("status_code"))
+
+
+@query(f"""WITH {_HEALTH} SELECT '' AS url, 'empty url' AS issue FROM health WHERE url = '' UNION ALL SELECT url, 'repeated url' FROM health WHERE url <> '' GROUP BY url HAVING count(*) > 1
+UNION ALL SELECT url, 'unknown class' FROM health WHERE classification NOT IN ('reachable', 'confirmed_dead', 'indeterminate', 'blocked', 'invalid') UNION ALL SELECT url, 'dead without 404 or 410' FROM health WHERE classification = 'confirmed_dead' AND status_code NOT IN (404, 410)""")
+def link_health_violations(spark, d):
+    return links.health_violations(_health(spark, d))
+
+
+@query(f"""WITH {_HEALTH}, h AS (SELECT DISTINCT url, classification FROM health) SELECT id, coalesce(classification, '') AS classification, CASE WHEN classification = 'confirmed_dead' THEN 'exclude' WHEN coalesce(body, '') = '' THEN 'exclude' ELSE 'retain' END AS decision, CASE WHEN classification = 'confirmed_dead' THEN 'dead link' ELSE 'decision' END AS basis FROM normalized_sources LEFT JOIN h USING (url)""")
+def link_health_join(spark, d):
+    s = table(spark, d, "normalized_sources").select("id", "url", F.when(F.coalesce("body", F.lit("")) == "", "exclude").otherwise("retain").alias("decision"))
+    return links.with_health(s, _health(spark, d)).select("id", "classification", "decision", "basis")
+
+
+@query(f"""WITH {_HEALTH}, h AS (SELECT DISTINCT url, classification FROM health), n AS (SELECT url, count(*) AS n FROM normalized_sources WHERE url <> '' GROUP BY url) SELECT coalesce(classification, 'unchecked') AS classification, count(*)::BIGINT AS n_urls, sum(n)::BIGINT AS n_references FROM n LEFT JOIN h USING (url) GROUP BY 1""")
+def link_class_counts(spark, d):
+    return links.by_class(table(spark, d, "normalized_sources").select("url"), _health(spark, d))
+
+
+# ---- routing with answers, caches and what is shown ---------------------------------------------------------------
+
+_LATEST = f"{_LEDGER}, over AS (SELECT source_id AS id, CASE abusive WHEN 0 THEN 'auxiliary' END AS cluster FROM ledger WHERE tab = 'normalized_sources')"
+
+
+def _overrides(spark, d):
+    """An answer of 0 moves a source to one cluster, others take it out."""
+    return ledger_upsert(spark, d).where("tab = 'normalized_sources'").select(F.col("source_id").alias("id"), F.when(F.col("abusive") == 0, "auxiliary").alias("cluster"))
+
+
+@query(f"WITH {_ASSIGNED}, {_LATEST} SELECT a.id, CASE WHEN o.id IS NULL THEN a.cluster ELSE o.cluster END AS cluster, CASE WHEN o.id IS NULL THEN 'automatic' WHEN o.cluster IS NULL THEN 'excluded' ELSE 'override' END AS basis FROM assigned a LEFT JOIN over o USING (id)")
+def override_join(spark, d):
+    return routing.with_overrides(_assigned(spark, d).select("id", "cluster"), _overrides(spark, d)).select("id", "cluster", "basis")
+
+
+@query(f"WITH {_RANKED} SELECT id, cluster, 'primary' AS role FROM k WHERE n = 1 UNION ALL SELECT b.id, b.cluster, 'secondary' FROM k b JOIN k a ON a.id = b.id AND a.n = 1 WHERE b.n = 2 AND b.score > 0 AND b.score >= 0.5::DOUBLE * a.score")
+def secondary_cluster(spark, d):
+    return routing.with_secondary(routing.routed(source_rows(spark, d), definitions(spark, d), ["id"]))
+
+
+@query(f"""WITH {_SOURCES}, p AS (SELECT id, substring(sha256(concat_ws('|', batch, title, text)), 1, 16) AS row_print, substring(sha256(array_to_string(b.strong_terms, '|')), 1, 16) AS contract FROM sources JOIN batches b USING (batch)),
+c AS (SELECT DISTINCT id, CASE WHEN ascii(substring(id, 2, 1)) % 4 = 0 THEN 'old' ELSE row_print END AS row_print, contract FROM p WHERE ascii(substring(id, 1, 1)) % 2 = 0 AND ascii(substring(id, 3, 1)) % 5 > 0)
+SELECT p.id, c.id IS NOT NULL AS hit FROM p LEFT JOIN c ON p.id = c.id AND p.row_print = c.row_print AND p.contract = c.contract""")
+def routing_cache(spark, d):
+    """What of the routing could be taken from a cache that holds some rows, some of them as they were or of another version."""
+    b = table(spark, d, "batches").select("batch", F.substring(F.sha2(F.array_join("strong_terms", "|"), 256), 1, 16).alias("contract"))
+    s = source_rows(spark, d).join(small(b), "batch").select("id", F.substring(F.sha2(F.concat_ws("|", "batch", "title", "text"), 256), 1, 16).alias("row_print"), "contract")
+    a = lambda k: F.ascii(F.substring("id", k, 1))
+    cache = s.where(a(1) % 2 == 0).select("id", F.when(a(2) % 4 == 0, "old").otherwise(F.col("row_print")).alias("row_print"), "contract", F.when(a(3) % 5 > 0, 3).otherwise(2).alias("cache_version"))
+    return routing.from_cache(s, cache, 3)
+
+
+@query(f"WITH {_ASSIGNED}, {_LATEST}, x AS (SELECT id FROM over WHERE cluster IS NULL) SELECT batch, cluster, count(*)::BIGINT AS n_assigned, count(*) FILTER (WHERE id NOT IN (SELECT id FROM x))::BIGINT AS n_kept, count(*) FILTER (WHERE id IN (SELECT id FROM x))::BIGINT AS n_dropped FROM assigned GROUP BY batch, cluster")
+def display_coverage(spark, d):
+    return routing.display_coverage(_assigned(spark, d).select("id", "batch", "cluster"), _overrides(spark, d).where("cluster is null"), "batch", "cluster")
+
+
+@query(f"WITH {_RANKED}, top AS (SELECT a.id, a.batch, a.cluster, a.score - coalesce(b.score, 0) AS margin FROM k a LEFT JOIN k b ON a.id = b.id AND b.n = 2 WHERE a.n = 1), r AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY margin, id) AS place FROM top) SELECT id, batch, cluster, place::BIGINT AS place FROM r WHERE place <= 60")
+def residual_queue(spark, d):
+    """The sixty sources of each batch whose cluster is least certain, for review."""
+    return first_of(_assigned(spark, d), ["batch"], 60, F.col("margin"), F.col("id")).select("id", "batch", "cluster", F.col("place").cast("bigint").alias("place"))
+
+
+@query(f"WITH {_ASSIGNED}, s AS (SELECT batch, cluster, CASE WHEN avg(score) > 0 THEN 'scored' ELSE 'unscored' END AS stance, min(def_idx) AS def_idx FROM (SELECT a.*, d.def_idx FROM assigned a JOIN defs d USING (batch, cluster)) GROUP BY batch, cluster) SELECT batch, cluster, stance, row_number() OVER (PARTITION BY batch, stance ORDER BY def_idx)::BIGINT AS number FROM s")
+def stance_numbering(spark, d):
+    """Clusters numbered within their tab in the order of the definitions."""
+    order = definitions(spark, d).select("batch", "cluster", "def_idx")
+    c = _assigned(spark, d).groupBy("batch", "cluster").agg(F.when(F.avg("score") > 0, "scored").otherwise("unscored").alias("stance")).join(small(order), ["batch", "cluster"])
+    return ranked(c, ["batch", "stance"], F.col("def_idx"), name="number").select("batch", "cluster", "stance", "number")
+
+
+_HTML = lambda x: f"replace(replace(replace(replace(replace(coalesce({x}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#39;')"
+
+
+@query(f"SELECT id, regexp_replace({_HTML('title')}, '(no\\.)', '<mark>\\1</mark>', 'gi') AS html FROM normalized_sources")
+def highlight(spark, d):
+    return table(spark, d, "normalized_sources").select("id", passages.highlighted(F.col("title"), "No.").alias("html"))
+
+
+@query(f"""WITH {_SOURCES}, s AS (SELECT x.id, string_split(x.text, '。') AS segs, list_filter(b.strong_terms, lambda t: t <> '') AS terms FROM sources x JOIN batches b USING (batch)),
+h AS (SELECT id, segs, list_position(list_transform(segs, lambda g: len(list_filter(terms, lambda t: contains(g, t))) > 0), true) AS first FROM s)
+SELECT id, coalesce(array_to_string(list_filter(list_transform(range(1, greatest(coalesce(first, 1), 1)), lambda i: CASE WHEN regexp_matches(segs[i], '路透|花絮|热搜') THEN i - 1 END), lambda i: i IS NOT NULL), ','), '') AS leading FROM h""")
+def leading_unrelated(spark, d):
+    """Sentences before the first one that names the work and that speak of something else."""
+    b = table(spark, d, "batches").select("batch", F.filter("strong_terms", lambda t: t != "").alias("terms"))
+    s = source_rows(spark, d).join(small(b), "batch").select("id", F.split("text", "。").alias("segs"), "terms")
+    return s.select("id", F.array_join(passages.leading_unrelated(F.col("segs"), F.col("terms"), "路透|花絮|热搜").cast("array<string>"), ",").alias("leading"))
+
+
+_VERSIONS = [("both", ["标题", "正文内容"]), ("content", ["标题", "内容"]), ("title", ["标题"])]
+
+
+@query("WITH k AS (SELECT json_keys(data) AS k FROM records) SELECT CASE WHEN list_contains(k, '标题') AND list_contains(k, '正文内容') THEN 'both' WHEN list_contains(k, '标题') AND list_contains(k, '内容') THEN 'content' WHEN list_contains(k, '标题') THEN 'title' ELSE 'unknown' END AS version, count(*)::BIGINT AS n FROM k GROUP BY 1")
+def schema_version_counts(spark, d):
+    return checks.schema_counts(table(spark, d, "records"), "data", _VERSIONS)
+
+
+# ---- answers: filled in, asked for, chunk by chunk ----------------------------------------------------------------
+
+_ANSWERS = """a AS (SELECT source_id AS id, review_id, CASE abusive WHEN 1 THEN 'exclude' ELSE 'retain' END AS decision, CASE WHEN reviewer < 'r3' THEN '' ELSE reviewer END AS reason, CASE WHEN review_id % 3 = 0 THEN 'stale' ELSE 'now' END AS binding FROM review_labels WHERE tab = 'normalized_sources')"""
+
+
+@query(f"""WITH {_ANSWERS}, i AS (SELECT id, CASE WHEN length(coalesce(body, '')) < 400 THEN 'exclude' ELSE 'retain' END AS auto_decision, 'short: ' || coalesce(channel, '') AS auto_reason FROM normalized_sources)
+SELECT a.id, a.decision, CASE WHEN binding = 'now' AND decision = 'exclude' AND auto_decision = 'exclude' AND trim(coalesce(reason, '')) = '' THEN coalesce(auto_reason, '') ELSE coalesce(reason, '') END AS reason FROM a LEFT JOIN i USING (id)""")
+def answer_expansion(spark, d):
+    answers = table(spark, d, "review_labels").where("tab = 'normalized_sources'").select(F.col("source_id").alias("id"), F.when(F.col("abusive") == 1, "exclude").otherwise("retain").alias("decision"), F.when(F.col("reviewer") < "r3", "").otherwise(F.col("reviewer")).alias("reason"), F.when(F.col("review_id") % 3 == 0, "stale").otherwise("now").alias("binding"))
+    items = table(spark, d, "normalized_sources").select("id", F.when(F.length(F.coalesce("body", F.lit(""))) < 400, "exclude").otherwise("retain").alias("auto_decision"), F.concat(F.lit("short: "), F.coalesce("channel", F.lit(""))).alias("auto_reason"))
+    return reviews.expanded(answers, items, "now")
+
+
+@query("SELECT id, batch, '' AS decision, '' AS reason FROM normalized_sources WHERE id NOT IN (SELECT source_id FROM review_labels WHERE tab = 'normalized_sources')")
+def submission_template(spark, d):
+    return reviews.template(table(spark, d, "normalized_sources").select("id", "batch"), _answers(spark, d), {"decision": "", "reason": ""})
+
+
+_CHUNKS = """WITH RECURSIVE r AS (SELECT batch, id, strlen(coalesce(body, '')) AS b, row_number() OVER (PARTITION BY batch ORDER BY id) AS k FROM normalized_sources),
+c AS (SELECT batch, id, k, b AS bytes, 1 AS n, 0 AS chunk_no FROM r WHERE k = 1 UNION ALL
+SELECT r.batch, r.id, r.k, CASE WHEN c.n >= 60 OR c.bytes + r.b > 120000 THEN r.b ELSE c.bytes + r.b END, CASE WHEN c.n >= 60 OR c.bytes + r.b > 120000 THEN 1 ELSE c.n + 1 END, CASE WHEN c.n >= 60 OR c.bytes + r.b > 120000 THEN c.chunk_no + 1 ELSE c.chunk_no END
+FROM c JOIN r ON r.batch IS NOT DISTINCT FROM c.batch AND r.k = c.k + 1)"""
+ORACLES["review_chunks"] = f"{_CHUNKS} SELECT batch, id, chunk_no::INT AS chunk_no FROM c"
+
+
+@query(f"{_CHUNKS}, p AS (SELECT id FROM normalized_sources WHERE id NOT IN (SELECT source_id FROM review_labels WHERE tab = 'normalized_sources')), n AS (SELECT batch, chunk_no, count(*) AS n FROM c WHERE id IN (SELECT id FROM p) GROUP BY batch, chunk_no) SELECT batch, min(chunk_no)::INT AS chunk_no, arg_min(n, chunk_no)::BIGINT AS n_pending FROM n GROUP BY batch")
+def next_chunk(spark, d):
+    """The first chunk of each batch that has unanswered sources."""
+    pending = reviews.missing(table(spark, d, "normalized_sources").select("id"), _answers(spark, d))
+    return reviews.next_chunk(review_chunks(spark, d), pending, "batch")
+
+
+_SIZES = f"""{_SOURCES}, s AS (SELECT id, batch, {_polarity('text')} AS stratum, length(text) AS len FROM sources), n AS (SELECT batch, stratum, count(*) AS n FROM s GROUP BY batch, stratum), t AS (SELECT batch, sum(n)::BIGINT AS total, sum(least(n, 20))::BIGINT AS base FROM n GROUP BY batch),
+o AS (SELECT n.batch, stratum, sqrt(n::DOUBLE) / (k + 1) AS offer FROM n JOIN t USING (batch), LATERAL (SELECT unnest(range(least(n, 20), least(n, least(n, 20) + greatest(60 - base, 0)))) AS k) WHERE total > 60),
+g AS (SELECT batch, stratum, count(*) AS more FROM (SELECT o.*, row_number() OVER (PARTITION BY batch ORDER BY offer DESC, stratum DESC) AS r, base FROM o JOIN t USING (batch)) WHERE r <= 60 - base GROUP BY batch, stratum),
+q AS (SELECT n.batch, n.stratum, CASE WHEN total <= 60 THEN n ELSE least(n, 20) + coalesce(more, 0) END AS quota FROM n JOIN t USING (batch) LEFT JOIN g ON g.batch = n.batch AND g.stratum = n.stratum)"""
+ORACLES["stratified_quota"] = f"WITH {_SIZES} SELECT id, s.batch, s.stratum, place::BIGINT AS place FROM (SELECT *, row_number() OVER (PARTITION BY batch, stratum ORDER BY len DESC, id) AS place FROM s) s JOIN q ON q.batch = s.batch AND q.stratum = s.stratum WHERE place <= quota"
+_GREEDY = f"""WITH RECURSIVE {ORACLES['near_dup_pairs'].removeprefix('WITH ').rsplit('SELECT c.batch, left_id', 1)[0].rstrip().rstrip(',')},
+near AS (SELECT c.batch, left_id, right_id FROM c JOIN n l ON l.batch = c.batch AND l.id = left_id JOIN n r ON r.batch = c.batch AND r.id = right_id WHERE n_common >= 0.84::DOUBLE * (l.n + r.n - n_common) - 1e-9 OR n_common >= 0.94::DOUBLE * least(l.n, r.n) - 1e-9),
+placed AS (SELECT batch, id, norm, row_number() OVER (PARTITION BY batch ORDER BY length(norm) DESC, id DESC) AS k FROM reps),
+both_ways AS (SELECT batch, left_id AS a, right_id AS b FROM near UNION ALL SELECT batch, right_id, left_id FROM near),
+before AS (SELECT p.batch, p.id, list(q.id ORDER BY q.k) AS nb FROM placed p JOIN both_ways w ON w.batch = p.batch AND w.a = p.id JOIN placed q ON q.batch = p.batch AND q.id = w.b AND q.k < p.k GROUP BY p.batch, p.id),
+todo AS (SELECT p.batch, p.id, p.k, coalesce(b.nb, []) AS nb FROM placed p LEFT JOIN before b ON b.batch = p.batch AND b.id = p.id),
+walk AS (SELECT batch, id, k, id AS kept_id, [id] AS kept FROM todo WHERE k = 1 UNION ALL
+SELECT t.batch, t.id, t.k, coalesce(list_filter(t.nb, lambda x: list_contains(w.kept, x))[1], t.id), CASE WHEN len(list_filter(t.nb, lambda x: list_contains(w.kept, x))) > 0 THEN w.kept ELSE list_append(w.kept, t.id) END FROM walk w JOIN todo t ON t.batch = w.batch AND t.k = w.k + 1)
+SELECT p.batch, p.id, coalesce(r.id, p.id) AS representative, coalesce(w.kept_id, p.id) AS kept_id FROM prints p LEFT JOIN reps r ON r.batch = p.batch AND r.norm = p.fingerprint LEFT JOIN walk w ON w.batch = r.batch AND w.id = r.id"""
+ORACLES["near_dup_greedy"] = _GREEDY
+ORACLES["other_work_titles"] = f"""WITH {_SOURCES}, w AS (SELECT id, batch, {_clean('text')} AS t FROM sources), o AS (SELECT w.id, t, i, list_transform(list_filter(b.strong_terms, lambda x: {_norm('x')} <> ''), lambda x: {_norm('x')}) AS known FROM w JOIN batches b USING (batch), LATERAL (SELECT unnest(range(1, length(t) + 1)) AS i) WHERE substring(t, i, 1) = '《'),
+m AS (SELECT id, t, i, known, regexp_extract(substring(t, i, 42), '^《([^》]{{1,40}})》', 1) AS title FROM o)
+SELECT DISTINCT id, title FROM m WHERE title <> '' AND {_norm('title')} <> '' AND len(list_filter(known, lambda n: contains(n, {_norm('title')}) OR contains({_norm('title')}, n))) = 0 AND regexp_matches(substring(t, greatest(i - 28, 1), length(title) + 2 + least(i - 1, 28) + 28), '{_WORKS}')"""
+
+
+@query()
+def excerpts(spark, d):
+    """The three best excerpts around each source's best window."""
+    best = best_window(spark, d).select("id", F.col("start").alias("w_start"), F.col("end").alias("w_end"))
+    return passages.excerpt_candidates(source_rows(spark, d).select("id", "text").join(best, "id"), f"{T.POSITIVE}|{T.NEGATIVE}")
+
+
+@query()
+def target_evidence(spark, d):
+    """Spans of each source that name its work, to choose from."""
+    b = table(spark, d, "batches").select("batch", "strong_terms")
+    s = evidence.with_span_lists(source_rows(spark, d), "text", ["id", "batch", "text"]).join(small(b), "batch")
+    return s.select("id", F.posexplode(passages.evidence_menu(F.col("spans"), F.col("text"), F.col("strong_terms"))).alias("k", "m")).select("id", "k", "m.start", "m.end", "m.part")
