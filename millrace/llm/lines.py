@@ -60,16 +60,45 @@ def line_keys(body: str, seen: dict[str, bytes | None]) -> list[bytes | None]:
     return out
 
 
+def _outer(c: str, end: int) -> str:
+    """What a character at the begin (0) or end (-1) of a line's form is, its marks aside; '' if it is blank, invisible or a mark."""
+    d = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", _FORMAT.sub("", c)).casefold())
+    d = "".join(x for x in d if unicodedata.category(x)[0] != "M" and not x.isspace())
+    return "0" if d and _DIGITS.fullmatch(d[end]) else d[end] if d else ""
+
+
+class Ends(dict):
+    """Character -> what it is at one end of a form; a bounded cache."""
+
+    def __init__(self, end: int):
+        self.end = end
+
+    def __missing__(self, c: str) -> str:
+        if len(self) > 50_000:
+            self.clear()
+        got = self[c] = _outer(c, self.end)
+        return got
+
+
+_FIRST, _LAST = Ends(0), Ends(-1)
+
+
+def line_ends(line: str) -> str:
+    """The first and last character of a line's form, marks aside: lines of one form have the same. '' for nothing visible."""
+    a = next((x for c in line if (x := _FIRST[c])), "")
+    return a + next((x for c in reversed(line) if (x := _LAST[c])), "") if a else ""
+
+
 class Repeated(NamedTuple):
-    #: (source, key), the confirmed lines
+    #: (source, key, ends), the confirmed lines
     lines: DataFrame
     #: (id, line_no, source, key), every occurrence of a candidate; written to the shared folder
     occurrences: DataFrame
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(source, key, most, rows): upper bound of the rows with that line in this task; key null: the task's rows of the source."""
-    counts: dict[str, dict[bytes, list[int]]] = {}
+    """(source, key, most, rows, ends): upper bound of the rows with that line in this task; key null: the task's rows of the source."""
+    counts: dict[str, dict[bytes, list]] = {}
     rows: dict[str, int] = {}
     seen: dict[str, bytes | None] = {}
     entries = 0
@@ -81,12 +110,12 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return sum(map(len, counts.values())) + len(rows)
 
     def sent() -> pa.RecordBatch:
-        out = [(s, None, n, n) for s, n in rows.items()]
-        out += [(s, k, sum(c), rows[s]) for s, own in counts.items() for k, c in own.items()]
+        out = [(s, None, n, n, None) for s, n in rows.items()]
+        out += [(s, k, c[0] + c[1], rows[s], c[2]) for s, own in counts.items() for k, c in own.items()]
         cols = [*zip(*out, strict=True)]
         counts.clear()
         rows.clear()
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], names=["source", "key", "most", "rows"])
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.string())], names=["source", "key", "most", "rows", "ends"])
 
     for batch in batches:
         for part in slices(batch, 1):
@@ -97,11 +126,11 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 own = counts.setdefault(source, {})
                 floor = int(EPS * (n - 1))
-                for key in set(line_keys(body, seen)):
+                for key, line in dict(zip(line_keys(body, seen), body.split("\n"), strict=True)).items():
                     if key is not None:
                         c = own.get(key)
                         if c is None:
-                            own[key] = [1, floor]
+                            own[key] = [1, floor, line_ends(line)]
                             entries += 1
                         else:
                             c[0] += 1
@@ -115,6 +144,24 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield sent()
 
 
+def _by_ends(rows: list) -> dict[str, dict[str, set[bytes]]]:
+    """source -> ends -> keys."""
+    out: dict[str, dict[str, set[bytes]]] = {}
+    for r in rows:
+        out.setdefault(r.source, {}).setdefault(r.ends, set()).add(bytes(r.key))
+    return out
+
+
+def _known_keys(body: str, own: dict[str, set[bytes]], seen: dict[str, bytes | None]) -> list[bytes | None]:
+    """The key of each line that is among ``own``; None for others. Only lines with the ends of one of these are formed."""
+    out: list[bytes | None] = []
+    for line in body.split("\n"):
+        keys = own.get(line_ends(line)) if line else None
+        key = line_keys(line, seen)[0] if keys else None
+        out.append(key if key is not None and key in keys else None)
+    return out
+
+
 def repeated_lines(df: DataFrame, key: str, source: str, body: str) -> Repeated:
     """The lines repeated in each source of ``df``, with their places.
 
@@ -123,19 +170,13 @@ def repeated_lines(df: DataFrame, key: str, source: str, body: str) -> Repeated:
     as rows. An empty table gives empty results.
     """
     rows = df.where(F.col(source).isNotNull()).select(F.col(source).alias("source"), F.col(body).alias("body"), F.col(key).alias("id"))
-    merged = cut(rows.select("source", "body").mapInArrow(_summaries, "source string, key binary, most bigint, rows bigint").groupBy("source", "key").agg(F.sum("most").alias("most"), F.sum("rows").alias("rows")))
+    merged = cut(rows.select("source", "body").mapInArrow(_summaries, "source string, key binary, most bigint, rows bigint, ends string").groupBy("source", "key").agg(F.sum("most").alias("most"), F.sum("rows").alias("rows"), F.max("ends").alias("ends")))
     totals = merged.where("key is null").select("source", F.col("rows").alias("n"))
     bound = F.col("most") + F.lit(EPS) * (F.col("n") - F.col("rows"))
     least = F.greatest(F.lit(float(LEAST_ROWS)), F.lit(LEAST_SHARE) * F.col("n") - 1e-9)
-    candidates = merged.where("key is not null").join(totals, "source").where(bound >= least).select("source", "key")
+    candidates = merged.where("key is not null").join(totals, "source").where(bound >= least).select("source", "key", "ends")
     few = candidates.limit(BROADCAST_LINES + 1).collect()  # at most lines per row / (LEAST_SHARE - EPS) for each source
-    if len(few) <= BROADCAST_LINES:
-        wanted: dict[str, set[bytes]] | None = {}
-        for r in few:
-            wanted.setdefault(r.source, set()).add(bytes(r.key))
-        shared = df.sparkSession.sparkContext.broadcast(wanted)
-    else:
-        shared = None
+    shared = df.sparkSession.sparkContext.broadcast(_by_ends(few)) if len(few) <= BROADCAST_LINES else None
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = shared.value if shared is not None else None
@@ -148,8 +189,8 @@ def repeated_lines(df: DataFrame, key: str, source: str, body: str) -> Repeated:
                     if not b or (sets is not None and own is None):
                         continue
                     met = set()
-                    for n, k in enumerate(line_keys(b, seen), 1):
-                        if k is not None and (sets is None or k in own):
+                    for n, k in enumerate(line_keys(b, seen) if own is None else _known_keys(b, own, seen), 1):
+                        if k is not None:
                             out.append((i, n, s, k, k not in met))
                             met.add(k)
                 if out:
@@ -160,8 +201,9 @@ def repeated_lines(df: DataFrame, key: str, source: str, body: str) -> Repeated:
     if shared is None:
         found = found.join(candidates, ["source", "key"], "left_semi")
     found = cut(found)
+    ends = candidates if shared is None else df.sparkSession.createDataFrame([(r.source, bytes(r.key), r.ends) for r in few], "source string, key binary, ends string")
     exact = found.groupBy("source", "key").agg(F.sum(F.col("first").cast("bigint")).alias("n_rows"))
-    confirmed = exact.join(totals, "source").where(F.col("n_rows") >= least).select("source", "key")
+    confirmed = exact.join(totals, "source").where(F.col("n_rows") >= least).select("source", "key").join(ends, ["source", "key"])
     return Repeated(cut(confirmed), found)
 
 
@@ -186,10 +228,7 @@ def without_repeated(df: DataFrame, key: str, source: str, body: str, keep: list
         numbered = df.join(places, df[key].cast("string") == places["id"], "left").select(*(df[c] for c in cols), df[body].alias("_body"), "_lines")
         kept = F.array_join(F.expr("transform(filter(transform(split(_body, '\n', -1), (x, i) -> struct(i, x)), p -> not array_contains(coalesce(_lines, array()), p.i + 1)), p -> p.x)"), "\n")
         return numbered.select(*cols, F.when(F.col("_body").isNotNull(), kept).alias("body"))
-    sets: dict[str, set[bytes]] = {}
-    for r in few:
-        sets.setdefault(r.source, set()).add(bytes(r.key))
-    shared = df.sparkSession.sparkContext.broadcast(sets)
+    shared = df.sparkSession.sparkContext.broadcast(_by_ends(few))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, bytes | None] = {}
@@ -199,7 +238,7 @@ def without_repeated(df: DataFrame, key: str, source: str, body: str, keep: list
                 for s, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     own = shared.value.get(s)
                     if b and own:
-                        b = "\n".join(line for line, k in zip(b.split("\n"), line_keys(b, seen), strict=True) if k not in own)
+                        b = "\n".join(line for line, k in zip(b.split("\n"), _known_keys(b, own, seen), strict=True) if k is None)
                     out.append(b)
                 yield pa.RecordBatch.from_arrays([*part.columns[2:], pa.array(out, pa.string())], names=[*cols, "body"])
 

@@ -216,6 +216,19 @@ def test_summaries_stay_small_and_miss_nothing(monkeypatch, prune):
         assert c <= most.get((s, k), 0) + lines.EPS * (n[s] - seen.get((s, k), 0)) + 1e-9
 
 
+def test_lines_of_one_form_have_the_same_ends():
+    r = random.Random(8)
+    alike = [("e\u0301t\u00e9", "\u00e9te\u0301"), ("\uff21bc\uff01", "abc!"), (" \u200b\u2460\u3000x", "1x"), ("\u1100\u1161\u11a8", "\uac01"), ("\ufb01n", "FIN"), ("\u00df", "SS"), ("\u0130x", "i\u0307x"), ("12\u00bd", "31\u20442"), ("\u00a8a", "\u0308a"), ("\u2075", "7")]
+    for a, b in alike:
+        assert lines.line_form(a) == lines.line_form(b) and lines.line_ends(a) == lines.line_ends(b), (a, b)
+    for t in texts(9, 4000):
+        same = r.choice((unicodedata.normalize("NFD", t), unicodedata.normalize("NFKC", t), t.upper(), f" {t}\u200b", unicodedata.normalize("NFKD", t).casefold()))
+        if lines.line_form(same) == lines.line_form(t):
+            assert lines.line_ends(same) == lines.line_ends(t), (t, same)
+        if not lines.line_form(t):
+            assert lines.line_ends(t) == ""
+
+
 def test_no_lines(spark):
     df = spark.createDataFrame([], "id string, channel string, body string")
     assert lines.repeated_places(df, "id", "channel", "body").count() == 0
