@@ -60,9 +60,11 @@ _LINK = regex.compile(r"(?:https?://|www\.)[A-Za-z0-9._~/?#@!$&*+;=%-]+")
 _HASHTAG = regex.compile(r"#[^\s#]+#?")
 _TAG = regex.compile(r"<[^<>]+>")
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
-_MARKS = regex.compile(r"[。！？!?…।؟]+|\.(?=\s|$|[\"”’)])")
+#: Sentence marks, and what may follow a full stop that is one.
+_STRONG = np.array([ord(c) for c in "。！？!?…।؟"], np.uint32)
+_AFTER_STOP = np.array([ord(c) for c in " \t\n\r\v\f\x85\xa0\u2028\u2029\u3000\"”’)"], np.uint32)
 #: A link, a tag and a hashtag are each one of these private characters in an outline.
-_ALL_SIGNS = _LINK_SIGN, _TAG_SIGN, _HASHTAG_SIGN = "\ue000", "\ue001", "\ue002"
+_LINK_SIGN, _TAG_SIGN, _HASHTAG_SIGN = "\ue000", "\ue001", "\ue002"
 #: Signs of runs of letters by their length, of 18 and more the last.
 _SIGNS = np.frombuffer(b"aaabbbccccdddddddde", np.uint8)
 
@@ -127,32 +129,84 @@ def _repeated(text: str) -> float:
     return 1 - len(set(words)) / len(words) if len(words) > 2 else 0.0
 
 
+@functools.lru_cache(maxsize=1)
+def _fold() -> np.ndarray:
+    """Each character's compatibility form, where that is one character."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    for c in (*range(0xA0, 0x3400), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F253), *range(0x2F800, 0x2FA20)):
+        if len(n := unicodedata.normalize("NFKC", chr(c))) == 1:
+            out[c] = ord(n)
+    return out
+
+
+def _bytes_of(points: np.ndarray, starts: np.ndarray) -> tuple[bytes, list[int]]:
+    """(UTF-8 of all rows, where each begins and the last ends)."""
+    data = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    return data, np.concatenate([[0], np.cumsum(width)])[starts].tolist()
+
+
+def _without_signs(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, str]]:
+    """(code points, starts, row -> text) with one private character for each link, tag and hashtag; the texts of the rows
+    that have any of the characters these are made of."""
+    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    some = (points == 0x23) | (points == 0x3C)
+    some[1:] |= ((points[1:] == 0x2F) & (points[:-1] == 0x2F)) | ((points[1:] == 0x77) & (points[:-1] == 0x77))
+    rows = np.unique(row[some])
+    texts = {int(k): points[starts[k] : starts[k + 1]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for k in rows}
+    if not texts:
+        return points, starts, texts
+    parts = {k: _HASHTAG.sub(_HASHTAG_SIGN, _TAG.sub(_TAG_SIGN, _LINK.sub(_LINK_SIGN, t))) for k, t in texts.items()}
+    size = np.diff(starts)
+    bare = [np.frombuffer(parts[k].encode("utf-32-le", "surrogatepass"), np.uint32) if k in parts else points[starts[k] : starts[k + 1]] for k in range(len(size))]
+    size[list(parts)] = [len(t) for t in parts.values()]
+    return np.concatenate(bare), np.concatenate([[0], np.cumsum(size)]), texts
+
+
+def _marks(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sentence marks of each row, those in a row as one: a full stop only before a blank, a closing mark or the end."""
+    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    strong = np.isin(points, _STRONG)
+    last = np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool)
+    follows = np.append(np.isin(points[1:], _AFTER_STOP), True) if len(row) else last
+    first = strong.copy()
+    first[1:] &= ~(strong[:-1] & ~last[:-1])
+    return np.bincount(row[first | ((points == 0x2E) & (last | follows))], minlength=len(starts) - 1)
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 0):
             part = part.filter(part.column(0).is_valid())
-            texts = [unicodedata.normalize("NFKC", t) for t in part.column(0).to_pylist()]
-            bare = [_HASHTAG.sub(_HASHTAG_SIGN, _TAG.sub(_TAG_SIGN, _LINK.sub(_LINK_SIGN, t))) if "http" in t or "www." in t or "<" in t or "#" in t else t for t in texts]
-            points, starts = to_code_points(pa.array(bare, pa.string()))
-            outline, begin = _outlines(points, starts)
-            kinds, rows = _SCRIPT[points], np.repeat(np.arange(len(bare)), np.diff(starts))
+            points, starts = to_code_points(part.column(0))
+            points = _fold()[points]
+            raw, at = _bytes_of(points, starts)
+            bare, begins, texts = _without_signs(points, starts)
+            outline, begin = _outlines(bare, begins)
+            rows = np.repeat(np.arange(part.num_rows), np.diff(begins))
             width = len(_CODES) + 1
-            counts = np.bincount(rows * width + kinds, minlength=len(bare) * width).reshape(-1, width)
+            counts = np.bincount(rows * width + _SCRIPT[bare], minlength=part.num_rows * width).reshape(-1, width)
+            marks = _marks(bare, begins)
+            private = np.bincount(rows[(bare >= 0xE000) & (bare <= 0xE002)], minlength=part.num_rows)
+            n, n_bare = np.diff(starts), np.diff(begins)
+            scripts = scripts_of(counts)
             out = []
-            for k, (t, b, script) in enumerate(zip(texts, bare, scripts_of(counts), strict=True)):
-                if script == "none" and b is not t:  # nothing but links, tags and hashtags: their own letters tell
+            for k, script in enumerate(scripts):
+                t = texts.get(k)
+                if script == "none" and t is not None:  # nothing but links, tags and hashtags: their own letters tell
                     own = _SCRIPT[np.frombuffer(_TAG.sub("", _LINK.sub("", t)).encode("utf-32-le", "surrogatepass"), np.uint32)]
                     script = scripts_of(np.bincount(own, minlength=width)[None, :])[0]
-                tongue = latin(b) if script == "la" else script
-                n_signs = sum(map(b.count, _ALL_SIGNS)) if b is not t else 0
-                signs = (len(t) - len(b) + n_signs) / max(1, len(t))
-                if len(t) < LEAST_CHARS:
-                    out.append((tongue, script, len(t), 0, None, None, float(len(_MARKS.findall(b)) > 0), n_signs, signs, _repeated(b)))
+                size = int(n[k])
+                own_text = lambda k=k: bare[begins[k] : begins[k + 1]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                tongue = latin(own_text()) if script == "la" else script
+                n_signs = int(private[k]) if t is not None else 0
+                signs = (size - int(n_bare[k]) + n_signs) / max(1, size)
+                if size < LEAST_CHARS:
+                    out.append((tongue, script, size, 0, None, None, float(marks[k] > 0), n_signs, signs, _repeated(own_text())))
                     continue
-                raw = t.encode("utf-8", "surrogatepass")
-                text_class = min(int(np.log2(len(raw))), 10)
-                marks = len(_MARKS.findall(b)) / len(t)
-                out.append((tongue, script, len(t), text_class, _packed(raw) / len(raw), max(0, _packed(outline[begin[k] : begin[k + 1]])) / len(t), marks, n_signs, signs, None))
+                data = raw[at[k] : at[k + 1]]
+                text_class = min(len(data).bit_length() - 1, 10)
+                out.append((tongue, script, size, text_class, _packed(data) / len(data), max(0, _packed(outline[begin[k] : begin[k + 1]])) / size, int(marks[k]) / size, n_signs, signs, None))
             cols = [*zip(*out, strict=True)] if out else [[]] * 10
             kinds_of = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, t) for c, t in zip(cols, kinds_of, strict=True))], names=["id", "hash", "language", "script", "n", "size", "packed", "outline", "marks", "n_signs", "sign_share", "repeated"])
