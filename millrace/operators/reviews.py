@@ -18,6 +18,15 @@ def upsert(ledger: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return ledger.join(updates.select(*keys).distinct(), keys, "left_anti").unionByName(updates)
 
 
+def merged(old: DataFrame, new: DataFrame, key: str, position: str) -> DataFrame:
+    """``old`` with ``new``: rows of a key in both are the new ones in the old one's place, other new ones come after all old
+    ones; place from 1, by ``position`` of the old rows and then of the new. One row a key (a page's batches)."""
+    a = old.select(key, F.col(position).alias("_at"))
+    mine = upsert(old, new, [key]).join(a, key, "left")
+    order = Window.orderBy(F.col("_at").isNull(), F.coalesce("_at", position))  # one row a batch
+    return mine.withColumn("place", F.row_number().over(order).cast("bigint")).drop("_at")
+
+
 def decided(sources: DataFrame, reviews: DataFrame, automatic: str = "auto") -> DataFrame:
     """``sources`` with decision and basis: the review's where there is one, else the automatic one."""
     return sources.join(reviews.select("id", F.col("decision").alias("_r")), "id", "left").withColumns({"decision": F.coalesce("_r", automatic), "basis": F.when(F.col("_r").isNotNull(), "review").otherwise("automatic")}).drop("_r")

@@ -303,12 +303,12 @@ def domain_suffix_join(spark, d):
     return entities.by_domain(table(spark, d, "normalized_sources"), spark.createDataFrame(_DOMAINS, "domain string, subject string"))
 
 
-@query(f"""WITH reg AS (SELECT DISTINCT batch AS subject, {_norm('strong_terms[1]')} AS key FROM batches), n AS (SELECT * FROM reg WHERE length(key) >= 2),
-s AS (SELECT id, {_norm('title')} AS info FROM normalized_sources WHERE {_norm('title')} <> ''), hits AS (SELECT s.id, n.key, n.subject FROM s JOIN n ON contains(s.info, n.key))
+@query(f"""WITH reg AS (SELECT DISTINCT channel AS subject, {_norm('channel')} AS key FROM normalized_sources WHERE channel IS NOT NULL), n AS (SELECT * FROM reg WHERE length(key) >= 2),
+s AS (SELECT id, {_norm('certification_info')} AS info FROM normalized_sources WHERE {_norm('certification_info')} <> ''), hits AS (SELECT s.id, n.key, n.subject FROM s JOIN n ON contains(s.info, n.key))
 SELECT id, arg_max(subject, length(key)) AS subject FROM hits GROUP BY id HAVING count(DISTINCT subject) = 1""")
 def certification_match(spark, d):
-    registry = table(spark, d, "batches").select(F.col("batch").alias("subject"), F.col("strong_terms")[0].alias("name"))
-    return entities.by_certification(table(spark, d, "normalized_sources").select("id", F.col("title").alias("certification_info")), registry)
+    s = table(spark, d, "normalized_sources")
+    return entities.by_certification(s.select("id", "certification_info"), s.where("channel is not null").select(F.col("channel").alias("subject"), F.col("channel").alias("name")).distinct())
 
 
 # ---- reviews ------------------------------------------------------------------------------------------------------
@@ -403,11 +403,15 @@ def verbatim_evidence(spark, d):
     return out.withColumn("at", F.col("at").cast("bigint"))
 
 
-@query("WITH e AS (SELECT user_id AS source_id, event_id, (epoch_us(ts) // 1000000)::BIGINT AS s, (epoch_us(ts) // 1000000 + CAST(value AS BIGINT))::BIGINT AS e FROM events WHERE value IS NOT NULL), w AS (SELECT *, max(e) OVER (PARTITION BY source_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM e) SELECT DISTINCT source_id, 'overlap' AS issue FROM w WHERE s < b UNION ALL SELECT source_id, 'too many' FROM e GROUP BY source_id HAVING count(*) > 12")
+@query(f"""WITH {_SOURCES}, p AS (SELECT s.id AS source_id, strpos(s.text, t) - 1 AS a, strpos(s.text, t) - 1 + length(t) AS b FROM (SELECT s.id, s.text, unnest(b.strong_terms) AS t FROM sources s JOIN batches b USING (batch)) s WHERE t <> '' AND contains(s.text, t)),
+w AS (SELECT *, max(b) OVER (PARTITION BY source_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM p)
+SELECT DISTINCT source_id, 'overlap' AS issue FROM w WHERE a < seen UNION ALL SELECT source_id, 'too many' FROM p GROUP BY source_id HAVING count(*) > 2""")
 def passage_overlap_check(spark, d):
-    sec = F.expr(f"{'timestampdiff(MICROSECOND, TIMESTAMP_NTZ' + chr(39) + '1970-01-01 00:00:00' + chr(39) + ', CAST(ts AS TIMESTAMP_NTZ))'} div 1000000")
-    p = table(spark, d, "events").where("value is not null").select(F.col("user_id").alias("source_id"), sec.alias("start"), (sec + F.rint("value").cast("bigint")).alias("end"))
-    return evidence.overlap_violations(p, 12)
+    """Sources whose passages (first places of their strong terms) overlap or are more than two."""
+    cfg = table(spark, d, "batches").select("batch", F.explode("strong_terms").alias("t"))
+    p = source_rows(spark, d).select("id", "batch", "text").join(small(cfg), "batch").where("t <> '' and contains(text, t)")
+    start = F.instr("text", F.col("t")) - 1
+    return evidence.overlap_violations(p.select(F.col("id").alias("source_id"), start.alias("start"), (start + F.length("t")).alias("end")))
 
 
 # ---- routing, ranking, sampling -----------------------------------------------------------------------------------
@@ -521,11 +525,13 @@ def nested_workbench(spark, d):
     return nested.select("batch", "n_items", F.array_join(F.transform("cs", one), ";").alias("clusters"))
 
 
-@query("SELECT batch, max(n)::BIGINT AS n FROM (SELECT batch, CASE WHEN batch LIKE '电影%' THEN -1 ELSE count(*) END AS n FROM normalized_sources GROUP BY batch) GROUP BY batch")
+@query("""WITH o AS (SELECT batch, count(*) AS n, min(id) AS first FROM normalized_sources WHERE batch IS NOT NULL GROUP BY batch), p AS (SELECT batch, count(*) AS n, min(id) AS first FROM records WHERE batch IS NOT NULL GROUP BY batch),
+a AS (SELECT coalesce(o.batch, p.batch) AS batch, coalesce(p.n, o.n) AS n, p.n IS NOT NULL AS replaced, o.batch IS NULL AS added, coalesce(o.first, p.first) AS first FROM o FULL JOIN p USING (batch))
+SELECT batch, n::BIGINT AS n, row_number() OVER (ORDER BY added, first)::BIGINT AS place FROM a""")
 def merge_replace(spark, d):
-    old = table(spark, d, "normalized_sources").groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
-    new = old.where("batch like '电影%'").select("batch", F.lit(-1).cast("bigint").alias("n"))
-    return reviews.upsert(old, new, ["batch"])
+    """Batches of one page merged with those of another: the same name replaces in its place, others come after."""
+    by_batch = lambda t: table(spark, d, t).where("batch is not null").groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    return reviews.merged(by_batch("normalized_sources"), by_batch("records"), "batch", "first").select("batch", "n", "place")
 
 
 @query("SELECT 'repeated post' AS \"check\", url AS key FROM normalized_sources WHERE url <> '' GROUP BY url HAVING count(*) > 1 UNION ALL SELECT 'no channel', id FROM normalized_sources WHERE channel IS NULL UNION ALL SELECT 'unknown batch', id FROM normalized_sources WHERE batch NOT IN (SELECT batch FROM batches)")
@@ -535,11 +541,6 @@ def verify_constraints(spark, d):
     return checks.violations(("repeated post", checks.repeated(s.where("url <> ''"), "url"), F.col("url")), ("no channel", s.where("channel is null"), F.col("id")), ("unknown batch", stray, F.col("id")))
 
 
-@query("WITH w AS (SELECT l_orderkey, l_linenumber, l_quantity, lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS b FROM lineitem) SELECT l_orderkey, l_linenumber FROM w WHERE l_quantity > b")
-def media_order_violations(spark, d):
-    return checks.rises(table(spark, d, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "l_quantity").select("l_orderkey", "l_linenumber")
-
-
 @query(f"WITH {_ASSIGNED} SELECT batch, count(*) FILTER (WHERE score = 0)::BIGINT AS n_gaps, count(*) FILTER (WHERE score = 0) >= greatest(12, floor(0.08 * count(*))) AS triggered FROM assigned GROUP BY batch")
 def gap_trigger(spark, d):
     gaps = F.count_if(F.col("score") == 0)
@@ -733,6 +734,14 @@ def rank_order(spark, d):
     return ranked(s, ["batch"], F.desc("priority"), F.desc("len"), F.desc("id")).select("id", "batch", "place")
 
 
+@query(f"WITH {_ASSIGNED}, r AS (SELECT id, batch, cluster, {_PRIORITY} AS priority, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, len DESC, id DESC) AS position FROM assigned), w AS (SELECT *, lag(priority) OVER (PARTITION BY batch, cluster ORDER BY position) AS b FROM r) SELECT id, batch, cluster FROM w WHERE priority > b")
+def media_order_violations(spark, d):
+    """Sources that stand in their cluster below one of a lower channel priority."""
+    a = _assigned(spark, d).withColumn("priority", F.expr(_PRIORITY))
+    placed = ranked(a, ["batch", "cluster"], F.desc("score"), F.desc("len"), F.desc("id"), name="position").withColumn("group", F.struct("batch", "cluster"))
+    return checks.rises(placed, "group", ["position"], "priority").select("id", "batch", "cluster")
+
+
 @query(" UNION ALL ".join(f"SELECT batch, '{n}' AS layer, k::BIGINT AS place, term, {w}::DOUBLE AS weight FROM (SELECT batch, unnest({c}) AS term, unnest(range(1, len({c}) + 1)) AS k FROM batches WHERE {c} IS NOT NULL)" for n, c, w in _WEIGHTS))
 def term_layers(spark, d):
     """The nested layers of terms of each batch, flattened."""
@@ -962,3 +971,19 @@ def target_evidence(spark, d):
     b = table(spark, d, "batches").select("batch", "strong_terms")
     s = evidence.with_span_lists(source_rows(spark, d), "text", ["id", "batch", "text"]).join(small(b), "batch")
     return s.select("id", F.posexplode(passages.evidence_menu(F.col("spans"), F.col("text"), F.col("strong_terms"))).alias("k", "m")).select("id", "k", "m.start", "m.end", "m.part")
+
+
+_SAME = "SELECT source_id AS a, lead(source_id) OVER (ORDER BY review_id) AS b, review_id FROM review_labels WHERE tab = 'normalized_sources'"
+
+
+@query(f"""WITH RECURSIVE {_PRINTS}, fam AS (SELECT id, CASE WHEN fingerprint = '' THEN id ELSE min(id) OVER (PARTITION BY fingerprint) END AS f FROM prints),
+pairs AS (SELECT a, b FROM ({_SAME}) WHERE b IS NOT NULL AND review_id % 3 = 0), e AS (SELECT x.f AS p, y.f AS q FROM pairs JOIN fam x ON x.id = a JOIN fam y ON y.id = b), both_ways AS (SELECT p, q FROM e UNION SELECT q, p FROM e),
+reach AS (SELECT p, q FROM both_ways UNION SELECT r.p, w.q FROM reach r JOIN both_ways w ON w.p = r.q), least AS (SELECT p, min(q) AS q FROM reach GROUP BY p)
+SELECT fam.id, least(fam.f, coalesce(least.q, fam.f)) AS family FROM fam LEFT JOIN least ON least.p = fam.f""")
+def copy_families_reviewed(spark, d):
+    """Copy families where every third answered pair of sources was reviewed to be one copy."""
+    from pyspark.sql.window import Window
+
+    r = table(spark, d, "review_labels").where("tab = 'normalized_sources'").select(F.col("source_id").alias("left_id"), F.lead("source_id").over(Window.partitionBy().orderBy("review_id")).alias("right_id"), "review_id")
+    same = r.where("right_id is not null and review_id % 3 = 0").select("left_id", "right_id")
+    return dedup.copy_families(prints(spark, d).select("id", "fingerprint"), same)

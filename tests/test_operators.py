@@ -6,6 +6,7 @@ import unicodedata
 import zipfile
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
@@ -78,13 +79,13 @@ def test_families_with_reviews(spark):
 def test_quotas_and_round_robin(spark):
     assert routing.quotas({"a": 5, "b": 500, "c": 100}, 60) == {"a": 5, "b": 35, "c": 20}
     assert routing.quotas({}, 10) == {}
-    for seed in range(30):
-        r = random.Random(seed)
-        sizes = {c: r.randint(1, 60) for c in "abcd"[: r.randint(1, 4)]}
-        limit, one = r.randint(5, 80), {k: min(n, 10) for k, n in sizes.items()}
-        while sum(one.values()) < limit and (open_ := [k for k in sizes if one[k] < sizes[k]]):
-            one[max(open_, key=lambda k: (sizes[k] ** 0.5 / (one[k] + 1), k))] += 1
-        assert routing.quotas(sizes, limit, 10) == one
+    # worked by hand: beyond the floors of 10, offers of a are 5/11, 5/12, ..., of b 10/11, 10/12, ..., of c 3
+    assert routing.quotas({"a": 25, "b": 100}, 26, 10) == {"a": 10, "b": 16}
+    assert routing.quotas({"a": 25, "b": 100}, 31, 10) == {"a": 10, "b": 21}
+    assert routing.quotas({"a": 25, "b": 100}, 32, 10) == {"a": 10, "b": 22}  # 10/22 and 5/11 are level
+    assert routing.quotas({"a": 25, "b": 100}, 33, 10) == {"a": 11, "b": 22}
+    assert routing.quotas({"a": 4, "b": 4}, 3, 1) == {"a": 1, "b": 2}  # level offers: the last name first
+    assert routing.quotas({"a": 3, "b": 2}, 80, 10) == {"a": 3, "b": 2}
     df = spark.createDataFrame([(f"{c}{k}", c, k) for c in "xyz" for k in range(5)], "id string, channel string, k int")
     assert [r.id for r in routing.round_robin(df, "channel", 5, F.col("k")).collect()] == ["x0", "y0", "z0", "x1", "y1"]
     got = routing.stratified(df, "channel", "channel", 3, 1, F.col("k"))
@@ -239,3 +240,72 @@ def test_every_source_has_its_kept_row(spark, data):
     reps = dedup.collapse_copies(df, ["batch", "fingerprint"], [F.length("id")])
     kept = spark.createDataFrame([("x", "b", "c"), ("x", "c", "c"), (None, "g", "g")], "batch string, id string, kept_id string")
     assert {r.id: (r.representative, r.kept_id) for r in dedup.memberships(df, reps, kept).collect()} == {"a": ("b", "c"), "b": ("b", "c"), "c": ("c", "c"), "d": ("d", "d"), "e": ("e", "e"), "f": ("g", "g"), "g": ("g", "g")}
+
+
+def test_documents_of_reviews(spark):
+    doc = lambda x: spark.createDataFrame([(json.dumps(x, ensure_ascii=False),)], "value string")
+    got = reviews.keyed(doc({"scope": "now", "reviews": [{"source_id": " a ", "decision": "keep"}, {"source_id": "b"}]}), "now").collect()
+    assert {r.key: json.loads(r.review).get("decision") for r in got} == {"a": "keep", "b": None}
+    assert {r.key for r in reviews.keyed(doc({"scope": "now", "reviews": {"x": {"decision": "keep"}}}), "now").collect()} == {"x"}
+    for bad in ({"scope": "old", "reviews": []}, {"reviews": []}, {"scope": "now", "reviews": [{"source_id": ""}]}, {"scope": "now", "reviews": [{"source_id": "a"}, {"source_id": "a"}]}):
+        with pytest.raises(ValueError, match="a review document"):
+            reviews.keyed(doc(bad), "now")
+    flat = reviews.flattened(doc({"overrides": {"a": {"cluster": "c1"}, "batch": {"b": {"cluster": "c2", "reason": "r"}, " d ": {"cluster": None}}, "e": "text"}}))
+    assert {r.source_id: json.loads(r.override)["cluster"] for r in flat.collect()} == {"a": "c1", "b": "c2", "d": None}
+
+
+def test_answers_are_filled_in_only_where_bound(spark):
+    items = spark.createDataFrame([("a", "exclude", "short"), ("b", "retain", "x"), ("c", "exclude", None)], "id string, auto_decision string, auto_reason string")
+    answers = spark.createDataFrame([("a", "exclude", None, "now"), ("a", "exclude", None, "old"), ("b", "exclude", " ", "now"), ("c", "exclude", "", "now"), ("d", "exclude", None, "now"), ("a", "exclude", "mine", "now")], "id string, decision string, reason string, binding string")
+    assert sorted((r.id, r.reason) for r in reviews.expanded(answers, items, "now").collect()) == [("a", ""), ("a", "mine"), ("a", "short"), ("b", " "), ("c", ""), ("d", "")]
+
+
+def test_health_of_links(spark):
+    h = spark.createDataFrame([("u", "reachable", 200), ("u", "reachable", 200), ("", "blocked", None), ("v", "gone", 404), ("w", "confirmed_dead", None), ("x", "confirmed_dead", 410)], "url string, classification string, status_code int")
+    assert sorted((r.url, r.issue) for r in links.health_violations(h).collect()) == [("", "empty url"), ("u", "repeated url"), ("v", "unknown class"), ("w", "dead without 404 or 410")]
+    s = spark.createDataFrame([("1", "x", "retain"), ("2", "u", "retain"), ("3", None, "exclude")], "id string, url string, decision string")
+    assert {r.id: (r.classification, r.decision, r.basis) for r in links.with_health(s, h).collect()} == {"1": ("confirmed_dead", "exclude", "dead link"), "2": ("reachable", "retain", "decision"), "3": ("", "exclude", "decision")}
+    c = spark.createDataFrame([("a", "reachable", 71, "s"), ("b", "reachable", 73, "s"), ("c", "confirmed_dead", 23, "s"), ("d", "indeterminate", 0, "s"), ("e", "blocked", 100, "other")], "url string, classification string, age int, scope string")
+    c = c.withColumn("checked_at", F.timestamp_seconds(F.lit(1_700_000_000) - F.col("age") * 3600))
+    assert {r.url for r in links.cached(c, F.timestamp_seconds(F.lit(1_700_000_000)), F.col("scope"), "s").collect()} == {"a", "c"}
+
+
+def test_excerpts_and_menus(spark):
+    from millrace.operators import passages
+
+    sentences = ["开头先说一点不相干的事情然后才进入正题。", "这部片子的摄影真的很细腻而且节奏自然。", "扫码关注公众号可以领取优惠和更多的资源。", "结尾有些仓促不过整体完成得相当不错了。"]
+    text = "".join(sentences)
+    at = text.index("这部")
+    df = spark.createDataFrame([("a", text, at, at + 10), ("b", "", 0, 0), ("c", None, 0, 5), ("d", "短。", 0, 1)], "id string, text string, w_start int, w_end int")
+    got = {(r.id, r.place): r for r in passages.excerpt_candidates(df, "细腻|自然|仓促").collect()}
+    assert {k[0] for k in got} == {"a"} and all(text[r.start : r.end] == r.excerpt for r in got.values())
+    assert got["a", 1].excerpt == "".join(sentences[:2]) and all("扫码" not in got["a", k].excerpt for k in (1, 2))
+    menu = spark.createDataFrame([(text, [(0, 20), (at, at + 19)], ["摄影", ""])], "text string, spans array<struct<start:int,end:int>>, terms array<string>")
+    m = menu.select(F.explode(passages.evidence_menu(F.col("spans"), F.col("text"), F.col("terms"), longest=12)).alias("m")).collect()
+    assert [(r.m.start, r.m.end, r.m.part) for r in m] == [(at, at + 12, text[at : at + 12])]
+    segs = spark.createDataFrame([(["路透不断", "别的", "片子好看", "路透"], ["片子"]), (["路透"], ["片子"]), ([], ["x"])], "s array<string>, t array<string>")
+    assert [r.x for r in segs.select(passages.leading_unrelated(F.col("s"), F.col("t"), "路透").alias("x")).collect()] == [[0], [], []]
+    h = spark.createDataFrame([("a<b & A<B",), (None,), ("x",)], "t string").select(passages.highlighted(F.col("t"), "a<B").alias("h"))
+    assert [r.h for r in h.collect()] == ["<mark>a&lt;b</mark> &amp; <mark>A&lt;B</mark>", "", "x"]
+
+
+def test_routing_with_answers_and_a_cache(spark):
+    a = spark.createDataFrame([("a", "c1"), ("b", "c1"), ("c", "c2")], "id string, cluster string")
+    o = spark.createDataFrame([("a", "c9"), ("b", None)], "id string, cluster string")
+    assert {r.id: (r.cluster, r.basis) for r in routing.with_overrides(a, o).collect()} == {"a": ("c9", "override"), "b": (None, "excluded"), "c": ("c2", "automatic")}
+    s = spark.createDataFrame([("a", "1", "x"), ("b", "1", "x"), ("c", "1", "x")], "id string, row_print string, contract string")
+    c = spark.createDataFrame([("a", "1", "x", 2), ("a", "1", "x", 2), ("b", "0", "x", 2), ("c", "1", "x", 1), ("", "1", "x", 2)], "id string, row_print string, contract string, cache_version int")
+    assert {r.id: r.hit for r in routing.from_cache(s, c, 2).collect()} == {"a": True, "b": False, "c": False}
+    r = spark.createDataFrame([("a", [(9.0, 0, "x"), (5.0, 1, "y")]), ("b", [(9.0, 0, "x"), (4.0, 1, "y")]), ("c", [(0.0, 0, "x"), (0.0, 1, "y")]), ("d", [(1.0, 0, "x")]), ("e", [])], "id string, ranking array<struct<score:double,def_idx:int,cluster:string>>")
+    assert sorted(tuple(x) for x in routing.with_secondary(r).collect()) == [("a", "x", "primary"), ("a", "y", "secondary"), ("b", "x", "primary"), ("c", "x", "primary"), ("d", "x", "primary")]
+    assert {x.id: (x.cluster, x.margin) for x in routing.with_best(r).collect()} == {"a": ("x", 4.0), "b": ("x", 5.0), "c": ("x", 0.0), "d": ("x", 1.0)}
+
+
+def test_pages_of_versions_and_columns(spark):
+    from millrace.operators import checks
+
+    df = spark.createDataFrame([('{"a": 1, "b": 2}',), ('{"a": 1}',), ("[]",), (None,), ("{bad",)], "data string")
+    assert {r.version: r.n for r in checks.schema_counts(df, "data", [("two", ["a", "b"]), ("one", ["a"])]).collect()} == {"two": 1, "one": 1, "unknown": 3}
+    assert checks.present(df.withColumn("Secret", F.lit(1)), "secret", "other") == ["Secret"]
+    old, new = (spark.createDataFrame(x, "batch string, n int, first string") for x in ([("p", 1, "1"), ("q", 2, "2")], [("q", 9, "7"), ("r", 8, "0")]))
+    assert {r.batch: (r.n, r.place) for r in reviews.merged(old, new, "batch", "first").collect()} == {"p": (1, 1), "q": (9, 2), "r": (8, 3)}
