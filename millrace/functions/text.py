@@ -10,6 +10,7 @@ from millrace.functions.fields import NULL_TOKENS
 # Default lexicons, each a pattern that any caller can replace by its own.
 POSITIVE = "出彩|惊喜|细腻|精彩|自然|扎实|用心|干净利落|有分寸|余味悠长|经得起细看|well judged|tender|confident|precise"
 NEGATIVE = "拖沓|单薄|仓促|出戏|悬浮|失误|浪费|不够可信|前后不搭|过于用力|overwritten|too thin|rushed|flat in the middle"
+HUMOUR, COMPLAINT = "哈哈|笑死|笑疯|有梗|可爱", "批评|质疑|问题|尴尬|难看|出戏|拖沓|悬浮|劝退|用力过猛"
 CONTRAST = "但是|不过|然而|可是|尽管|但| but "
 PROMOTION = "扫码|关注|下载|点个|转发|抽奖|优惠|包邮"
 #: Upper ends of the length bands and the score of each band, the last for all longer texts.
@@ -57,6 +58,11 @@ def polarity(c: Column, positive: str = POSITIVE, negative: str = NEGATIVE, cont
     return F.when(tp > tn, "positive").when(tn > tp, "negative").when(p > n, "positive").when(n > p, "negative").otherwise("neutral")
 
 
+def stance(c: Column, humour: str, complaint: str, **lexicon: str) -> Column:
+    """The polarity of a text, where laughter (a pattern) without a complaint (a pattern) is positive whatever else it says."""
+    return F.when(c.rlike(humour) & ~c.rlike(complaint), "positive").otherwise(polarity(c, **lexicon))
+
+
 def supports(expected: Column, evidence: Column) -> Column:
     """Whether a piece of evidence is worded as the expected stance (positive, negative, objective) would be."""
     p = polarity(clean(evidence))

@@ -11,8 +11,8 @@ from pyspark.sql.window import Window
 
 from millrace.functions.text import PROMOTION, clean, grams, normalized
 from millrace.operators.evidence import with_span_lists
-from millrace.plans.lineage import cut, once, small
-from millrace.plans.ranking import first_of
+from millrace.plans.lineage import cut, once, small, written
+from millrace.plans.ranking import first_of, ranked
 
 # Entities that exports leave in texts, and what each stands for.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -210,3 +210,44 @@ def representatives(df: DataFrame, group: str, top: int, low: int, order: list[s
     strong = first_of(df, [group], top, *(F.desc(c) for c in order)).drop("place").withColumn("stands_for", F.lit("strongest"))
     weak = first_of(df, [group], low, *(F.asc(c) for c in order)).drop("place").withColumn("stands_for", F.lit("weakest"))
     return strong.unionByName(weak.join(strong.select("id"), "id", "left_anti"))
+
+
+def spread_members(df: DataFrame, group: list[str], order: list[Column], weakest: list[Column], limit: int = 8) -> DataFrame:
+    """Up to ``limit`` rows that stand for each group: all of a group of so many rows; else its first four by ``order``, its
+    first two by ``weakest``, and of what remains by ``order`` as many of the first as make six, then the middle and the last.
+
+    ``df`` has id. ``order`` and ``weakest`` are total orders, with the best and the weakest first.
+    """
+    n = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    placed = ranked(ranked(df, group, *order, name="_p"), group, *weakest, name="_w").join(small(n), group)
+    marked = written(placed.withColumn("_in", (F.col("_n") <= limit) | (F.col("_p") <= 4) | (F.col("_w") <= 2)))
+    taken = marked.where("_in").select(*df.columns)
+    rest = ranked(marked.where(~F.col("_in")), group, F.col("_p"), name="_r")
+    m = rest.groupBy(*group).agg(F.count(F.lit(1)).alias("_m"))
+    heads = 6 - (F.col("_n") - F.col("_m"))  # where a row is strong and weak
+    middle = heads + F.bround((F.col("_m") - heads - 1) / 2).cast("bigint") + 1
+    more = rest.join(small(m), group).where((F.col("_r") <= heads) | (F.col("_r") == middle) | (F.col("_r") == F.col("_m")))
+    return taken.unionByName(more.select(*df.columns))
+
+
+def valid_fragments(body: Column, fragments: Column, positions: Column, most: int = 2) -> Column:
+    """Whether one to ``most`` fragments stand in the body where they should: array of texts, array of (start, end) in order,
+    without overlap, from 0 and half-open."""
+    n = F.size(fragments)
+    each = F.zip_with(fragments, positions, lambda f, p: valid_positions(body, f, p.start, p.end))
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.coalesce(F.get(positions, i).end <= F.get(positions, i + 1).start, F.lit(True)))
+    return F.coalesce(n.between(1, most) & (n == F.size(positions)) & F.forall(each, lambda x: x) & F.forall(pairs, lambda x: x), F.lit(False))
+
+
+def cuts_into(positions: Column, spans: Column) -> Column:
+    """Whether any of the (start, end) begins or ends inside one of the spans, as a topic's name taken out of its # signs."""
+    inside = lambda x, s: (x > s.start) & (x < s.end)
+    return F.exists(positions, lambda p: F.exists(spans, lambda s: inside(p.start, s) | inside(p.end, s)))
+
+
+def topic_spans(text: Column) -> Column:
+    """Array of (start, end) of the topics between # signs, each # used once: pieces of the text and their running length."""
+    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?s)#[^#\n\r]{2,40}#|#|[^#]+"), F.lit(0))
+    ends = F.transform(pieces, lambda p, i: F.length(F.array_join(F.slice(pieces, 1, i + 1), "")))
+    spans = F.zip_with(pieces, ends, lambda p, e: F.when(p.rlike("^#[^#]+#$"), F.struct((e - F.length(p)).alias("start"), e.alias("end"))))
+    return F.array_compact(spans)

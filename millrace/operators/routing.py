@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 
 from millrace.plans.lineage import small
 
+#: Sources and share of its batch from which on a cluster is too broad.
+BROAD_ROWS, BROAD_SHARE = 80, 0.25
+
 
 def routed(sources: DataFrame, definitions: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` and ranking, array of (score, def_idx, cluster): each source's clusters of its batch, best first, ties to the
@@ -116,10 +119,12 @@ def stratified(df: DataFrame, group: str, stratum: str, limit: int, floor: int,
 
 
 def profile(assigned: DataFrame) -> DataFrame:
-    """(batch, cluster, n_sources, n_authors, max_author, share_of_batch): sizes of clusters and of their greatest author."""
+    """(batch, cluster, n_sources, n_authors, max_author, share_of_batch, too_broad): sizes of clusters and of their greatest
+    author; too broad is what holds BROAD_ROWS sources and BROAD_SHARE of its batch."""
     by_author = assigned.groupBy("batch", "cluster", F.coalesce("author", F.lit("")).alias("author")).agg(F.count(F.lit(1)).alias("n"))
     c = by_author.groupBy("batch", "cluster").agg(F.sum("n").alias("n_sources"), F.count_if(F.col("author") != "").alias("n_authors"), F.max(F.when(F.col("author") != "", F.col("n"))).alias("max_author"))
-    return c.withColumn("share_of_batch", F.col("n_sources") / F.sum("n_sources").over(Window.partitionBy("batch")))
+    share = F.col("n_sources") / F.sum("n_sources").over(Window.partitionBy("batch"))  # one row a cluster
+    return c.withColumn("share_of_batch", share).withColumn("too_broad", (F.col("n_sources") >= BROAD_ROWS) & (F.col("share_of_batch") >= BROAD_SHARE))
 
 
 def facet_coverage(df: DataFrame, *order: Column) -> DataFrame:

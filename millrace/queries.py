@@ -22,7 +22,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = sql
+            ORACLES[f.__name__] = sql  # a function where it rests on SQL that stands below
         return f
 
     return add
@@ -459,7 +459,7 @@ def _assigned(spark, d, *more: str):
 _ASSIGNED = f"{_RANKED}, assigned AS (SELECT k.id, k.batch, k.cluster, k.score, s.author, s.channel, length(s.text) AS len, s.text, s.title FROM k JOIN sources s USING (id) WHERE n = 1)"
 
 
-@query(f"WITH {_ASSIGNED}, a AS (SELECT batch, cluster, coalesce(author, '') AS author, count(*) AS n FROM assigned GROUP BY ALL), c AS (SELECT batch, cluster, sum(n)::BIGINT AS n_sources, count(*) FILTER (WHERE author <> '')::BIGINT AS n_authors, max(n) FILTER (WHERE author <> '')::BIGINT AS max_author FROM a GROUP BY ALL) SELECT *, n_sources / sum(n_sources) OVER (PARTITION BY batch) AS share_of_batch FROM c")
+@query(f"WITH {_ASSIGNED}, a AS (SELECT batch, cluster, coalesce(author, '') AS author, count(*) AS n FROM assigned GROUP BY ALL), c AS (SELECT batch, cluster, sum(n)::BIGINT AS n_sources, count(*) FILTER (WHERE author <> '')::BIGINT AS n_authors, max(n) FILTER (WHERE author <> '')::BIGINT AS max_author FROM a GROUP BY ALL) SELECT *, share_of_batch >= 0.25 AND n_sources >= 80 AS too_broad FROM (SELECT *, n_sources / sum(n_sources) OVER (PARTITION BY batch) AS share_of_batch FROM c)")
 def cluster_profile(spark, d):
     return routing.profile(_assigned(spark, d))
 
@@ -728,10 +728,15 @@ def review_completeness(spark, d):
 _PRIORITY = "CASE channel WHEN '境内新闻' THEN 5 WHEN '公众文章' THEN 4 WHEN '今日头条' THEN 3 WHEN '微博' THEN 2 WHEN '小红书' THEN 1 ELSE 0 END"
 
 
-@query(f"WITH {_SOURCES} SELECT id, batch, row_number() OVER (PARTITION BY batch ORDER BY {_PRIORITY} DESC, length({_norm('text')}) DESC, id DESC)::BIGINT AS place FROM sources")
+@query(lambda: f"""WITH {_SOURCES}, q AS ({ORACLES['quality_score']}), r AS (SELECT s.id, s.batch, coalesce(n.certification_info LIKE '%官方账号', false)::INT AS media, CASE s.channel WHEN '境内新闻' THEN 5 WHEN '公众文章' THEN 4 WHEN '今日头条' THEN 3 WHEN '微博' THEN 2 WHEN '小红书' THEN 1 ELSE 0 END AS priority,
+({_polarity('s.text')} <> 'neutral')::INT AS core, q.quality, length({_norm('s.text')}) AS len FROM sources s JOIN normalized_sources n USING (id) JOIN q USING (id))
+SELECT id, batch, row_number() OVER (PARTITION BY batch ORDER BY media DESC, priority DESC, core DESC, quality DESC, len DESC, id DESC)::BIGINT AS place FROM r""")
 def rank_order(spark, d):
-    s = source_rows(spark, d).select("id", "batch", F.expr(_PRIORITY).alias("priority"), F.length(T.normalized(F.col("text"))).alias("len"))
-    return ranked(s, ["batch"], F.desc("priority"), F.desc("len"), F.desc("id")).select("id", "batch", "place")
+    """Sources of each batch by medium, channel, stance of their own, quality, length and id."""
+    n = table(spark, d, "normalized_sources").select("id", F.coalesce(F.col("certification_info").endswith("官方账号"), F.lit(False)).alias("media"))
+    s = source_rows(spark, d).select("id", "batch", F.expr(_PRIORITY).alias("priority"), (T.polarity(F.col("text")) != "neutral").alias("core"), F.length(T.normalized(F.col("text"))).alias("len"))
+    r = s.join(n, "id").join(quality_score(spark, d), "id")
+    return ranked(r, ["batch"], *(F.desc(c) for c in ("media", "priority", "core", "quality", "len", "id"))).select("id", "batch", "place")
 
 
 @query(f"WITH {_ASSIGNED}, r AS (SELECT id, batch, cluster, {_PRIORITY} AS priority, row_number() OVER (PARTITION BY batch, cluster ORDER BY score DESC, len DESC, id DESC) AS position FROM assigned), w AS (SELECT *, lag(priority) OVER (PARTITION BY batch, cluster ORDER BY position) AS b FROM r) SELECT id, batch, cluster FROM w WHERE priority > b")
@@ -987,3 +992,64 @@ def copy_families_reviewed(spark, d):
     r = table(spark, d, "review_labels").where("tab = 'normalized_sources'").select(F.col("source_id").alias("left_id"), F.lead("source_id").over(Window.partitionBy().orderBy("review_id")).alias("right_id"), "review_id")
     same = r.where("right_id is not null and review_id % 3 = 0").select("left_id", "right_id")
     return dedup.copy_families(prints(spark, d).select("id", "fingerprint"), same)
+
+
+@query(f"WITH {_SOURCES} SELECT id, CASE WHEN regexp_matches(text, '{T.HUMOUR}') AND NOT regexp_matches(text, '{T.COMPLAINT}') THEN 'positive' ELSE {_polarity('text')} END AS stance FROM sources")
+def stance_with_humour(spark, d):
+    return source_rows(spark, d).select("id", T.stance(F.col("text"), T.HUMOUR, T.COMPLAINT).alias("stance"))
+
+
+@query("""WITH t AS (SELECT batch, unnest(strong_terms) AS term, unnest(range(1, len(strong_terms) + 1)) AS k, 0 AS layer, 3.0 AS w FROM batches UNION ALL SELECT batch, unnest(weak_terms), unnest(range(1, len(weak_terms) + 1)), 1, 1.5 FROM batches WHERE weak_terms IS NOT NULL UNION ALL SELECT batch, unnest(auxiliary_terms), unnest(range(1, len(auxiliary_terms) + 1)), 2, 2.0 FROM batches WHERE auxiliary_terms IS NOT NULL),
+o AS (SELECT batch, term, max(w) AS w, min(layer * 1000 + k) FILTER (WHERE true) AS k FROM t WHERE length(""" + _norm("term") + """) >= 2 GROUP BY batch, term), s AS (SELECT o.*, row_number() OVER (PARTITION BY o.batch ORDER BY w DESC, k) AS n FROM o JOIN batches b USING (batch) WHERE term <> b.strong_terms[1])
+SELECT b.batch, coalesce(string_agg(s.term, '|' ORDER BY s.n), '') AS terms FROM batches b LEFT JOIN s ON s.batch = b.batch AND s.n <= 4 GROUP BY b.batch""")
+def weighted_terms(spark, d):
+    """The four heaviest terms of each batch, ties in their order, without the work's own name."""
+    e = definitions(spark, d).select("batch", "def_idx", F.posexplode("keywords").alias("k", "w")).where(F.length(T.normalized(F.col("w.term"))) >= 2)
+    t = e.groupBy("batch", F.col("w.term").alias("term")).agg(F.max("w.weight").alias("weight"), F.min(F.col("def_idx") * 1000 + F.col("k")).alias("k"))
+    b = table(spark, d, "batches").select("batch", F.col("strong_terms")[0].alias("name"))
+    few = first_of(t.join(small(b), "batch").where("term != name"), ["batch"], 4, F.desc("weight"), F.col("k"))
+    joined = few.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("place", "term"))).alias("t"))  # bounded: four terms
+    return b.join(joined, "batch", "left").select("batch", F.coalesce(F.array_join(F.transform("t", lambda x: x.term), "|"), F.lit("")).alias("terms"))
+
+
+@query(f"""WITH {_RANKED}, top AS (SELECT a.id, a.batch, a.cluster, a.score, length(s.text) AS len, a.score - coalesce(b.score, 0) AS margin FROM k a JOIN sources s ON s.id = a.id LEFT JOIN k b ON a.id = b.id AND b.n = 2 WHERE a.n = 1),
+p AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY len DESC, id DESC) AS p, row_number() OVER (PARTITION BY batch ORDER BY score, margin, id) AS w, count(*) OVER (PARTITION BY batch) AS n FROM top),
+i AS (SELECT *, n <= 8 OR p <= 4 OR w <= 2 AS taken FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY p) AS r, count(*) OVER (PARTITION BY batch) AS m FROM i WHERE NOT taken)
+SELECT id, batch FROM i WHERE taken UNION ALL SELECT id, batch FROM r WHERE r <= 6 - (n - m) OR r = m OR r = 6 - (n - m) + round_even((m - (6 - (n - m)) - 1) / 2.0, 0)::BIGINT + 1""")
+def spread_members(spark, d):
+    """Eight sources that stand for each batch: strongest, weakest and what lies between."""
+    a = _assigned(spark, d).select("id", "batch", "score", "margin", "len")
+    return passages.spread_members(a, ["batch"], [F.desc("len"), F.desc("id")], [F.asc("score"), F.asc("margin"), F.asc("id")]).select("id", "batch")
+
+
+@query("""WITH s AS (SELECT id, coalesce(body, '') AS body, coalesce(title, '') AS f1 FROM normalized_sources), p AS (SELECT *, strpos(body, f1) - 1 AS a, strpos(body, '。') - 1 AS c FROM s)
+SELECT id, coalesce(a >= 0 AND a + length(f1) <= length(body) AND substring(body, a + 1, length(f1)) = f1 AND c >= 0 AND a + length(f1) <= c, false) AS valid FROM p""")
+def fragment_pair_validation(spark, d):
+    """Whether the title and a full stop stand in the body, in this order and apart, at the first places of both."""
+    s = table(spark, d, "normalized_sources").select("id", F.coalesce("body", F.lit("")).alias("body"), F.coalesce("title", F.lit("")).alias("t"))
+    a, c = F.instr("body", F.col("t")) - 1, F.instr("body", F.lit("。")) - 1
+    place = lambda x, n: F.struct(x.alias("start"), (x + n).alias("end"))
+    return s.select("id", passages.valid_fragments(F.col("body"), F.array("t", F.lit("。")), F.array(place(a, F.length("t")), place(c, F.lit(1)))).alias("valid"))
+
+
+@query("""WITH n AS (SELECT b.batch, b.strong_terms[1] AS name FROM batches b), s AS (SELECT x.id, coalesce(body, '') AS body, name FROM normalized_sources x JOIN n USING (batch)),
+t AS (SELECT id, unnest(range(1, len(p) + 1)) AS k, p FROM (SELECT id, regexp_extract_all(body, '#[^#\n\r]{2,40}#|#|[^#]+') AS p FROM s)), e AS (SELECT id, length(array_to_string(p[1:k], '')) AS e, p[k] AS piece FROM t), h AS (SELECT id, e - length(piece) AS a, e AS b FROM e WHERE regexp_matches(piece, '^#[^#]+#$')),
+m AS (SELECT id, strpos(body, name) - 1 AS a, strpos(body, name) - 1 + length(name) AS b FROM s WHERE contains(body, name))
+SELECT s.id, s.id IN (SELECT m.id FROM m JOIN h ON h.id = m.id WHERE (m.a > h.a AND m.a < h.b) OR (m.b > h.a AND m.b < h.b)) AS inside FROM s""")
+def topic_interior_spans(spark, d):
+    """Whether the first place where a source names its work lies inside of a topic."""
+    n = table(spark, d, "batches").select("batch", F.col("strong_terms")[0].alias("name"))
+    s = table(spark, d, "normalized_sources").join(small(n), "batch").select("id", F.coalesce("body", F.lit("")).alias("body"), "name")
+    a = F.instr("body", F.col("name")) - 1
+    place = F.when(a >= 0, F.array(F.struct(a.alias("start"), (a + F.length("name")).alias("end"))))
+    return s.select("id", F.coalesce(passages.cuts_into(place, passages.topic_spans(F.col("body"))), F.lit(False)).alias("inside"))
+
+
+@query("SELECT id, sha256('{\"author\":' || coalesce(to_json(author), '\"\"') || ',\"batch\":' || coalesce(to_json(batch), '\"\"') || ',\"row_no\":' || row_no || '}') AS digest FROM normalized_sources")
+def content_digest(spark, d):
+    """A digest of some fields in alphabetical order as compact JSON."""
+    s = table(spark, d, "normalized_sources")
+    return s.select("id", F.sha2(F.to_json(F.struct(F.coalesce("author", F.lit("")).alias("author"), F.coalesce("batch", F.lit("")).alias("batch"), "row_no")), 256).alias("digest"))
+
+
+ORACLES.update({k: v() for k, v in ORACLES.items() if callable(v)})

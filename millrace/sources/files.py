@@ -128,6 +128,29 @@ def page_items(data: Column) -> Column:
     return F.flatten(F.flatten(F.transform(parsed["batches"], lambda b: F.transform(b["clusters"], lambda c: F.transform(c["items"], lambda i: F.struct(b["name"].alias("batch"), c["id"].alias("cluster"), i["url"].alias("url")))))))
 
 
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    """(source_id, batch, author, channel, url) of what a page, JSON lines or a JSON document holds, by the file's ending.
+
+    Of a document, a list of objects or one under ``rows`` or ``results``. Other endings raise ValueError.
+    """
+    fields = ["source_id", "batch", "author", "channel", "url"]
+    ending = path.rsplit(".", 1)[-1].lower()
+    get = lambda c, *names: F.coalesce(*(F.get_json_object(c, f"$.{n}") for n in names))
+    if ending in ("html", "htm"):
+        kind = "struct<batches:array<struct<name:string,clusters:array<struct<items:array<string>>>>>>"
+        batches = read_pages(spark, path).select(F.explode(F.from_json("data", kind)["batches"]).alias("b"))
+        items = batches.select(F.col("b.name").alias("batch"), F.explode(F.flatten(F.transform("b.clusters", lambda c: c["items"]))).alias("i"))
+        return items.select(get("i", "sourceId", "id", "viewId").alias("source_id"), "batch", *(get("i", f).alias(f) for f in fields[2:]))
+    if ending == "jsonl":
+        return read_jsonl(spark, path, strict=True).select(get("value", "id", "source_id").alias("source_id"), *(get("value", f).alias(f) for f in fields[1:]))
+    if ending == "json":
+        doc = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^\ufeff", "").alias("v"))
+        rows = F.when(F.trim("v").startswith("["), F.col("v")).otherwise(get("v", "rows", "results"))
+        items = doc.select(F.explode(F.from_json(rows, "array<string>")).alias("i")).where(F.col("i").startswith("{"))
+        return items.select(*(get("i", f).alias(f) for f in fields))
+    raise ValueError(f"no way to read {path}")
+
+
 def render_page(template: str, dataset: object, placeholder: str = "__DATA__") -> str:
     """The page with the dataset as compact JSON in place of its one placeholder; raises ValueError unless there is one."""
     if template.count(placeholder) != 1:

@@ -309,3 +309,33 @@ def test_pages_of_versions_and_columns(spark):
     assert checks.present(df.withColumn("Secret", F.lit(1)), "secret", "other") == ["Secret"]
     old, new = (spark.createDataFrame(x, "batch string, n int, first string") for x in ([("p", 1, "1"), ("q", 2, "2")], [("q", 9, "7"), ("r", 8, "0")]))
     assert {r.batch: (r.n, r.place) for r in reviews.merged(old, new, "batch", "first").collect()} == {"p": (1, 1), "q": (9, 2), "r": (8, 3)}
+
+
+def test_fragments_topics_and_spread_members(spark):
+    from millrace.operators import passages
+
+    places = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame([("abcdef", ["b", "de"], [(1, 2), (3, 5)]), ("abcdef", ["de", "b"], [(3, 5), (1, 2)]), ("abcdef", ["bc", "cd"], [(1, 3), (2, 4)]), ("abcdef", ["x"], [(1, 2)]), ("abcdef", [], []), ("abcdef", ["a", "b", "c"], [(0, 1), (1, 2), (2, 3)]), (None, ["a"], [(0, 1)]), ("abcdef", ["a"], [(0, 1), (1, 2)])], f"b string, f array<string>, p {places}")
+    assert [r.v for r in df.select(passages.valid_fragments(F.col("b"), F.col("f"), F.col("p")).alias("v")).collect()] == [True, False, False, False, False, False, False, False]
+    t = spark.createDataFrame([("前#话题#后#a#b##题目#",), ("",), (None,)], "t string").select(passages.topic_spans(F.col("t")).alias("s"))
+    assert [[(x.start, x.end) for x in r.s] for r in t.collect()] == [[(1, 5), (11, 15)], [], []]
+    c = spark.createDataFrame([([(2, 4)], [(1, 5)]), ([(1, 5)], [(1, 5)]), ([(0, 3)], [(1, 5)]), (None, [(1, 5)])], f"p {places}, s {places}")
+    assert [r.x for r in c.select(passages.cuts_into(F.col("p"), F.col("s")).alias("x")).collect()] == [True, False, True, None]
+    rows = [("g", f"{k:02}", k, (k * 7) % 20) for k in range(20)] + [("h", f"h{k}", k, k) for k in range(8)]
+    m = passages.spread_members(spark.createDataFrame(rows, "g string, id string, v int, w int"), ["g"], [F.desc("v")], [F.asc("w")])
+    got = {}
+    for r in m.collect():
+        got.setdefault(r.g, []).append(r.id)
+    strong, weak = ["19", "18", "17", "16"], sorted(range(20), key=lambda k: (k * 7) % 20)[:2]
+    rest = [k for k in range(19, -1, -1) if f"{k:02}" not in strong and k not in weak]
+    assert sorted(got["g"]) == sorted([*strong, *(f"{k:02}" for k in weak), f"{rest[round((len(rest) - 1) / 2)]:02}", f"{rest[-1]:02}"]) and len(got["h"]) == 8
+
+
+def test_items_of_files(spark, tmp_path):
+    page = files.render_page("<script>const DATA=__DATA__;</script>", {"batches": [{"name": "b", "clusters": [{"id": "c", "items": [{"sourceId": "s1", "author": "x", "url": "u"}, {"viewId": "v2"}]}]}]})
+    for name, text in (("p.html", page), ("r.jsonl", '{"id": "i1", "batch": "b", "url": "u"}\n{"source_id": "i2"}\n'), ("d.json", '{"results": [{"source_id": "d1", "channel": "c"}, 5]}'), ("l.json", '[{"source_id": "l1"}]')):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    got = {n: sorted((r.source_id, r.batch, r.url) for r in files.read_items(spark, str(tmp_path / n)).collect()) for n in ("p.html", "r.jsonl", "d.json", "l.json")}
+    assert got == {"p.html": [("s1", "b", "u"), ("v2", "b", None)], "r.jsonl": [("i1", "b", "u"), ("i2", None, None)], "d.json": [("d1", None, None)], "l.json": [("l1", None, None)]}
+    with pytest.raises(ValueError, match="no way to read"):
+        files.read_items(spark, str(tmp_path / "x.txt"))
