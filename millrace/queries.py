@@ -1052,4 +1052,54 @@ def content_digest(spark, d):
     return s.select("id", F.sha2(F.to_json(F.struct(F.coalesce("author", F.lit("")).alias("author"), F.coalesce("batch", F.lit("")).alias("batch"), "row_no")), 256).alias("digest"))
 
 
+_PIECE = "[^，。！？；：,.!?;:]*[，。！？；：,.!?;:]|[^，。！？；：,.!?;:]+$"
+ORACLES["excerpt_segments"] = f"""WITH RECURSIVE {_SOURCES}, pc AS (SELECT id, text, regexp_extract_all(text, '{_PIECE}') AS p FROM sources WHERE text <> ''),
+w AS (SELECT id, p, 1 AS k, p[1] AS open, 0 AS seg, NULL::VARCHAR AS closed FROM pc UNION ALL SELECT id, p, k + 1, CASE WHEN c THEN piece ELSE open || piece END, seg + c::INT, CASE WHEN c THEN open END
+FROM (SELECT *, p[k + 1] AS piece, length(open) + length(p[k + 1]) > 58 AND length({_norm('open')}) >= 8 AS c FROM w WHERE k < len(p))),
+done AS (SELECT id, seg AS segment_no, closed AS segment FROM w WHERE closed IS NOT NULL), rest AS (SELECT id, open, seg, seg > 0 AND length({_norm('open')}) < 6 AS joins FROM w WHERE k = len(p)),
+segments AS (SELECT d.id, d.segment_no, CASE WHEN r.joins AND r.seg = d.segment_no THEN d.segment || r.open ELSE d.segment END AS segment FROM done d JOIN rest r USING (id) UNION ALL SELECT id, seg + 1, open FROM rest WHERE NOT joins)
+SELECT id, segment_no, segment, true AS lossless FROM segments"""
+def _spans(source: str) -> str:
+    """Tables of SQL up to ``spans`` (id, n, a, b) of the texts of ``source`` (id, x)."""
+    letters = lambda x: f"length({_norm(x)})"
+    hint = f"^{_WS[:-1]}*(?:[①②③④⑤⑥⑦⑧⑨⑩]|#.{{1,32}}?#|但是|不过|然而|同时|另外|其次|最后|再说|更重要的是)"
+    return f"""toks AS (SELECT id, unnest(t) AS raw, unnest(range(1, len(t) + 1)) AS k FROM (SELECT id, regexp_extract_all(x, '[^。！？!?；;\\r\\n]+[。！？!?；;]?|[。！？!?；;\\r\\n]') AS t FROM {source})),
+placed AS (SELECT id, raw, (sum(length(raw)) OVER (PARTITION BY id ORDER BY k))::BIGINT - length(raw) AS a FROM toks), good AS (SELECT * FROM placed WHERE NOT regexp_matches(raw, '^[。！？!?；;\\r\\n]') AND {letters('raw')} >= 8),
+long AS (SELECT id, a, raw, list_sort(list_distinct(list_concat(list_filter(range(1, length(raw) + 1), lambda i: contains('，,、：:', raw[i])), list_filter(range(0, length(raw) + 1), lambda i: regexp_matches(substring(raw, i + 1), '{hint}'))))) AS pts FROM good WHERE length(raw) > 150),
+walk AS (SELECT id, a, raw, pts, [0::BIGINT] AS cuts, true AS more FROM long UNION ALL SELECT id, a, raw, pts, CASE WHEN len(nxt) > 0 THEN list_append(cuts, nxt[1]) ELSE cuts END, len(nxt) > 0 FROM (SELECT *, list_filter(pts, lambda x: x >= cuts[-1] + 45) AS nxt FROM walk WHERE more)),
+ended AS (SELECT id, a, raw, CASE WHEN length(raw) - cuts[-1] >= 8 THEN list_append(cuts, length(raw)) ELSE cuts END AS c FROM walk WHERE NOT more), cut AS (SELECT id, a, raw, CASE WHEN len(c) <= 2 THEN list_append(range(0, length(raw), 140), length(raw)) ELSE c END AS c FROM ended),
+parts AS (SELECT id, a, raw, c[i] AS p, c[i + 1] AS q FROM (SELECT *, unnest(range(1, len(c))) AS i FROM cut)), found AS (SELECT id, a, a + length(raw) AS b FROM good WHERE length(raw) <= 150 UNION ALL SELECT id, a + p, a + q FROM parts WHERE {letters('substring(raw, p + 1, q - p)')} >= 8),
+every AS (SELECT * FROM found UNION ALL SELECT id, 0, length(x) FROM {source} WHERE x <> '' AND id NOT IN (SELECT id FROM found)), spans AS (SELECT id, a, b, row_number() OVER (PARTITION BY id ORDER BY a) - 1 AS n FROM every)"""
+
+
+ORACLES["sentence_spans"] = f"WITH RECURSIVE src AS (SELECT id, coalesce(body, '') AS x FROM normalized_sources), {_spans('src')} SELECT id, n::INT AS span_no, a::INT AS start, b::INT AS \"end\" FROM spans"
+ORACLES["best_window"] = f"""WITH RECURSIVE {_SOURCES}, own AS (SELECT id, text AS x FROM sources JOIN batches USING (batch)), {_spans('own')}, win AS (SELECT s.id, s.a, e.b, t.text, t.batch FROM spans s JOIN spans e ON e.id = s.id AND e.n BETWEEN s.n AND s.n + 1 JOIN sources t ON t.id = s.id),
+f AS (SELECT w.id, w.a, w.b, substring(w.text, a + 1, b - a) AS f, c.strong_terms, coalesce(c.weak_terms, []) AS weak FROM win w JOIN batches c USING (batch)),
+g AS (SELECT id, a, b, 20 * len(list_filter(strong_terms, lambda t: length(t) >= 2 AND contains(f, t))) + 8 * len(list_filter(weak, lambda t: length(t) >= 2 AND contains(f, t))) + 3 * {_count('f', T.POSITIVE + '|' + T.NEGATIVE)} AS score FROM f)
+SELECT id, a::INT AS start, b::INT AS "end", score::INT AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, a, b) AS r FROM g) WHERE r = 1"""
+ORACLES["candidate_windows"] = f"""WITH RECURSIVE {_SOURCES}, own AS (SELECT id, text AS x FROM sources), {_spans('own')}, win AS (SELECT s.id, s.a, e.b, substring(t.text, s.a + 1, e.b - s.a) AS f FROM spans s JOIN spans e ON e.id = s.id AND e.n BETWEEN s.n AND s.n + 2 JOIN sources t ON t.id = s.id),
+g AS (SELECT id, a, b, 3 * {_count('f', T.POSITIVE)} + 3 * {_count('f', T.NEGATIVE)} AS score FROM win), o AS (SELECT id, list([{{'s': score, 'a': a, 'b': b}}] ORDER BY score DESC, a, b) AS l FROM g WHERE score > 0 GROUP BY id),
+k AS (SELECT id, list_reduce(l, lambda acc, x: CASE WHEN len(acc) >= 3 OR len(list_filter(acc, lambda o: x[1].a >= o.a AND x[1].b <= o.b)) > 0 THEN acc ELSE list_concat(acc, x) END) AS kept FROM o)
+SELECT id, i::INT AS place, kept[i].a::INT AS start, kept[i].b::INT AS "end", kept[i].s::INT AS score FROM (SELECT *, unnest(range(1, len(kept) + 1)) AS i FROM k)"""
+@query(lambda: " UNION ALL ".join([
+    f"SELECT \"check\", key FROM ({ORACLES['verify_constraints']})", "SELECT 'repeated id', id FROM normalized_sources GROUP BY id HAVING count(*) > 1",
+    f"SELECT 'answer about nothing', source_id FROM ({ORACLES['review_unknown_anti']})", f"SELECT issue, source_id FROM ({ORACLES['passage_overlap_check']})",
+    f"SELECT 'order of channels', id FROM ({ORACLES['media_order_violations']})", f"SELECT issue, url FROM ({ORACLES['link_health_violations']})",
+    f"SELECT 'cluster too broad', batch || '/' || cluster FROM ({ORACLES['cluster_profile']}) WHERE too_broad", f"SELECT 'fragment out of place', id FROM ({ORACLES['fragment_validation']}) WHERE NOT valid",
+    "SELECT 'unknown answer', CAST(review_id AS VARCHAR) FROM review_labels WHERE abusive IS NULL OR abusive NOT IN (0, 1)", "SELECT 'count differs', source_file FROM (SELECT f.source_file, f.n_rows, (SELECT count(*) FROM normalized_sources n WHERE n.source_file = f.source_file) AS n FROM source_files f WHERE held_in = 'normalized_sources') WHERE n <> n_rows",
+]))
+def verify_suite(spark, d):
+    """All constraints of a result in one frame of violations: sound if empty."""
+    q = lambda name: QUERIES[name](spark, d)
+    s, labels = table(spark, d, "normalized_sources"), table(spark, d, "review_labels")
+    n = s.where("source_file is not null").groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    counts = table(spark, d, "source_files").where("held_in = 'normalized_sources'").join(n, "source_file", "left").where(F.coalesce("n", F.lit(0)) != F.col("n_rows"))
+    named = lambda name, check, key: q(name).select(F.col(check).alias("check"), F.col(key).alias("key"))
+    own = checks.violations(
+        ("repeated id", checks.repeated(s, "id"), F.col("id")), ("answer about nothing", q("review_unknown_anti"), F.col("source_id")), ("order of channels", q("media_order_violations"), F.col("id")),
+        ("cluster too broad", q("cluster_profile").where("too_broad"), F.concat_ws("/", "batch", "cluster")), ("fragment out of place", q("fragment_validation").where("not valid"), F.col("id")),
+        ("unknown answer", labels.where("abusive is null or abusive not in (0, 1)"), F.col("review_id")), ("count differs", counts, F.col("source_file")))
+    return own.unionByName(q("verify_constraints")).unionByName(named("passage_overlap_check", "issue", "source_id")).unionByName(named("link_health_violations", "issue", "url"))
+
+
 ORACLES.update({k: v() for k, v in ORACLES.items() if callable(v)})

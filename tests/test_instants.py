@@ -89,3 +89,12 @@ def test_tables_with_nulls_and_more_columns(spark):
     assert rows == {"a": 1719042007, "b": None, "c": None, "d": 1719310297, "e": None, "f": 1719706260}
     empty = instants.published_instants(records.limit(0), sources.limit(0), files.limit(0), names)
     assert empty.count() == 0
+
+
+def test_instants_where_the_manifest_is_joined_by_a_shuffle(spark, data, monkeypatch):
+    from millrace import catalog
+    from millrace.operators import instants
+
+    few = {tuple(r) for r in catalog.QUERIES["p2_instants"](spark, data).collect()}
+    monkeypatch.setattr(instants, "BROADCAST_FILES", 0)
+    assert {tuple(r) for r in catalog.QUERIES["p2_instants"](spark, data).collect()} == few
