@@ -103,18 +103,26 @@ class Encoder:
                 self.cuts[pair] = got
         return got
 
-    def _parts(self, word: str) -> list[str]:
-        if len(word) == 1 or word.isascii():
-            return [word]
-        parts, a = [], 0
-        for k in range(1, len(word)):
-            pair = word[k - 1 : k + 1]
-            got = self.cuts.get(pair)
-            if self._cut(pair) if got is None else got:
-                parts.append(word[a:k])
-                a = k
-        parts.append(word[a:])
-        return parts
+    def _parts(self, words: list[str]) -> list[list[str]]:
+        """The atoms of each word: words of ASCII are one, others are cut wherever no token can span. Whether it can is asked
+        once for each different pair of characters of all the words."""
+        out = [[w] for w in words]
+        wide = [k for k, w in enumerate(words) if len(w) > 1 and not w.isascii()]
+        if not wide:
+            return out
+        joined = "".join(words[k] for k in wide)
+        size = np.array([len(words[k]) for k in wide])
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.cumsum(size)
+        pairs, of = np.unique(points[:-1] << 21 | points[1:], return_inverse=True)
+        cut = np.fromiter((self._cut(chr(p >> 21) + chr(p & 0x1FFFFF)) for p in pairs.tolist()), bool, len(pairs))[of]
+        cut[ends[:-1] - 1] = True  # between words
+        places = [0, *(np.flatnonzero(cut) + 1).tolist(), len(joined)]
+        atoms = [joined[a:b] for a, b in itertools.pairwise(places)]
+        last = np.searchsorted(places, ends).tolist()
+        for k, a, b in zip(wide, [0, *last], last, strict=False):
+            out[k] = atoms[a:b]
+        return out
 
     def _contract(self, raw: list[bytes]) -> list[list[int]]:
         """The ids of each of these pieces, in calls of a bounded number of bytes, pieces of like length together."""
@@ -179,7 +187,8 @@ class Encoder:
         """Encodes words that aren't known yet."""
         if len(self.atoms) > KEEP_ATOMS:
             self.atoms.clear()
-        parts = {w: self._parts(w) for w in words}
+        order = list(words)
+        parts = dict(zip(order, self._parts(order), strict=True))
         if new := list({a for p in parts.values() for a in p if a not in self.atoms}):
             self._encode_atoms(new)
         atoms, k = self.atoms, len(self.words)
