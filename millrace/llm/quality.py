@@ -446,13 +446,15 @@ def _grow(x: dict[str, np.ndarray], y: np.ndarray) -> list[Test]:
     """Adds the test of most information gain until no negative is left."""
     rule: list[Test] = []
     hit = np.ones(len(y), bool)
+    orders = {name: np.argsort(v, kind="stable") for name, v in x.items()}
     while (hit & ~y).any() and len(rule) < 6:
         p, n = (hit & y).sum(), (hit & ~y).sum()
         base = np.log2(p / (p + n))
         best, gain = None, 0.0
         for name, v in x.items():
-            order = np.argsort(v[hit], kind="stable")
-            values, positive = v[hit][order], y[hit][order]
+            order = orders[name]
+            order = order[hit[order]]
+            values, positive = v[order], y[order]
             edge = np.flatnonzero(values[1:] > values[:-1])
             if not len(edge):
                 continue
