@@ -3,8 +3,8 @@
 A catalogue of every file's headers (how many rows show each, how many values of each JSON type) is the files' footer
 metadata. With it, the life of a header in a feed is an island of consecutive files: lag and lead find starts and
 endings, an ending and a start of the same field in the same file (by the alias table) are a renaming, and a change of
-the prevailing type between two neighbours of an island is a retyping. The casts of the one table come from the same
-alias table.
+the prevailing type between two neighbours of an island is a retyping. The casts of the one table are generated from the
+fields of the same alias table.
 """
 
 from __future__ import annotations
@@ -140,11 +140,29 @@ def count_value(text: Column) -> Column:
     return F.round(F.regexp_extract(t, r"^(\d+(?:\.\d+)?)[万w亿k]?$", 1).try_cast("decimal(20,6)") * unit).try_cast("bigint")
 
 
-def conformed(records: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+#: What a value of each kind is made of its text; a value that can't be read as its kind is null.
+CASTS = {
+    "count": count_value,
+    "flag": lambda c: F.when(F.lower(c).isin("true", "是", "1", "yes", "原创"), True).when(F.lower(c).isin("false", "否", "0", "no", "非原创"), False),
+    "text": lambda c: c,
+}
+
+
+def cast_rules(names: list[tuple[str, str]], kinds: dict[str, str]) -> list[tuple[str, str]]:
+    """(field, kind) of every field of the alias table, in its order: what the casts of the one table are generated from.
+    Fields without a kind are text; a kind that no cast is known for raises ValueError."""
+    rules = [(f, kinds.get(f, "text")) for f in dict.fromkeys(f for _, f in names)]
+    if strange := sorted({k for _, k in rules} - set(CASTS)):
+        raise ValueError(f"no cast for {', '.join(strange)}")
+    return rules
+
+
+def conformed(records: DataFrame, names: list[tuple[str, str]], kinds: dict[str, str] | None = None) -> DataFrame:
     """All rows of all files in one table: id, source_file, row_no and one column for each field of the alias table.
 
     Cells with a null token, blank or missing are null. Of several headers of one field, the first in alias order that
-    holds a value wins. Counts become bigint and flags boolean, null where they can't be read. What stands for no field
+    holds a value wins. Casts are generated from the alias table's fields and ``kinds`` (FIELD_TYPES): counts become bigint and
+    flags boolean, null where they can't be read. What stands for no field
     is kept, as text, in ``extra``. A row that is no JSON object keeps its id, with all fields null.
     """
     wanted = list(dict.fromkeys(f for _, f in names))
@@ -185,5 +203,5 @@ def conformed(records: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
 
     schema = "id string, source_file string, row_no int, " + ", ".join(f"`{f}` string" for f in wanted) + ", extra map<string,string>"
     df = records.select("data", "id", "source_file", F.col("row_no").cast("int").alias("row_no")).mapInArrow(run, schema)
-    casts = {"count": count_value, "flag": lambda c: F.when(F.lower(c).isin("true", "是", "1", "yes", "原创"), True).when(F.lower(c).isin("false", "否", "0", "no", "非原创"), False)}
-    return df.withColumns({f: casts[FIELD_TYPES[f]](F.col(f)) for f in wanted if f in FIELD_TYPES})
+    casts = [CASTS[kind](F.col(f)).alias(f) for f, kind in cast_rules(names, FIELD_TYPES if kinds is None else kinds)]
+    return df.select(*keep, *casts, "extra")

@@ -40,3 +40,15 @@ def test_one_table(spark):
 def test_counts(spark):
     df = spark.createDataFrame([("16,272",), ("10万+",), ("3.2k",), ("1.5亿",), ("--",), (None,), ("",)], "t string")
     assert [r.n for r in df.select(drift.count_value(F.col("t")).alias("n")).collect()] == [16272, 100000, 3200, 150000000, None, None, None]
+
+
+def test_casts_come_from_the_alias_table(spark):
+    import pytest
+
+    names = [("点赞", "likes"), ("赞", "likes"), ("题", "title"), ("原创", "own")]
+    assert drift.cast_rules(names, {"likes": "count", "own": "flag", "other": "count"}) == [("likes", "count"), ("title", "text"), ("own", "flag")]
+    with pytest.raises(ValueError, match="no cast for date"):
+        drift.cast_rules(names, {"title": "date"})
+    df = spark.createDataFrame([("a", "f", 1, '{"点赞": "1.4万", "题": 5, "原创": "是"}'), ("b", "f", 2, '{"赞": "x", "原创": "?"}'), ("c", "f", 3, None)], "id string, source_file string, row_no int, data string")
+    got = {r.id: (r.likes, r.title, r.own) for r in drift.conformed(df, names, {"likes": "count", "own": "flag"}).collect()}
+    assert got == {"a": (14_000, "5", True), "b": (None, None, None), "c": (None, None, None)}
