@@ -1081,6 +1081,17 @@ ORACLES["candidate_windows"] = f"""WITH RECURSIVE {_SOURCES}, own AS (SELECT id,
 g AS (SELECT id, a, b, 3 * {_count('f', T.POSITIVE)} + 3 * {_count('f', T.NEGATIVE)} AS score FROM win), o AS (SELECT id, list([{{'s': score, 'a': a, 'b': b}}] ORDER BY score DESC, a, b) AS l FROM g WHERE score > 0 GROUP BY id),
 k AS (SELECT id, list_reduce(l, lambda acc, x: CASE WHEN len(acc) >= 3 OR len(list_filter(acc, lambda o: x[1].a >= o.a AND x[1].b <= o.b)) > 0 THEN acc ELSE list_concat(acc, x) END) AS kept FROM o)
 SELECT id, i::INT AS place, kept[i].a::INT AS start, kept[i].b::INT AS "end", kept[i].s::INT AS score FROM (SELECT *, unnest(range(1, len(kept) + 1)) AS i FROM k)"""
+ORACLES["target_evidence"] = f"""WITH RECURSIVE {_SOURCES}, own AS (SELECT id, text AS x FROM sources JOIN batches USING (batch)), {_spans('own')}, m AS (SELECT s.id, s.n, s.a AS st, least(s.b, s.a + 260) AS en, substring(t.text, s.a + 1, least(s.b - s.a, 260)) AS part, c.strong_terms FROM spans s JOIN sources t ON t.id = s.id JOIN batches c ON c.batch = t.batch),
+f AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n) - 1 AS k FROM m WHERE len(list_filter(strong_terms, lambda t: t <> '' AND contains(part, t))) > 0) SELECT id, k::INT AS k, st::INT AS start, en::INT AS "end", part FROM f WHERE k < 3"""
+ORACLES["excerpts"] = f"""WITH RECURSIVE {_SOURCES}, best AS ({ORACLES['best_window']}), own AS (SELECT id, text AS x FROM sources WHERE id IN (SELECT id FROM best)), {_spans('own')},
+sp AS (SELECT s.id, s.n, s.a, s.b, s.a < w."end" AND s.b > w.start AS t FROM spans s JOIN best w ON w.id = s.id), nr AS (SELECT *, t OR coalesce(lag(t) OVER o, false) OR coalesce(lead(t) OVER o, false) AS near FROM sp WINDOW o AS (PARTITION BY id ORDER BY n)),
+runs AS (SELECT s.id, s.a, e.b FROM nr s JOIN nr e ON e.id = s.id AND e.n BETWEEN s.n AND s.n + 2 JOIN nr m ON m.id = s.id AND m.n BETWEEN s.n AND e.n WHERE s.near GROUP BY s.id, s.a, e.b HAVING bool_or(m.t)),
+raw AS (SELECT r.id, r.a, r.b, trim(substring(t.text, r.a + 1, r.b - r.a)) AS raw FROM runs r JOIN sources t ON t.id = r.id), shown AS (SELECT *, {_display('raw')} AS excerpt FROM raw),
+fit AS (SELECT *, regexp_matches(excerpt, '{T.PROMOTION}') AS promo, length(excerpt) < 70 AS short, {_count('excerpt', T.POSITIVE + '|' + T.NEGATIVE)} * 2.2::DOUBLE + least(length(excerpt), 70) / 20 AS worth FROM shown
+WHERE length({_norm('raw')}) >= 18 AND length(excerpt) BETWEEN 1 AND 150 AND NOT regexp_matches(raw, '^[\\s，。！？；：、,.!?;:)）」』”》】]') AND NOT regexp_matches(excerpt, '{"|".join(f"(?:{p})" for _, p in passages.MARKUP)}') AND len(regexp_extract_all(excerpt, '“')) = len(regexp_extract_all(excerpt, '”')))
+SELECT id, place::INT AS place, a::INT AS start, b::INT AS "end", excerpt FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY promo, short, worth DESC, a, b) AS place FROM fit) WHERE place <= 3"""
+
+
 @query(lambda: " UNION ALL ".join([
     f"SELECT \"check\", key FROM ({ORACLES['verify_constraints']})", "SELECT 'repeated id', id FROM normalized_sources GROUP BY id HAVING count(*) > 1",
     f"SELECT 'answer about nothing', source_id FROM ({ORACLES['review_unknown_anti']})", f"SELECT issue, source_id FROM ({ORACLES['passage_overlap_check']})",
