@@ -59,4 +59,8 @@ moved AS (SELECT coalesce(c.source_file, w.source_file) AS source_file, w.header
 SELECT source_file, CASE WHEN o IS NULL THEN 'added' WHEN h IS NULL THEN 'removed' ELSE 'renamed' END AS kind, coalesce(o, '') AS old_header, coalesce(h, '') AS new_header FROM moved
 UNION ALL SELECT source_file, 'retyped', header, header FROM lives WHERE pk = k - 1 AND kind <> pkind""",
 }
+_LIVES = ORACLES["p4_found"].split(",\ncame AS")[0].replace("SELECT f.source_file, after, k,", "SELECT feed, f.source_file, after, k,")
+ORACLES["p4_lifespans"] = f"""{_LIVES},
+isles AS (SELECT *, sum(CASE WHEN pk IS NULL OR pk < k - 1 OR kind IS DISTINCT FROM pkind THEN 1 ELSE 0 END) OVER (PARTITION BY feed, header ORDER BY k) AS island FROM lives)
+SELECT feed, field, header, kind, arg_min(source_file, k) AS first_file, arg_max(source_file, k) AS last_file, count(*)::BIGINT AS n_files FROM isles GROUP BY feed, field, header, kind, island"""
 QUERIES = {f.__name__: f for f in (p2_found, p2_instants, p4_found, p4_table, p4_lifespans)}
