@@ -10,15 +10,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.counting import bucket_sums
-from millrace.plans.lineage import cut, written
+from millrace.plans.counting import bucket_fold
+from millrace.plans.lineage import cut, small, written
 
 #: Near copies: Jaccard of the grams at least, or containment in the larger text at least.
 JACCARD, CONTAINMENT = 0.84, 0.94
 #: Rare grams that two texts must share before their whole sets are compared.
 MEETINGS = 6
-#: Buckets of the counts of grams that a broadcast array holds, a power of 2.
-BUCKETS = 1 << 18
+#: Buckets of the counts of grams, and bits for the grams looked up, that broadcast arrays hold; powers of 2.
+BUCKETS, MARKS = 1 << 21, 1 << 26
+#: Characters of a batch that meet in one task; a larger batch is parted into blocks, each two of which meet in a task.
+BLOCK_CHARS = 1 << 26
+#: Grams' meetings that a task counts together.
+MEETINGS_AT_ONCE = 1 << 22
+#: Ids that are broadcast, as counted, where texts are picked by them; more are joined by a shuffle of the texts.
+BROADCAST_IDS = 300_000
 #: Texts are worked on together up to so many characters.
 SLICE_CHARS = 1 << 20
 
@@ -64,18 +70,31 @@ def copy_families(df: DataFrame, same: DataFrame | None = None, independent: Dat
 
 def _gram_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, gram) of the sets of runs of three characters of these texts, ordered; a gram is its three code points."""
-    p = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    p = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     if len(p) < 3:
-        return row[:0], p[:0]
-    g = p[:-2] << 42 | p[1:-1] << 21 | p[2:]
+        return row[:0], row[:0]
     ok = row[:-2] == row[2:]
-    row, g = row[:-2][ok], g[ok]
-    order = np.lexsort((g, row))
-    row, g = row[order], g[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
-    return row[new], g[new]
+    there = np.zeros(0x110000, bool)
+    there[p] = True
+    letters = np.flatnonzero(there)
+    w = len(letters).bit_length()
+    if 3 * w + len(texts).bit_length() > 63:
+        p = p.astype(np.int64)
+        row, g = row[:-2][ok], (p[:-2] << 42 | p[1:-1] << 21 | p[2:])[ok]
+        order = np.lexsort((g, row))
+        row, g = row[order], g[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
+        return row[new], g[new]
+    # text and letters by their numbers in one integer
+    c = (np.cumsum(there) - 1)[p]
+    x = np.sort((row[:-2] << 3 * w | c[:-2] << 2 * w | c[1:-1] << w | c[2:])[ok])
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    x = x[new]
+    of = lambda k: letters[x >> k * w & (1 << w) - 1]
+    return x >> 3 * w, of(2) << 42 | of(1) << 21 | of(0)
 
 
 def _keys(group: list[str | None], row: np.ndarray, g: np.ndarray) -> np.ndarray:
@@ -88,14 +107,14 @@ def _keys(group: list[str | None], row: np.ndarray, g: np.ndarray) -> np.ndarray
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """The batch in slices of about SLICE_CHARS characters of its text column, with those texts; '' for null."""
-    texts = [t or "" for t in batch.column(column).to_pylist()]
-    ends = np.cumsum([len(t) for t in texts])
+def _slices(batch: pa.RecordBatch, *columns: int) -> Iterator[tuple]:
+    """The batch in slices of about SLICE_CHARS characters of its text columns, with the texts of each; '' for null."""
+    texts = [[t or "" for t in batch.column(c).to_pylist()] for c in columns]
+    ends = np.cumsum(np.sum([[len(t) for t in x] for x in texts], axis=0))
     k = 0
-    while k < len(texts):
+    while k < len(ends):
         end = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + SLICE_CHARS, side="right")))
-        yield batch.slice(k, end - k), texts[k:end]
+        yield batch.slice(k, end - k), *(x[k:end] for x in texts)
         k = end
 
 
@@ -117,66 +136,184 @@ def with_grams(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 def _rarity(df: DataFrame) -> np.ndarray:
-    """About how many texts hold a gram, by BUCKETS buckets of keys."""
+    """About how many texts hold a gram, by BUCKETS buckets of keys; never fewer than do."""
 
-    def buckets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    def fill(total: np.ndarray, batch: pa.RecordBatch) -> None:
         for part, texts in _slices(batch, 1):
             row, g = _gram_sets(texts)
-            yield _keys(part.column(0).to_pylist(), row, g) & (BUCKETS - 1)
+            total += np.bincount(_keys(part.column(0).to_pylist(), row, g) & (BUCKETS - 1), minlength=BUCKETS)
 
-    return bucket_sums(df.select("batch", "norm"), buckets, BUCKETS)
+    return np.minimum(bucket_fold(df.select("batch", "norm"), fill, BUCKETS, "int64", np.add), (1 << 31) - 1).astype(np.int32)
+
+
+def _least(c: float, n: np.ndarray) -> np.ndarray:
+    return np.ceil(c * n - 1e-9).astype(np.int64)
+
+
+def _probes(rarity: np.ndarray, group: list[str | None], texts: list[str], share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(grams of each text; text number, key, whether it is looked up, of the grams that other texts may have)."""
+    row, g = _gram_sets(texts)
+    key = _keys(group, row, g)
+    count = rarity[key & (BUCKETS - 1)]
+    n = np.bincount(row, minlength=len(texts))
+    some = count > 1  # a gram of one text only can't meet another
+    row, key, count = row[some], key[some], count[some]
+    own = np.bincount(row, minlength=len(texts))
+    must = _least(share, n)
+    most = n - must + np.minimum(MEETINGS, must) - (n - own)
+    at = len(row).bit_length()
+    order = np.sort(row << 63 - len(texts).bit_length() | np.minimum(count.astype(np.int64), (1 << 63 - len(texts).bit_length() - at) - 1) << at | np.arange(len(row))) & ((1 << at) - 1)
+    probe = np.zeros(len(row), bool)
+    probe[order] = np.arange(len(row)) - (np.cumsum(own) - own)[row] < most[row]
+    return n, row, key, probe
+
+
+def _bytes(x: np.ndarray, kind: type) -> bytes:
+    return x.astype(kind).tobytes()
+
+
+def _packed(df: DataFrame, shared, marked, share: float, units: int, blocks: dict[str, int]) -> DataFrame:
+    """(unit, one, two, side, ids, n, probes, others, keys): texts that may meet, by the unit of work in which they do.
+
+    ``n``, ``probes`` and ``others`` are a number for each text; ``keys`` has each text's grams looked up and then those
+    that other texts look up, 32 bits each. A batch of ``blocks`` goes to a unit for each two blocks, the other batches
+    share ``units``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rarity, marks = shared.value, np.unpackbits(marked.value).view(bool)
+        for batch in batches:
+            for part, texts in _slices(batch, 2):
+                ids, group = part.column(0).to_pylist(), part.column(1).to_pylist()
+                places = [(b, zlib.crc32(str(i).encode()) % blocks[b]) if b in blocks else ("", zlib.crc32(b.encode()) % units) for i, b in zip(ids, group, strict=True)]
+                order = sorted(range(len(texts)), key=places.__getitem__)
+                n, row, key, probe = _probes(rarity, [group[k] for k in order], [texts[k] for k in order], share)
+                some = marks[key & (MARKS - 1)]
+                row, key, probe = row[some], key[some] >> 32 & 0xFFFFFFFF, probe[some]
+                first = np.lexsort((~probe, row)) if len(row) else row
+                key = key[first]
+                probes, held = np.bincount(row[probe], minlength=len(texts)), np.bincount(row, minlength=len(texts))
+                ends = np.cumsum(held)
+                out: dict[str, list] = {x: [] for x in ("unit", "one", "two", "side", "ids", "n", "probes", "others", "keys")}
+                k = 0
+                while k < len(order):
+                    here = places[order[k]]
+                    end = next((m for m in range(k + 1, len(order)) if places[order[m]] != here), len(order))
+                    own = k + np.flatnonzero(held[k:end])
+                    values = [ids[order[m]] for m in own], _bytes(n[own], np.int32), _bytes(probes[own], np.int32), _bytes((held - probes)[own], np.int32), _bytes(key[ends[k] - held[k] : ends[end - 1]], np.uint32)
+                    b, at = here
+                    for other in range(blocks.get(b, 0)) if b in blocks else (None,):
+                        for name, v in zip(out, (b, *((at, at, 0) if other is None else (min(at, other), max(at, other), int(at > other))), *values), strict=True):
+                            if len(own):
+                                out[name].append(v)
+                    k = end
+                yield pa.RecordBatch.from_arrays([pa.array(out["unit"], pa.string()), *(pa.array(out[x], pa.int32()) for x in ("one", "two", "side")), pa.array(out["ids"], pa.list_(part.column(0).type)), *(pa.array(out[x], pa.binary()) for x in ("n", "probes", "others", "keys"))], names=list(out))
+
+    kind = df.schema["id"].dataType.simpleString()
+    return df.select("id", "batch", "norm").mapInArrow(run, f"unit string, one int, two int, side int, ids array<{kind}>, n binary, probes binary, others binary, keys binary")
+
+
+def _met(table: pa.Table, jaccard: float, containment: float, share: float) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids of the pairs of texts of a unit that meet as often as near copies do."""
+    whole = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)])
+    ids = pa.concat_arrays([x.flatten() for x in table.column("ids").chunks])
+    n, probes, others = (whole(c, np.int32).astype(np.int64) for c in ("n", "probes", "others"))
+    side = np.repeat(table.column("side").to_numpy(), [len(x) for x in table.column("ids")])
+    apart = table.column("one")[0].as_py() != table.column("two")[0].as_py()
+    # texts by their numbers of grams: of two, the first is contained in the second or alike to it
+    order = np.argsort(n, kind="stable")
+    number = np.empty(len(n), np.int64)
+    number[order] = np.arange(len(n))
+    text = np.repeat(number, probes + others)
+    probe = np.arange(len(text)) - np.repeat(np.cumsum(probes + others) - probes - others, probes + others) < np.repeat(probes, probes + others)
+    every = whole("keys", np.uint32).astype(np.uint64) << np.uint64(32) | text.astype(np.uint64)
+    wanted = np.sort(every[probe])
+    every = np.sort(every)
+    low = np.searchsorted(every, wanted, side="right")
+    high = np.searchsorted(every, wanted | np.uint64(0xFFFFFFFF), side="right")
+    a = (wanted & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    some = np.flatnonzero(high > low)
+    some = some[np.argsort(a[some], kind="stable")]
+    a, low, high = a[some], low[some], high[some]
+    every = (every & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    n, side = n[order], side[order]
+    starts = np.flatnonzero(np.diff(a, prepend=-1))  # of each text's grams looked up
+    upto = np.concatenate([[0], np.cumsum(high - low)])
+    k = 0
+    while k < len(starts):
+        end = max(k + 1, int(np.searchsorted(upto[starts], upto[starts[k]] + MEETINGS_AT_ONCE, side="right")) - 1)
+        i, j = starts[k], starts[end] if end < len(starts) else len(a)
+        times = high[i:j] - low[i:j]
+        b = every[np.arange(upto[i], upto[j]) - np.repeat(upto[i:j] - low[i:j], times)]
+        pair = np.sort(np.repeat(a[i:j], times) << 32 | b)
+        new = np.flatnonzero(np.diff(pair, prepend=-1))
+        x, y = pair[new] >> 32, pair[new] & 0xFFFFFFFF
+        must = _least(share, n[x])
+        both = np.minimum(_least(containment, n[x]), _least(jaccard / (1 + jaccard), n[x] + n[y]))
+        near = np.diff(new, append=len(pair)) >= np.maximum(np.minimum(MEETINGS, must) + both - must, 1)
+        if apart:
+            near &= side[x] != side[y]
+        yield ids.take(pa.array(order[x[near]])), ids.take(pa.array(order[y[near]]))
+        k = end
+
+
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """batch, left_id, right_id, and n_common, n_left, n_right from the texts left, right."""
+    for batch in batches:
+        for part, left, right in _slices(batch, 3, 4):
+            m = len(left)
+            row, g = _gram_sets(left + right)
+            n = np.bincount(row, minlength=2 * m)
+            known, number = np.unique(g, return_inverse=True)
+            of = np.sort(row % m * len(known) + number)  # twice where both texts have it
+            both = np.bincount(of[1:][of[1:] == of[:-1]] // max(1, len(known)), minlength=m)
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *(pa.array(x.astype(np.int32)) for x in (both, n[:m], n[m:]))], names=["batch", "left_id", "right_id", "n_common", "n_left", "n_right"])
 
 
 def near_pairs(df: DataFrame, jaccard: float = JACCARD, containment: float = CONTAINMENT) -> DataFrame:
     """(batch, left_id, right_id, n_common, n_left, n_right): pairs of rows of a batch that are near copies.
 
     ``df`` has batch, id, norm (normalised text), one row for each different text of a batch (see collapse_copies). Exact:
-    of a text of n grams that is contained to c in another, the other lacks n - ceil(c n) at most, so that any of its
-    n - ceil(c n) + k grams have k in common with the other; and the rarest of two texts alike to c meet in the same way,
-    as all order their grams alike. Only each text's rarest grams look up others', pairs that meet k times are candidates,
-    and these are verified on the whole sets. Which grams are rare is taken from counts by buckets, of a fixed size: they
-    decide on the work and not on the result. Null batches are no batch.
+    of a text of n grams that is contained to c in a larger one, the other lacks n - ceil(c n) at most, so that any of its
+    n - ceil(c n) + k grams have k in common with the other; and of two texts alike to j the smaller is contained to
+    2 j / (1 + j) in the other. Only each text's rarest grams are looked up, and only grams that some text looks up (by a
+    bit for each of MARKS hashes) are shuffled, 32 bits each. Texts of a batch meet in one task, or by blocks of
+    BLOCK_CHARS; pairs that meet often enough are candidates, and these are verified on the whole sets. Which grams are
+    rare, and which are looked up, is taken from arrays of a fixed size: they decide on the work and not on the result.
+    Null batches are no batch. ``df`` is read five times.
     """
-    df = df.where("batch is not null")
+    df = df.where("batch is not null").select("batch", "id", "norm")
     spark = df.sparkSession
+    share = min(containment, 2 * jaccard / (1 + jaccard))
+    sizes = df.groupBy("batch").agg(F.sum(F.length("norm")).alias("chars"))
+    total = sizes.agg(F.sum("chars").alias("chars"), F.collect_list(F.when(F.col("chars") > BLOCK_CHARS, F.struct("batch", "chars"))).alias("large")).first()
+    blocks = {r.batch: -(-r.chars // BLOCK_CHARS) for r in total.large}
     shared = spark.sparkContext.broadcast(_rarity(df))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = shared.value
-        for batch in batches:
-            for part, texts in _slices(batch, 2):
-                row, g = _gram_sets(texts)
-                key = _keys(part.column(1).to_pylist(), row, g)
-                count = rarity[key & (BUCKETS - 1)]
-                some = count > 1  # a gram of one text only can't meet another
-                n = np.bincount(row, minlength=part.num_rows)
-                alone = n - np.bincount(row[some], minlength=part.num_rows)
-                row, key, count = row[some], key[some], count[some]
-                order = np.lexsort((key, count, row))
-                row, key = row[order], key[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row)
-                prefix = lambda c: n - np.ceil(c * n - 1e-9) + np.minimum(MEETINGS, np.ceil(c * n - 1e-9)) - alone  # noqa: E731, B023
-                cols = [_lists(row, x, part.num_rows) for x in (pa.array(key), pa.array(rank < prefix(containment)[row]), pa.array(rank < prefix(jaccard)[row]))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int32)), *cols], names=["id", "n", "key", "probe", "head"])
+    def mark(bits: np.ndarray, batch: pa.RecordBatch) -> None:
+        for part, texts in _slices(batch, 1):
+            _, _, key, probe = _probes(shared.value, part.column(0).to_pylist(), texts, share)
+            at = key[probe] & (MARKS - 1)
+            np.bitwise_or.at(bits, at >> 3, (128 >> (at & 7)).astype(np.uint8))
 
+    marked = spark.sparkContext.broadcast(bucket_fold(df.select("batch", "norm"), mark, MARKS // 8, "uint8", np.bitwise_or))
+    units = max(64, 8 * (total.chars or 0) // BLOCK_CHARS)
     kind = df.schema["id"].dataType.simpleString()
-    rows = df.select("id", "batch", "norm").mapInArrow(run, f"id {kind}, n int, key array<bigint>, probe array<boolean>, head array<boolean>")
-    each = rows.select("id", "n", F.inline(F.arrays_zip("key", "probe", "head")))
-    probe = each.where("probe or head").select("key", F.col("id").alias("a"), F.col("n").alias("na"), "probe", F.col("head").alias("head_a"))
-    every = each.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("head").alias("head_b"))
-    need = lambda c, n: F.least(F.lit(MEETINGS), F.ceil(F.lit(c) * F.col(n) - 1e-9))
-    in_other = F.col("probe") & (F.col("na") <= F.col("nb"))
-    alike = F.expr(f"head_a and head_b and a < b and na >= {jaccard} * nb - 1e-9 and nb >= {jaccard} * na - 1e-9")
-    met = probe.join(every, "key").where(F.col("a") != F.col("b")).where(in_other | alike).groupBy("a", "b", "na", "nb").agg(F.count_if(in_other).alias("contained"), F.count_if(alike).alias("alike"))
-    enough = ((F.col("contained") > 0) & (F.col("contained") >= need(containment, "na"))) | ((F.col("alike") > 0) & (F.col("alike") >= F.least(need(jaccard, "na"), need(jaccard, "nb"))))
-    pairs = written(met.where(enough).select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")).distinct())
+
+    def meet(table: pa.Table) -> pa.Table:
+        parts = list(_met(table, jaccard, containment, share))
+        of = table.schema.field("ids").type.value_type
+        return pa.table([pa.chunked_array([p[k] for p in parts], of) for k in (0, 1)], names=["a", "b"])
+
+    met = _packed(df, shared, marked, share, units, blocks).groupBy("unit", "one", "two").applyInArrow(meet, f"a {kind}, b {kind}")
+    pairs = written(met.select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")))
     ids = pairs.select(F.col("left_id").alias("id")).union(pairs.select("right_id")).distinct()
-    sets = with_grams(df.join(ids, "id", "left_semi"), "norm", ["id", "batch"])
-    side = lambda name: sets.select(F.col("id").alias(f"{name}_id"), F.col("batch").alias(f"{name}_batch"), F.col("grams").alias(f"{name}_grams"), F.size("grams").alias(f"n_{name}"))
-    found = pairs.join(side("left"), "left_id").join(side("right"), "right_id").where("left_batch = right_batch").withColumn("n_common", F.size(F.array_intersect("left_grams", "right_grams")))
+    texts = written(df.join(small(ids, BROADCAST_IDS), "id", "left_semi"))
+    side = lambda name: texts.select(F.col("id").alias(f"{name}_id"), F.col("batch").alias(f"{name}_batch"), F.col("norm").alias(name))
+    both = pairs.join(side("left"), "left_id").join(side("right"), "right_id").where("left_batch = right_batch").select(F.col("left_batch").alias("batch"), "left_id", "right_id", "left", "right")
+    found = both.mapInArrow(_common, f"batch string, left_id {kind}, right_id {kind}, n_common int, n_left int, n_right int")
     union = F.col("n_left") + F.col("n_right") - F.col("n_common")
-    near = (F.col("n_common") >= F.lit(jaccard) * union - 1e-9) | (F.col("n_common") >= F.lit(containment) * F.least("n_left", "n_right") - 1e-9)
-    return found.where(near).select(F.col("left_batch").alias("batch"), "left_id", "right_id", "n_common", "n_left", "n_right")
+    return found.where((F.col("n_common") >= F.lit(jaccard) * union - 1e-9) | (F.col("n_common") >= F.lit(containment) * F.least("n_left", "n_right") - 1e-9))
 
 
 def greedy_survivors(rows: DataFrame, pairs: DataFrame) -> DataFrame:

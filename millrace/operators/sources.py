@@ -16,14 +16,21 @@ CHANNELS = ("境内新闻", "公众文章", "今日头条", "微博", "小红书
 OTHER_WORDS = (("公号", "公众文章"), ("微信", "公众文章"), ("新闻", "境内新闻"))
 
 
-def with_text(df: DataFrame) -> DataFrame:
+def with_text(df: DataFrame, fingerprint: bool = False) -> DataFrame:
     """``df`` with its title cleaned and text: body, else ASR, else title; before it the title, unless it is an answer or
-    holds the title already. Each part is cleaned once."""
+    holds the title already. Each part is cleaned once. With ``fingerprint`` that column too, the normalised text, put
+    together from the parts, which are then normalised once."""
     body, asr = (F.nullif(clean(F.col(c)), F.lit("")) for c in ("body", "asr"))
     parts = once(df, _own=F.coalesce(body, asr, F.lit("")), _title=clean(F.col("title")))
     own, title = F.when(F.col("_own") == "", F.col("_title")).otherwise(F.col("_own")), F.col("_title")
-    plain = F.coalesce(F.col("post_type"), F.lit("")).isin(*ANSWERS) | (title == "") | F.contains(normalized(own), normalized(title))
-    return once(parts, _text=F.when(plain, own).otherwise(F.concat(title, F.lit(" "), own))).withColumns({"title": title, "text": F.col("_text")}).drop("_own", "_title", "_text")
+    norm_own, norm_title = normalized(own), normalized(title)
+    if fingerprint:
+        parts = once(parts, _norm_own=norm_own, _norm_title=norm_title)
+        norm_own, norm_title = F.col("_norm_own"), F.col("_norm_title")
+    plain = F.coalesce(F.col("post_type"), F.lit("")).isin(*ANSWERS) | (title == "") | F.contains(norm_own, norm_title)
+    more = {"_fingerprint": F.when(plain, norm_own).otherwise(F.concat(norm_title, norm_own))} if fingerprint else {}
+    made = once(parts, _text=F.when(plain, own).otherwise(F.concat(title, F.lit(" "), own)), **more).withColumns({"title": title, "text": F.col("_text")})
+    return (made.withColumn("fingerprint", F.col("_fingerprint")) if fingerprint else made).drop("_own", "_title", "_text", "_norm_own", "_norm_title", "_fingerprint")
 
 
 def channel_of(name: Column, strict: bool = False) -> Column:

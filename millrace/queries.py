@@ -245,9 +245,15 @@ def decision_propagation(spark, d):
 
 
 def _reps(spark, d):
-    """(batch, id, norm) of one row for each different text of a batch; digests are shuffled, and the texts once."""
-    ids = dedup.collapse_copies(digests(spark, d), ["batch", "digest"], [F.col("len")]).select(F.col("representative").alias("id"))
-    return written(prints(spark, d).select("batch", "id", F.col("fingerprint").alias("norm")).join(ids, "id", "left_semi"))
+    """Written once: (batch, id, norm, digest) of every row; (batch, digest, representative) of texts of several rows; and
+    (batch, id, norm) of one row for each different text of a batch. Digests are shuffled, and texts only where the copies
+    are too many for a broadcast."""
+    texts = sources.with_text(table(spark, d, "normalized_sources"), fingerprint=True).select("batch", "id", F.col("fingerprint").alias("norm"), F.length("text").alias("len"))
+    rows = written(once(texts, digest=dedup.digest(F.col("norm"))).select("batch", "id", "norm", "digest", "len"))
+    copies = written(dedup.collapse_copies(rows, ["batch", "digest"], [F.col("len")]).where("n_copies > 1").select("batch", "digest", "representative"))
+    c = small(copies.select(F.col("batch").alias("_b"), F.col("digest").alias("_d"), "representative"), dedup.BROADCAST_IDS)
+    reps = rows.where("digest != ''").join(c, F.col("batch").eqNullSafe(F.col("_b")) & (F.col("digest") == F.col("_d")), "left").where("representative is null or representative = id")
+    return rows, copies, reps.select("batch", "id", "norm")
 
 
 @query(f"""WITH {_PRINTS}, reps AS (SELECT batch, fingerprint AS norm, arg_max(id, (len, id)) AS id FROM prints WHERE fingerprint <> '' GROUP BY batch, fingerprint),
@@ -257,14 +263,14 @@ c AS (SELECT a.batch, a.id AS left_id, b.id AS right_id, count(*) AS n_common FR
 SELECT c.batch, left_id, right_id, n_common::BIGINT AS n_common, l.n::BIGINT AS n_left, r.n::BIGINT AS n_right FROM c JOIN n l ON l.batch = c.batch AND l.id = left_id JOIN n r ON r.batch = c.batch AND r.id = right_id
 WHERE n_common >= 0.84::DOUBLE * (l.n + r.n - n_common) - 1e-9 OR n_common >= 0.94::DOUBLE * least(l.n, r.n) - 1e-9""")
 def near_dup_pairs(spark, d):
-    p = dedup.near_pairs(_reps(spark, d))
+    p = dedup.near_pairs(_reps(spark, d)[2])
     return p.select("batch", "left_id", "right_id", *(F.col(c).cast("bigint").alias(c) for c in ("n_common", "n_left", "n_right")))
 
 
 @query()
 def near_dup_greedy(spark, d):
     """Every source with the representative of its exact copies and the row kept for it; near_dup_pairs are of representatives."""
-    reps = _reps(spark, d)
+    reps = _reps(spark, d)[2]
     rows = ranked(reps.select("batch", "id", F.length("norm").alias("n")), ["batch"], F.desc("n"), F.desc("id")).select("batch", "id", "place")
     kept = dedup.greedy_survivors(rows, dedup.near_pairs(reps))
     of = dedup.collapse_copies(digests(spark, d), ["batch", "digest"], [F.col("len")]).select("batch", F.col("digest").alias("fingerprint"), "representative")

@@ -242,6 +242,16 @@ def test_every_source_has_its_kept_row(spark, data):
     assert {r.id: (r.representative, r.kept_id) for r in dedup.memberships(df, reps, kept).collect()} == {"a": ("b", "c"), "b": ("b", "c"), "c": ("c", "c"), "d": ("d", "d"), "e": ("e", "e"), "f": ("g", "g"), "g": ("g", "g")}
 
 
+def test_fingerprints_from_parts_are_those_of_texts(spark, data):
+    from millrace.operators import sources
+    from millrace.sources.tables import table
+
+    odd = spark.createDataFrame([(None, "Ab 《一》", "x ab一 y", None), ("评论", "T", "body", "a"), (None, "-", None, "Asr!"), (None, "T", "-", None), (None, None, None, None), (None, "。。", "正文", None)], "post_type string, title string, body string, asr string")
+    rows = sources.with_text(odd.union(table(spark, data, "normalized_sources").select(*odd.columns)), fingerprint=True)
+    assert rows.columns == [*odd.columns, "text", "fingerprint"]
+    assert rows.where("fingerprint is null").count() == 0 == rows.where(F.col("fingerprint") != T.normalized(F.col("text"))).count()
+
+
 def test_documents_of_reviews(spark):
     doc = lambda x: spark.createDataFrame([(json.dumps(x, ensure_ascii=False),)], "value string")
     got = reviews.keyed(doc({"scope": "now", "reviews": [{"source_id": " a ", "decision": "keep"}, {"source_id": "b"}]}), "now").collect()

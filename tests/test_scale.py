@@ -82,6 +82,62 @@ def test_near_copies_against_brute_force(spark):
     assert dedup.near_pairs(df.limit(0)).count() == 0
 
 
+def shuffled(spark):
+    """Bytes written to shuffles so far."""
+    each = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(each.apply(k).totalShuffleWrite() for k in range(each.size()))
+
+
+def test_only_grams_that_are_looked_up_are_shuffled(spark):
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(600)]
+    texts = ["".join(r.choices(words, range(600, 0, -1), k=60)) for _ in range(1500)]
+    texts += [t[9:] + "zq" for t in texts[:40]]
+    df = spark.createDataFrame([(f"b{k % 2}", f"i{k % 1500:04}{k // 1500}", t) for k, t in enumerate(texts)], "batch string, id string, norm string").repartition(4).localCheckpoint()
+    began = shuffled(spark)
+    got = {(x.left_id, x.right_id) for x in dedup.near_pairs(df).collect()}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert got == {(f"i{k:04}0", f"i{k:04}1") for k in range(40)}
+    grams = sum(len({t[k : k + 3] for k in range(len(t) - 2)}) for t in texts)
+    assert shuffled(spark) - began < 4 * grams
+
+
+def test_near_copies_in_blocks_of_a_large_batch(spark, monkeypatch):
+    r = random.Random(12)
+    base = ["".join(r.choice("春夏秋冬山水风雨花鸟abc12") for _ in range(r.choice((5, 20, 60)))) for _ in range(12)]
+    texts = sorted({t[:p] + r.choice("春夏秋x") + t[p + r.randint(0, 1) :] for t in base * 12 for p in [r.randrange(len(t))]})
+    rows = [("hot" if k % 4 else "b", f"i{k:03}", t) for k, t in enumerate(texts)]
+    monkeypatch.setattr(dedup, "BLOCK_CHARS", 1000)
+    monkeypatch.setattr(dedup, "BROADCAST_IDS", 10)
+    pairs = dedup.near_pairs(spark.createDataFrame(rows, "batch string, id string, norm string")).collect()
+    near, _ = brute_near(rows)
+    assert {(x.batch, x.left_id, x.right_id) for x in pairs} == near and len(pairs) == len(near) > 30
+
+
+def test_meetings_are_counted_in_parts(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(4)
+    keys = [sorted(r.sample(range(60), r.randint(20, 40))) for _ in range(30)]
+    keys += [k[1:] for k in keys[:10]]
+    n, none = np.array([len(k) for k in keys], np.int32), np.zeros(len(keys), np.int32)
+    table = pa.table({"one": [0], "two": [0], "side": pa.array([0], pa.int32()), "ids": [[str(k) for k in range(len(keys))]], "n": [n.tobytes()], "probes": [n.tobytes()], "others": [none.tobytes()], "keys": [np.array(sum(keys, []), np.uint32).tobytes()]})
+    found = lambda: sorted(tuple(sorted(x)) for a, b in dedup._met(table, 0.84, 0.94, 0.9) for x in zip(a.to_pylist(), b.to_pylist(), strict=True))
+    whole = found()
+    assert {(str(k), str(k + 30)) for k in range(10)} <= {tuple(sorted(x, key=int)) for x in whole}
+    monkeypatch.setattr(dedup, "MEETINGS_AT_ONCE", 3)
+    assert found() == whole
+
+
+def test_letters_beyond_a_small_alphabet():
+    far = "".join(chr(0x4E00 + k) for k in range(0, 20_000)) + "".join(chr(0x20000 + k) for k in range(40_000))
+    for texts in (["abcabcd", "", "ab", "zabc"], [far, far[5:] + "abc", "abc"]):
+        row, g = dedup._gram_sets(texts)
+        want = [(k, x) for k, t in enumerate(texts) for x in sorted({ord(t[i]) << 42 | ord(t[i + 1]) << 21 | ord(t[i + 2]) for i in range(len(t) - 2)})]
+        assert list(zip(row.tolist(), g.tolist(), strict=True)) == want
+
+
 def test_families_of_a_hot_text_and_of_no_text(spark):
     rows = [(f"i{k:04}", "same" if k % 2 else "") for k in range(2000)] + [("z", None), ("y", "alone")]
     got = {x.id: x.family for x in dedup.copy_families(spark.createDataFrame(rows, "id string, fingerprint string")).collect()}
