@@ -345,11 +345,11 @@ def greedy_survivors(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 def memberships(rows: DataFrame, reps: DataFrame, kept: DataFrame) -> DataFrame:
     """(batch, id, representative, kept_id) of every row: its exact copies' representative and the row kept for this one.
 
-    ``rows`` has batch, id, fingerprint; ``reps`` batch, fingerprint, representative; ``kept`` batch, id, kept_id of the
-    representatives. A row with an empty fingerprint has no copies and stands for itself.
+    ``rows`` has batch, id, fingerprint; ``reps`` batch, fingerprint, representative (texts of one row may
+    be left out); ``kept`` batch, id, kept_id of the representatives. A row with an empty fingerprint has no copies and stands for itself.
     """
     r = reps.select(F.col("batch").alias("_b"), F.col("fingerprint").alias("_f"), "representative")
-    own = rows.join(r, F.col("batch").eqNullSafe(F.col("_b")) & (F.col("fingerprint") == F.col("_f")), "left").select("batch", "id", "representative")
+    own = rows.join(r, F.col("batch").eqNullSafe(F.col("_b")) & (F.col("fingerprint") == F.col("_f")), "left").select("batch", "id", F.coalesce("representative", "id").alias("representative"))
     k = kept.select(F.col("batch").alias("_b"), F.col("id").alias("_id"), "kept_id")
     of = own.join(k, F.col("batch").eqNullSafe(F.col("_b")) & (F.col("representative") == F.col("_id")), "left")
-    return of.select("batch", "id", F.coalesce("representative", "id").alias("representative"), F.coalesce("kept_id", "id").alias("kept_id"))
+    return of.select("batch", "id", "representative", F.coalesce("kept_id", "id").alias("kept_id"))

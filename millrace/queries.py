@@ -270,11 +270,10 @@ def near_dup_pairs(spark, d):
 @query()
 def near_dup_greedy(spark, d):
     """Every source with the representative of its exact copies and the row kept for it; near_dup_pairs are of representatives."""
-    reps = _reps(spark, d)[2]
+    every, copies, reps = _reps(spark, d)
     rows = ranked(reps.select("batch", "id", F.length("norm").alias("n")), ["batch"], F.desc("n"), F.desc("id")).select("batch", "id", "place")
     kept = dedup.greedy_survivors(rows, dedup.near_pairs(reps))
-    of = dedup.collapse_copies(digests(spark, d), ["batch", "digest"], [F.col("len")]).select("batch", F.col("digest").alias("fingerprint"), "representative")
-    return dedup.memberships(digests(spark, d).withColumnRenamed("digest", "fingerprint"), of, kept)
+    return dedup.memberships(every.select("batch", "id", F.col("digest").alias("fingerprint")), copies.withColumnRenamed("digest", "fingerprint"), kept)
 
 
 # ---- topics, entities ---------------------------------------------------------------------------------------------
