@@ -68,12 +68,13 @@ def copy_families(df: DataFrame, same: DataFrame | None = None, independent: Dat
         label = cut(label.join(better, label.family == better.lf, "left").select("id", F.coalesce("to", "family").alias("family")))
 
 
-def _gram_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, gram) of the sets of runs of three characters of these texts, ordered; a gram is its three code points."""
+def _gram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """(text number, code) of the sets of runs of three characters of these texts, ordered, and the letters: a code is the
+    numbers of its letters in them, of as many bits each as their count has; without letters it is the gram itself."""
     p = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     if len(p) < 3:
-        return row[:0], row[:0]
+        return row[:0], row[:0], None
     ok = row[:-2] == row[2:]
     there = np.zeros(0x110000, bool)
     there[p] = True
@@ -86,15 +87,25 @@ def _gram_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         row, g = row[order], g[order]
         new = np.ones(len(g), bool)
         new[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
-        return row[new], g[new]
+        return row[new], g[new], None
     # text and letters by their numbers in one integer
     c = (np.cumsum(there) - 1)[p]
-    x = np.sort((row[:-2] << 3 * w | c[:-2] << 2 * w | c[1:-1] << w | c[2:])[ok])
+    x = ((row[:-2] << w | c[:-2]) << 2 * w | c[1:-1] << w | c[2:])[ok]
+    x.sort()
     new = np.ones(len(x), bool)
     new[1:] = x[1:] != x[:-1]
     x = x[new]
-    of = lambda k: letters[x >> k * w & (1 << w) - 1]
-    return x >> 3 * w, of(2) << 42 | of(1) << 21 | of(0)
+    return x >> 3 * w, x & (1 << 3 * w) - 1, letters
+
+
+def _gram_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, gram) of the sets of runs of three characters of these texts, ordered; a gram is its three code points."""
+    row, code, letters = _gram_codes(texts)
+    if letters is None:
+        return row, code
+    w = len(letters).bit_length()
+    of = lambda k: letters[code >> k * w & (1 << w) - 1]
+    return row, of(2) << 42 | of(1) << 21 | of(0)
 
 
 def _keys(group: list[str | None], row: np.ndarray, g: np.ndarray) -> np.ndarray:
@@ -161,10 +172,16 @@ def _probes(rarity: np.ndarray, group: list[str | None], texts: list[str], share
     own = np.bincount(row, minlength=len(texts))
     must = _least(share, n)
     most = n - must + np.minimum(MEETINGS, must) - (n - own)
-    at = len(row).bit_length()
-    order = np.sort(row << 63 - len(texts).bit_length() | np.minimum(count.astype(np.int64), (1 << 63 - len(texts).bit_length() - at) - 1) << at | np.arange(len(row))) & ((1 << at) - 1)
     probe = np.zeros(len(row), bool)
-    probe[order] = np.arange(len(row)) - (np.cumsum(own) - own)[row] < most[row]
+    if not len(row):
+        return n, row, key, probe
+    # only the rarest quarter of all is put in order, of a text that has enough of it
+    rare = count <= np.partition(count, len(row) // 4)[len(row) // 4]
+    some = np.flatnonzero(rare | (np.bincount(row[rare], minlength=len(texts)) < most)[row])
+    low, at = row[some], len(row).bit_length()
+    order = np.sort(low << 63 - len(texts).bit_length() | np.minimum(count[some].astype(np.int64), (1 << 63 - len(texts).bit_length() - at) - 1) << at | some) & ((1 << at) - 1)
+    own = np.bincount(low, minlength=len(texts))
+    probe[order] = np.arange(len(low)) - (np.cumsum(own) - own)[low] < most[low]
     return n, row, key, probe
 
 
@@ -262,11 +279,13 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, left, right in _slices(batch, 3, 4):
             m = len(left)
-            row, g = _gram_sets(left + right)
+            row, code, letters = _gram_codes(left + right)
             n = np.bincount(row, minlength=2 * m)
-            known, number = np.unique(g, return_inverse=True)
-            of = np.sort(row % m * len(known) + number)  # twice where both texts have it
-            both = np.bincount(of[1:][of[1:] == of[:-1]] // max(1, len(known)), minlength=m)
+            if letters is None:
+                code = np.unique(code, return_inverse=True)[1]
+            bits = int(code.max(initial=0)).bit_length()
+            of = np.sort(row % m << bits | code)  # twice where both texts have it
+            both = np.bincount(of[1:][of[1:] == of[:-1]] >> bits, minlength=m)
             yield pa.RecordBatch.from_arrays([*part.columns[:3], *(pa.array(x.astype(np.int32)) for x in (both, n[:m], n[m:]))], names=["batch", "left_id", "right_id", "n_common", "n_left", "n_right"])
 
 
