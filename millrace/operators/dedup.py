@@ -230,8 +230,25 @@ def _packed(df: DataFrame, shared, marked, share: float, units: int, blocks: dic
     return df.select("id", "batch", "norm").mapInArrow(run, f"unit string, one int, two int, side int, ids array<{kind}>, n binary, probes binary, others binary, keys binary")
 
 
+def _shared(keys: np.ndarray, held: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many keys the texts ``x`` and ``y`` of each pair share; ``keys`` are those of all texts in turn, ``held`` their numbers."""
+    start, work = np.cumsum(held) - held, np.cumsum(held[x] + held[y])
+    out, k = np.zeros(len(x), np.int64), 0
+    while k < len(x):
+        end = max(k + 1, int(np.searchsorted(work, (work[k - 1] if k else 0) + MEETINGS_AT_ONCE, side="right")))
+        both = []
+        for side in (x[k:end], y[k:end]):
+            h = held[side]
+            both.append(np.repeat(np.arange(end - k), h) << 32 | keys[np.arange(h.sum()) - np.repeat(np.cumsum(h) - h - start[side], h)])
+        of = np.sort(np.concatenate(both))
+        out[k:end] = np.bincount(of[1:][of[1:] == of[:-1]] >> 32, minlength=end - k)
+        k = end
+    return out
+
+
 def _met(table: pa.Table, jaccard: float, containment: float, share: float) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """Ids of the pairs of texts of a unit that meet as often as near copies do."""
+    """Ids of the pairs of texts of a unit that meet as often as near copies do, and of whose grams here, those that any
+    text looks up, the first text has no more that the second lacks than a near copy may."""
     whole = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)])
     ids = pa.concat_arrays([x.flatten() for x in table.column("ids").chunks])
     n, probes, others = (whole(c, np.int32).astype(np.int64) for c in ("n", "probes", "others"))
@@ -243,7 +260,10 @@ def _met(table: pa.Table, jaccard: float, containment: float, share: float) -> I
     number[order] = np.arange(len(n))
     text = np.repeat(number, probes + others)
     probe = np.arange(len(text)) - np.repeat(np.cumsum(probes + others) - probes - others, probes + others) < np.repeat(probes, probes + others)
-    every = whole("keys", np.uint32).astype(np.uint64) << np.uint64(32) | text.astype(np.uint64)
+    keys = whole("keys", np.uint32)
+    every = keys.astype(np.uint64) << np.uint64(32) | text.astype(np.uint64)
+    keys = np.sort(text << 32 | keys) & 0xFFFFFFFF  # by text
+    held = np.bincount(text, minlength=len(n))
     wanted = np.sort(every[probe])
     every = np.sort(every)
     low = np.searchsorted(every, wanted, side="right")
@@ -270,6 +290,8 @@ def _met(table: pa.Table, jaccard: float, containment: float, share: float) -> I
         near = np.diff(new, append=len(pair)) >= np.maximum(np.minimum(MEETINGS, must) + both - must, 1)
         if apart:
             near &= side[x] != side[y]
+        x, y, both = x[near], y[near], both[near]
+        near = _shared(keys, held, x, y) >= held[x] - (n[x] - both)
         yield ids.take(pa.array(order[x[near]])), ids.take(pa.array(order[y[near]]))
         k = end
 
